@@ -34,8 +34,11 @@ DEFAULTS = Defaults()
 # A side is broadcast only after its rows were counted and found within this.
 BROADCAST_ROWS = 500_000
 
-# Copies of the small side, and shares of each hot key, when it is not broadcast.
-SPREAD = 16
+# Rows of one join key that a single task takes on when no side is broadcast, and
+# how many of the most frequent keys are split further; the rest hold less each
+# than one in as many rows.
+SHARE_ROWS = 100_000
+SPLIT_KEYS = 10_000
 
 # An item with more raters than this is paired tile by tile, and it may be
 # left out of pair generation where an exact rule says it cannot decide a pair.

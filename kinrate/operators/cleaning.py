@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from kinrate.config import DEFAULTS
 from kinrate.functions.scores import percent
+from kinrate.operators.joins import top_per
 
 KEYS = ("userId", "movieId")
 VALID_RANGE = (DEFAULTS.rating_low, DEFAULTS.rating_high)
@@ -17,12 +18,6 @@ def _complete() -> Column:
     return F.col("userId").isNotNull() & F.col("movieId").isNotNull() & F.col("rating").isNotNull()
 
 
-def _newest(recency: Sequence[str]) -> Column:
-    # The rating itself breaks the last tie, so the survivor never depends on
-    # the order in which rows arrive.
-    return F.max(F.struct(*recency, "rating"))
-
-
 def drop_incomplete(ratings: DataFrame) -> DataFrame:
     """Rows with a user, an item and a rating."""
     return ratings.filter(_complete())
@@ -36,14 +31,12 @@ def in_range(ratings: DataFrame, rating_range: tuple[float, float] = VALID_RANGE
 def newest_per_pair(ratings: DataFrame, recency: Sequence[str] = ("timestamp",)) -> DataFrame:
     """One row per user and item: the newest by ``recency``.
 
-    An aggregation rather than a window: copies of one pair are reduced in each
-    task before the shuffle, so a pair holding a third of all rows is no hot spot.
+    The rating itself breaks the last tie, so the survivor never depends on the
+    order in which rows arrive. Each task keeps one row per pair before the
+    shuffle, so a pair holding a third of all rows is no hot spot.
     """
-    return (
-        ratings.groupBy(*KEYS)
-        .agg(_newest(recency).alias("_newest"))
-        .select(*KEYS, F.col("_newest.rating").alias("rating"))
-    )
+    order = [F.col(name).desc() for name in (*recency, "rating")]
+    return top_per(ratings, KEYS, order, 1, "_place").select(*KEYS, "rating")
 
 
 def clean_ratings(

@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from kinrate.config import DEFAULTS, SPREAD
+from kinrate.config import DEFAULTS, SHARE_ROWS
 from kinrate.functions.labels import RATING_TYPES, similarity_band
 from kinrate.functions.scores import percent, round_half_up
-from kinrate.operators.joins import top_per
+from kinrate.operators.joins import join_side, top_per
 from kinrate.operators.similarity import (
     PAIR,
     _other_means,
@@ -27,10 +27,10 @@ def common_items(
     left: DataFrame,
     pairs: DataFrame | None = None,
     broadcast_left: bool = False,
-    spread: int = SPREAD,
+    share_rows: int = SHARE_ROWS,
 ) -> DataFrame:
     """Items rated on both sides: ``rating1`` is the comparing user's."""
-    shared = co_ratings(ratings, left, broadcast_left, spread)
+    shared = co_ratings(ratings, left, broadcast_left, share_rows)
     if pairs is not None:
         shared = shared.join(pairs.select(*PAIR), list(PAIR), "left_semi")
     return shared.select(
@@ -118,18 +118,20 @@ def loved_unseen(
     loved: float = DEFAULTS.loved,
     n: int = 10,
     broadcast_pairs: bool = False,
+    share_rows: int = SHARE_ROWS,
 ) -> DataFrame:
     """What one side loved and the other has not rated, both ways, ``n`` each."""
     pairs = pairs.select(*PAIR)
-    near = F.broadcast(pairs) if broadcast_pairs else pairs
-    theirs = ratings.join(near, "userId").select(*PAIR, "movieId", "rating")
+    rated = ratings.select("userId", "movieId", "rating")
+    theirs = join_side(rated, pairs, "userId", "movieId", broadcast_pairs, share_rows)
     mine = left.select("targetId", "movieId", F.col("target_rating").alias("rating"))
-    mine_per_pair = mine.join(near, "targetId").select(*PAIR, "movieId", "rating")
+    mine_per_pair = join_side(mine, pairs, "targetId", "movieId", broadcast_pairs, share_rows)
     parts = []
     for side, wanted, known in (
         ("theirs", theirs, mine.select("targetId", "movieId")),
         ("mine", mine_per_pair, theirs.select(*PAIR, "movieId")),
     ):
+        wanted = wanted.select(*PAIR, "movieId", "rating")
         fresh = wanted.filter(F.col("rating") >= loved).join(known, known.columns, "left_anti")
         parts.append(
             top_per(fresh, PAIR, [F.col("rating").desc(), F.col("movieId")], n).select(

@@ -6,33 +6,47 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from kinrate.config import SPREAD
+from kinrate.config import SHARE_ROWS, SPLIT_KEYS
+
+
+def heavy_keys(df: DataFrame, key: str, share_rows: int = SHARE_ROWS) -> DataFrame:
+    """``key, _shares`` of the most frequent keys: at most ``SPLIT_KEYS`` rows."""
+    return (
+        df.groupBy(key)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .filter(F.col("_rows") > share_rows)
+        .orderBy(F.col("_rows").desc(), key)
+        .limit(SPLIT_KEYS)
+        .select(key, F.ceil(F.col("_rows") / float(share_rows)).cast("int").alias("_shares"))
+    )
 
 
 def join_side(
     large: DataFrame,
     side: DataFrame,
     on: str,
-    share_by: Sequence[str | Column],
+    share_by: str,
     broadcast_side: bool = False,
-    spread: int = SPREAD,
+    share_rows: int = SHARE_ROWS,
 ) -> DataFrame:
-    """Inner join on one key that a third of ``large`` may share.
+    """Inner join on one key that a third of ``large`` may have in common.
 
     With ``broadcast_side`` the caller states that it has checked the size of
-    ``side``, and ``large`` stays where it is. Otherwise the rows of each key are
-    shared out over ``spread`` tasks by a hash of ``share_by``, and ``side`` is
-    copied to each share. Both ways give the same rows.
+    ``side``, and ``large`` stays where it is. Otherwise the rows of a heavy key
+    are dealt to as many tasks as they need, by a hash of ``share_by``, and only
+    the ``side`` rows of such keys are copied. Both ways give the same rows.
     """
     if broadcast_side:
         return large.join(F.broadcast(side), on)
-    if spread <= 1:
-        return large.join(side, on)
-    shared = large.withColumn(
-        "_share", F.pmod(F.xxhash64(*share_by), F.lit(spread)).cast("int")
+    heavy = F.broadcast(heavy_keys(large, on, share_rows))
+    shares = F.coalesce(F.col("_shares"), F.lit(1))
+    dealt = large.join(heavy, on, "left").withColumn(
+        "_share", F.pmod(F.xxhash64(share_by), shares).cast("int")
+    )
+    copied = side.join(heavy, on, "left").withColumn(
+        "_share", F.explode(F.sequence(F.lit(0), shares - 1))
     )
-    copies = side.withColumn("_share", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
-    return shared.join(copies, [on, "_share"]).drop("_share")
+    return dealt.drop("_shares").join(copied.drop("_shares"), [on, "_share"]).drop("_share")
 
 
 def top_per(

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from kinrate.config import DEFAULTS, SPREAD
+from kinrate.config import DEFAULTS, SHARE_ROWS
 from kinrate.functions.labels import confidence_band
 from kinrate.functions.scores import clamp, round_half_up
 from kinrate.operators.joins import join_side, top_per
@@ -28,15 +28,15 @@ def _unseen(candidates: DataFrame, seen: DataFrame, broadcast_seen: bool) -> Dat
 
 
 def _neighbor_ratings(
-    ratings: DataFrame, neighbors: DataFrame, broadcast_neighbors: bool, spread: int
+    ratings: DataFrame, neighbors: DataFrame, broadcast_neighbors: bool, share_rows: int
 ) -> DataFrame:
     return join_side(
         ratings.select("userId", "movieId", "rating"),
         neighbors,
         "userId",
-        ["movieId"],
+        "movieId",
         broadcast_neighbors,
-        spread,
+        share_rows,
     )
 
 
@@ -46,21 +46,26 @@ def unseen_items(
     seen: DataFrame,
     broadcast_neighbors: bool = False,
     broadcast_seen: bool = False,
-    spread: int = SPREAD,
+    share_rows: int = SHARE_ROWS,
 ) -> DataFrame:
     """Items that some neighbour of the target rated and the target did not."""
     rated = _neighbor_ratings(
-        ratings, neighbors.select("targetId", "userId"), broadcast_neighbors, spread
+        ratings, neighbors.select("targetId", "userId"), broadcast_neighbors, share_rows
     )
     return _unseen(rated.select(*ITEM).distinct(), seen, broadcast_seen)
 
 
 def _with_means(
-    neighbors: DataFrame, averages: DataFrame, broadcast_neighbors: bool
+    neighbors: DataFrame, averages: DataFrame, means: DataFrame, broadcast_neighbors: bool
 ) -> DataFrame:
-    means = averages.select("userId", F.col("avg_rating").alias("user_mean"))
-    wanted = neighbors.select("targetId", "userId", "similarity")
-    return means.join(F.broadcast(wanted) if broadcast_neighbors else wanted, "userId")
+    """Neighbours with their own mean and their target's.
+
+    Both are joined to the neighbours, a few rows per target, and not to ratings
+    or predictions, all of which may belong to one target.
+    """
+    wanted = neighbors.select("targetId", "userId", "similarity").join(means, "targetId")
+    own = averages.select("userId", F.col("avg_rating").alias("user_mean"))
+    return own.join(F.broadcast(wanted) if broadcast_neighbors else wanted, "userId")
 
 
 def _predicted(mean: Column, weighted: Column, weights: Column, value_range, digits) -> Column:
@@ -79,7 +84,7 @@ def predict_ratings(
     drop_undefined: bool = False,
     broadcast_neighbors: bool = False,
     broadcast_seen: bool = False,
-    spread: int = SPREAD,
+    share_rows: int = SHARE_ROWS,
 ) -> DataFrame:
     """Predicted rating per target and unseen item.
 
@@ -92,9 +97,9 @@ def predict_ratings(
     sums = (
         _neighbor_ratings(
             ratings,
-            _with_means(neighbors, averages, broadcast_neighbors),
+            _with_means(neighbors, averages, means, broadcast_neighbors),
             broadcast_neighbors,
-            spread,
+            share_rows,
         )
         .groupBy(*ITEM)
         .agg(
@@ -102,19 +107,16 @@ def predict_ratings(
             F.sum(F.abs("similarity")).alias("weights"),
             F.count(F.lit(1)).alias("num_raters"),
             F.avg("similarity").alias("mean_similarity"),
+            F.max("target_mean").alias("target_mean"),
         )
     )
-    predicted = (
-        _unseen(sums, seen, broadcast_seen)
-        .join(means, "targetId")
-        .select(
-            *ITEM,
-            _predicted(
-                F.col("target_mean"), F.col("weighted"), F.col("weights"), value_range, digits
-            ).alias("predicted_rating"),
-            "num_raters",
-            round_half_up(F.col("mean_similarity"), 4).alias("avg_similarity"),
-        )
+    predicted = _unseen(sums, seen, broadcast_seen).select(
+        *ITEM,
+        _predicted(
+            F.col("target_mean"), F.col("weighted"), F.col("weights"), value_range, digits
+        ).alias("predicted_rating"),
+        "num_raters",
+        round_half_up(F.col("mean_similarity"), 4).alias("avg_similarity"),
     )
     return predicted.filter(F.col("predicted_rating").isNotNull()) if drop_undefined else predicted
 
@@ -131,7 +133,7 @@ def profile_predictions(
     value_range: tuple[float, float] = RATING_RANGE,
     broadcast_neighbors: bool = False,
     broadcast_seen: bool = False,
-    spread: int = SPREAD,
+    share_rows: int = SHARE_ROWS,
 ) -> DataFrame:
     """Predictions with the neighbours that moved each one most.
 
@@ -147,9 +149,9 @@ def profile_predictions(
     ).drop("_place")
     rated = _neighbor_ratings(
         ratings,
-        _with_means(nearest, averages, broadcast_neighbors),
+        _with_means(nearest, averages, means, broadcast_neighbors),
         broadcast_neighbors,
-        spread,
+        share_rows,
     ).withColumn("contribution", F.col("similarity") * (F.col("rating") - F.col("user_mean")))
     contributor = F.struct(
         # Ordered as a struct: largest effect first, then the lower user id. The
@@ -166,10 +168,10 @@ def profile_predictions(
         F.sum(F.abs("similarity")).alias("weights"),
         F.count(F.lit(1)).alias("num_contributors"),
         F.sort_array(F.collect_list(contributor)).alias("all"),
+        F.max("target_mean").alias("target_mean"),
     )
     return (
         _unseen(sums, seen, broadcast_seen)
-        .join(means, "targetId")
         .select(
             *ITEM,
             _predicted(

@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from kinrate.config import DEFAULTS, DEFERRED_ITEMS, SPREAD, TILE_RATERS
+from kinrate.config import DEFAULTS, DEFERRED_ITEMS, SHARE_ROWS, TILE_RATERS
 from kinrate.functions.scores import pearson, round_half_up
 from kinrate.operators.joins import join_side, top_per
 
@@ -63,7 +63,7 @@ def co_ratings(
     ratings: DataFrame,
     profiles: DataFrame,
     broadcast_profiles: bool = False,
-    spread: int = SPREAD,
+    share_rows: int = SHARE_ROWS,
 ) -> DataFrame:
     """Every rating of another user for an item that a target rated too.
 
@@ -72,7 +72,7 @@ def co_ratings(
     """
     others = ratings.select("userId", "movieId", "rating")
     return join_side(
-        others, profiles, "movieId", ["userId"], broadcast_profiles, spread
+        others, profiles, "movieId", "userId", broadcast_profiles, share_rows
     ).filter(F.col("userId") != F.col("targetId"))
 
 
@@ -81,11 +81,11 @@ def co_rated_counts(
     profiles: DataFrame,
     min_common: int = DEFAULTS.min_common,
     broadcast_profiles: bool = False,
-    spread: int = SPREAD,
+    share_rows: int = SHARE_ROWS,
 ) -> DataFrame:
     """How many items each other user shares with each target."""
     return (
-        co_ratings(ratings, profiles, broadcast_profiles, spread)
+        co_ratings(ratings, profiles, broadcast_profiles, share_rows)
         .groupBy(*PAIR)
         .agg(F.count(F.lit(1)).alias("common_movies"))
         .filter(F.col("common_movies") >= min_common)
@@ -149,11 +149,11 @@ def pearson_neighbors(
     round_similarity: int | None = DEFAULTS.similarity_digits,
     min_candidate_ratings: int | None = None,
     broadcast_profiles: bool = False,
-    spread: int = SPREAD,
+    share_rows: int = SHARE_ROWS,
 ) -> DataFrame:
     """Similarity of every target to every other user with enough shared items."""
     sums = (
-        co_ratings(ratings, profiles, broadcast_profiles, spread)
+        co_ratings(ratings, profiles, broadcast_profiles, share_rows)
         .groupBy(*PAIR)
         .agg(
             *_pair_sums(F.col("target_rating"), F.col("rating")),
@@ -172,7 +172,7 @@ def pearson_pooled(
     min_common: int = DEFAULTS.min_common,
     round_similarity: int | None = DEFAULTS.similarity_digits,
     broadcast_items: bool = False,
-    spread: int = SPREAD,
+    share_rows: int = SHARE_ROWS,
 ) -> DataFrame:
     """Similarity of every user to the pooled ratings of all users.
 
@@ -192,9 +192,9 @@ def pearson_pooled(
             ratings.select("userId", "movieId", "rating"),
             totals,
             "movieId",
-            ["userId"],
+            "userId",
             broadcast_items,
-            spread,
+            share_rows,
         )
         .groupBy("userId")
         .agg(
