@@ -35,8 +35,8 @@ def newest_per_pair(ratings: DataFrame, recency: Sequence[str] = ("timestamp",))
     order in which rows arrive. Each task keeps one row per pair before the
     shuffle, so a pair holding a third of all rows is no hot spot.
     """
-    order = [F.col(name).desc() for name in (*recency, "rating")]
-    return top_per(ratings, KEYS, order, 1, "_place").select(*KEYS, "rating")
+    newest = F.struct(*recency, "rating").desc()
+    return top_per(ratings, KEYS, [newest], 1, "_place").select(*KEYS, "rating")
 
 
 def clean_ratings(

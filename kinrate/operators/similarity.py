@@ -19,6 +19,8 @@ half-step ratings are exact whatever the order in which tasks deliver them.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kinrate.config import DEFAULTS, DEFERRED_ITEMS, SHARE_ROWS, TILE_RATERS
@@ -26,6 +28,7 @@ from kinrate.functions.scores import pearson, round_half_up
 from kinrate.operators.joins import join_side, top_per
 
 PAIR = ("targetId", "userId")
+Keep = Callable[[DataFrame, str], DataFrame]
 
 # A centred sum of squares this small against the raw one is rounding noise: a
 # mean kept to three digits leaves a share of at least 1e-8 unless it is zero.
@@ -228,54 +231,49 @@ def large_items(ratings: DataFrame, tile_raters: int = TILE_RATERS) -> DataFrame
     )
 
 
-def _tiled_pairs(rows: DataFrame, tiles: Column | None) -> DataFrame:
-    """Unordered user pairs per item, as ``a, b, rating_a, rating_b`` with a < b.
+def _meet(rows: DataFrame, tiles: Column | None, extra: tuple[str, ...] = ()) -> DataFrame:
+    """All user pairs per item, ``u < v``, with the columns of both sides.
 
-    The raters of an item are dealt to ``tiles`` parts. A part meets itself and
-    every later part, each meeting under its own join key, so no task holds more
-    than two parts of any item.
+    With ``tiles`` the raters of an item are dealt to that many parts. A part
+    meets itself and every later part, each meeting under its own join key, so no
+    task holds more than two parts of any item.
     """
+    columns = ("userId", "rating", *extra)
     if tiles is None:
-        left = rows.select("movieId", F.col("userId").alias("u"), F.col("rating").alias("r_u"))
-        right = rows.select("movieId", F.col("userId").alias("v"), F.col("rating").alias("r_v"))
-        met = left.join(right, "movieId").filter("u < v")
-        return met.select(
-            F.col("u").alias("a"),
-            F.col("v").alias("b"),
-            F.col("r_u").alias("rating_a"),
-            F.col("r_v").alias("rating_b"),
+        first, second = rows, rows
+        on = ["movieId"]
+    else:
+        dealt = rows.withColumn("_tiles", tiles).withColumn(
+            "_part", F.pmod(F.xxhash64("userId"), F.col("_tiles")).cast("int")
         )
-    dealt = rows.withColumn("_tiles", tiles).withColumn(
-        "_part", F.pmod(F.xxhash64("userId"), F.col("_tiles")).cast("int")
-    )
-    left = dealt.select(
-        "movieId",
-        F.col("_part").alias("_first"),
-        F.explode(F.sequence(F.col("_part"), F.col("_tiles") - 1)).alias("_second"),
-        F.col("userId").alias("u"),
-        F.col("rating").alias("r_u"),
-    )
-    right = dealt.select(
-        "movieId",
-        F.explode(F.sequence(F.lit(0), F.col("_part"))).alias("_first"),
-        F.col("_part").alias("_second"),
-        F.col("userId").alias("v"),
-        F.col("rating").alias("r_v"),
-    )
-    met = left.join(right, ["movieId", "_first", "_second"]).filter(
-        (F.col("_first") < F.col("_second")) | (F.col("u") < F.col("v"))
+        part, last = F.col("_part"), F.col("_tiles") - 1
+        first = dealt.withColumn("_first", part).withColumn(
+            "_second", F.explode(F.sequence(part, last))
+        )
+        second = dealt.withColumn("_second", part).withColumn(
+            "_first", F.explode(F.sequence(F.lit(0), part))
+        )
+        on = ["movieId", "_first", "_second"]
+    met = first.select(*on, *[F.col(c).alias(f"{c}_1") for c in columns]).join(
+        second.select(*on, *[F.col(c).alias(f"{c}_2") for c in columns]), on
     )
-    ordered = F.col("u") < F.col("v")
+    in_order = F.col("userId_1") < F.col("userId_2")
+    if tiles is None:
+        met = met.filter(in_order)
+        in_order = F.lit(True)
+    else:
+        met = met.filter((F.col("_first") < F.col("_second")) | in_order)
     return met.select(
-        F.least("u", "v").alias("a"),
-        F.greatest("u", "v").alias("b"),
-        F.when(ordered, F.col("r_u")).otherwise(F.col("r_v")).alias("rating_a"),
-        F.when(ordered, F.col("r_v")).otherwise(F.col("r_u")).alias("rating_b"),
+        *[
+            F.when(in_order, F.col(f"{c}_{near}")).otherwise(F.col(f"{c}_{far}")).alias(name + c)
+            for name, near, far in (("u_", 1, 2), ("v_", 2, 1))
+            for c in columns
+        ]
     )
 
 
-def _hot_vectors(ratings: DataFrame, hot: DataFrame, deferred: int) -> DataFrame:
-    """Per user the ratings of hot items, the ``deferred`` most-rated ones marked.
+def _hot_vectors(ratings: DataFrame, hot: DataFrame, defer: int) -> DataFrame:
+    """Per user the ratings of hot items, the ``defer`` most-rated ones marked.
 
     ``hot`` has at most a fixed number of items, which bounds each array.
     """
@@ -296,24 +294,38 @@ def _hot_vectors(ratings: DataFrame, hot: DataFrame, deferred: int) -> DataFrame
             lambda x, i: F.struct(
                 x["movieId"].alias("movieId"),
                 x["rating"].alias("rating"),
-                (i < deferred).alias("deferred"),
+                (i < defer).alias("deferred"),
             ),
         ).alias("hot"),
     )
 
 
+def _undeferred(rows: DataFrame, vectors: DataFrame) -> DataFrame:
+    """Ratings that generate pairs, with the number of their user's other ones."""
+    ids = F.transform(F.filter("hot", lambda x: x["deferred"]), lambda x: x["movieId"])
+    marks = vectors.select("userId", ids.alias("_deferred"))
+    none = F.array().cast("array<int>")
+    return (
+        rows.join(marks, "userId", "left")
+        .withColumn("_deferred", F.coalesce("_deferred", none))
+        .filter(~F.array_contains("_deferred", F.col("movieId")))
+        .withColumn("deferred", F.size("_deferred"))
+        .drop("_deferred")
+    )
+
+
 def _add_deferred(sums: DataFrame, vectors: DataFrame) -> DataFrame:
     """Add to each pair the shared items that either user had deferred."""
     both = sums.join(
-        vectors.select(F.col("userId").alias("a"), F.col("hot").alias("hot_a")), "a", "left"
-    ).join(vectors.select(F.col("userId").alias("b"), F.col("hot").alias("hot_b")), "b", "left")
+        vectors.select(F.col("userId").alias("u"), F.col("hot").alias("hot_u")), "u", "left"
+    ).join(vectors.select(F.col("userId").alias("v"), F.col("hot").alias("hot_v")), "v", "left")
     empty = F.array().cast("array<struct<x:double,y:double>>")
     shared = F.flatten(
         F.transform(
-            "hot_a",
+            "hot_u",
             lambda x: F.transform(
                 F.filter(
-                    "hot_b",
+                    "hot_v",
                     lambda y: (x["movieId"] == y["movieId"]) & (x["deferred"] | y["deferred"]),
                 ),
                 lambda y: F.struct(x["rating"].alias("x"), y["rating"].alias("y")),
@@ -326,8 +338,8 @@ def _add_deferred(sums: DataFrame, vectors: DataFrame) -> DataFrame:
         return F.aggregate("_late", F.lit(0.0), lambda acc, s: acc + value(s))
 
     return both.select(
-        "a",
-        "b",
+        "u",
+        "v",
         (F.col("n") + F.size("_late")).alias("n"),
         (F.col("p") + total(lambda s: s["x"] * s["y"])).alias("p"),
         (F.col("s_u") + total(lambda s: s["x"])).alias("s_u"),
@@ -337,6 +349,37 @@ def _add_deferred(sums: DataFrame, vectors: DataFrame) -> DataFrame:
     )
 
 
+def _pairs_with_large_items(
+    rows: DataFrame,
+    large: DataFrame,
+    min_common: int,
+    tile_raters: int,
+    deferred_items: int,
+    keep: Keep,
+) -> DataFrame:
+    parts = F.ceil(F.coalesce(F.col("raters"), F.lit(1)) / float(tile_raters))
+    tiles = F.greatest(F.lit(1), parts).cast("int")
+    keys = F.col("u_userId").alias("u"), F.col("v_userId").alias("v")
+    sums = _pair_sums(F.col("u_rating"), F.col("v_rating"))
+    if min_common < 2:
+        return _meet(rows.join(large, "movieId", "left"), tiles).groupBy(*keys).agg(*sums)
+    hot = large.orderBy(F.col("raters").desc(), "movieId").limit(deferred_items)
+    vectors = keep(_hot_vectors(rows, hot, min_common - 1), "hot_vectors")
+    remaining = keep(_undeferred(rows, vectors).join(large, "movieId", "left"), "undeferred")
+    # What a pair shares among deferred items are the most-rated of its common
+    # items, all deferred by the same one of the two: no more than that user has.
+    reachable = F.col("n") + F.greatest("_late_u", "_late_v") >= min_common
+    met = (
+        _meet(remaining, tiles, ("deferred",))
+        .groupBy(*keys)
+        .agg(
+            *sums, F.max("u_deferred").alias("_late_u"), F.max("v_deferred").alias("_late_v")
+        )
+        .filter(reachable)
+    )
+    return _add_deferred(met, vectors)
+
+
 def all_pairs_similarity(
     ratings: DataFrame,
     averages: DataFrame,
@@ -346,6 +389,7 @@ def all_pairs_similarity(
     round_similarity: int | None = DEFAULTS.similarity_digits,
     tile_raters: int = TILE_RATERS,
     deferred_items: int = DEFERRED_ITEMS,
+    keep: Keep = lambda df, name: df,
 ) -> DataFrame:
     """Similarity of all user pairs with enough shared items: ``userA < userB``.
 
@@ -358,41 +402,27 @@ def all_pairs_similarity(
       undeferred ratings only and none is lost. What a pair shares among its
       deferred items is added from bounded per-user arrays afterwards.
     - The raters of what large items remain are paired tile by tile.
+
+    ``keep`` may store the two tables that are read more than once.
     """
     rows = ratings.select("userId", "movieId", "rating")
-    tiles = None
-    vectors = None
-    if large is not None:
-        deferred = min_common - 1
-        if deferred > 0:
-            hot = large.orderBy(F.col("raters").desc(), "movieId").limit(deferred_items)
-            vectors = _hot_vectors(rows, hot, deferred)
-            set_aside = vectors.select("userId", F.explode("hot").alias("_x")).select(
-                "userId", "_x.movieId", "_x.deferred"
-            )
-            rows = rows.join(
-                set_aside.filter("deferred").select("userId", "movieId"),
-                ["userId", "movieId"],
-                "left_anti",
-            )
-        rows = rows.join(large, "movieId", "left")
-        tiles = F.greatest(
-            F.lit(1), F.ceil(F.coalesce(F.col("raters"), F.lit(1)) / F.lit(float(tile_raters)))
-        ).cast("int")
-    sums = (
-        _tiled_pairs(rows, tiles)
-        .groupBy("a", "b")
-        .agg(*_pair_sums(F.col("rating_a"), F.col("rating_b")))
-    )
-    if vectors is not None:
-        sums = _add_deferred(sums, vectors)
+    if large is None:
+        sums = (
+            _meet(rows, None)
+            .groupBy(F.col("u_userId").alias("u"), F.col("v_userId").alias("v"))
+            .agg(*_pair_sums(F.col("u_rating"), F.col("v_rating")))
+        )
+    else:
+        sums = _pairs_with_large_items(
+            rows, large, min_common, tile_raters, deferred_items, keep
+        )
     means = averages.select("userId", "avg_rating")
     complete = (
         sums.filter(F.col("n") >= min_common)
-        .join(means.select(F.col("userId").alias("a"), F.col("avg_rating").alias("m_u")), "a")
-        .join(means.select(F.col("userId").alias("b"), F.col("avg_rating").alias("m_v")), "b")
+        .join(means.select(F.col("userId").alias("u"), F.col("avg_rating").alias("m_u")), "u")
+        .join(means.select(F.col("userId").alias("v"), F.col("avg_rating").alias("m_v")), "v")
     )
-    named = complete.withColumnsRenamed({"a": "userA", "b": "userB"})
+    named = complete.withColumnsRenamed({"u": "userA", "v": "userB"})
     return _scored(named, ("userA", "userB"), on_zero_variance, round_similarity)
 
 

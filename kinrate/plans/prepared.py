@@ -166,5 +166,6 @@ def similarity_matrix(prepared: Prepared, min_common: int = DEFAULTS.min_common,
         prepared.averages,
         None if large.isEmpty() else large,
         min_common,
+        keep=stage,
         **options,
     )
