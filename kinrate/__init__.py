@@ -1,5 +1,35 @@
 """User-based collaborative filtering on Spark DataFrames."""
 
-from kinrate.config import Defaults
+from kinrate.config import DEFAULTS, Defaults
+from kinrate.plans.batch import run_batch
+from kinrate.plans.prepared import (
+    Prepared,
+    Targets,
+    find_similar_users,
+    load_targets,
+    pooled_similarities,
+    prepare,
+    recommend,
+    similarity_matrix,
+)
+from kinrate.plans.profiles import NewUsers
+from kinrate.sources.files import read_items, read_ratings, read_table, write_table
 
-__all__ = ["Defaults"]
+__all__ = [
+    "DEFAULTS",
+    "Defaults",
+    "NewUsers",
+    "Prepared",
+    "Targets",
+    "find_similar_users",
+    "load_targets",
+    "pooled_similarities",
+    "prepare",
+    "read_items",
+    "read_ratings",
+    "read_table",
+    "recommend",
+    "run_batch",
+    "similarity_matrix",
+    "write_table",
+]

@@ -453,6 +453,17 @@ GROUP BY userId""",
        count(*) AS num_ratings, {RATING_TYPE.format("avg(target_rating)")} AS rating_type
 FROM profiles""",
     ),
+    "profile_favorites": _sql(
+        (*WITH_NEW_USER, ITEMS),
+        "SELECT f.*, coalesce(i.title, concat('Movie ', f.movieId)) AS title, i.genres FROM ("
+        + _top(
+            "SELECT targetId, movieId, target_rating AS rating FROM profiles",
+            "targetId",
+            "rating DESC, movieId",
+            5,
+        )
+        + ") AS f LEFT JOIN items i ON i.movieId = f.movieId",
+    ),
     "profile_neighbors": _sql(
         WITH_NEW_SIMS,
         f"""SELECT targetId, userId, {_round("similarity", 6)} AS similarity, common_movies,

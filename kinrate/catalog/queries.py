@@ -18,9 +18,11 @@ from kinrate.plans.batch import FINAL_RECOMMENDATIONS, run_batch
 from kinrate.plans.prepared import (
     Prepared,
     Targets,
+    find_similar_users,
     load_targets,
     pooled_similarities,
     prepare,
+    recommend,
     similarity_matrix,
 )
 from kinrate.plans.profiles import NewUsers
@@ -79,9 +81,8 @@ def _predictions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _recommendations(spark: SparkSession, folder: str, **options) -> DataFrame:
-    return recommendation.top_n(
-        _predictions(spark, folder), orders.items(spark, folder), **options
-    )
+    base = _prepared(spark, folder)
+    return recommend(base, _target_ids(spark, base), orders.items(spark, folder), **options)
 
 
 def _new_user(spark: SparkSession, folder: str) -> NewUsers:
@@ -191,6 +192,11 @@ def pearson_pooled(spark: SparkSession, folder: str) -> DataFrame:
     return pooled_similarities(base, _target_ids(spark, base))
 
 
+def top_k_neighbors_above(spark: SparkSession, folder: str) -> DataFrame:
+    base = _prepared(spark, folder)
+    return find_similar_users(base, _target_ids(spark, base), min_similarity=0.0)
+
+
 def similarity_stats(spark: SparkSession, folder: str) -> DataFrame:
     return stats.column_summary(
         _similarities(spark, folder), "similarity", by=["targetId"], digits=6
@@ -270,6 +276,10 @@ def profile_summary(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def profile_favorites(spark: SparkSession, folder: str) -> DataFrame:
+    return _new_user(spark, folder).favorites(orders.items(spark, folder))
+
+
 def profile_neighbors(spark: SparkSession, folder: str) -> DataFrame:
     return (
         _new_user(spark, folder)
@@ -394,9 +404,7 @@ QUERIES: dict[str, Query] = {
     "similarity_extremes": lambda s, d: similarity.similarity_extremes(_similarities(s, d)),
     "similarity_band_distribution": similarity_band_distribution,
     "top_k_neighbors": lambda s, d: similarity.top_k_neighbors(_similarities(s, d)),
-    "top_k_neighbors_above": lambda s, d: similarity.top_k_neighbors(
-        _similarities(s, d), min_similarity=0.0
-    ),
+    "top_k_neighbors_above": top_k_neighbors_above,
     "unseen_items": unseen_items,
     "predicted_ratings": _predictions,
     "prediction_stats": prediction_stats,
@@ -414,6 +422,7 @@ QUERIES: dict[str, Query] = {
     "popular_items": popular_items,
     "cold_start_fallback": cold_start_fallback,
     "profile_summary": profile_summary,
+    "profile_favorites": profile_favorites,
     "profile_neighbors": profile_neighbors,
     "profile_predictions": profile_predictions,
     "explain_predictions": explain_predictions,

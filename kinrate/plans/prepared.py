@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from kinrate.config import BROADCAST_ROWS, DEFAULTS
 from kinrate.operators.cleaning import VALID_RANGE, clean_ratings
 from kinrate.operators.prediction import predict_ratings, profile_predictions, unseen_items
+from kinrate.operators.recommendation import top_n
 from kinrate.operators.similarity import (
     all_pairs_similarity,
     co_rated_counts,
@@ -18,6 +19,7 @@ from kinrate.operators.similarity import (
     pearson_pooled,
     target_means,
     target_profiles,
+    top_k_neighbors,
 )
 from kinrate.operators.stats import user_averages
 from kinrate.plans.storage import few_rows, stage
@@ -55,8 +57,17 @@ class Targets:
     def seen(self) -> DataFrame:
         return self.profiles.select("targetId", "movieId")
 
+    @property
+    def few(self) -> bool:
+        """Whether the targets themselves are few enough to be broadcast."""
+        return self.count <= BROADCAST_ROWS
+
     def few_neighbors(self, k: int | None) -> bool:
-        """Whether k neighbours per target are few enough to be broadcast."""
+        """Whether k neighbours per target are few enough to be broadcast.
+
+        Methods that take ``k`` with neighbours rely on there being no more; None
+        stands for any number.
+        """
         return k is not None and self.count * k <= BROADCAST_ROWS
 
     def co_rated_counts(self, min_common: int = DEFAULTS.min_common) -> DataFrame:
@@ -121,16 +132,23 @@ def load_targets(prepared: Prepared, targets: DataFrame) -> Targets:
     return Targets(prepared, profiles, means, count, few_rows(profiles))
 
 
-def load_profiles(prepared: Prepared, profiles: DataFrame) -> Targets:
+def load_profiles(
+    prepared: Prepared, profiles: DataFrame, min_size: int = DEFAULTS.min_profile_size
+) -> Targets:
     """New-user profiles ``profileId, movieId, rating`` as targets.
 
-    A rating of 0 means not rated. Means are those of the profile, unrounded.
+    A rating of 0 means not rated. Profiles of fewer than ``min_size`` ratings are
+    left out. Means are those of the profile, unrounded.
     """
     rated = profiles.filter(F.col("rating") > 0)
     means = stage(
-        rated.groupBy(F.col("profileId").alias("targetId")).agg(
-            F.avg(F.col("rating").cast("double")).alias("target_mean")
-        ),
+        rated.groupBy(F.col("profileId").alias("targetId"))
+        .agg(
+            F.avg(F.col("rating").cast("double")).alias("target_mean"),
+            F.count(F.lit(1)).alias("size"),
+        )
+        .filter(F.col("size") >= min_size)
+        .drop("size"),
         "profile_means",
     )
     rows = stage(
@@ -144,6 +162,41 @@ def load_profiles(prepared: Prepared, profiles: DataFrame) -> Targets:
     return Targets(prepared, rows, means, means.count(), few_rows(rows))
 
 
+def _as_targets(prepared: Prepared, users: DataFrame | Sequence[int]) -> DataFrame:
+    if isinstance(users, DataFrame):
+        return users
+    spark = prepared.ratings.sparkSession
+    return spark.createDataFrame([(int(u),) for u in users], "targetId int").distinct()
+
+
+def find_similar_users(
+    prepared: Prepared,
+    users: DataFrame | Sequence[int],
+    k: int = DEFAULTS.neighbors,
+    min_common: int = DEFAULTS.min_common,
+    min_similarity: float | None = None,
+) -> DataFrame:
+    """The ``k`` most similar users of each given user."""
+    targets = load_targets(prepared, _as_targets(prepared, users))
+    return top_k_neighbors(targets.similarities(min_common=min_common), k, min_similarity)
+
+
+def recommend(
+    prepared: Prepared,
+    users: DataFrame | Sequence[int],
+    items: DataFrame | None = None,
+    k: int = DEFAULTS.neighbors,
+    n: int = DEFAULTS.recommendations,
+    min_common: int = DEFAULTS.min_common,
+    min_similarity: float | None = None,
+    min_prediction: float | None = None,
+) -> DataFrame:
+    """The ``n`` best unseen items of each given user, in one plan."""
+    targets = load_targets(prepared, _as_targets(prepared, users))
+    nearest = top_k_neighbors(targets.similarities(min_common=min_common), k, min_similarity)
+    return top_n(targets.predictions(nearest, k), items, n, min_prediction)
+
+
 def pooled_similarities(
     prepared: Prepared, targets: DataFrame, min_common: int = DEFAULTS.min_common
 ) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from kinrate.config import DEFAULTS
 from kinrate.functions.labels import rating_type
-from kinrate.operators.recommendation import top_n
+from kinrate.operators.joins import top_per
+from kinrate.operators.recommendation import top_n, with_items
 from kinrate.operators.similarity import top_k_neighbors
 from kinrate.plans.prepared import Prepared, Targets, load_profiles
 
@@ -20,8 +21,22 @@ class NewUsers:
     targets: Targets
 
     @classmethod
-    def load(cls, prepared: Prepared, profiles: DataFrame) -> NewUsers:
-        return cls(load_profiles(prepared, profiles))
+    def load(
+        cls,
+        prepared: Prepared,
+        profiles: DataFrame,
+        min_size: int = DEFAULTS.min_profile_size,
+    ) -> NewUsers:
+        """Profiles ``profileId, movieId, rating`` of at least ``min_size`` ratings."""
+        return cls(load_profiles(prepared, profiles, min_size))
+
+    def favorites(self, items: DataFrame | None = None, n: int = 5) -> DataFrame:
+        """Each new user's ``n`` highest own ratings, with titles."""
+        own = self.targets.profiles.select(
+            "targetId", "movieId", F.col("target_rating").alias("rating")
+        )
+        order = [F.col("rating").desc(), F.col("movieId")]
+        return with_items(top_per(own, ["targetId"], order, n), items, title_fallback=True)
 
     def neighbors(
         self,
@@ -42,10 +57,12 @@ class NewUsers:
         )
         nearest = top_k_neighbors(scored, k, min_similarity=0.0)
         averages = self.targets.prepared.averages
-        few = self.targets.few_neighbors(k)
+        means = self.targets.means
         return (
-            averages.join(F.broadcast(nearest) if few else nearest, "userId")
-            .join(F.broadcast(self.targets.means) if few else self.targets.means, "targetId")
+            averages.join(
+                F.broadcast(nearest) if self.targets.few_neighbors(k) else nearest, "userId"
+            )
+            .join(F.broadcast(means) if self.targets.few else means, "targetId")
             .select(
                 "targetId",
                 "userId",

@@ -4,7 +4,13 @@ from pyspark.sql import functions as F
 from kinrate.operators import prediction, recommendation
 from kinrate.operators.similarity import top_k_neighbors
 from kinrate.operators.stats import user_averages
-from kinrate.plans.prepared import Prepared, load_profiles, load_targets
+from kinrate.plans.prepared import (
+    Prepared,
+    find_similar_users,
+    load_profiles,
+    load_targets,
+    recommend,
+)
 from kinrate.plans.profiles import NewUsers
 from tests import reference_math as plain
 
@@ -200,13 +206,26 @@ def test_new_user_equals_the_same_known_user(spark, ratings_of, targets_of):
     assert [r.movieId for r in top] == sorted(left, key=lambda i: (-left[i], i))[:3]
 
 
+def test_named_users_and_tables_of_users_agree(ratings_of, targets_of):
+    ratings = ratings_of(plain.random_users(4))
+    base = Prepared(ratings, user_averages(ratings))
+    by_id = recommend(base, [2, 2, 5], n=3).collect()
+    assert sorted(map(tuple, by_id)) == sorted(
+        map(tuple, recommend(base, targets_of(2, 5), n=3).collect())
+    )
+    assert {r.targetId for r in by_id} == {2, 5}
+    near = find_similar_users(base, [2], k=4, min_similarity=0.0).collect()
+    assert 0 < len(near) <= 4 and all(r.similarity > 0 for r in near)
+
+
 def test_profile_mean_is_not_rounded_and_zero_means_unrated(spark, ratings_of):
     base = Prepared(ratings_of({1: {1: 4}}), user_averages(ratings_of({1: {1: 4}})))
     profile = spark.createDataFrame(
         [(-1, 1, 4.0), (-1, 2, 4.0), (-1, 3, 3.0), (-1, 4, 0.0)],
         "profileId int, movieId int, rating double",
     )
-    loaded = load_profiles(base, profile)
+    assert load_profiles(base, profile).count == 0  # three ratings are too few
+    loaded = load_profiles(base, profile, min_size=3)
     assert loaded.means.first().target_mean == 11 / 3
     assert loaded.seen.count() == 3
     summary = recommendation.profile_summary(profile.filter("rating > 0")).first()
