@@ -6,6 +6,7 @@ from kinrate.plans.prepared import (
     Prepared,
     Targets,
     find_similar_users,
+    load_prepared,
     load_targets,
     pooled_similarities,
     prepare,
@@ -22,6 +23,7 @@ __all__ = [
     "Prepared",
     "Targets",
     "find_similar_users",
+    "load_prepared",
     "load_targets",
     "pooled_similarities",
     "prepare",

@@ -19,14 +19,16 @@ from kinrate.plans.prepared import (
     Prepared,
     Targets,
     find_similar_users,
+    load_prepared,
     load_targets,
     pooled_similarities,
     prepare,
     recommend,
     similarity_matrix,
+    user_ids,
 )
 from kinrate.plans.profiles import NewUsers
-from kinrate.plans.storage import new_path, stage
+from kinrate.plans.storage import new_path, shared_dir, stage
 from kinrate.sources import files, orders
 
 NEW_USER = -1
@@ -40,16 +42,36 @@ def _raw(spark: SparkSession, folder: str) -> DataFrame:
     return orders.raw_ratings(spark, folder)
 
 
-def _clean(spark: SparkSession, folder: str) -> DataFrame:
-    return cleaning.clean_ratings(_raw(spark, folder), recency=orders.RECENCY)
+# Where this application has stored the cleaned ratings of which files.
+_STORED: dict[tuple, str] = {}
 
 
-def _averages(spark: SparkSession, folder: str) -> DataFrame:
-    return stats.user_averages(_clean(spark, folder))
+def prepared(spark: SparkSession, folder: str) -> Prepared:
+    """Cleaned ratings and means, stored once for all queries of an application.
+
+    They are used again only while the source files are the same by name, size
+    and time, and while what was stored is still there.
+    """
+    key = (
+        spark.sparkContext.applicationId,
+        shared_dir(spark),
+        folder,
+        orders.fingerprint(spark, folder),
+    )
+    stored = load_prepared(spark, _STORED[key]) if key in _STORED else None
+    if stored is None:
+        place = new_path(spark, "prepared")
+        stored = prepare(_raw(spark, folder), orders.RECENCY, folder=place)
+        _STORED[key] = place
+    return stored
 
 
-def _prepared(spark: SparkSession, folder: str) -> Prepared:
-    return prepare(_raw(spark, folder), orders.RECENCY)
+def _clean(spark: SparkSession, folder: str) -> DataFrame:
+    return prepared(spark, folder).ratings
+
+
+def _averages(spark: SparkSession, folder: str) -> DataFrame:
+    return prepared(spark, folder).averages
 
 
 def _most_active(base: Prepared) -> DataFrame:
@@ -61,12 +83,11 @@ def _most_active(base: Prepared) -> DataFrame:
 
 
 def _target_ids(spark: SparkSession, base: Prepared) -> DataFrame:
-    named = spark.createDataFrame([(DEFAULTS.target_user,)], "targetId int")
-    return named.union(_most_active(base)).distinct()
+    return user_ids(spark, [DEFAULTS.target_user]).union(_most_active(base)).distinct()
 
 
 def _targets(spark: SparkSession, folder: str) -> Targets:
-    base = _prepared(spark, folder)
+    base = prepared(spark, folder)
     return load_targets(base, _target_ids(spark, base))
 
 
@@ -81,12 +102,12 @@ def _predictions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _recommendations(spark: SparkSession, folder: str, **options) -> DataFrame:
-    base = _prepared(spark, folder)
+    base = prepared(spark, folder)
     return recommend(base, _target_ids(spark, base), orders.items(spark, folder), **options)
 
 
 def _new_user(spark: SparkSession, folder: str) -> NewUsers:
-    base = _prepared(spark, folder)
+    base = prepared(spark, folder)
     active = stage(_most_active(base), "most_active")
     profile = base.ratings.join(
         F.broadcast(active), base.ratings.userId == active.targetId
@@ -160,7 +181,7 @@ def cleaning_audit(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def matrix_sample(spark: SparkSession, folder: str) -> DataFrame:
-    ratings = _prepared(spark, folder).ratings
+    ratings = prepared(spark, folder).ratings
     lowest = ratings.select("movieId").distinct().orderBy("movieId").limit(10)
     return stats.matrix_sample(ratings, [row.movieId for row in lowest.collect()])
 
@@ -188,12 +209,12 @@ def target_ratings(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pearson_pooled(spark: SparkSession, folder: str) -> DataFrame:
-    base = _prepared(spark, folder)
+    base = prepared(spark, folder)
     return pooled_similarities(base, _target_ids(spark, base))
 
 
 def top_k_neighbors_above(spark: SparkSession, folder: str) -> DataFrame:
-    base = _prepared(spark, folder)
+    base = prepared(spark, folder)
     return find_similar_users(base, _target_ids(spark, base), min_similarity=0.0)
 
 
@@ -225,7 +246,7 @@ def prediction_stats(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def user_favorites(spark: SparkSession, folder: str) -> DataFrame:
-    base = _prepared(spark, folder)
+    base = prepared(spark, folder)
     ids = stage(_target_ids(spark, base), "targets")
     return recommendation.user_favorites(base.ratings, ids, orders.items(spark, folder))
 
@@ -237,7 +258,7 @@ def popular_items(spark: SparkSession, folder: str) -> DataFrame:
 
 def cold_start_fallback(spark: SparkSession, folder: str) -> DataFrame:
     """Popular items for the users too inactive to be neighbours, if they have none."""
-    base = _prepared(spark, folder)
+    base = prepared(spark, folder)
     inactive = base.averages.filter(
         F.col("num_ratings") < DEFAULTS.min_candidate_ratings
     ).select(F.col("userId").alias("targetId"))
@@ -256,7 +277,7 @@ def cold_start_fallback(spark: SparkSession, folder: str) -> DataFrame:
 
 def staged_recommendations(spark: SparkSession, folder: str) -> DataFrame:
     raw = _raw(spark, folder)
-    ids = stage(_target_ids(spark, _prepared(spark, folder)), "targets")
+    ids = stage(_target_ids(spark, prepared(spark, folder)), "targets")
     tables = run_batch(
         raw, ids, new_path(spark, "batch"), orders.items(spark, folder), orders.RECENCY
     )
@@ -320,7 +341,7 @@ def profile_confidence(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def user_profile(spark: SparkSession, folder: str) -> DataFrame:
-    base = _prepared(spark, folder)
+    base = prepared(spark, folder)
     return recommendation.user_profiles(
         base.ratings, base.averages, orders.items(spark, folder), title_fallback=True
     )
@@ -386,7 +407,7 @@ QUERIES: dict[str, Query] = {
     "rating_distribution": lambda s, d: stats.rating_distribution(_raw(s, d)),
     "matrix_info": lambda s, d: stats.matrix_info(_clean(s, d)),
     "matrix_sample": matrix_sample,
-    "user_averages": _averages,
+    "user_averages": lambda s, d: stats.user_averages(_clean(s, d)),
     "user_average_stats": user_average_stats,
     "top_bottom_users": lambda s, d: stats.top_bottom_users(_averages(s, d)),
     "eligible_users": lambda s, d: stats.eligible_users(_averages(s, d)),
@@ -399,7 +420,7 @@ QUERIES: dict[str, Query] = {
     ),
     "pearson_neighbors": _similarities,
     "pearson_pooled": pearson_pooled,
-    "all_pairs_similarity": lambda s, d: similarity_matrix(_prepared(s, d)),
+    "all_pairs_similarity": lambda s, d: similarity_matrix(prepared(s, d)),
     "similarity_stats": similarity_stats,
     "similarity_extremes": lambda s, d: similarity.similarity_extremes(_similarities(s, d)),
     "similarity_band_distribution": similarity_band_distribution,

@@ -34,10 +34,11 @@ DEFAULTS = Defaults()
 # A side is broadcast only after its rows were counted and found within this.
 BROADCAST_ROWS = 500_000
 
-# Rows of one join key that a single task takes on when no side is broadcast, and
-# how many of the most frequent keys are split further; the rest hold less each
-# than one in as many rows.
-SHARE_ROWS = 100_000
+# When no side is broadcast, a single task takes on this many rows of one join key
+# from the large side and from the other. The most frequent keys of each side are
+# dealt out accordingly; the rest hold less than one row each in as many.
+SHARE_ROWS = 50_000
+SIDE_ROWS = 2_000
 SPLIT_KEYS = 10_000
 
 # An item with more raters than this is paired tile by tile, and it may be

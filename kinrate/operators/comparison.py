@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from kinrate.config import DEFAULTS, SHARE_ROWS
+from kinrate.config import DEFAULTS, SHARE_ROWS, SIDE_ROWS
 from kinrate.functions.labels import RATING_TYPES, similarity_band
 from kinrate.functions.scores import percent, round_half_up
 from kinrate.operators.joins import join_side, top_per
@@ -28,9 +28,10 @@ def common_items(
     pairs: DataFrame | None = None,
     broadcast_left: bool = False,
     share_rows: int = SHARE_ROWS,
+    side_rows: int = SIDE_ROWS,
 ) -> DataFrame:
     """Items rated on both sides: ``rating1`` is the comparing user's."""
-    shared = co_ratings(ratings, left, broadcast_left, share_rows)
+    shared = co_ratings(ratings, left, broadcast_left, share_rows, side_rows)
     if pairs is not None:
         shared = shared.join(pairs.select(*PAIR), list(PAIR), "left_semi")
     return shared.select(
@@ -119,13 +120,15 @@ def loved_unseen(
     n: int = 10,
     broadcast_pairs: bool = False,
     share_rows: int = SHARE_ROWS,
+    side_rows: int = SIDE_ROWS,
 ) -> DataFrame:
     """What one side loved and the other has not rated, both ways, ``n`` each."""
     pairs = pairs.select(*PAIR)
     rated = ratings.select("userId", "movieId", "rating")
-    theirs = join_side(rated, pairs, "userId", "movieId", broadcast_pairs, share_rows)
+    how = broadcast_pairs, share_rows, side_rows
+    theirs = join_side(rated, pairs, "userId", "movieId", "targetId", *how)
     mine = left.select("targetId", "movieId", F.col("target_rating").alias("rating"))
-    mine_per_pair = join_side(mine, pairs, "targetId", "movieId", broadcast_pairs, share_rows)
+    mine_per_pair = join_side(mine, pairs, "targetId", "movieId", "userId", *how)
     parts = []
     for side, wanted, known in (
         ("theirs", theirs, mine.select("targetId", "movieId")),

@@ -6,18 +6,33 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from kinrate.config import SHARE_ROWS, SPLIT_KEYS
+from kinrate.config import SHARE_ROWS, SIDE_ROWS, SPLIT_KEYS
 
 
-def heavy_keys(df: DataFrame, key: str, share_rows: int = SHARE_ROWS) -> DataFrame:
-    """``key, _shares`` of the most frequent keys: at most ``SPLIT_KEYS`` rows."""
+def heavy_keys(df: DataFrame, key: str, rows: int, name: str) -> DataFrame:
+    """The most frequent keys and in how many parts of ``rows`` each should be dealt.
+
+    At most ``SPLIT_KEYS`` rows, which may always be broadcast.
+    """
     return (
         df.groupBy(key)
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > share_rows)
+        .filter(F.col("_rows") > rows)
         .orderBy(F.col("_rows").desc(), key)
         .limit(SPLIT_KEYS)
-        .select(key, F.ceil(F.col("_rows") / float(share_rows)).cast("int").alias("_shares"))
+        .select(key, F.ceil(F.col("_rows") / float(rows)).cast("int").alias(name))
+    )
+
+
+def _cells(df: DataFrame, on: str, counts, deal_by: str, deal: str, copy: str) -> DataFrame:
+    """Deal rows to parts ``_deal`` by a hash, and copy them to all parts ``_copy``."""
+    for count in counts:
+        df = df.join(F.broadcast(count), on, "left")
+    parts = {c: F.coalesce(F.col(f"{c}_parts"), F.lit(1)) for c in (deal, copy)}
+    return (
+        df.withColumn(deal, F.pmod(F.xxhash64(deal_by), parts[deal]).cast("int"))
+        .withColumn(copy, F.explode(F.sequence(F.lit(0), parts[copy] - 1)))
+        .drop(f"{deal}_parts", f"{copy}_parts")
     )
 
 
@@ -26,27 +41,28 @@ def join_side(
     side: DataFrame,
     on: str,
     share_by: str,
+    side_by: str,
     broadcast_side: bool = False,
     share_rows: int = SHARE_ROWS,
+    side_rows: int = SIDE_ROWS,
 ) -> DataFrame:
-    """Inner join on one key that a third of ``large`` may have in common.
+    """Inner join on one key that a third of the rows may have in common.
 
     With ``broadcast_side`` the caller states that it has checked the size of
     ``side``, and ``large`` stays where it is. Otherwise the rows of a heavy key
-    are dealt to as many tasks as they need, by a hash of ``share_by``, and only
-    the ``side`` rows of such keys are copied. Both ways give the same rows.
+    are dealt to parts on both sides, by hashes of ``share_by`` and ``side_by``, and
+    every pair of parts meets in a join key of its own. Only rows of heavy keys are
+    copied for this, and both ways give the same rows.
     """
     if broadcast_side:
         return large.join(F.broadcast(side), on)
-    heavy = F.broadcast(heavy_keys(large, on, share_rows))
-    shares = F.coalesce(F.col("_shares"), F.lit(1))
-    dealt = large.join(heavy, on, "left").withColumn(
-        "_share", F.pmod(F.xxhash64(share_by), shares).cast("int")
-    )
-    copied = side.join(heavy, on, "left").withColumn(
-        "_share", F.explode(F.sequence(F.lit(0), shares - 1))
+    counts = (
+        heavy_keys(large, on, share_rows, "_share_parts"),
+        heavy_keys(side, on, side_rows, "_side_parts"),
     )
-    return dealt.drop("_shares").join(copied.drop("_shares"), [on, "_share"]).drop("_share")
+    left = _cells(large, on, counts, share_by, "_share", "_side")
+    right = _cells(side, on, counts, side_by, "_side", "_share")
+    return left.join(right, [on, "_share", "_side"]).drop("_share", "_side")
 
 
 def top_per(

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from kinrate.config import DEFAULTS, SHARE_ROWS
+from kinrate.config import DEFAULTS, SHARE_ROWS, SIDE_ROWS
 from kinrate.functions.labels import confidence_band
 from kinrate.functions.scores import clamp, round_half_up
 from kinrate.operators.joins import join_side, top_per
@@ -28,15 +28,21 @@ def _unseen(candidates: DataFrame, seen: DataFrame, broadcast_seen: bool) -> Dat
 
 
 def _neighbor_ratings(
-    ratings: DataFrame, neighbors: DataFrame, broadcast_neighbors: bool, share_rows: int
+    ratings: DataFrame,
+    neighbors: DataFrame,
+    broadcast_neighbors: bool,
+    share_rows: int,
+    side_rows: int,
 ) -> DataFrame:
     return join_side(
         ratings.select("userId", "movieId", "rating"),
         neighbors,
         "userId",
         "movieId",
+        "targetId",
         broadcast_neighbors,
         share_rows,
+        side_rows,
     )
 
 
@@ -47,10 +53,15 @@ def unseen_items(
     broadcast_neighbors: bool = False,
     broadcast_seen: bool = False,
     share_rows: int = SHARE_ROWS,
+    side_rows: int = SIDE_ROWS,
 ) -> DataFrame:
     """Items that some neighbour of the target rated and the target did not."""
     rated = _neighbor_ratings(
-        ratings, neighbors.select("targetId", "userId"), broadcast_neighbors, share_rows
+        ratings,
+        neighbors.select("targetId", "userId"),
+        broadcast_neighbors,
+        share_rows,
+        side_rows,
     )
     return _unseen(rated.select(*ITEM).distinct(), seen, broadcast_seen)
 
@@ -85,6 +96,7 @@ def predict_ratings(
     broadcast_neighbors: bool = False,
     broadcast_seen: bool = False,
     share_rows: int = SHARE_ROWS,
+    side_rows: int = SIDE_ROWS,
 ) -> DataFrame:
     """Predicted rating per target and unseen item.
 
@@ -100,6 +112,7 @@ def predict_ratings(
             _with_means(neighbors, averages, means, broadcast_neighbors),
             broadcast_neighbors,
             share_rows,
+            side_rows,
         )
         .groupBy(*ITEM)
         .agg(
@@ -134,6 +147,7 @@ def profile_predictions(
     broadcast_neighbors: bool = False,
     broadcast_seen: bool = False,
     share_rows: int = SHARE_ROWS,
+    side_rows: int = SIDE_ROWS,
 ) -> DataFrame:
     """Predictions with the neighbours that moved each one most.
 
@@ -152,6 +166,7 @@ def profile_predictions(
         _with_means(nearest, averages, means, broadcast_neighbors),
         broadcast_neighbors,
         share_rows,
+        side_rows,
     ).withColumn("contribution", F.col("similarity") * (F.col("rating") - F.col("user_mean")))
     contributor = F.struct(
         # Ordered as a struct: largest effect first, then the lower user id. The

@@ -23,7 +23,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from kinrate.config import DEFAULTS, DEFERRED_ITEMS, SHARE_ROWS, TILE_RATERS
+from kinrate.config import DEFAULTS, DEFERRED_ITEMS, SHARE_ROWS, SIDE_ROWS, TILE_RATERS
 from kinrate.functions.scores import pearson, round_half_up
 from kinrate.operators.joins import join_side, top_per
 
@@ -67,6 +67,7 @@ def co_ratings(
     profiles: DataFrame,
     broadcast_profiles: bool = False,
     share_rows: int = SHARE_ROWS,
+    side_rows: int = SIDE_ROWS,
 ) -> DataFrame:
     """Every rating of another user for an item that a target rated too.
 
@@ -75,7 +76,14 @@ def co_ratings(
     """
     others = ratings.select("userId", "movieId", "rating")
     return join_side(
-        others, profiles, "movieId", "userId", broadcast_profiles, share_rows
+        others,
+        profiles,
+        "movieId",
+        "userId",
+        "targetId",
+        broadcast_profiles,
+        share_rows,
+        side_rows,
     ).filter(F.col("userId") != F.col("targetId"))
 
 
@@ -85,10 +93,11 @@ def co_rated_counts(
     min_common: int = DEFAULTS.min_common,
     broadcast_profiles: bool = False,
     share_rows: int = SHARE_ROWS,
+    side_rows: int = SIDE_ROWS,
 ) -> DataFrame:
     """How many items each other user shares with each target."""
     return (
-        co_ratings(ratings, profiles, broadcast_profiles, share_rows)
+        co_ratings(ratings, profiles, broadcast_profiles, share_rows, side_rows)
         .groupBy(*PAIR)
         .agg(F.count(F.lit(1)).alias("common_movies"))
         .filter(F.col("common_movies") >= min_common)
@@ -153,10 +162,11 @@ def pearson_neighbors(
     min_candidate_ratings: int | None = None,
     broadcast_profiles: bool = False,
     share_rows: int = SHARE_ROWS,
+    side_rows: int = SIDE_ROWS,
 ) -> DataFrame:
     """Similarity of every target to every other user with enough shared items."""
     sums = (
-        co_ratings(ratings, profiles, broadcast_profiles, share_rows)
+        co_ratings(ratings, profiles, broadcast_profiles, share_rows, side_rows)
         .groupBy(*PAIR)
         .agg(
             *_pair_sums(F.col("target_rating"), F.col("rating")),
@@ -175,14 +185,17 @@ def pearson_pooled(
     min_common: int = DEFAULTS.min_common,
     round_similarity: int | None = DEFAULTS.similarity_digits,
     broadcast_items: bool = False,
+    broadcast_targets: bool = False,
     share_rows: int = SHARE_ROWS,
+    side_rows: int = SIDE_ROWS,
 ) -> DataFrame:
     """Similarity of every user to the pooled ratings of all users.
 
     Here each rating of a user is paired with every rating of the same item, by
     whomever, and the target enters through its mean alone. ``common_movies`` is
     the number of such pairs. Item totals stand in for the pairs, so the work is
-    one row per rating; targets are few, since each yields a row for every user.
+    one row per rating. Scores are worked out per mean: three digits on the
+    rating scale leave a few thousand of them, whatever the number of targets.
     """
     rating = F.col("rating").cast("double")
     totals = ratings.groupBy("movieId").agg(
@@ -196,8 +209,10 @@ def pearson_pooled(
             totals,
             "movieId",
             "userId",
+            "movieId",
             broadcast_items,
             share_rows,
+            side_rows,
         )
         .groupBy("userId")
         .agg(
@@ -211,15 +226,20 @@ def pearson_pooled(
         .filter(F.col("n") >= min_common)
         .join(_other_means(averages), "userId")
     )
-    few = target_means(averages, targets).agg(
-        F.collect_list(F.struct("targetId", F.col("target_mean").alias("m_u")))
+    means = target_means(averages, targets).withColumnRenamed("target_mean", "m_u")
+    distinct_means = means.agg(F.collect_set("m_u")).scalar()
+    scored = _scored(
+        per_user.withColumn("m_u", F.explode(distinct_means)),
+        ("m_u", "userId"),
+        "zero",
+        round_similarity,
+    )
+    pairs = join_side(
+        scored, means, "m_u", "userId", "targetId", broadcast_targets, share_rows, side_rows
     )
-    pairs = (
-        per_user.withColumn("_target", F.explode(few.scalar()))
-        .select("*", "_target.*")
-        .filter(F.col("userId") != F.col("targetId"))
+    return pairs.filter(F.col("userId") != F.col("targetId")).select(
+        *PAIR, "similarity", "common_movies"
     )
-    return _scored(pairs, PAIR, "zero", round_similarity)
 
 
 def large_items(ratings: DataFrame, tile_raters: int = TILE_RATERS) -> DataFrame:

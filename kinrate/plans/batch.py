@@ -9,12 +9,10 @@ from pyspark.sql import DataFrame, functions as F
 from kinrate.config import DEFAULTS
 from kinrate.operators.recommendation import top_n
 from kinrate.operators.similarity import top_k_neighbors
-from kinrate.plans.prepared import load_targets, prepare
+from kinrate.plans.prepared import RATINGS_CLEAN, USER_AVERAGES, load_targets, prepare
 from kinrate.sources.files import read_table, write_table
 
 # Names of the result tables.
-RATINGS_CLEAN = "ratings_clean"
-USER_AVERAGES = "user_averages"
 SIMILARITY_SCORES = "similarity_scores"
 TOP_SIMILAR_USERS = "top_similar_users"
 PREDICTED_RATINGS = "predicted_ratings"
@@ -46,9 +44,13 @@ def run_batch(
         write_table(df, path, fmt)
         return read_table(spark, path, df.schema, fmt)
 
-    base = prepare(raw, recency)
-    ratings = store(base.ratings, RATINGS_CLEAN)
-    averages = store(base.averages, USER_AVERAGES)
+    if fmt == "parquet":
+        base = prepare(raw, recency, folder=folder)
+        ratings, averages = base.ratings, base.averages
+    else:
+        base = prepare(raw, recency)
+        ratings = store(base.ratings, RATINGS_CLEAN)
+        averages = store(base.averages, USER_AVERAGES)
     wanted = load_targets(base, targets)
     scores = store(wanted.similarities(min_common=min_common), SIMILARITY_SCORES)
     nearest = store(top_k_neighbors(scores, k, min_similarity), TOP_SIMILAR_USERS)

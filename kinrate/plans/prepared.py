@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kinrate.config import BROADCAST_ROWS, DEFAULTS
 from kinrate.operators.cleaning import VALID_RANGE, clean_ratings
@@ -22,7 +22,12 @@ from kinrate.operators.similarity import (
     top_k_neighbors,
 )
 from kinrate.operators.stats import user_averages
-from kinrate.plans.storage import few_rows, stage
+from kinrate.plans.storage import few_rows, new_path, stage
+from kinrate.sources.files import AVERAGES, read_table
+
+# Names of the stored tables.
+RATINGS_CLEAN = "ratings_clean"
+USER_AVERAGES = "user_averages"
 
 
 @dataclass(frozen=True)
@@ -37,10 +42,22 @@ def prepare(
     raw: DataFrame,
     recency: Sequence[str] = ("timestamp",),
     rating_range: tuple[float, float] | None = VALID_RANGE,
+    folder: str | None = None,
 ) -> Prepared:
-    """Clean once and store; everything else reads the stored tables."""
-    ratings = stage(clean_ratings(raw, rating_range, recency), "ratings_clean")
-    return Prepared(ratings, stage(user_averages(ratings), "user_averages"))
+    """Clean once and store; everything else reads the stored tables.
+
+    Without a ``folder`` they go to a new one in the shared folder.
+    """
+    folder = folder or new_path(raw.sparkSession, "prepared")
+    ratings = stage(clean_ratings(raw, rating_range, recency), RATINGS_CLEAN, folder)
+    return Prepared(ratings, stage(user_averages(ratings), USER_AVERAGES, folder))
+
+
+def load_prepared(spark: SparkSession, folder: str) -> Prepared | None:
+    """What :func:`prepare` has stored in ``folder``; None if it is not there."""
+    ratings = read_table(spark, f"{folder}/{RATINGS_CLEAN}")
+    averages = read_table(spark, f"{folder}/{USER_AVERAGES}", AVERAGES)
+    return None if ratings is None or averages is None else Prepared(ratings, averages)
 
 
 @dataclass(frozen=True)
@@ -70,6 +87,10 @@ class Targets:
         """
         return k is not None and self.count * k <= BROADCAST_ROWS
 
+    def _keep_neighbors(self, neighbors: DataFrame, k: int | None) -> DataFrame:
+        """Neighbours too many to broadcast are stored, as they are read repeatedly."""
+        return neighbors if self.few_neighbors(k) else stage(neighbors, "neighbors")
+
     def co_rated_counts(self, min_common: int = DEFAULTS.min_common) -> DataFrame:
         return co_rated_counts(
             self.prepared.ratings, self.profiles, min_common, broadcast_profiles=self.small
@@ -87,7 +108,7 @@ class Targets:
     def unseen_items(self, neighbors: DataFrame, k: int | None) -> DataFrame:
         return unseen_items(
             self.prepared.ratings,
-            neighbors,
+            self._keep_neighbors(neighbors, k),
             self.seen,
             broadcast_neighbors=self.few_neighbors(k),
             broadcast_seen=self.small,
@@ -97,7 +118,7 @@ class Targets:
         return predict_ratings(
             self.prepared.ratings,
             self.prepared.averages,
-            neighbors,
+            self._keep_neighbors(neighbors, k),
             self.means,
             self.seen,
             broadcast_neighbors=self.few_neighbors(k),
@@ -109,7 +130,7 @@ class Targets:
         return profile_predictions(
             self.prepared.ratings,
             self.prepared.averages,
-            neighbors,
+            self._keep_neighbors(neighbors, k),
             self.means,
             self.seen,
             broadcast_neighbors=self.few_neighbors(k),
@@ -123,7 +144,8 @@ def load_targets(prepared: Prepared, targets: DataFrame) -> Targets:
 
     ``targets`` has one column ``targetId``; any number of rows.
     """
-    means = stage(target_means(prepared.averages, targets), "target_means")
+    wanted = targets.select("targetId").distinct()
+    means = stage(target_means(prepared.averages, wanted), "target_means")
     count = means.count()
     profiles = stage(
         target_profiles(prepared.ratings, means, broadcast_targets=count <= BROADCAST_ROWS),
@@ -135,7 +157,7 @@ def load_targets(prepared: Prepared, targets: DataFrame) -> Targets:
 def load_profiles(
     prepared: Prepared, profiles: DataFrame, min_size: int = DEFAULTS.min_profile_size
 ) -> Targets:
-    """New-user profiles ``profileId, movieId, rating`` as targets.
+    """New-user profiles as targets: one row ``profileId, movieId, rating`` per item.
 
     A rating of 0 means not rated. Profiles of fewer than ``min_size`` ratings are
     left out. Means are those of the profile, unrounded.
@@ -162,11 +184,16 @@ def load_profiles(
     return Targets(prepared, rows, means, means.count(), few_rows(rows))
 
 
+def user_ids(spark: SparkSession, users: Sequence[int]) -> DataFrame:
+    """A few given users as ``targetId``; a literal, so Spark knows it is small."""
+    ids = F.lit([int(u) for u in users]).cast("array<int>")
+    return spark.range(1).select(F.explode(F.array_distinct(ids)).alias("targetId"))
+
+
 def _as_targets(prepared: Prepared, users: DataFrame | Sequence[int]) -> DataFrame:
     if isinstance(users, DataFrame):
         return users
-    spark = prepared.ratings.sparkSession
-    return spark.createDataFrame([(int(u),) for u in users], "targetId int").distinct()
+    return user_ids(prepared.ratings.sparkSession, users)
 
 
 def find_similar_users(
@@ -200,14 +227,16 @@ def recommend(
 def pooled_similarities(
     prepared: Prepared, targets: DataFrame, min_common: int = DEFAULTS.min_common
 ) -> DataFrame:
-    """Pooled similarities, item totals broadcast where the items are few."""
+    """Pooled similarities, item totals and targets broadcast where they are few."""
     items = prepared.ratings.select("movieId").distinct().count()
+    wanted = stage(targets.select("targetId").distinct(), "targets")
     return pearson_pooled(
         prepared.ratings,
         prepared.averages,
-        targets,
+        wanted,
         min_common,
         broadcast_items=items <= BROADCAST_ROWS,
+        broadcast_targets=few_rows(wanted),
     )
 
 

@@ -37,14 +37,14 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/kinrate-{uuid.uuid4().hex}/{name}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """Write a table to the shared folder and go on from there.
 
     What follows reads files instead of repeating the work, survives the loss of
     executors, and lets Spark plan with the measured size.
     """
     spark = df.sparkSession
-    path = new_path(spark, name)
+    path = new_path(spark, name) if folder is None else f"{folder}/{name}"
     write_table(df, path)
     return spark.read.schema(df.schema).parquet(path)
 

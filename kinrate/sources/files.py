@@ -73,12 +73,17 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 def read_table(
-    spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet"
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, fmt: str = "parquet"
 ) -> DataFrame | None:
-    """A stage table with its known schema; None where none was written."""
+    """A stored table with its known schema; None where none was written.
+
+    Parquet tables carry their schema and may do without.
+    """
     if fmt not in FORMATS:
         raise ValueError(f"format must be one of {FORMATS}, not {fmt!r}")
-    reader = spark.read.schema(schema)
+    if schema is None and fmt != "parquet":
+        raise ValueError(f"{fmt} tables need a schema")
+    reader = spark.read if schema is None else spark.read.schema(schema)
     if fmt == "csv":
         reader = reader.options(**CSV_OPTIONS)
     try:
@@ -87,3 +92,15 @@ def read_table(
         if not _path_missing(error):
             raise
         return None
+
+
+def fingerprint(spark: SparkSession, *paths: str) -> tuple[int, int]:
+    """Identity of the files below the paths, by name, size and time.
+
+    Spark lists the files and hashes the listing; none is opened.
+    """
+    listing = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
+    )
+    seen = F.xxhash64("path", "modificationTime", "length")
+    return tuple(listing.agg(F.count(F.lit(1)), F.bit_xor(seen)).first())

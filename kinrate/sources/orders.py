@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from kinrate.sources import files
+
 # Newest purchase first; no two lines of one customer and part tie on all three.
 RECENCY = ("timestamp", "orderId", "lineId")
 
@@ -21,6 +23,11 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
+def fingerprint(spark: SparkSession, folder: str) -> tuple[int, int]:
+    """Identity of the files that ratings come from."""
+    return files.fingerprint(spark, f"{folder}/lineitem.parquet", f"{folder}/orders.parquet")
+
+
 def _raw(spark: SparkSession, folder: str, rating: Column) -> DataFrame:
     lines = _table(spark, folder, "lineitem")
     orders = _table(spark, folder, "orders")

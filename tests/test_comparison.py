@@ -75,7 +75,7 @@ def test_loved_by_one_and_unseen_by_the_other(spark, sides, near):
     ratings, left, _ = sides
     pairs = spark.createDataFrame([(-1, 2), (-1, 4)], "targetId int, userId int")
     got = comparison.loved_unseen(
-        ratings, left, pairs, broadcast_pairs=near, share_rows=1
+        ratings, left, pairs, broadcast_pairs=near, share_rows=1, side_rows=1
     ).collect()
     assert sorted((r.userId, r.loved_by, r["rank"], r.movieId) for r in got) == [
         (2, "mine", 1, 5),

@@ -91,3 +91,24 @@ def test_queries_have_no_python_workers_and_no_cartesian_products(spark, name):
     plan = plan_of(QUERIES[name](spark, DATA))
     for unwanted in ("PythonUDF", "ArrowEval", "BatchEval", "CartesianProduct", "NestedLoop"):
         assert unwanted not in plan
+
+
+def test_prepared_tables_are_shared_while_the_files_stay_the_same(spark, tmp_path):
+    import shutil
+
+    from kinrate.catalog import queries
+
+    folder = tmp_path / "tables"
+    folder.mkdir()
+    for name in ("lineitem", "orders"):
+        shutil.copy(f"{DATA}/{name}.parquet", folder)
+    first = queries.prepared(spark, str(folder)).ratings.inputFiles()
+    assert queries.prepared(spark, str(folder)).ratings.inputFiles() == first
+    shutil.copy("/root/testdata/sf0.01/lineitem.parquet", folder)
+    changed = queries.prepared(spark, str(folder)).ratings
+    assert changed.inputFiles() != first
+    for key, place in list(queries._STORED.items()):
+        if key[2] == str(folder):
+            queries._STORED[key] = str(tmp_path / "gone")
+    again = queries.prepared(spark, str(folder)).ratings
+    assert again.inputFiles() != changed.inputFiles() and again.count() == changed.count()

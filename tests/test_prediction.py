@@ -85,6 +85,7 @@ def test_random_users_match_the_definition(ratings_of, targets_of, near):
         broadcast_neighbors=near,
         broadcast_seen=near,
         share_rows=2,
+        side_rows=1,
     ).cache()
     for target in (1, 9):
         weights = {

@@ -65,7 +65,7 @@ def test_random_users_match_the_definition(ratings_of, targets_of, min_common):
     near = similarity.pearson_neighbors(
         ratings, averages, mine, min_common, broadcast_profiles=True
     ).cache()
-    far = similarity.pearson_neighbors(ratings, averages, mine, min_common, share_rows=3)
+    far = similarity.pearson_neighbors(ratings, averages, mine, min_common, share_rows=3, side_rows=1)
     for target in (1, 7):
         expected = plain.similarities(users, target, min_common)
         assert scores(near.filter(F.col("targetId") == target)) == expected
@@ -93,7 +93,9 @@ def test_pooled_form_equals_the_self_join(ratings_of, targets_of, broadcast_item
         user_averages(ratings),
         targets_of(3, 4),
         broadcast_items=broadcast_items,
+        broadcast_targets=broadcast_items,
         share_rows=2,
+        side_rows=1,
     )
     for target in (3, 4):
         assert scores(found.filter(F.col("targetId") == target)) == plain.pooled(users, target)
