@@ -47,3 +47,6 @@ TILE_RATERS = 5_000
 
 # How many of the most-rated items may be left out of pair generation.
 DEFERRED_ITEMS = 64
+
+# Up to this many targets, popular items are not worth looking for beforehand.
+FEW_TARGETS = 16

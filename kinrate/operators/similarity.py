@@ -30,6 +30,13 @@ from kinrate.operators.joins import join_side, top_per
 PAIR = ("targetId", "userId")
 Keep = Callable[[DataFrame, str], DataFrame]
 
+
+def as_is(df: DataFrame, name: str) -> DataFrame:
+    """Keeps nothing: each use of a table works it out again."""
+    return df
+
+
+
 # A centred sum of squares this small against the raw one is rounding noise: a
 # mean kept to three digits leaves a share of at least 1e-8 unless it is zero.
 NO_VARIANCE = 1e-12
@@ -68,13 +75,14 @@ def co_ratings(
     broadcast_profiles: bool = False,
     share_rows: int = SHARE_ROWS,
     side_rows: int = SIDE_ROWS,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Every rating of another user for an item that a target rated too.
 
     Each rating meets each target at most once, so the result grows with the
     number of targets and not with the square of an item's raters.
     """
-    others = ratings.select("userId", "movieId", "rating")
+    others = ratings.select("userId", "movieId", "rating", *carry)
     return join_side(
         others,
         profiles,
@@ -87,23 +95,6 @@ def co_ratings(
     ).filter(F.col("userId") != F.col("targetId"))
 
 
-def co_rated_counts(
-    ratings: DataFrame,
-    profiles: DataFrame,
-    min_common: int = DEFAULTS.min_common,
-    broadcast_profiles: bool = False,
-    share_rows: int = SHARE_ROWS,
-    side_rows: int = SIDE_ROWS,
-) -> DataFrame:
-    """How many items each other user shares with each target."""
-    return (
-        co_ratings(ratings, profiles, broadcast_profiles, share_rows, side_rows)
-        .groupBy(*PAIR)
-        .agg(F.count(F.lit(1)).alias("common_movies"))
-        .filter(F.col("common_movies") >= min_common)
-    )
-
-
 def _centred_square(n: Column, s: Column, q: Column, m: Column) -> Column:
     centred = q - 2 * m * s + n * m * m
     return F.when(centred > q * NO_VARIANCE, centred).otherwise(0.0)
@@ -152,6 +143,179 @@ def _other_means(averages: DataFrame, min_candidate_ratings: int | None = None)
     return averages.select("userId", F.col("avg_rating").alias("m_v"))
 
 
+def _hot_vectors(ratings: DataFrame, hot: DataFrame, defer: int) -> DataFrame:
+    """Per user the ratings of hot items, the ``defer`` most-rated ones marked.
+
+    ``hot`` has at most a fixed number of items, which bounds each array.
+    """
+    place = F.struct(
+        (-F.col("raters")).alias("place"),
+        "movieId",
+        F.col("rating").cast("double").alias("rating"),
+    )
+    ranked = (
+        ratings.join(F.broadcast(hot), "movieId")
+        .groupBy("userId")
+        .agg(F.sort_array(F.collect_list(place)).alias("ranked"))
+    )
+    return ranked.select(
+        "userId",
+        F.transform(
+            "ranked",
+            lambda x, i: F.struct(
+                x["movieId"].alias("movieId"),
+                x["rating"].alias("rating"),
+                (i < defer).alias("deferred"),
+            ),
+        ).alias("hot"),
+    )
+
+
+def _undeferred(rows: DataFrame, vectors: DataFrame, user: str = "userId") -> DataFrame:
+    """Ratings that generate pairs, with the number of their user's other ones."""
+    ids = F.transform(F.filter("hot", lambda x: x["deferred"]), lambda x: x["movieId"])
+    marks = vectors.select(F.col("userId").alias(user), ids.alias("_ids"))
+    none = F.array().cast("array<int>")
+    return (
+        rows.join(marks, user, "left")
+        .withColumn("_ids", F.coalesce("_ids", none))
+        .filter(~F.array_contains("_ids", F.col("movieId")))
+        .withColumn("deferred", F.size("_ids"))
+        .drop("_ids")
+    )
+
+
+def _reachable(min_common: int, late_u: str, late_v: str) -> Column:
+    """Whether a pair may still come to ``min_common`` shared items.
+
+    What a pair shares among deferred items are the most-rated of its common
+    items, all deferred by the same one of the two: no more than that user has.
+    """
+    return F.col("n") + F.greatest(late_u, late_v) >= min_common
+
+
+def _add_deferred(
+    sums: DataFrame, u: str, vectors_u: DataFrame, v: str, vectors_v: DataFrame
+) -> DataFrame:
+    """Add to each pair the shared items that either user had deferred."""
+    both = sums.join(
+        vectors_u.select(F.col("userId").alias(u), F.col("hot").alias("_hot_u")), u, "left"
+    ).join(vectors_v.select(F.col("userId").alias(v), F.col("hot").alias("_hot_v")), v, "left")
+    empty = F.array().cast("array<struct<x:double,y:double>>")
+    shared = F.flatten(
+        F.transform(
+            "_hot_u",
+            lambda x: F.transform(
+                F.filter(
+                    "_hot_v",
+                    lambda y: (x["movieId"] == y["movieId"]) & (x["deferred"] | y["deferred"]),
+                ),
+                lambda y: F.struct(x["rating"].alias("x"), y["rating"].alias("y")),
+            ),
+        )
+    )
+
+    def plus(name: str, value) -> Column:
+        return F.aggregate("_late", F.col(name), lambda acc, s: acc + value(s))
+
+    return (
+        both.withColumn("_late", F.coalesce(shared, empty))
+        .withColumns(
+            {
+                "n": F.col("n") + F.size("_late"),
+                "p": plus("p", lambda s: s["x"] * s["y"]),
+                "s_u": plus("s_u", lambda s: s["x"]),
+                "s_v": plus("s_v", lambda s: s["y"]),
+                "q_u": plus("q_u", lambda s: s["x"] * s["x"]),
+                "q_v": plus("q_v", lambda s: s["y"] * s["y"]),
+            }
+        )
+        .drop("_hot_u", "_hot_v", "_late")
+    )
+
+
+def _hottest(large: DataFrame, items: int) -> DataFrame:
+    return large.orderBy(F.col("raters").desc(), "movieId").limit(items)
+
+
+def _target_sums(
+    ratings: DataFrame,
+    profiles: DataFrame,
+    min_common: int,
+    large: DataFrame | None,
+    broadcast_profiles: bool,
+    share_rows: int,
+    side_rows: int,
+    deferred_items: int,
+    keep: Keep,
+) -> DataFrame:
+    """Sums over the shared items of each target and other user with enough of them."""
+    how = broadcast_profiles, share_rows, side_rows
+    sums = (
+        *_pair_sums(F.col("target_rating"), F.col("rating")),
+        F.max("target_mean").alias("m_u"),
+    )
+    if large is None or min_common < 2:
+        met = co_ratings(ratings, profiles, *how).groupBy(*PAIR).agg(*sums)
+    else:
+        defer = min_common - 1
+        hot = _hottest(large, deferred_items)
+        others = keep(_hot_vectors(ratings, hot, defer), "hot_vectors")
+        own = keep(
+            _hot_vectors(
+                profiles.select(
+                    F.col("targetId").alias("userId"),
+                    "movieId",
+                    F.col("target_rating").alias("rating"),
+                ),
+                hot,
+                defer,
+            ),
+            "target_vectors",
+        )
+        met = (
+            co_ratings(
+                _undeferred(ratings, others),
+                _undeferred(profiles, own, "targetId").withColumnRenamed("deferred", "_late_u"),
+                *how,
+                carry=("deferred",),
+            )
+            .groupBy(*PAIR)
+            .agg(*sums, F.max("_late_u").alias("_late_u"), F.max("deferred").alias("_late_v"))
+            .filter(_reachable(min_common, "_late_u", "_late_v"))
+        )
+        met = _add_deferred(met, "targetId", own, "userId", others)
+    return met.filter(F.col("n") >= min_common)
+
+
+def co_rated_counts(
+    ratings: DataFrame,
+    profiles: DataFrame,
+    min_common: int = DEFAULTS.min_common,
+    large: DataFrame | None = None,
+    broadcast_profiles: bool = False,
+    share_rows: int = SHARE_ROWS,
+    side_rows: int = SIDE_ROWS,
+    deferred_items: int = DEFERRED_ITEMS,
+    keep: Keep = as_is,
+) -> DataFrame:
+    """How many items each other user shares with each target.
+
+    ``large`` and ``keep`` as for :func:`pearson_neighbors`.
+    """
+    return _target_sums(
+        ratings,
+        profiles,
+        min_common,
+        large,
+        broadcast_profiles,
+        share_rows,
+        side_rows,
+        deferred_items,
+        keep,
+    ).select(*PAIR, F.col("n").cast("bigint").alias("common_movies"))
+
+
 def pearson_neighbors(
     ratings: DataFrame,
     averages: DataFrame,
@@ -160,21 +324,31 @@ def pearson_neighbors(
     on_zero_variance: str = "zero",
     round_similarity: int | None = DEFAULTS.similarity_digits,
     min_candidate_ratings: int | None = None,
+    large: DataFrame | None = None,
     broadcast_profiles: bool = False,
     share_rows: int = SHARE_ROWS,
     side_rows: int = SIDE_ROWS,
+    deferred_items: int = DEFERRED_ITEMS,
+    keep: Keep = as_is,
 ) -> DataFrame:
-    """Similarity of every target to every other user with enough shared items."""
-    sums = (
-        co_ratings(ratings, profiles, broadcast_profiles, share_rows, side_rows)
-        .groupBy(*PAIR)
-        .agg(
-            *_pair_sums(F.col("target_rating"), F.col("rating")),
-            F.max("target_mean").alias("m_u"),
-        )
-        .filter(F.col("n") >= min_common)
-        .join(_other_means(averages, min_candidate_ratings), "userId")
-    )
+    """Similarity of every target to every other user with enough shared items.
+
+    With many targets an item that everybody rated would make a row for every
+    target and user. Given :func:`large_items`, such items are deferred as in
+    :func:`all_pairs_similarity`, which changes the work and not the result.
+    ``keep`` may store what is read more than once.
+    """
+    sums = _target_sums(
+        ratings,
+        profiles,
+        min_common,
+        large,
+        broadcast_profiles,
+        share_rows,
+        side_rows,
+        deferred_items,
+        keep,
+    ).join(_other_means(averages, min_candidate_ratings), "userId")
     return _scored(sums, PAIR, on_zero_variance, round_similarity)
 
 
@@ -292,83 +466,6 @@ def _meet(rows: DataFrame, tiles: Column | None, extra: tuple[str, ...] = ()) ->
     )
 
 
-def _hot_vectors(ratings: DataFrame, hot: DataFrame, defer: int) -> DataFrame:
-    """Per user the ratings of hot items, the ``defer`` most-rated ones marked.
-
-    ``hot`` has at most a fixed number of items, which bounds each array.
-    """
-    place = F.struct(
-        (-F.col("raters")).alias("place"),
-        "movieId",
-        F.col("rating").cast("double").alias("rating"),
-    )
-    ranked = (
-        ratings.join(F.broadcast(hot), "movieId")
-        .groupBy("userId")
-        .agg(F.sort_array(F.collect_list(place)).alias("ranked"))
-    )
-    return ranked.select(
-        "userId",
-        F.transform(
-            "ranked",
-            lambda x, i: F.struct(
-                x["movieId"].alias("movieId"),
-                x["rating"].alias("rating"),
-                (i < defer).alias("deferred"),
-            ),
-        ).alias("hot"),
-    )
-
-
-def _undeferred(rows: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Ratings that generate pairs, with the number of their user's other ones."""
-    ids = F.transform(F.filter("hot", lambda x: x["deferred"]), lambda x: x["movieId"])
-    marks = vectors.select("userId", ids.alias("_deferred"))
-    none = F.array().cast("array<int>")
-    return (
-        rows.join(marks, "userId", "left")
-        .withColumn("_deferred", F.coalesce("_deferred", none))
-        .filter(~F.array_contains("_deferred", F.col("movieId")))
-        .withColumn("deferred", F.size("_deferred"))
-        .drop("_deferred")
-    )
-
-
-def _add_deferred(sums: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Add to each pair the shared items that either user had deferred."""
-    both = sums.join(
-        vectors.select(F.col("userId").alias("u"), F.col("hot").alias("hot_u")), "u", "left"
-    ).join(vectors.select(F.col("userId").alias("v"), F.col("hot").alias("hot_v")), "v", "left")
-    empty = F.array().cast("array<struct<x:double,y:double>>")
-    shared = F.flatten(
-        F.transform(
-            "hot_u",
-            lambda x: F.transform(
-                F.filter(
-                    "hot_v",
-                    lambda y: (x["movieId"] == y["movieId"]) & (x["deferred"] | y["deferred"]),
-                ),
-                lambda y: F.struct(x["rating"].alias("x"), y["rating"].alias("y")),
-            ),
-        )
-    )
-    both = both.withColumn("_late", F.coalesce(shared, empty))
-
-    def total(value) -> Column:
-        return F.aggregate("_late", F.lit(0.0), lambda acc, s: acc + value(s))
-
-    return both.select(
-        "u",
-        "v",
-        (F.col("n") + F.size("_late")).alias("n"),
-        (F.col("p") + total(lambda s: s["x"] * s["y"])).alias("p"),
-        (F.col("s_u") + total(lambda s: s["x"])).alias("s_u"),
-        (F.col("s_v") + total(lambda s: s["y"])).alias("s_v"),
-        (F.col("q_u") + total(lambda s: s["x"] * s["x"])).alias("q_u"),
-        (F.col("q_v") + total(lambda s: s["y"] * s["y"])).alias("q_v"),
-    )
-
-
 def _pairs_with_large_items(
     rows: DataFrame,
     large: DataFrame,
@@ -383,21 +480,19 @@ def _pairs_with_large_items(
     sums = _pair_sums(F.col("u_rating"), F.col("v_rating"))
     if min_common < 2:
         return _meet(rows.join(large, "movieId", "left"), tiles).groupBy(*keys).agg(*sums)
-    hot = large.orderBy(F.col("raters").desc(), "movieId").limit(deferred_items)
-    vectors = keep(_hot_vectors(rows, hot, min_common - 1), "hot_vectors")
+    vectors = keep(
+        _hot_vectors(rows, _hottest(large, deferred_items), min_common - 1), "hot_vectors"
+    )
     remaining = keep(_undeferred(rows, vectors).join(large, "movieId", "left"), "undeferred")
-    # What a pair shares among deferred items are the most-rated of its common
-    # items, all deferred by the same one of the two: no more than that user has.
-    reachable = F.col("n") + F.greatest("_late_u", "_late_v") >= min_common
     met = (
         _meet(remaining, tiles, ("deferred",))
         .groupBy(*keys)
         .agg(
             *sums, F.max("u_deferred").alias("_late_u"), F.max("v_deferred").alias("_late_v")
         )
-        .filter(reachable)
+        .filter(_reachable(min_common, "_late_u", "_late_v"))
     )
-    return _add_deferred(met, vectors)
+    return _add_deferred(met, "u", vectors, "v", vectors)
 
 
 def all_pairs_similarity(
@@ -409,7 +504,7 @@ def all_pairs_similarity(
     round_similarity: int | None = DEFAULTS.similarity_digits,
     tile_raters: int = TILE_RATERS,
     deferred_items: int = DEFERRED_ITEMS,
-    keep: Keep = lambda df, name: df,
+    keep: Keep = as_is,
 ) -> DataFrame:
     """Similarity of all user pairs with enough shared items: ``userA < userB``.
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kinrate.config import BROADCAST_ROWS, DEFAULTS
+from kinrate.config import BROADCAST_ROWS, DEFAULTS, FEW_TARGETS
 from kinrate.operators.cleaning import VALID_RANGE, clean_ratings
 from kinrate.operators.prediction import predict_ratings, profile_predictions, unseen_items
 from kinrate.operators.recommendation import top_n
@@ -62,13 +62,17 @@ def load_prepared(spark: SparkSession, folder: str) -> Prepared | None:
 
 @dataclass(frozen=True)
 class Targets:
-    """Targets with their ratings, stored, and whether these may be broadcast."""
+    """Targets with their ratings, stored, and whether these may be broadcast.
+
+    ``large`` lists popular items, where there are many targets and such items.
+    """
 
     prepared: Prepared
     profiles: DataFrame
     means: DataFrame
     count: int
     small: bool
+    large: DataFrame | None = None
 
     @property
     def seen(self) -> DataFrame:
@@ -93,7 +97,12 @@ class Targets:
 
     def co_rated_counts(self, min_common: int = DEFAULTS.min_common) -> DataFrame:
         return co_rated_counts(
-            self.prepared.ratings, self.profiles, min_common, broadcast_profiles=self.small
+            self.prepared.ratings,
+            self.profiles,
+            min_common,
+            self.large,
+            broadcast_profiles=self.small,
+            keep=stage,
         )
 
     def similarities(self, **options) -> DataFrame:
@@ -101,7 +110,9 @@ class Targets:
             self.prepared.ratings,
             self.prepared.averages,
             self.profiles,
+            large=self.large,
             broadcast_profiles=self.small,
+            keep=stage,
             **options,
         )
 
@@ -139,6 +150,16 @@ class Targets:
         )
 
 
+def _large_items(ratings: DataFrame) -> DataFrame | None:
+    large = stage(large_items(ratings), "large_items")
+    return None if large.isEmpty() else large
+
+
+def _checked(prepared: Prepared, profiles: DataFrame, means: DataFrame, count: int) -> Targets:
+    large = _large_items(prepared.ratings) if count > FEW_TARGETS else None
+    return Targets(prepared, profiles, means, count, few_rows(profiles), large)
+
+
 def load_targets(prepared: Prepared, targets: DataFrame) -> Targets:
     """Store the targets' means and ratings and check their sizes.
 
@@ -151,7 +172,7 @@ def load_targets(prepared: Prepared, targets: DataFrame) -> Targets:
         target_profiles(prepared.ratings, means, broadcast_targets=count <= BROADCAST_ROWS),
         "target_profiles",
     )
-    return Targets(prepared, profiles, means, count, few_rows(profiles))
+    return _checked(prepared, profiles, means, count)
 
 
 def load_profiles(
@@ -181,7 +202,7 @@ def load_profiles(
         ),
         "profiles",
     )
-    return Targets(prepared, rows, means, means.count(), few_rows(rows))
+    return _checked(prepared, rows, means, means.count())
 
 
 def user_ids(spark: SparkSession, users: Sequence[int]) -> DataFrame:
@@ -242,11 +263,10 @@ def pooled_similarities(
 
 def similarity_matrix(prepared: Prepared, min_common: int = DEFAULTS.min_common, **options) -> DataFrame:
     """Similarities of all pairs, with large items looked up first."""
-    large = stage(large_items(prepared.ratings), "large_items")
     return all_pairs_similarity(
         prepared.ratings,
         prepared.averages,
-        None if large.isEmpty() else large,
+        _large_items(prepared.ratings),
         min_common,
         keep=stage,
         **options,

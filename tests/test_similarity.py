@@ -73,6 +73,31 @@ def test_random_users_match_the_definition(ratings_of, targets_of, min_common):
     near.unpersist()
 
 
+@pytest.mark.parametrize("min_common", [1, 2, 3, 4])
+@pytest.mark.parametrize("seed", range(2))
+def test_deferring_large_items_changes_nothing(ratings_of, targets_of, seed, min_common):
+    users = plain.random_users(seed, users=24, items=18, share=0.25, everyone=(0, 5))
+    ratings = ratings_of(users)
+    averages = user_averages(ratings)
+    mine = profiles(ratings, targets_of(1, 7, 20))
+    for tile, deferred_items in ((4, 64), (7, 2)):
+        large = similarity.large_items(ratings, tile)
+        found = similarity.pearson_neighbors(
+            ratings, averages, mine, min_common, large=large, deferred_items=deferred_items
+        ).collect()
+        counts = similarity.co_rated_counts(
+            ratings, mine, min_common, large, deferred_items=deferred_items
+        ).collect()
+        for target in (1, 7, 20):
+            expected = plain.similarities(users, target, min_common)
+            assert {
+                r.userId: (r.similarity, r.common_movies) for r in found if r.targetId == target
+            } == expected
+            assert {r.userId: r.common_movies for r in counts if r.targetId == target} == {
+                u: common for u, (_, common) in expected.items()
+            }
+
+
 def test_candidates_need_enough_ratings(ratings_of, targets_of):
     ratings = ratings_of({**HAND, 2: {**HAND[2], 7: 3}})
     found = similarity.pearson_neighbors(
