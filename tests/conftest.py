@@ -1,6 +1,7 @@
 import sys
 from pathlib import Path
 
+import pandas as pd
 import pytest
 from pyspark.sql import SparkSession
 
@@ -12,7 +13,8 @@ def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[4]")
         .appName("tests")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "3")
+        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")
         .config("spark.sql.session.timeZone", "UTC")
@@ -30,7 +32,8 @@ def ratings_of(spark):
 
     def build(users):
         rows = [(u, i, float(r)) for u, items in users.items() for i, r in items.items()]
-        return spark.createDataFrame(rows, "userId int, movieId int, rating double")
+        table = pd.DataFrame(rows, columns=["userId", "movieId", "rating"])
+        return spark.createDataFrame(table, "userId int, movieId int, rating double")
 
     return build
 
