@@ -8,11 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"'}
 FORMATS = ("csv", "parquet", "json")
 
-# Schemas of the stage tables.
-RATINGS = "userId INT, movieId INT, rating DOUBLE"
+# Fixed value: schema of the stored user means.
 AVERAGES = "userId INT, avg_rating DOUBLE, num_ratings BIGINT"
-SIMILARITIES = "targetId INT, userId INT, similarity DOUBLE, common_movies BIGINT"
-PREDICTIONS = "targetId INT, movieId INT, predicted_rating DOUBLE, num_raters BIGINT, avg_similarity DOUBLE"
 
 
 def _read_text(spark: SparkSession, path: str, columns: tuple[str, ...]) -> DataFrame:
