@@ -34,6 +34,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.window import Window
 
 from kinrate.llm.components import connected
 from kinrate.llm.shipping import arrow_rows
@@ -43,7 +44,7 @@ from kinrate.plans.storage import stage
 # The most frequent shingles that are put last in the order: bounds what tasks are sent.
 FREQUENT = 200_000
 FREQUENT_FROM = 8
-PARITIES = ("p0", "p1", "p2", "p3")
+PARITIES = tuple(f"p{i}" for i in range(8))
 
 
 @dataclass(frozen=True)
@@ -78,8 +79,8 @@ def _set_id(shingles: np.ndarray) -> int:
 
 
 def _parities(shingles: np.ndarray) -> np.ndarray:
-    """For each of 256 classes of shingles, whether the set has an odd number of them."""
-    odd = np.bincount((shingles >> np.uint64(56)).astype(np.int64), minlength=256) & 1
+    """For each of 512 classes of shingles, whether the set has an odd number of them."""
+    odd = np.bincount((shingles >> np.uint64(55)).astype(np.int64), minlength=512) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
@@ -109,7 +110,7 @@ def _set_rows(width: int):
                     batch.column("row_key"),
                     pa.array(sizes, pa.int64()),
                     pa.array(ids, pa.int64()),
-                    *(pa.array(part) for part in np.array(parities, dtype=np.int64).reshape(-1, 4).T.copy()),
+                    *(pa.array(part) for part in np.array(parities, dtype=np.int64).reshape(-1, len(PARITIES)).T.copy()),
                     pa.array(counts, pa.list_(pa.struct([("shingle", pa.int64()), ("times", pa.int64())]))),
                 ],
                 names=["doc_id", "row_key", "n_shingles", "set_id", *PARITIES, "shared"],
@@ -241,6 +242,10 @@ def _open_pairs(
     lists: DataFrame, compared: DataFrame, roots: DataFrame, reps: DataFrame, rule: Jaccard
 ) -> DataFrame:
     """Pairs that lists with unconnected members still have to compare."""
+    # What stands before a shingle: at the first one that two sets share, all of it differs.
+    along = Window.partitionBy("set_id").orderBy("position")
+    lists = lists.repartition("set_id").dropDuplicates(["set_id", "shingle"])
+    lists = lists.withColumn("earlier", F.array(*[F.lag("shingle", i).over(along) for i in (1, 2, 3)]))
     placed = lists.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn(
         "root", F.coalesce("root", "set_id")
     )
@@ -254,7 +259,7 @@ def _open_pairs(
     far = compared.select(
         F.col("a").alias("set_id"), F.col("b").alias("leader"), (1 - F.col("common") / union).alias("far")
     )
-    fields = ["set_id", "size", "position", "root", "far", "block", *PARITIES]
+    fields = ["set_id", "size", "position", "root", "far", "block", "earlier", *PARITIES]
     # Sizes of linked sets lie in the same block or in neighbouring ones.
     ratio = math.log(100 / rule.percent) * (1 + 1e-9) if rule.percent < 100 else 1e-9
     members = stage(
@@ -280,7 +285,12 @@ def _open_pairs(
         a.join(b, ["shingle", "met"])
         .where("a_root != b_root AND (a_block < b_block OR a_set_id < b_set_id)")
         .where(100 * F.least("a_size", "b_size") >= rule.percent * F.greatest("a_size", "b_size"))
+        .where(~F.coalesce(F.arrays_overlap("a_earlier", "b_earlier"), F.lit(False)))
         # common >= percent / (100 + percent) * both, and different <= both - 2 * common
+        .where(
+            (100 + rule.percent) * (F.col("a_position") + F.col("b_position"))
+            <= (100 - rule.percent) * both
+        )
         .where((100 + rule.percent) * rest >= rule.percent * both)
         .where((100 + rule.percent) * different <= (100 - rule.percent) * both)
         .where(
@@ -301,8 +311,8 @@ def jaccard_classes(docs: DataFrame, rule: Jaccard = Jaccard()) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("bigint"), F.hash("text").alias("row_key"), "text")
     schema = (
         "doc_id bigint, row_key int, n_shingles bigint, set_id bigint, "
-        "p0 bigint, p1 bigint, p2 bigint, p3 bigint, "
-        "shared array<struct<shingle: bigint, times: bigint>>"
+        + "".join(f"{p} bigint, " for p in PARITIES)
+        + "shared array<struct<shingle: bigint, times: bigint>>"
     )
     rows = stage(arrow_rows(docs, _set_rows(rule.width), schema), "sets")
     sets = rows.select("doc_id", "row_key", "n_shingles", "set_id", *PARITIES)
