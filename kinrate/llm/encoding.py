@@ -1,11 +1,11 @@
-"""Token ids of whole texts with the tokenizers library, a word encoded once per worker.
-
-Texts are cut at spaces that stand between two other characters. The pattern of
-byte-level tokenizers always ends a match there, and word tokenizers drop white space
-altogether, so ids of the pieces are the ids of the text. Each piece is encoded by the
-library the first time a worker meets it: a plain word, perhaps with a closing mark, by
-the library's merge model, anything else by its whole pipeline. A text with another kind
-of white space next to such a cut is encoded as a whole. The ids are always the library's.
+"""Token ids of whole texts with the tokenizers library, a piece encoded once per worker.
+
+Texts are cut before a space, and before and after a line feed, that stands between two
+other characters. The pattern of byte-level tokenizers always starts a match there, and word
+tokenizers drop white space altogether, so the ids of the pieces are the ids of the text. Equal pieces of many texts are
+found by 64-bit hashes in numpy, and each is encoded by the library the first time a
+worker meets it: a plain word, perhaps with a closing mark, by the library's merge
+model, anything else by its whole pipeline. The ids are always the library's.
 """
 
 from __future__ import annotations
@@ -16,11 +16,16 @@ from array import array
 from collections.abc import Iterator
 from functools import cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+
+from kinrate.llm.words import Spans, text_chunks
 
 # Pieces kept by a worker before it starts afresh, and the longest one that it keeps.
-KEPT_PIECES = 600_000
-LONGEST_KEPT = 48
+KEPT_PIECES = 800_000
+LONGEST_KEPT = 64
+CHUNK_BYTES = 2 << 20
 
 # How a tokenizer sees a word after a space: with the space, or in lower case without it.
 SPACED, LOWERED = "spaced", "lowered"
@@ -28,6 +33,14 @@ MARKS = ".,;:!?"
 # Below this, letters are in composed form and have one lower-case letter each.
 PLAIN_BELOW = "İ"
 
+# Bytes next to which a space is no cut: white space, or the beginning of a character that may be
+# white space (after the space); before it, the last byte of any but a Latin-1 character.
+_BLANK = np.zeros(256, dtype=bool)
+_BLANK[[*range(9, 14), *range(28, 33)]] = True
+_UNSAFE_AFTER = _BLANK.copy()
+_UNSAFE_AFTER[[0xC2, 0xE1, 0xE2, 0xE3]] = True
+LATIN_LETTERS = 0xC3  # first byte of the characters from U+00C0 to U+00FF
+
 
 def byte_letters() -> dict[int, str]:
     """The letters by which byte-level vocabularies write bytes: a byte that prints is
@@ -45,11 +58,28 @@ def struct_ids(ids: list[int]) -> bytes:
     return packed.tobytes()
 
 
-class Pieces(dict):
-    """Little-endian 32-bit ids by piece; None for a piece with white space at an end."""
+def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where pieces begin: at the texts' beginnings, at safe spaces and about safe line feeds."""
+    begins = np.zeros(len(data) + 1, dtype=bool)
+    space = np.flatnonzero((data == 32) | (data == 10))
+    space = space[(space > 0) & (space < len(data) - 1)]
+    before, after = data[space - 1], data[space + 1]
+    latin = (before < 128) | (data[np.maximum(space - 2, 0)] == LATIN_LETTERS)
+    space = space[~_BLANK[before] & latin & ~_UNSAFE_AFTER[after]]
+    begins[space] = True
+    begins[space[data[space] == 10] + 1] = True
+    # white space that ends a text has no neighbour on that side
+    ends = offsets[1:] - 1
+    begins[ends[ends >= 0]] = False
+    begins[offsets] = True
+    begins[len(data)] = False
+    return np.flatnonzero(begins)
+
+
+class Pieces:
+    """Ids of texts, with the pieces met so far."""
 
     def __init__(self, path: str, words: str):
-        super().__init__()
         if words not in (SPACED, LOWERED):
             raise ValueError(f"words must be {SPACED!r} or {LOWERED!r}")
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -61,48 +91,65 @@ class Pieces(dict):
         self.lowered = words == LOWERED
         self.letters = byte_letters()
         self.space = "" if self.lowered else self.letters[32]
-        self.marks = {m: self.whole(m) for m in MARKS} | {"": b""}
+        self.marks = {m: self._whole(m) for m in MARKS} | {"": b""}
+        self.kept: dict[bytes, bytes] = {}
 
-    def whole(self, text: str) -> bytes:
+    def _whole(self, text: str) -> bytes:
         return struct_ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _word(self, word: str) -> bytes:
+    def _word(self, word: str, space: str) -> bytes:
         if self.lowered:
             word = word.lower()
         if not word.isascii():
             word = word.encode().decode("latin-1").translate(self.letters)
-        return struct_ids([token.id for token in self.model.tokenize(self.space + word)])
-
-    def __missing__(self, piece: str) -> bytes | None:
-        if not piece or piece[0].isspace() or piece[-1].isspace():
-            ids = None
-        else:
-            word, mark = (piece, "") if piece.isalpha() else (piece[:-1], piece[-1])
-            plain = word.isalpha() and (word.isascii() or max(word) < PLAIN_BELOW)
-            if plain and mark in self.marks:
-                ids = (self._word(word) if not mark else self[word] or b"") + self.marks[mark]
-            else:
-                ids = self.whole(" " + piece)
-        if len(piece) <= LONGEST_KEPT:
-            self[piece] = ids
-        return ids
-
-    def text(self, text: str | None) -> bytes:
-        """The ids of a whole text; a null text counts as empty."""
-        if not text:
-            return b""
-        if len(self) > KEPT_PIECES:
-            self.clear()
-        head, *parts = text.split(" ")
-        if not parts or not head or head[-1].isspace():
-            return self.whole(text)
-        end = b""
-        if parts[-1] and parts[-1][-1].isspace() and not parts[-1][0].isspace():
-            end = self.whole(" " + parts.pop())
-        try:
-            return self.whole(head) + b"".join(map(self.__getitem__, parts)) + end
-        except TypeError:  # a piece without ids of its own
-            return self.whole(text)
+        return struct_ids([token.id for token in self.model.tokenize(space + word)])
+
+    def _piece(self, literal: bytes) -> bytes:
+        text = literal.decode()
+        space, piece = (self.space, text[1:]) if text[:1] == " " else ("", text)
+        word, mark = (piece, "") if piece.isalpha() else (piece[:-1], piece[-1:])
+        if mark in self.marks and word.isalpha() and (word.isascii() or max(word) < PLAIN_BELOW):
+            return self._word(word, space) + self.marks[mark]
+        return self._whole(text)
+
+    def _ids(self, literals: list[bytes]) -> list[bytes]:
+        if len(self.kept) > KEPT_PIECES:
+            self.kept.clear()
+        found = []
+        for literal in literals:
+            ids = self.kept.get(literal)
+            if ids is None:
+                ids = self._piece(literal)
+                if len(literal) <= LONGEST_KEPT:
+                    self.kept[literal] = ids
+            found.append(ids)
+        return found
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts after each other, and where each text's begin; a null
+        text counts as empty."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)
+        offsets = offsets[texts.offset : texts.offset + len(texts) + 1]
+        if offsets[-1] == offsets[0]:
+            return np.zeros(0, dtype="<u4"), np.zeros(len(texts) + 1, dtype=np.int64)
+        data = np.frombuffer(texts.buffers()[2], dtype=np.uint8)[offsets[0] : offsets[-1]]
+        offsets = offsets - offsets[0]
+        if self.lowered:  # one piece for both cases, as the tokenizer sees them
+            data = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
+        start = cuts(data, offsets)
+        end = np.r_[start[1:], len(data)]
+        hashes = Spans(data.astype(np.uint64) + np.uint64(1)).hashes(start, end)
+        _, sample, which = np.unique(hashes, return_index=True, return_inverse=True)
+        raw = data.tobytes()
+        ids = self._ids([raw[a:b] for a, b in zip(start[sample].tolist(), end[sample].tolist())])
+        sizes = np.array([len(i) // 4 for i in ids], dtype=np.int64)
+        flat = np.frombuffer(b"".join(ids), dtype="<u4")
+        each = sizes[which]
+        ends = np.cumsum(each)
+        at = np.repeat((np.cumsum(sizes) - sizes)[which] - (ends - each), each) + np.arange(ends[-1])
+        first = np.r_[0, ends][np.searchsorted(start, offsets)]
+        return flat[at], first
 
 
 @cache
@@ -111,6 +158,15 @@ def pieces_of(path: str, words: str) -> Pieces:
     return Pieces(path, words)
 
 
+def encoded_chunks(
+    batch: pa.RecordBatch, pieces: Pieces
+) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Parts of a batch with the ids of their texts and where each text's begin."""
+    texts = batch.column("text")
+    for at, to in text_chunks(texts, CHUNK_BYTES):
+        yield (batch.slice(at, to - at), *pieces.encode(texts[at:to]))
+
+
 def small_batches(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
     """Smaller batches, so that Python holds few texts at a time."""
     for at in range(0, batch.num_rows, rows):

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from kinrate.llm.encoding import SPACED, pieces_of, small_batches, struct_ids
+from kinrate.llm.encoding import SPACED, encoded_chunks, pieces_of, struct_ids
 from kinrate.llm.shipping import arrow_rows
 from kinrate.plans.storage import stage
 
@@ -45,10 +45,10 @@ def _piece_rows(path: str, words: str, end_id: int, capacity: int, with_ids: boo
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = pieces_of(path, words)
         for batch in batches:
-            for small in small_batches(batch):
+            for small, flat, first in encoded_chunks(batch, pieces):
                 row, number, start, length, crc, ids = [], [], [], [], [], []
-                for i, text in enumerate(small.column("text").to_pylist()):
-                    data = pieces.text(text) + end
+                for i, (begin, stop) in enumerate(zip(first[:-1].tolist(), first[1:].tolist())):
+                    data = flat[begin:stop].tobytes() + end
                     total = len(data) // 4
                     at, k = 0, 0
                     while at < total:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
-from kinrate.llm.encoding import LOWERED, pieces_of, small_batches, struct_ids
+from kinrate.llm.encoding import LOWERED, encoded_chunks, pieces_of
 from kinrate.llm.shipping import arrow_rows
 
 SCHEMA = "doc_id bigint, ids array<int>"
@@ -35,16 +35,13 @@ ORC_OPTIONS = {
 
 
 def _id_rows(path: str, words: str, end_id: int):
-    end = struct_ids([end_id])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = pieces_of(path, words)
         for batch in batches:
-            for small in small_batches(batch):
-                ids = [pieces.text(text) + end for text in small.column("text").to_pylist()]
-                flat = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))
-                bounds = np.cumsum([0, *(len(i) // 4 for i in ids)])
-                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), flat)
+            for small, flat, first in encoded_chunks(batch, pieces):
+                ended = np.insert(flat, first[1:], end_id).astype("<u4").view("<i4")
+                bounds = pa.array(first + np.arange(len(first)), pa.int32())
+                lists = pa.ListArray.from_arrays(bounds, pa.array(ended))
                 yield pa.record_batch([small.column("doc_id"), lists], names=["doc_id", "ids"])
 
     return run
