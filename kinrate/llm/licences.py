@@ -56,7 +56,7 @@ KNOWN = (
     ("CC-BY-NC-4.0", "This work is licensed under CC BY-NC 4.0."),
 )
 
-COPYRIGHT_LINE = r"^[^a-z0-9]*(copyright|\(c\)|©)[^a-z]*[0-9].*$|^[^a-z0-9]*all rights reserved[^a-z0-9]*$"
+COPYRIGHT_LINE = r"^[^a-z0-9]*(copyright|\(c\)|©)([^a-z]|\(c\))*[0-9].*$|^[^a-z0-9]*all rights reserved[^a-z0-9]*$"
 
 
 def canonical_line(line: Column) -> Column:

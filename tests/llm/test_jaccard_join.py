@@ -1,0 +1,82 @@
+import random
+
+import numpy as np
+import pytest
+
+from kinrate.llm.jaccard_join import Jaccard, jaccard_classes, ordered_prefix
+
+from .conftest import made_words
+
+FOLD = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+
+
+def brute_force(pairs, rule):
+    sets = []
+    for _, text in pairs:
+        words = (text or "").encode().translate(FOLD).split()
+        whole = [tuple(words)] if words else []
+        many = [tuple(words[i : i + rule.width]) for i in range(len(words) - rule.width + 1)]
+        sets.append(frozenset(many or whole))
+    root = list(range(len(pairs)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(pairs)):
+        for b in range(a):
+            if sets[a] and sets[b] and None not in (pairs[a][0], pairs[b][0]):
+                common = len(sets[a] & sets[b])
+                if 100 * common >= rule.percent * len(sets[a] | sets[b]):
+                    root[find(a)] = find(b)
+    least = {}
+    for i, (doc, _) in enumerate(pairs):
+        if doc is not None:
+            least[find(i)] = min(least.get(find(i), doc), doc)
+    return sorted(
+        repr((doc, len(sets[i]), None if doc is None else least[find(i)])) for i, (doc, _) in enumerate(pairs)
+    )
+
+
+def near_copies(seed, groups, copies, words):
+    """Groups of texts that differ from each other in some words, about the threshold."""
+    random_ = random.Random(seed)
+    pairs = []
+    for g in range(groups):
+        base = made_words(seed * 100 + g, words, 3000)
+        for _ in range(copies):
+            text = list(base)
+            for _ in range(random_.randint(0, words // 25)):
+                text[random_.randrange(words)] = f"e{random_.randrange(10**6)}"
+            pairs.append(" ".join(text))
+    random_.shuffle(pairs)
+    return list(enumerate(pairs))
+
+
+@pytest.mark.parametrize("rule", [Jaccard(4, 85), Jaccard()])
+def test_classes_equal_all_pairs(docs_of, rule):
+    pairs = near_copies(1, 6, 25, 80)
+    line = "a very common line of eight words here"
+    pairs += [(1000 + i, f"{' '.join(made_words(i, 12, 9000))} {line}") for i in range(40)]
+    pairs += [(2000, None), (2001, ""), (2002, " \n"), (2003, "One two"), (2004, "one TWO"), (2005, "É two"),
+              (2006, "é two"), (2003, "one two"), (None, "one two"), (2007, pairs[0][1])]
+    rows = jaccard_classes(docs_of(pairs), rule).collect()
+    assert sorted(repr((r.doc_id, r.n_shingles, r.component_id)) for r in rows) == brute_force(pairs, rule)
+    for component in {r.component_id for r in rows if r.n_shingles and r.doc_id is not None}:
+        members = {(r.doc_id, r.row_key) for r in rows if r.component_id == component and r.stays}
+        assert len(members) == 1
+
+
+def test_empty_table(docs_of):
+    assert jaccard_classes(docs_of([])).count() == 0
+
+
+def test_prefix_order_and_parameters():
+    shingles = np.array([2, 5, 7, 9], dtype=np.uint64)
+    frequent, rank = np.array([2, 7], dtype=np.uint64), np.array([1, 0])
+    assert ordered_prefix(shingles, 3, frequent, rank).tolist() == [5, 9, 7]
+    assert ordered_prefix(shingles, 4, frequent, rank).tolist() == [5, 9, 7, 2]
+    for wrong in ((0, 80), (5, 0), (5, 101)):
+        with pytest.raises(ValueError):
+            Jaccard(*wrong)
