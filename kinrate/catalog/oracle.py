@@ -249,7 +249,7 @@ FROM (
 ) AS pairs WHERE n >= 3"""
 COLD = f"""cold AS (
   SELECT t.targetId, t.num_ratings FROM (
-    SELECT userId AS targetId, num_ratings FROM averages WHERE num_ratings < 10
+    SELECT userId AS targetId, num_ratings FROM averages
   ) AS t WHERE NOT EXISTS (
     SELECT 1 FROM ratings o JOIN ratings p ON p.movieId = o.movieId
     WHERE p.userId = t.targetId AND o.userId <> t.targetId

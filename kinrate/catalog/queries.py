@@ -257,22 +257,21 @@ def popular_items(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def cold_start_fallback(spark: SparkSession, folder: str) -> DataFrame:
-    """Popular items for the users too inactive to be neighbours, if they have none."""
+    """Popular items for every user who has no neighbour."""
     base = prepared(spark, folder)
-    inactive = base.averages.filter(
-        F.col("num_ratings") < DEFAULTS.min_candidate_ratings
-    ).select(F.col("userId").alias("targetId"))
-    targets = load_targets(base, inactive)
+    targets = load_targets(base, base.averages.select(F.col("userId").alias("targetId")))
     own = targets.profiles.groupBy("targetId").agg(F.count(F.lit(1)).alias("num_ratings"))
-    cold = stage(
-        own.join(targets.similarities().select("targetId"), "targetId", "left_anti"), "cold"
-    )
+    near = targets.co_rated_counts().select("targetId").distinct()
+    cold = stage(own.join(near, "targetId", "left_anti"), "cold")
     reach = cold.agg(F.max("num_ratings")).first()[0] or 0
     n = DEFAULTS.recommendations
     popular = recommendation.popular_items(
         base.ratings, orders.items(spark, folder), n + reach
     ).drop("avg_rating", "num_ratings")
-    return recommendation.cold_start_items(cold, targets.seen, popular, n)
+    # as many rows as the largest profile of a user without neighbours, and n more
+    return recommendation.cold_start_items(
+        cold, targets.seen, popular, n, broadcast_popular=n + reach <= BROADCAST_ROWS
+    )
 
 
 def staged_recommendations(spark: SparkSession, folder: str) -> DataFrame:
@@ -291,7 +290,7 @@ def profile_summary(spark: SparkSession, folder: str) -> DataFrame:
     profile = _new_user(spark, folder).targets.profiles
     return recommendation.profile_summary(
         profile.select(
-            F.col("targetId").alias("profileId"), F.col("target_rating").alias("rating")
+            F.col("targetId").alias("profileId"), "movieId", F.col("target_rating").alias("rating")
         ),
         digits=6,
     )

@@ -109,29 +109,39 @@ def cold_start_items(
     seen: DataFrame,
     popular: DataFrame,
     n: int = DEFAULTS.recommendations,
+    broadcast_popular: bool = False,
 ) -> DataFrame:
     """Popular items that a target without neighbours has not rated.
 
     ``cold`` has ``targetId, num_ratings`` and ``popular`` the item columns with a
     ``rank`` from 1. A target that rated m items finds its ``n`` among the first
-    n + m ranks, so only these are looked at; ``popular`` must reach that far.
+    n + m ranks, so only these are looked at; ``popular`` must reach that far. All
+    targets look at the same first ranks, so ``popular`` should be broadcast if it is small.
     """
     looked_at = cold.select(
         "targetId",
         F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("num_ratings") + n)).alias("place"),
     )
     ranked = popular.withColumn("place", F.col("rank").cast("bigint")).drop("rank")
+    ranked = F.broadcast(ranked) if broadcast_popular else ranked
     unseen = looked_at.join(ranked, "place").join(
         seen.select("targetId", "movieId"), ["targetId", "movieId"], "left_anti"
     )
     return top_per(unseen, ["targetId"], [F.col("place")], n).drop("place")
 
 
+def one_rating_per_item(profiles: DataFrame) -> DataFrame:
+    """New-user profiles with the highest rating of each repeated item."""
+    return profiles.groupBy("profileId", "movieId").agg(F.max("rating").alias("rating"))
+
+
 def profile_summary(profiles: DataFrame, digits: int | None = None) -> DataFrame:
     """Mean and size of each new-user profile, with its rating type.
 
-    The mean is not rounded unless asked: a new user's similarity uses it as is.
+    The mean is not rounded unless asked: a new user's similarity uses it as is. Of an
+    item that a profile repeats, the highest rating counts.
     """
+    profiles = one_rating_per_item(profiles)
     mean = F.avg(F.col("rating").cast("double"))
     return profiles.groupBy("profileId").agg(
         round_half_up(mean, digits).alias("avg_rating"),

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from kinrate.config import BROADCAST_ROWS, DEFAULTS, FEW_TARGETS
 from kinrate.operators.cleaning import VALID_RANGE, clean_ratings
 from kinrate.operators.prediction import predict_ratings, profile_predictions, unseen_items
-from kinrate.operators.recommendation import top_n
+from kinrate.operators.recommendation import one_rating_per_item, top_n
 from kinrate.operators.similarity import (
     all_pairs_similarity,
     co_rated_counts,
@@ -180,10 +180,10 @@ def load_profiles(
 ) -> Targets:
     """New-user profiles as targets: one row ``profileId, movieId, rating`` per item.
 
-    A rating of 0 means not rated. Profiles of fewer than ``min_size`` ratings are
-    left out. Means are those of the profile, unrounded.
+    A rating of 0 means not rated; of a repeated item the highest rating counts. Profiles
+    of fewer than ``min_size`` ratings are left out. Means are those of the profile, unrounded.
     """
-    rated = profiles.filter(F.col("rating") > 0)
+    rated = one_rating_per_item(profiles.filter(F.col("rating") > 0))
     means = stage(
         rated.groupBy(F.col("profileId").alias("targetId"))
         .agg(

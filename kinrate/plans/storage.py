@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,25 +10,27 @@ from kinrate.config import BROADCAST_ROWS
 from kinrate.sources.files import write_table
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_removed_at_end: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder the session names for intermediate tables.
 
-    Only a local session may do without one: it gets a fresh temporary folder,
-    which all its tasks can see. On a cluster none is made up.
+    Without ``spark.checkpoint.dir`` it is a folder in the session's warehouse, which all
+    executors share as well; it goes when the application ends.
     """
     named = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-    return _local_dir()
-
-
-@cache
-def _local_dir() -> str:
-    return tempfile.mkdtemp(prefix="kinrate-")
+    application = spark.sparkContext.applicationId
+    path = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/kinrate-stages/{application}"
+    if application not in _removed_at_end:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(place)
+        files.deleteOnExit(place)
+        _removed_at_end.add(application)
+    return path
 
 
 def new_path(spark: SparkSession, name: str) -> str:

@@ -93,10 +93,10 @@ def test_prepared_tables_are_shared_while_the_files_stay_the_same(spark, tmp_pat
     folder = tmp_path / "tables"
     folder.mkdir()
     for name in ("lineitem", "orders"):
-        shutil.copy(f"{DATA}/{name}.parquet", folder)
+        shutil.copyfile(f"{DATA}/{name}.parquet", folder / f"{name}.parquet")
     first = queries.prepared(spark, str(folder)).ratings.inputFiles()
     assert queries.prepared(spark, str(folder)).ratings.inputFiles() == first
-    shutil.copy("/root/testdata/sf0.01/lineitem.parquet", folder)
+    shutil.copyfile("/root/testdata/sf0.01/lineitem.parquet", folder / "lineitem.parquet")
     changed = queries.prepared(spark, str(folder)).ratings
     assert changed.inputFiles() != first
     for key, place in list(queries._STORED.items()):

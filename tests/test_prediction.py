@@ -232,3 +232,19 @@ def test_profile_mean_is_not_rounded_and_zero_means_unrated(spark, ratings_of):
     summary = recommendation.profile_summary(profile.filter("rating > 0")).first()
     assert (summary.avg_rating, summary.num_ratings) == (11 / 3, 3)
     assert summary.rating_type == "Balanced"
+
+
+def test_a_profile_has_one_rating_per_item(spark, ratings_of):
+    from kinrate.operators.recommendation import profile_summary
+    from kinrate.plans.prepared import prepare
+    from kinrate.plans.profiles import NewUsers
+
+    ratings = ratings_of({1: {0: 4, 1: 2, 2: 5}, 2: {0: 1, 1: 5, 3: 2}})
+    base = prepare(ratings.selectExpr("*", "0L AS timestamp"))
+    rows = [(-1, 0, 4.0), (-1, 0, 3.0), (-1, 0, 4.0), (-1, 8, 2.0), (-1, 9, 1.0)]
+    profile = spark.createDataFrame(rows, "profileId int, movieId int, rating double")
+    # one shared item, however often it is listed, is no neighbour at three common items
+    assert NewUsers.load(base, profile, min_size=3).neighbors(min_common=3).count() == 0
+    assert NewUsers.load(base, profile, min_size=4).targets.means.count() == 0
+    summary = profile_summary(profile).first()
+    assert (summary.num_ratings, round(summary.avg_rating, 3)) == (3, 2.333)
