@@ -42,7 +42,7 @@ from kinrate.llm.words import Spans, hash_words, text_chunks
 from kinrate.plans.storage import stage
 
 # The most frequent shingles that are put last in the order: bounds what tasks are sent.
-FREQUENT = 200_000
+FREQUENT = 100_000
 FREQUENT_FROM = 8
 PARITIES = tuple(f"p{i}" for i in range(8))
 
@@ -193,12 +193,14 @@ def frequent_shingles(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         .where(F.col("times") >= FREQUENT_FROM)
         .orderBy(F.col("times").desc(), "shingle")
         .limit(FREQUENT)
-        .toPandas()
+        .toArrow()
     )
-    rows = rows.sort_values(["times", "shingle"])
-    shingles = rows["shingle"].to_numpy(dtype=np.int64).view(np.uint64)
+    shingles, times = (rows.column(c).to_numpy() for c in ("shingle", "times"))
+    rank = np.empty(len(shingles), dtype=np.int64)
+    rank[np.lexsort((shingles, times))] = np.arange(len(shingles))
+    shingles = shingles.astype(np.int64).view(np.uint64)
     order = np.argsort(shingles)
-    return shingles[order], np.arange(len(shingles))[order]
+    return shingles[order], rank[order]
 
 
 def compare(pairs: DataFrame, reps: DataFrame, docs: DataFrame, rule: Jaccard) -> DataFrame:

@@ -174,17 +174,16 @@ def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model | None:
         sample.select("lang", part, "text"),
         _count_rows,
         "lang string, part bigint, subwords binary, shares binary",
-    ).toPandas()
-    if counted.empty:
+    ).toArrow()
+    if not counted.num_rows:
         return None
-    counted = counted.sort_values(["part", "lang", "subwords"]).reset_index(drop=True)
-    languages = sorted(counted["lang"].unique())
-    labels = counted["lang"].map({name: i for i, name in enumerate(languages)}).to_numpy()
-    texts = [
-        (np.frombuffer(s, dtype="<u4").astype(np.int64), np.frombuffer(c, dtype="<f4").astype(np.float64))
-        for s, c in zip(counted["subwords"], counted["shares"])
-    ]
-    held = (counted["part"] == 0).to_numpy()
+    # in an order that does not depend on how the rows came in
+    found = sorted(zip(*(counted.column(c).to_pylist() for c in ("part", "lang", "subwords", "shares"))))
+    del counted
+    languages = sorted({row[1] for row in found})
+    labels = np.array([languages.index(row[1]) for row in found])
+    texts = [(np.frombuffer(s, dtype="<u4"), np.frombuffer(c, dtype="<f4")) for _, _, s, c in found]
+    held = np.array([row[0] == 0 for row in found])
     if held.all() or not held.any():
         held = np.zeros(len(held), dtype=bool)
     learn = np.flatnonzero(~held)
