@@ -79,7 +79,7 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 class Pieces:
     """Ids of texts, with the pieces met so far."""
 
-    def __init__(self, path: str, words: str):
+    def __init__(self, path: str, words: str, most: int = KEPT_PIECES):
         if words not in (SPACED, LOWERED):
             raise ValueError(f"words must be {SPACED!r} or {LOWERED!r}")
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -93,6 +93,7 @@ class Pieces:
         self.space = "" if self.lowered else self.letters[32]
         self.marks = {m: self._whole(m) for m in MARKS} | {"": b""}
         self.kept: dict[bytes, bytes] = {}
+        self.most = most
 
     def _whole(self, text: str) -> bytes:
         return struct_ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -113,7 +114,7 @@ class Pieces:
         return self._whole(text)
 
     def _ids(self, literals: list[bytes]) -> list[bytes]:
-        if len(self.kept) > KEPT_PIECES:
+        if len(self.kept) > self.most:
             self.kept.clear()
         found = []
         for literal in literals:
@@ -153,9 +154,9 @@ class Pieces:
 
 
 @cache
-def pieces_of(path: str, words: str) -> Pieces:
+def pieces_of(path: str, words: str, most: int = KEPT_PIECES) -> Pieces:
     """One for each worker and tokenizer file, with the pieces it has met."""
-    return Pieces(path, words)
+    return Pieces(path, words, most)
 
 
 def encoded_chunks(

@@ -35,6 +35,7 @@ from kinrate.llm.shipping import arrow_rows
 from kinrate.plans.storage import stage
 
 CAPACITY = 1024
+KEPT_PIECES = 200_000  # pieces of text that a worker keeps, while it has a task
 LEAST_PARTS = 64  # shares, ranked apart, of the pieces of one length
 PIECE = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
@@ -43,7 +44,7 @@ def _piece_rows(path: str, words: str, end_id: int, capacity: int, with_ids: boo
     end = struct_ids([end_id])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = pieces_of(path, words)
+        pieces = pieces_of(path, words, KEPT_PIECES)
         for batch in batches:
             for small, flat, first in encoded_chunks(batch, pieces):
                 row, number, start, length, crc, ids = [], [], [], [], [], []
@@ -74,6 +75,7 @@ def _piece_rows(path: str, words: str, end_id: int, capacity: int, with_ids: boo
                     columns.append(pa.array(ids, pa.binary()))
                     names.append("ids")
                 yield pa.record_batch(columns, names=names)
+        pieces.kept.clear()  # the worker lives on for other stages
 
     return run
 
