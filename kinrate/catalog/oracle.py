@@ -20,7 +20,7 @@ def _rank(partition: str, order: str) -> str:
 
 def _raw_as(name: str, rating: str) -> str:
     return f"""{name} AS (
-  SELECT CAST(o_custkey AS INTEGER) AS userId, CAST(l_partkey AS INTEGER) AS movieId,
+  SELECT CAST(o_custkey AS BIGINT) AS userId, CAST(l_partkey AS BIGINT) AS movieId,
          CAST({rating} AS DOUBLE) AS rating, l_shipdate, l_orderkey, l_linenumber
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
@@ -50,7 +50,7 @@ AVERAGES = f"""averages AS (
   SELECT userId, {_round("avg(rating)", 3)} AS avg_rating, count(rating) AS num_ratings
   FROM ratings GROUP BY userId)"""
 ITEMS = """items AS (
-  SELECT CAST(p_partkey AS INTEGER) AS movieId, p_name AS title,
+  SELECT CAST(p_partkey AS BIGINT) AS movieId, p_name AS title,
          concat_ws('|', p_type, p_brand) AS genres FROM part)"""
 MOST_ACTIVE = """most_active AS (
   SELECT userId FROM averages ORDER BY num_ratings DESC, userId LIMIT 1)"""
@@ -115,7 +115,7 @@ NEW_USER = f"""others AS (
 other_averages AS (
   SELECT * FROM averages WHERE userId NOT IN (SELECT userId FROM most_active)),
 profiles AS (
-  SELECT -1 AS targetId, movieId, rating AS target_rating,
+  SELECT CAST(-1 AS BIGINT) AS targetId, movieId, rating AS target_rating,
          avg(rating) OVER () AS target_mean
   FROM ratings WHERE userId IN (SELECT userId FROM most_active))"""
 NEW_SIMS = f"""sims AS (
@@ -208,10 +208,22 @@ FROM {{0}} p JOIN (
   SELECT *, {_rank("targetId, movieId", f"abs({_round('contribution', 10)}) DESC, userId")} AS position
   FROM contributions
 ) AS c ON c.targetId = p.targetId AND c.movieId = p.movieId WHERE c.position <= 5"""
-EXPLORED = f"""SELECT targetId, userId, {_round("similarity", 6)} AS similarity, common_movies,
-       avg_rating, num_ratings, rating_type,
-       {_round("abs(avg_rating - (SELECT min(target_mean) FROM profiles))", 6)} AS mean_gap
-FROM nearest WHERE similarity >= 0.5 AND common_movies >= 3"""
+TITLED = (
+    "SELECT x.*, coalesce(i.title, concat('Movie ', x.movieId)) AS title FROM ({0}) AS x"
+    " LEFT JOIN items i ON i.movieId = x.movieId"
+)
+
+
+def _explored(order: str) -> str:
+    gap = _round("abs(avg_rating - (SELECT min(target_mean) FROM profiles))", 6)
+    return f"""SELECT targetId, userId, {_round("similarity", 6)} AS similarity, common_movies,
+       avg_rating, num_ratings, rating_type, mean_gap, place AS rank
+FROM (
+  SELECT *, {_rank("targetId", f"{order}, userId")} AS place FROM (
+    SELECT *, {gap} AS mean_gap FROM nearest
+    WHERE similarity >= 0.5 AND common_movies >= 3) AS passed) AS placed"""
+
+
 LOVED = f"""theirs AS (
   SELECT n.targetId, n.userId, o.movieId, o.rating
   FROM nearest n JOIN others o ON o.userId = n.userId),
@@ -449,7 +461,7 @@ GROUP BY userId""",
     ),
     "profile_summary": _sql(
         WITH_NEW_USER,
-        f"""SELECT -1 AS profileId, {_round("avg(target_rating)", 6)} AS avg_rating,
+        f"""SELECT CAST(-1 AS BIGINT) AS profileId, {_round("avg(target_rating)", 6)} AS avg_rating,
        count(*) AS num_ratings, {RATING_TYPE.format("avg(target_rating)")} AS rating_type
 FROM profiles""",
     ),
@@ -510,18 +522,20 @@ JOIN (SELECT targetId, userId, count(*) FILTER (WHERE abs(rating1 - rating2) <=
   ON g.targetId = s.targetId AND g.userId = s.userId""",
     ),
     "compare_agreement_lists": _sql(
-        (*WITH_NEW_USER, COMMON),
-        """SELECT *, CASE WHEN rating1 >= 4 AND rating2 >= 4 THEN 'both_loved'
+        (*WITH_NEW_USER, COMMON, ITEMS),
+        TITLED.format("""SELECT *, CASE WHEN rating1 >= 4 AND rating2 >= 4 THEN 'both_loved'
                        ELSE 'both_disliked' END AS verdict
-FROM common WHERE (rating1 >= 4 AND rating2 >= 4) OR (rating1 <= 2.5 AND rating2 <= 2.5)""",
+FROM common WHERE (rating1 >= 4 AND rating2 >= 4) OR (rating1 <= 2.5 AND rating2 <= 2.5)"""),
     ),
     "compare_disagreements": _sql(
-        (*WITH_NEW_USER, COMMON),
-        _top(
-            "SELECT *, abs(rating1 - rating2) AS difference FROM common",
-            "targetId, userId",
-            "difference DESC, movieId",
-            10,
+        (*WITH_NEW_USER, COMMON, ITEMS),
+        TITLED.format(
+            _top(
+                "SELECT *, abs(rating1 - rating2) AS difference FROM common",
+                "targetId, userId",
+                "difference DESC, movieId",
+                10,
+            )
         ),
     ),
     "rating_regression": _sql(
@@ -537,12 +551,14 @@ FROM common WHERE (rating1 >= 4 AND rating2 >= 4) OR (rating1 <= 2.5 AND rating2
 FROM common GROUP BY targetId, userId""",
     ),
     "loved_unseen": _sql(
-        (*WITH_NEW_SIMS, LOVED),
-        _top("SELECT * FROM loved", "targetId, userId, loved_by", "rating DESC, movieId", 10),
+        (*WITH_NEW_SIMS, LOVED, ITEMS),
+        TITLED.format(
+            _top("SELECT * FROM loved", "targetId, userId, loved_by", "rating DESC, movieId", 10)
+        ),
     ),
-    "explore_neighbors": _sql(WITH_NEW_SIMS, EXPLORED),
-    "explore_neighbors_by_common": _sql(WITH_NEW_SIMS, EXPLORED),
-    "explore_neighbors_by_mean_gap": _sql(WITH_NEW_SIMS, EXPLORED),
+    "explore_neighbors": _sql(WITH_NEW_SIMS, _explored("similarity DESC")),
+    "explore_neighbors_by_common": _sql(WITH_NEW_SIMS, _explored("common_movies DESC")),
+    "explore_neighbors_by_mean_gap": _sql(WITH_NEW_SIMS, _explored("mean_gap")),
     "similarity_histogram": _sql(
         WITH_NEW_SIMS,
         f"""SELECT bin, {_round("bin * 0.05e0", 4)} AS bin_start,

@@ -98,7 +98,7 @@ def _similarities(spark: SparkSession, folder: str) -> DataFrame:
 def _predictions(spark: SparkSession, folder: str) -> DataFrame:
     targets = _targets(spark, folder)
     nearest = similarity.top_k_neighbors(targets.similarities())
-    return targets.predictions(nearest, DEFAULTS.neighbors)
+    return targets.predictions(nearest)
 
 
 def _recommendations(spark: SparkSession, folder: str, **options) -> DataFrame:
@@ -111,7 +111,7 @@ def _new_user(spark: SparkSession, folder: str) -> NewUsers:
     active = stage(_most_active(base), "most_active")
     profile = base.ratings.join(
         F.broadcast(active), base.ratings.userId == active.targetId
-    ).select(F.lit(NEW_USER).alias("profileId"), "movieId", "rating")
+    ).select(F.lit(NEW_USER).cast("bigint").alias("profileId"), "movieId", "rating")
     others = base.ratings.join(
         F.broadcast(active), base.ratings.userId == active.targetId, "left_anti"
     )
@@ -128,10 +128,12 @@ def _profile_predictions(spark: SparkSession, folder: str) -> tuple[NewUsers, Da
 
 def _common(spark: SparkSession, folder: str) -> tuple[NewUsers, DataFrame]:
     user = _new_user(spark, folder)
-    targets = user.targets
-    return user, comparison.common_items(
-        targets.prepared.ratings, targets.profiles, broadcast_left=targets.small
-    )
+    return user, user.targets.common_items()
+
+
+def _titled(rows: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
+    items = orders.items(spark, folder).drop("genres")
+    return recommendation.with_items(rows, items, title_fallback=True)
 
 
 # --- sources and sinks --------------------------------------------------------
@@ -236,7 +238,7 @@ def similarity_band_distribution(spark: SparkSession, folder: str) -> DataFrame:
 def unseen_items(spark: SparkSession, folder: str) -> DataFrame:
     targets = _targets(spark, folder)
     nearest = similarity.top_k_neighbors(targets.similarities())
-    return targets.unseen_items(nearest, DEFAULTS.neighbors)
+    return targets.unseen_items(nearest)
 
 
 def prediction_stats(spark: SparkSession, folder: str) -> DataFrame:
@@ -356,11 +358,11 @@ def compare_users(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def compare_agreement_lists(spark: SparkSession, folder: str) -> DataFrame:
-    return comparison.agreement_lists(_common(spark, folder)[1])
+    return _titled(comparison.agreement_lists(_common(spark, folder)[1]), spark, folder)
 
 
 def compare_disagreements(spark: SparkSession, folder: str) -> DataFrame:
-    return comparison.biggest_disagreements(_common(spark, folder)[1])
+    return _titled(comparison.biggest_disagreements(_common(spark, folder)[1]), spark, folder)
 
 
 def rating_regression(spark: SparkSession, folder: str) -> DataFrame:
@@ -371,9 +373,10 @@ def loved_unseen(spark: SparkSession, folder: str) -> DataFrame:
     user = _new_user(spark, folder)
     pairs = stage(user.neighbors().select("targetId", "userId"), "neighbors")
     few = pairs.count() <= BROADCAST_ROWS
-    return comparison.loved_unseen(
+    loved = comparison.loved_unseen(
         user.targets.prepared.ratings, user.targets.profiles, pairs, broadcast_pairs=few
     )
+    return _titled(loved, spark, folder)
 
 
 def _explore(sort_by: str) -> Query:

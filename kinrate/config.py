@@ -36,10 +36,10 @@ BROADCAST_ROWS = 500_000
 
 # When no side is broadcast, a single task takes on this many rows of one join key
 # from the large side and from the other. The most frequent keys of each side are
-# dealt out accordingly; the rest hold less than one row each in as many.
+# dealt out accordingly, this many of them for each shuffle partition.
 SHARE_ROWS = 50_000
 SIDE_ROWS = 2_000
-SPLIT_KEYS = 10_000
+SPLIT_KEYS = 10
 
 # An item with more raters than this is paired tile by tile, and it may be
 # left out of pair generation where an exact rule says it cannot decide a pair.

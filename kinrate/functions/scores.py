@@ -4,18 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-EXACT = "decimal(20,10)"
+EXACT = "decimal(38,10)"
 
 
 def round_half_up(value: Column, digits: int | None) -> Column:
     """Round half up in decimal arithmetic, so that every engine agrees.
 
     Ten decimal digits absorb the order-dependent noise of double sums before
-    the visible rounding happens.
+    the visible rounding happens. What no such decimal can hold (from 1e28 on, NaN)
+    has no digits to round and stays as it is.
     """
     if digits is None:
         return value.cast("double")
-    return F.round(value.cast(EXACT), digits).cast("double")
+    rounded = F.round(value.try_cast(EXACT), digits).cast("double")
+    return F.coalesce(rounded, value.cast("double"))
 
 
 def clamp(value: Column, low: float, high: float) -> Column:

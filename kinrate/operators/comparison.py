@@ -7,7 +7,7 @@ or those in ``pairs(targetId, userId)``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from kinrate.config import DEFAULTS, SHARE_ROWS, SIDE_ROWS
 from kinrate.functions.labels import RATING_TYPES, similarity_band
@@ -31,6 +31,8 @@ def common_items(
     side_rows: int = SIDE_ROWS,
 ) -> DataFrame:
     """Items rated on both sides: ``rating1`` is the comparing user's."""
+    if pairs is not None:
+        ratings = ratings.join(pairs.select("userId").distinct(), "userId", "left_semi")
     shared = co_ratings(ratings, left, broadcast_left, share_rows, side_rows)
     if pairs is not None:
         shared = shared.join(pairs.select(*PAIR), list(PAIR), "left_semi")
@@ -155,7 +157,7 @@ def explore_neighbors(
     rating_types=RATING_TYPES,
     sort_by: str = "similarity",
 ) -> DataFrame:
-    """Neighbours that pass three filters, sorted in one of three orders.
+    """Neighbours that pass three filters, ranked per target in one of three orders.
 
     ``neighbors`` carries ``avg_rating, rating_type, target_mean``; ``sort_by`` is
     ``similarity``, ``common`` or ``mean_gap``.
@@ -169,8 +171,10 @@ def explore_neighbors(
     }
     if sort_by not in orders:
         raise ValueError(f"sort_by must be one of {sorted(orders)}")
-    return described.filter(
+    place = Window.partitionBy("targetId").orderBy(orders[sort_by], "userId")
+    passed = described.filter(
         (F.col("similarity") >= min_similarity)
         & (F.col("common_movies") >= min_common)
         & F.col("rating_type").isin(*rating_types)
-    ).orderBy("targetId", orders[sort_by], "userId")
+    )
+    return passed.withColumn("rank", F.row_number().over(place)).orderBy("targetId", "rank")

@@ -12,15 +12,23 @@ from kinrate.config import SHARE_ROWS, SIDE_ROWS, SPLIT_KEYS
 def heavy_keys(df: DataFrame, key: str, rows: int, name: str) -> DataFrame:
     """The most frequent keys and in how many parts of ``rows`` each should be dealt.
 
-    At most ``SPLIT_KEYS`` rows, which may always be broadcast.
+    There are at most ``SPLIT_KEYS`` of them per shuffle partition, a list that may always
+    be broadcast. A key that is not among them has less than one part in ``SPLIT_KEYS`` of
+    a mean partition's rows, however large the table. No key is dealt to more parts than
+    there are partitions.
     """
+    conf = df.sparkSession.conf
+    partitions = int(conf.get("spark.sql.shuffle.partitions"))
+    initial = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    partitions = max(partitions, int(initial or 0))
+    parts = F.least(F.ceil(F.col("_rows") / float(rows)), F.lit(partitions))
     return (
         df.groupBy(key)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .filter(F.col("_rows") > rows)
         .orderBy(F.col("_rows").desc(), key)
-        .limit(SPLIT_KEYS)
-        .select(key, F.ceil(F.col("_rows") / float(rows)).cast("int").alias(name))
+        .limit(SPLIT_KEYS * partitions)
+        .select(key, parts.cast("int").alias(name))
     )
 
 

@@ -175,7 +175,7 @@ def _undeferred(rows: DataFrame, vectors: DataFrame, user: str = "userId") -> Da
     """Ratings that generate pairs, with the number of their user's other ones."""
     ids = F.transform(F.filter("hot", lambda x: x["deferred"]), lambda x: x["movieId"])
     marks = vectors.select(F.col("userId").alias(user), ids.alias("_ids"))
-    none = F.array().cast("array<int>")
+    none = F.array().cast("array<bigint>")
     return (
         rows.join(marks, user, "left")
         .withColumn("_ids", F.coalesce("_ids", none))

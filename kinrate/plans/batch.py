@@ -54,7 +54,7 @@ def run_batch(
     wanted = load_targets(base, targets)
     scores = store(wanted.similarities(min_common=min_common), SIMILARITY_SCORES)
     nearest = store(top_k_neighbors(scores, k, min_similarity), TOP_SIMILAR_USERS)
-    predicted = store(wanted.predictions(nearest, k), PREDICTED_RATINGS)
+    predicted = store(wanted.predictions(nearest), PREDICTED_RATINGS)
     final = store(
         top_n(predicted, items, n, min_prediction).orderBy("targetId", F.col("rank")),
         FINAL_RECOMMENDATIONS,

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kinrate.config import BROADCAST_ROWS, DEFAULTS, FEW_TARGETS
 from kinrate.operators.cleaning import VALID_RANGE, clean_ratings
+from kinrate.operators.comparison import common_items
 from kinrate.operators.prediction import predict_ratings, profile_predictions, unseen_items
 from kinrate.operators.recommendation import one_rating_per_item, top_n
 from kinrate.operators.similarity import (
@@ -84,16 +85,16 @@ class Targets:
         return self.count <= BROADCAST_ROWS
 
     def few_neighbors(self, k: int | None) -> bool:
-        """Whether k neighbours per target are few enough to be broadcast.
-
-        Methods that take ``k`` with neighbours rely on there being no more; None
-        stands for any number.
-        """
+        """Whether a cut to k rows per target leaves few enough to be broadcast."""
         return k is not None and self.count * k <= BROADCAST_ROWS
 
-    def _keep_neighbors(self, neighbors: DataFrame, k: int | None) -> DataFrame:
-        """Neighbours too many to broadcast are stored, as they are read repeatedly."""
-        return neighbors if self.few_neighbors(k) else stage(neighbors, "neighbors")
+    def common_items(self, users: DataFrame | Sequence[int] | None = None) -> DataFrame:
+        """Items that the targets share with the chosen users, or with everybody."""
+        ratings = self.prepared.ratings
+        if users is not None:
+            chosen = _as_targets(self.prepared, users).select(F.col("targetId").alias("userId"))
+            ratings = ratings.join(chosen, "userId", "left_semi")
+        return common_items(ratings, self.profiles, broadcast_left=self.small)
 
     def co_rated_counts(self, min_common: int = DEFAULTS.min_common) -> DataFrame:
         return co_rated_counts(
@@ -116,35 +117,38 @@ class Targets:
             **options,
         )
 
-    def unseen_items(self, neighbors: DataFrame, k: int | None) -> DataFrame:
+    def unseen_items(self, neighbors: DataFrame) -> DataFrame:
+        near = stage(neighbors, "neighbors")
         return unseen_items(
             self.prepared.ratings,
-            self._keep_neighbors(neighbors, k),
+            near,
             self.seen,
-            broadcast_neighbors=self.few_neighbors(k),
+            broadcast_neighbors=few_rows(near),
             broadcast_seen=self.small,
         )
 
-    def predictions(self, neighbors: DataFrame, k: int | None, **options) -> DataFrame:
+    def predictions(self, neighbors: DataFrame, **options) -> DataFrame:
+        near = stage(neighbors, "neighbors")
         return predict_ratings(
             self.prepared.ratings,
             self.prepared.averages,
-            self._keep_neighbors(neighbors, k),
+            near,
             self.means,
             self.seen,
-            broadcast_neighbors=self.few_neighbors(k),
+            broadcast_neighbors=few_rows(near),
             broadcast_seen=self.small,
             **options,
         )
 
-    def explained_predictions(self, neighbors: DataFrame, k: int | None, **options) -> DataFrame:
+    def explained_predictions(self, neighbors: DataFrame, **options) -> DataFrame:
+        near = stage(neighbors, "neighbors")
         return profile_predictions(
             self.prepared.ratings,
             self.prepared.averages,
-            self._keep_neighbors(neighbors, k),
+            near,
             self.means,
             self.seen,
-            broadcast_neighbors=self.few_neighbors(k),
+            broadcast_neighbors=few_rows(near),
             broadcast_seen=self.small,
             **options,
         )
@@ -207,7 +211,7 @@ def load_profiles(
 
 def user_ids(spark: SparkSession, users: Sequence[int]) -> DataFrame:
     """A few given users as ``targetId``; a literal, so Spark knows it is small."""
-    ids = F.lit([int(u) for u in users]).cast("array<int>")
+    ids = F.lit([int(u) for u in users]).cast("array<bigint>")
     return spark.range(1).select(F.explode(F.array_distinct(ids)).alias("targetId"))
 
 
@@ -242,7 +246,7 @@ def recommend(
     """The ``n`` best unseen items of each given user, in one plan."""
     targets = load_targets(prepared, _as_targets(prepared, users))
     nearest = top_k_neighbors(targets.similarities(min_common=min_common), k, min_similarity)
-    return top_n(targets.predictions(nearest, k), items, n, min_prediction)
+    return top_n(targets.predictions(nearest), items, n, min_prediction)
 
 
 def pooled_similarities(

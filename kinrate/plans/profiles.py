@@ -75,10 +75,8 @@ class NewUsers:
             )
         )
 
-    def predictions(
-        self, neighbors: DataFrame, k: int | None = DEFAULTS.profile_neighbors, **options
-    ) -> DataFrame:
-        return self.targets.explained_predictions(neighbors, k, **options)
+    def predictions(self, neighbors: DataFrame, **options) -> DataFrame:
+        return self.targets.explained_predictions(neighbors, **options)
 
     def recommendations(
         self,

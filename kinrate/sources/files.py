@@ -9,7 +9,7 @@ CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"'}
 FORMATS = ("csv", "parquet", "json")
 
 # Fixed value: schema of the stored user means.
-AVERAGES = "userId INT, avg_rating DOUBLE, num_ratings BIGINT"
+AVERAGES = "userId BIGINT, avg_rating DOUBLE, num_ratings BIGINT"
 
 
 def _read_text(spark: SparkSession, path: str, columns: tuple[str, ...]) -> DataFrame:
@@ -28,9 +28,10 @@ def _read_text(spark: SparkSession, path: str, columns: tuple[str, ...]) -> Data
     )
 
 
-def _int(name: str) -> Column:
-    # Through double, so that "7.0" is 7; text that is no number becomes NULL.
-    return F.expr(f"try_cast(try_cast(trim({name}) AS DOUBLE) AS INT)")
+def _id(name: str) -> Column:
+    # Through a decimal, so that "7.0" is 7 and no digit is lost; text that is no number
+    # becomes NULL.
+    return F.expr(f"try_cast(try_cast(trim({name}) AS DECIMAL(38,18)) AS BIGINT)")
 
 
 def _path_missing(error: AnalysisException) -> bool:
@@ -38,25 +39,25 @@ def _path_missing(error: AnalysisException) -> bool:
 
 
 def read_ratings(spark: SparkSession, path: str) -> DataFrame:
-    """Ratings CSV as ``userId INT, movieId INT, rating FLOAT, timestamp BIGINT``."""
+    """Ratings CSV as ``userId BIGINT, movieId BIGINT, rating FLOAT, timestamp BIGINT``."""
     raw = _read_text(spark, path, ("userId", "movieId", "rating", "timestamp"))
     return raw.select(
-        _int("userId").alias("userId"),
-        _int("movieId").alias("movieId"),
+        _id("userId").alias("userId"),
+        _id("movieId").alias("movieId"),
         F.expr("try_cast(trim(rating) AS FLOAT)").alias("rating"),
         F.expr("try_cast(trim(timestamp) AS BIGINT)").alias("timestamp"),
     )
 
 
 def read_items(spark: SparkSession, path: str) -> DataFrame | None:
-    """Item CSV as ``movieId INT, title, genres``; None where there is no file."""
+    """Item CSV as ``movieId BIGINT, title, genres``; None where there is no file."""
     try:
         raw = _read_text(spark, path, ("movieId", "title", "genres"))
     except AnalysisException as error:
         if not _path_missing(error):
             raise
         return None
-    return raw.select(_int("movieId").alias("movieId"), "title", "genres")
+    return raw.select(_id("movieId").alias("movieId"), "title", "genres")
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:

@@ -32,8 +32,8 @@ def _raw(spark: SparkSession, folder: str, rating: Column) -> DataFrame:
     lines = _table(spark, folder, "lineitem")
     orders = _table(spark, folder, "orders")
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
-        F.col("o_custkey").cast("int").alias("userId"),
-        F.col("l_partkey").cast("int").alias("movieId"),
+        F.col("o_custkey").cast("bigint").alias("userId"),
+        F.col("l_partkey").cast("bigint").alias("movieId"),
         rating.cast("double").alias("rating"),
         F.col("l_shipdate").alias("timestamp"),
         F.col("l_orderkey").alias("orderId"),
@@ -61,7 +61,7 @@ def dirty_ratings(spark: SparkSession, folder: str) -> DataFrame:
 def items(spark: SparkSession, folder: str) -> DataFrame:
     """Part names as titles; type and brand as the genre text."""
     return _table(spark, folder, "part").select(
-        F.col("p_partkey").cast("int").alias("movieId"),
+        F.col("p_partkey").cast("bigint").alias("movieId"),
         F.col("p_name").alias("title"),
         F.concat_ws("|", "p_type", "p_brand").alias("genres"),
     )

@@ -2,6 +2,7 @@ import pytest
 
 from kinrate.operators import comparison
 from kinrate.operators.stats import user_averages
+from kinrate.plans.prepared import Prepared, load_profiles
 
 USERS = {
     2: {1: 4.5, 2: 1.0, 3: 2.0, 4: 5.0, 7: 4.0},
@@ -37,6 +38,16 @@ def test_common_items_of_all_and_of_chosen_pairs(spark, sides, common):
     assert {r.userId for r in chosen.collect()} == {2} and chosen.count() == 3
 
 
+def test_targets_meet_only_chosen_users(spark, sides, common):
+    ratings, _, averages = sides
+    profile = spark.createDataFrame([(-1, i, r) for i, r in MINE.items()], "profileId int, movieId int, rating double")
+    targets = load_profiles(Prepared(ratings, averages), profile)
+    everybody = {(r.userId, r.movieId) for r in targets.common_items().collect()}
+    assert everybody == {(r.userId, r.movieId) for r in common.collect()}
+    chosen = targets.common_items([2, 5]).collect()
+    assert {(r.userId, r.movieId) for r in chosen} == {pair for pair in everybody if pair[0] == 2}
+
+
 def test_metrics(sides, common):
     rows = {r.userId: r for r in comparison.compare_users(common, sides[2]).collect()}
     assert set(rows) == {2, 3, 4}
@@ -103,6 +114,8 @@ def test_explore_filters_and_orders(spark):
         return [r.userId for r in comparison.explore_neighbors(neighbors, **options).collect()]
 
     assert ids() == [1, 2, 3]
+    ranked = comparison.explore_neighbors(neighbors, sort_by="common").collect()
+    assert {r.userId: r["rank"] for r in ranked} == {2: 1, 3: 2, 1: 3}
     assert ids(sort_by="common") == [2, 3, 1]
     assert ids(sort_by="mean_gap") == [3, 2, 1]
     assert ids(rating_types=["Balanced"], min_similarity=0.0, min_common=1) == [5, 3, 4]

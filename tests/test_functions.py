@@ -81,3 +81,9 @@ def test_title_falls_back_to_the_id(spark):
     df = spark.createDataFrame([(7, None), (8, "Up")], "movieId int, title string")
     got = df.select(title_or_default(F.col("title"), F.col("movieId"))).collect()
     assert [r[0] for r in got] == ["Movie 7", "Up"]
+
+
+def test_rounding_of_very_large_values(spark):
+    df = spark.createDataFrame([(2e10,), (1e30,), (None,)], "x double")
+    got = [r.y for r in df.select(round_half_up(F.col("x"), 6).alias("y")).collect()]
+    assert got == [2e10, 1e30, None]

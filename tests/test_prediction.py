@@ -200,7 +200,7 @@ def test_new_user_equals_the_same_known_user(spark, ratings_of, targets_of):
     left = {r.movieId: r.predicted_rating for r in new.predictions(found).collect()}
     right = {
         r.movieId: r.predicted_rating
-        for r in known.predictions(expected, 10, drop_undefined=True).collect()
+        for r in known.predictions(expected, drop_undefined=True).collect()
     }
     assert left == right and left
     top = new.recommendations(new.predictions(found), n=3).orderBy("rank").collect()

@@ -21,14 +21,21 @@ def test_columns_are_found_by_name(spark, tmp_path):
     path = write(tmp_path / "ratings.csv", "movieId,rating,userId\n2,3.5,1\n")
     ratings = files.read_ratings(spark, path)
     assert dict(ratings.dtypes) == {
-        "userId": "int",
-        "movieId": "int",
+        "userId": "bigint",
+        "movieId": "bigint",
         "rating": "float",
         "timestamp": "bigint",
     }
     assert [tuple(r) for r in ratings.collect()] == [(1, 2, 3.5, None)]
 
 
+def test_large_ids_keep_all_digits(spark, tmp_path):
+    large = 2**53 + 1
+    path = write(tmp_path / "ratings.csv", f"userId,movieId,rating\n{large},{2**31}.0,3.5\n{2**63},1e3,1\n")
+    got = [tuple(r)[:3] for r in files.read_ratings(spark, path).collect()]
+    assert got == [(large, 2**31, 3.5), (None, 1000, 1.0)]
+
+
 def test_item_titles_keep_commas_and_quotes(spark, tmp_path):
     rows = [(1, 'A "quoted" name, with comma', "Drama|War"), (2, "Plain", None)]
     items = spark.createDataFrame(rows, "movieId int, title string, genres string")
