@@ -4,9 +4,10 @@ Words are runs of characters other than ASCII white space. Of every group of six
 row, the inner substrings are its five pairs of neighbouring words. The group is an anchor
 if the pair with the least hash stands at its beginning or its end: this depends on the
 group's own words only, so that text inserted or replaced elsewhere moves no anchor. The
-fingerprint is the least ``SKETCH`` hashes of distinct anchors, in hexadecimal. The likeness
-of two fingerprints is the share, common to both, of the least hashes of their union: an estimate
-of the Jaccard similarity of all anchors, and the similarity itself if both are complete.
+fingerprint is the hashes of all distinct anchors in order, in hexadecimal. The likeness of two
+fingerprints is the Jaccard similarity of their anchors. ``anchor_rows`` gives each distinct anchor of a
+document with the word at which it first stands, and ``matches_with_next`` the places at which a document and
+the next one have the same anchors.
 
 A text of fewer than six words has one anchor, all its words. A null text counts as
 empty; a text without words has an empty fingerprint, and two of those are alike (1).
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 GROUP_WORDS = 6
-SKETCH = 64
+SKETCH = None  # hashes kept of a text's distinct anchors: all of them
 SPACES = " \t\n\x0b\x0c\r"  # fixed value: ASCII white space
 LEAST_BUCKETS = 8
 
@@ -40,31 +41,45 @@ def _pairs(words: Column) -> Column:
 
 
 def _syncmers(pairs: Column) -> Column:
-    """Hashes of the groups of which an outer pair is the least."""
+    """Places of the groups of which an outer pair is the least."""
     last = GROUP_WORDS - 2
     pair = lambda i, step: F.get(pairs, i + step)
     groups = F.sequence(F.lit(0), F.size(pairs) - 1 - last)
-    chosen = F.filter(
+    return F.filter(
         groups,
         lambda i: F.least(pair(i, 0), pair(i, last)) <= F.least(*[pair(i, s) for s in range(1, last)]),
     )
-    # every other pair covers all words of the group
-    return F.transform(chosen, lambda i: F.xxhash64(*[pair(i, s) for s in range(0, last + 1, 2)]))
 
 
-def sketch(text: Column) -> Column:
-    """The least hashes of distinct anchors, in order."""
+def _anchors(text: Column, value: Callable[[Column, Column], Column], kind: str) -> Column:
+    """``value`` of hash and place of each anchor, as a word number from 0, in order of places."""
     trimmed = F.btrim(text, F.lit(SPACES))
+    last = GROUP_WORDS - 2
+    # every other pair covers all words of the group
+    group = lambda pairs, i: F.xxhash64(*[F.get(pairs, i + s) for s in range(0, last + 1, 2)])
 
     def of_words(words: Column) -> Column:
         return (
-            F.when(F.size(words) >= GROUP_WORDS, _let(_pairs(words), _syncmers))
-            .when(F.get(words, F.lit(0)) == "", F.array().cast("array<bigint>"))
-            .otherwise(F.array(F.xxhash64(words)))
+            F.when(
+                F.size(words) >= GROUP_WORDS,
+                _let(_pairs(words), lambda p: F.transform(_syncmers(p), lambda i: value(group(p, i), i))),
+            )
+            .when(F.get(words, F.lit(0)) == "", F.array().cast(f"array<{kind}>"))
+            .otherwise(F.array(value(F.xxhash64(words), F.lit(0))))
         )
 
-    hashes = _let(F.split(trimmed, r"[\x20\x09-\x0D]+"), of_words)
-    return F.slice(F.sort_array(F.array_distinct(hashes)), 1, SKETCH)
+    return _let(F.split(trimmed, r"[\x20\x09-\x0D]+"), of_words)
+
+
+def sketch(text: Column) -> Column:
+    """The hashes of all distinct anchors, in order."""
+    return F.sort_array(F.array_distinct(_anchors(text, lambda h, i: h, "bigint")))
+
+
+def anchors(text: Column) -> Column:
+    """Hash and place of all anchors, in order of places."""
+    kind = "struct<anchor: bigint, position: int>"
+    return _anchors(text, lambda h, i: F.struct(h.alias("anchor"), i.alias("position")).cast(kind), kind)
 
 
 def fingerprint(hashes: Column) -> Column:
@@ -76,11 +91,11 @@ def fingerprint(hashes: Column) -> Column:
 def likeness(a: Column, b: Column) -> Column:
     """From 0 to 1, of two sketches."""
 
-    def share(least: Column) -> Column:
-        common = F.size(F.array_intersect(F.array_intersect(a, b), least))
-        return F.when(F.size(least) == 0, F.lit(1.0)).otherwise(common / F.size(least))
+    def share(common: Column) -> Column:
+        union = F.size(a) + F.size(b) - common
+        return F.when(union == 0, F.lit(1.0)).otherwise(common / union)
 
-    return _let(F.slice(F.sort_array(F.array_union(a, b)), 1, SKETCH), share)
+    return _let(F.size(F.array_intersect(a, b)), share)
 
 
 def _range_bucket(value: Column, splits: list[int]) -> Column:
@@ -155,3 +170,31 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
             likeness(F.col("own"), F.col("next")).alias("near_next"),
         )
     )
+
+
+def _first_places(rows: DataFrame, keys: list[str], text: str, position: str) -> DataFrame:
+    places = rows.select(*keys, F.inline(anchors(F.col(text))))
+    return places.groupBy(*keys, "anchor").agg(F.min("position").alias(position))
+
+
+def anchor_rows(docs: DataFrame) -> DataFrame:
+    """doc_id, anchor, and the word (from 0) at which the document first has it.
+
+    Rows that share a doc_id are one document here; those with a null doc_id are another.
+    """
+    rows = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"))
+    return _first_places(rows, ["doc_id"], "text", "position")
+
+
+def matches_with_next(docs: DataFrame) -> DataFrame:
+    """doc_id, anchor, position and next_position of each anchor that a document shares with the next."""
+    rows, order = with_next(docs)
+    placed = (
+        rows.withColumn("row", F.row_number().over(order))
+        .withColumn("next_text", F.lead("text").over(order))
+        .where(~F.col("guest"))
+    )
+    keys = ["bucket", "row", "doc_id"]
+    own = _first_places(placed, keys, "text", "position")
+    after = _first_places(placed.where("next_text IS NOT NULL"), keys, "next_text", "next_position")
+    return own.join(after, [*keys, "anchor"]).select("doc_id", "anchor", "position", "next_position")

@@ -1,0 +1,53 @@
+"""Anchors of long documents: all of them, with their places."""
+
+import random
+
+import pytest
+
+from kinrate.llm.fingerprints import GROUP_WORDS, anchor_rows, compare_with_next, matches_with_next
+
+from .test_native import text_hash
+
+BITS = (1 << 64) - 1
+
+
+def places(text):
+    """Groups of words that are anchors, with the first word's number."""
+    words = text.encode().split()
+    pairs = [text_hash(b, text_hash(a) & BITS) for a, b in zip(words, words[1:])]
+    found = {}
+    for i in range(len(words) - GROUP_WORDS + 1):
+        inner = pairs[i : i + GROUP_WORDS - 1]
+        if min(inner) in (inner[0], inner[-1]):
+            found.setdefault(tuple(words[i : i + GROUP_WORDS]), i)
+    return found
+
+
+def test_a_passage_shared_by_long_documents(spark, docs_of):
+    random_ = random.Random(5)
+    words = lambda name, n: [f"{name}{random_.randrange(10**6)}" for _ in range(n)]
+    passage = words("p", 50)
+    first = words("a", 3000) + passage + words("a", 2000)
+    second = words("b", 700) + passage + words("b", 4000)
+    texts = {2: " ".join(first), 1: " ".join(second)}
+    own, after = places(texts[2]), places(texts[1])
+    common = own.keys() & after.keys()
+    assert len(common) >= 10
+    docs = docs_of(texts)
+    row = compare_with_next(docs).where("doc_id = 2").first()
+    assert row.near_next == pytest.approx(len(common) / len(own.keys() | after.keys()))
+    assert len(row.fingerprint) == 16 * len(own)
+    got = sorted((r.position, r.next_position) for r in matches_with_next(docs).where("doc_id = 2").collect())
+    assert got == sorted((own[g], after[g]) for g in common)
+    assert {p - n for p, n in got} == {3000 - 700}
+    rows = anchor_rows(docs).where("doc_id = 2").collect()
+    assert sorted(r.position for r in rows) == sorted(own.values())
+
+
+def test_places_of_short_texts(docs_of):
+    rows = anchor_rows(docs_of({1: None, 2: " ", 3: "a b", 4: "a b c d e f " * 3})).collect()
+    assert sorted({r.doc_id for r in rows}) == [3, 4]
+    assert [r.position for r in rows if r.doc_id == 3] == [0]
+    assert matches_with_next(docs_of([])).count() == 0
+    # alone, a document is its own next
+    assert [(r.position, r.next_position) for r in matches_with_next(docs_of({3: "a b"})).collect()] == [(0, 0)]
