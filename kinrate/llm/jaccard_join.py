@@ -14,6 +14,8 @@ The result needs, for each document, its class of documents that links connect.
   parities of hashed shingles (a lower bound of the symmetric difference) differ too
   often, or if the distances of both members to their leader exclude it (Jaccard distance
   is a metric). What is left is compared, with no cap.
+* Links. ``jaccard_links`` counts the links of every row. It skips no list; pairs whose distances
+  to a leader add up to less than the threshold are links without a comparison.
 
 Frequent shingles are found by counting within tasks over all documents. They change
 only the order, hence the work, never the links. Comparisons count common shingles of
@@ -241,9 +243,12 @@ def _linked(compared: DataFrame, rule: Jaccard) -> DataFrame:
 
 
 def _open_pairs(
-    lists: DataFrame, compared: DataFrame, roots: DataFrame, reps: DataFrame, rule: Jaccard
+    lists: DataFrame, compared: DataFrame, roots: DataFrame, reps: DataFrame, rule: Jaccard, every: bool = False
 ) -> DataFrame:
-    """Pairs that lists with unconnected members still have to compare."""
+    """Pairs that lists with unconnected members still have to compare, or those of all lists.
+
+    ``sure`` marks pairs that their distances to a leader already link.
+    """
     # What stands before a shingle: at the first one that two sets share, all of it differs.
     along = Window.partitionBy("set_id").orderBy("position")
     lists = lists.repartition("set_id").dropDuplicates(["set_id", "shingle"])
@@ -254,7 +259,7 @@ def _open_pairs(
     split = (
         placed.groupBy("shingle")
         .agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        .where("low < high")
+        .where(F.lit(every) | (F.col("low") < F.col("high")))
         .select("shingle")
     )
     union = F.col("a_size") + F.col("b_size") - F.col("common")
@@ -285,7 +290,8 @@ def _open_pairs(
     different = sum(F.bit_count(F.col(f"a_{p}").bitwiseXOR(F.col(f"b_{p}"))) for p in PARITIES)
     return (
         a.join(b, ["shingle", "met"])
-        .where("a_root != b_root AND (a_block < b_block OR a_set_id < b_set_id)")
+        .where(F.lit(every) | (F.col("a_root") != F.col("b_root")))
+        .where("a_block < b_block OR a_set_id < b_set_id")
         .where(100 * F.least("a_size", "b_size") >= rule.percent * F.greatest("a_size", "b_size"))
         .where(~F.coalesce(F.arrays_overlap("a_earlier", "b_earlier"), F.lit(False)))
         # common >= percent / (100 + percent) * both, and different <= both - 2 * common
@@ -300,12 +306,36 @@ def _open_pairs(
                 F.abs(F.col("a_far") - F.col("b_far")) <= 1 - rule.percent / 100 + 1e-9, F.lit(True)
             )
         )
-        .select(F.col("a_set_id").alias("a"), F.col("b_set_id").alias("b"))
-        .distinct()
+        .groupBy(F.col("a_set_id").alias("a"), F.col("b_set_id").alias("b"))
+        .agg(F.max(F.coalesce(F.col("a_far") + F.col("b_far") <= 1 - rule.percent / 100 - 1e-9, F.lit(False))).alias("sure"))
+    )
+
+
+def _link_counts(links: DataFrame, sets: DataFrame) -> DataFrame:
+    """For each set, the rows that its rows are linked with: copies, and rows of linked sets."""
+    copies = sets.where("set_id IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_id").agg(F.count("*").alias("rows"))
+    # a link may have been found from both sides
+    pairs = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = (
+        both.join(copies.withColumnRenamed("set_id", "b"), "b")
+        .groupBy(F.col("a").alias("set_id"))
+        .agg(F.sum("rows").alias("others"))
     )
+    return copies.join(others, "set_id", "left").select(
+        "set_id", (F.col("rows") - 1 + F.coalesce("others", F.lit(0))).cast("bigint").alias("n_links")
+    )
+
+
+def jaccard_links(docs: DataFrame, rule: Jaccard = Jaccard()) -> DataFrame:
+    """As ``jaccard_classes``, with n_links: the number of other rows that each row is linked with.
+
+    Rows with an equal set are linked. No list is skipped, so the work grows with the number of links.
+    """
+    return jaccard_classes(docs, rule, with_links=True)
 
 
-def jaccard_classes(docs: DataFrame, rule: Jaccard = Jaccard()) -> DataFrame:
+def jaccard_classes(docs: DataFrame, rule: Jaccard = Jaccard(), with_links: bool = False) -> DataFrame:
     """doc_id, row_key, n_shingles and component_id (the least linked doc_id) of every row.
 
     row_key is the hash of the text; ``stays`` marks one text of each class, its first.
@@ -349,8 +379,12 @@ def jaccard_classes(docs: DataFrame, rule: Jaccard = Jaccard()) -> DataFrame:
     compared = compare(stars, reps, docs, rule)
     links = _linked(compared, rule)
     roots = stage(connected(links), "roots")
-    more = _open_pairs(lists, compared, roots, reps, rule)
-    links = links.unionByName(_linked(compare(more, reps, docs, rule), rule))
+    more = _open_pairs(lists, compared, roots, reps, rule, every=with_links)
+    if with_links:
+        more = stage(more, "open")
+        links = links.unionByName(more.where("sure").select("a", "b"))
+        more = more.where("NOT sure")
+    links = links.unionByName(_linked(compare(more.drop("sure"), reps, docs, rule), rule))
     roots = stage(connected(links), "roots")
     classes = roots.withColumnRenamed("node", "set_id").join(
         reps.select("set_id", F.struct("doc_id", "row_key").alias("rep")), "set_id"
@@ -362,10 +396,16 @@ def jaccard_classes(docs: DataFrame, rule: Jaccard = Jaccard()) -> DataFrame:
     named = stage(named, "named")
     alone = F.col("set_id").isNull() | F.col("doc_id").isNull()
     first = (F.col("doc_id") == F.col("least.doc_id")) & (F.col("row_key") == F.col("least.row_key"))
+    columns = []
+    if with_links:
+        sets = sets.join(_link_counts(links, sets), "set_id", "left")
+        counted = F.when(alone, F.lit(0)).otherwise(F.col("n_links"))
+        columns = [counted.cast("bigint").alias("n_links")]
     return sets.join(named, "set_id", "left").select(
         "doc_id",
         "row_key",
         "n_shingles",
         F.when(alone, F.col("doc_id")).otherwise(F.col("least.doc_id")).alias("component_id"),
         F.when(alone, F.lit(True)).otherwise(first).alias("stays"),
+        *columns,
     )
