@@ -69,7 +69,7 @@ def without_repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the texts with their places in sequences of 1024 tokens."""
+    """Pieces of the texts, as token ids, with their places in sequences of 1024 tokens."""
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2, capacity=1024)
 
 

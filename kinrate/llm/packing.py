@@ -86,9 +86,9 @@ def cut_documents(
     words: str = SPACED,
     end_id: int = 2,
     capacity: int = CAPACITY,
-    with_ids: bool = False,
+    with_ids: bool = True,
 ) -> DataFrame:
-    """The pieces of each document with length and checksum, and their ids if wanted."""
+    """The pieces of each document with length, checksum, and their ids (little-endian, 32 bits)."""
     schema = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
     source = docs.select(F.col("doc_id").cast("bigint"), "text")
     return arrow_rows(
@@ -233,9 +233,26 @@ def pack_documents(
     words: str = SPACED,
     end_id: int = 2,
     capacity: int = CAPACITY,
-    with_ids: bool = False,
+    with_ids: bool = True,
 ) -> DataFrame:
-    """Each piece of each document with its sequence and its offset there."""
+    """Each piece of each document with its sequence, its offset there, and its token ids.
+
+    The checksum is that of the ids as packed. Without ids it is the one from cutting.
+    """
     pieces = stage(cut_documents(docs, path, words, end_id, capacity, with_ids), "pieces")
-    columns = [*PIECE, "sequence_id", "offset", *(["ids"] if with_ids else [])]
-    return pack(pieces, capacity).select(*columns)
+    packed = pack(pieces, capacity)
+    if with_ids:
+        packed = packed.withColumn("ids_crc32", F.crc32("ids"))
+    return packed.select(*PIECE, "sequence_id", "offset", *(["ids"] if with_ids else []))
+
+
+def sequence_rows(packed: DataFrame) -> DataFrame:
+    """sequence_id, n_tokens and ids of each sequence: its pieces in order of their offsets.
+
+    A sequence has at most ``capacity`` tokens, so a group is small.
+    """
+    parts = F.transform(F.sort_array(F.collect_list(F.struct("offset", "length", "ids"))), lambda p: p["ids"])
+    return packed.groupBy("sequence_id").agg(
+        F.sum("length").alias("n_tokens"),
+        F.aggregate(parts, F.lit(b"").cast("binary"), lambda whole, part: F.concat(whole, part)).alias("ids"),
+    )
