@@ -6,8 +6,13 @@ dense array of scores. Per component (term), the queries that have it scatter it
 times the candidates' postings of that component into the array. The best k of each
 query are selected in each block, and a last top-k over blocks merges them.
 
-A vector that is null, or holds a null, a NaN, an infinite component, or one too large for
-exact 64-bit scores, takes no part; nor does a row with a null id. A missing component of
+Scores are exact at every size of the components: pairs whose products could leave 64 bits are
+added up as Python's integers. They are ranked by their true scores; a score that does not fit
+in a signed 64-bit integer is shown as null. A component of type double beyond 2**1013, which has
+no scaled value, raises an error.
+
+A vector that is null, or holds a null, a NaN or an infinite component, takes no part; nor does a
+row with a null id. A missing component of
 a shorter vector is 0. Rows that repeat an id count once, by the least vector. Ties go to
 the smaller id. Other columns are ignored. An empty table gives an empty result.
 """
@@ -28,23 +33,32 @@ SCALE = 1024
 K = 10
 QUERY_BLOCK = 512
 CANDIDATE_BLOCK = 4096
-LARGEST = float(1 << 24)  # of a scaled component
+SAFE = float(1 << 62)  # sums of magnitudes up to here are exact in 64 bits
+WHOLE = float(1 << 52)  # doubles from here on are whole numbers
 
-_RESULT = "query_id bigint, vec_id bigint, score bigint"
+_RESULT = "query_id bigint, vec_id bigint, score bigint, beyond int, size binary"
 
 
 def whole_vectors(rows: DataFrame, scale: int = SCALE) -> DataFrame:
-    """vec_id and weights: floor(scale * x) of each component x."""
+    """vec_id and weights: floor(scale * x) of each component x, a whole number as a double."""
 
     def usable(x: Column) -> Column:
+        value = x.cast("double")
+        return x.isNotNull() & ~F.isnan(value) & (F.abs(value) != float("inf"))
+
+    def weight(x: Column) -> Column:
         scaled = x.cast("double") * scale
-        return x.isNotNull() & ~F.isnan(x) & (F.abs(scaled) < LARGEST)
+        too_large = F.raise_error(F.lit("a component is too large to be scaled")).cast("double")
+        return (
+            F.when(F.abs(scaled) < WHOLE, F.floor(scaled).cast("double"))
+            .when(F.abs(scaled) == float("inf"), too_large)
+            .otherwise(scaled)
+        )
 
-    weights = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("int"))
     return (
         rows.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull())
         .where(F.forall("embedding", usable))
-        .select(F.col("vec_id").cast("bigint"), weights.alias("weights"))
+        .select(F.col("vec_id").cast("bigint"), F.transform("embedding", weight).alias("weights"))
         .groupBy("vec_id")
         .agg(F.min("weights").alias("weights"))
     )
@@ -60,8 +74,8 @@ def _matrix(vectors: pa.StructArray, width: int) -> tuple[np.ndarray, np.ndarray
     ids, lists = vectors.field("vec_id").to_numpy(), vectors.field("weights")
     bounds = lists.offsets.to_numpy()
     sizes = np.diff(bounds)
-    flat = lists.values.to_numpy()[bounds[0] : bounds[-1]].astype(np.int64)
-    matrix = np.zeros((len(ids), width), dtype=np.int64)
+    flat = lists.values.to_numpy()[bounds[0] : bounds[-1]]
+    matrix = np.zeros((len(ids), width), dtype=np.float64)
     row = np.repeat(np.arange(len(ids)), sizes)
     matrix[row, np.arange(len(flat)) - np.repeat(bounds[:-1] - bounds[0], sizes)] = flat
     order = np.argsort(ids)
@@ -83,6 +97,39 @@ def accumulate(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
     return scores
 
 
+def exact_scores(queries: np.ndarray, candidates: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Inner products of whole numbers given as doubles, and the pairs that left 64 bits open.
+
+    Without such pairs the scores are 64-bit, otherwise Python's integers.
+    """
+    whole = [np.where(np.abs(m) <= SAFE, m, 0).astype(np.int64) for m in (queries, candidates)]
+    most = [np.abs(m).max(initial=0.0) for m in (queries, candidates)]
+    if max(most) <= SAFE and most[0] * most[1] * queries.shape[1] <= SAFE:
+        return accumulate(*whole), []
+    # the magnitudes' sum bounds every partial sum; the margin covers rounding
+    with np.errstate(over="ignore", invalid="ignore"):
+        bound = np.abs(queries) @ np.abs(candidates).T
+    wide = ~(bound * (1 + 1e-6) <= SAFE)
+    # a weight beyond 64 bits is 0 in whole, right only beside a 0
+    large = [(np.abs(m) > SAFE).any(axis=1) for m in (queries, candidates)]
+    wide |= large[0][:, None] | large[1][None, :]
+    scores = accumulate(*whole).astype(object)
+    pairs = np.argwhere(wide).tolist()
+    integers: list[dict[int, list[int]]] = [{}, {}]
+    for i, j in pairs:
+        a, b = (
+            kept.get(n) or kept.setdefault(n, [int(x) for x in m[n].tolist()])
+            for kept, n, m in zip(integers, (i, j), (queries, candidates))
+        )
+        scores[i, j] = sum(x * y for x, y in zip(a, b))
+    return scores, pairs
+
+
+def _ordered_bytes(value: int) -> bytes:
+    """Bytes of one length in the order of the numbers: products of doubles take some 2100 bits."""
+    return (value + (1 << 2200)).to_bytes(280, "big")
+
+
 def _best_rows(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -93,7 +140,7 @@ def _best_rows(k: int):
                 )
                 query_ids, queries = _matrix(wanted, width)
                 ids, candidates = _matrix(rows, width)
-                scores = accumulate(queries, candidates)
+                scores, _ = exact_scores(queries, candidates)
                 found = []
                 for query, row in zip(query_ids.tolist(), scores):
                     others = np.flatnonzero(ids != query)
@@ -102,10 +149,22 @@ def _best_rows(k: int):
                         least = np.partition(own, len(own) - k)[len(own) - k]
                         others = others[own >= least]
                         own = row[others]
-                    best = np.lexsort((ids[others], -own))[:k]
-                    found.append((np.full(len(best), query), ids[others[best]], own[best]))
-                columns = [np.concatenate(c) for c in zip(*found)]
-                yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"])
+                    if own.dtype == object:
+                        best = np.array(
+                            sorted(range(len(own)), key=lambda n: (-own[n], ids[others[n]]))[:k], dtype=np.int64
+                        )
+                    else:
+                        best = np.lexsort((ids[others], -own))[:k]
+                    found += [(query, int(ids[others[n]]), int(own[n])) for n in best.tolist()]
+                beyond = [(s >= 1 << 63) - (s < -(1 << 63)) for _, _, s in found]
+                columns = [
+                    pa.array([q for q, _, _ in found], pa.int64()),
+                    pa.array([c for _, c, _ in found], pa.int64()),
+                    pa.array([None if b else s for (_, _, s), b in zip(found, beyond)], pa.int64()),
+                    pa.array(beyond, pa.int32()),
+                    pa.array([_ordered_bytes(s) if b else None for (_, _, s), b in zip(found, beyond)], pa.binary()),
+                ]
+                yield pa.record_batch(columns, names=["query_id", "vec_id", "score", "beyond", "size"])
 
     return run
 
@@ -126,7 +185,10 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = K) -> DataFrame:
     # (query block, candidate block) pairs, dealt out evenly
     met = asked.join(there, "candidates_block").select("queries", "candidates")
     best = arrow_rows(met, _best_rows(k), _RESULT)
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    # scores beyond 64 bits, by their bytes, above or below all others
+    order = Window.partitionBy("query_id").orderBy(
+        F.col("beyond").desc(), F.col("size").desc(), F.col("score").desc(), "vec_id"
+    )
     return (
         best.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
