@@ -3,9 +3,10 @@
 A subword is two to four neighbouring bytes of the text in lower case, in which all
 characters other than letters are one blank. Each is hashed to a row of an embedding; a text is the
 average of all its subwords, and a linear softmax over it gives the languages. Both are trained
-together by stochastic gradient descent in numpy, on a bounded sample of the labelled rows
-(SAMPLE_ROWS expected, at most twice as many), to which executors send counts of
-subwords instead of texts. Part of the sample is held back to calibrate: a temperature for the
+together by stochastic gradient descent in numpy, on a bounded sample of the labelled rows:
+of each language all rows up to its share of SAMPLE_ROWS (LEAST_ROWS at least), beyond that as many
+drawn by hash, so that every language with a lettered text is learned however rare it is. Executors
+send counts of subwords instead of texts. Part of the sample is held back to calibrate: a temperature for the
 scores, and the score below which a prediction is rejected, such that about one in a
 thousand of the right predictions would be.
 
@@ -24,12 +25,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.window import Window
 
 from kinrate.llm.shipping import arrow_rows
 from kinrate.llm.words import text_chunks
 
 UNKNOWN = "und"
 SAMPLE_ROWS = 4000
+LEAST_ROWS = 50  # of a language, if there are so many that their shares would be less
 BITS = 14
 DIMENSIONS = 16
 ORDERS = (2, 3, 4)
@@ -163,13 +166,24 @@ def _calibrate(model: Model, logits: np.ndarray, labels: np.ndarray) -> None:
 
 def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model | None:
     """A model from rows with text and lang; ``key`` chooses the sample and its parts."""
-    rows = labelled.where("text IS NOT NULL AND lang IS NOT NULL")
-    total = rows.count()
-    if not total:
-        return None
+    rows = labelled.where("text IS NOT NULL AND lang IS NOT NULL").where(F.regexp_like("text", F.lit(r"\p{L}")))
     cells = 1 << 30
-    place = F.pmod(F.xxhash64("key", F.lit("sample")), F.lit(cells))
-    sample = rows.where(place < int(cells * min(1.0, sample_rows / total))).limit(2 * sample_rows)
+    place = F.pmod(F.xxhash64("key", "text", F.lit("sample")), F.lit(cells))
+    rows = rows.withColumn("place", place)
+    found = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("there"), F.min("place").alias("first")).collect()
+    if not found:
+        return None
+    share = max(LEAST_ROWS, -(-sample_rows // len(found)))
+    # twice the share, of which the first ones count; a language's first row is always among them
+    drawn = [(r.lang, max(r.first + 1, int(cells * min(1.0, 2 * share / r.there)))) for r in found]
+    below = labelled.sparkSession.createDataFrame(drawn, "lang string, below bigint")
+    first = Window.partitionBy("lang").orderBy("place", "key", F.xxhash64("text"))
+    sample = (
+        rows.join(F.broadcast(below), "lang")  # a row for each language
+        .where("place < below")
+        .withColumn("n", F.row_number().over(first))
+        .where(F.col("n") <= share)
+    )
     part = F.pmod(F.xxhash64("key", F.lit("part")), F.lit(5)).alias("part")
     counted = arrow_rows(
         sample.select("lang", part, "text"),
@@ -185,8 +199,8 @@ def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model | None:
     labels = np.array([languages.index(row[1]) for row in found])
     texts = [(np.frombuffer(s, dtype="<u4"), np.frombuffer(c, dtype="<f4")) for _, _, s, c in found]
     held = np.array([row[0] == 0 for row in found])
-    if held.all() or not held.any():
-        held = np.zeros(len(held), dtype=bool)
+    # a language of which all rows would be held back is learned from them
+    held &= np.bincount(labels[~held], minlength=len(languages))[labels] > 0
     learn = np.flatnonzero(~held)
     embedding, weights, bias = _gradient_descent([texts[i] for i in learn], labels[learn], len(languages))
     model = Model(languages, embedding @ weights, bias)
