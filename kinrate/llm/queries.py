@@ -46,8 +46,7 @@ def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in sequences of 1024 tokens, shown by the checksums of the packed ids."""
     path = public_tokenizers.path("byte_bpe_50k.json")
-    packed = pack_documents(documents(spark, folder), path, end_id=2, capacity=1024)
-    return stage(packed, "packed").withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return pack_documents(documents(spark, folder), path, end_id=2, capacity=1024).drop("ids")
 
 
 def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
