@@ -5,7 +5,8 @@ count (both). A batch of changes is summed up to signed numbers of documents and
 by key and written to the folder of its batch id; then the batch is marked as committed.
 Totals are the sums over committed batches. A batch that is committed again, whole or
 after a crash half way, replaces its own folder, so it never counts twice. Batches can be
-merged into one snapshot, which lists the batches that it contains.
+merged into one snapshot, which lists the batches that it contains; one of these that is
+committed to the snapshot's store again changes nothing. The name ``snapshot`` is kept for it.
 
 Null counts are as above; a change with neither count changes nothing. Null keys are keys
 of their own. Repeated changes count each time. Other columns are ignored. An empty batch
@@ -19,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 KEYS = ("source", "lang", "tokenizer")
 _DELTAS = "source string, lang string, tokenizer string, n_docs bigint, n_tokens bigint"
 _MARKS = "batch_id string"
+SNAPSHOT = "snapshot"
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -49,6 +51,10 @@ class TokenCounts:
         """Add a batch, or replace it by the same batch."""
         if not batch_id.replace("-", "").replace("_", "").isalnum():
             raise ValueError("a batch id has letters, digits, - and _ only")
+        if batch_id == SNAPSHOT:
+            raise ValueError(f"{SNAPSHOT!r} names the merged batches")
+        if self._merged().where(F.col("batch_id") == batch_id).first():
+            return
         deltas(changes).write.mode("overwrite").parquet(f"{self.folder}/deltas/batch_id={batch_id}")
         mark = self.spark.createDataFrame([(batch_id,)], _MARKS)
         mark.write.mode("overwrite").parquet(f"{self.folder}/commits/of={batch_id}")
@@ -59,22 +65,32 @@ class TokenCounts:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(path)
 
-    def batches(self) -> DataFrame:
+    def _stored(self) -> DataFrame:
+        """Batches with changes of their own here."""
         return self._read("commits", _MARKS).select("batch_id").distinct()
 
+    def _merged(self) -> DataFrame:
+        """Batches that the snapshot contains."""
+        return self._read("merged", _MARKS).select("batch_id").distinct()
+
+    def batches(self) -> DataFrame:
+        return self._stored().unionByName(self._merged()).distinct()
+
     def totals(self) -> DataFrame:
         """Documents and tokens by key, without keys that have neither."""
         rows = self._read("deltas", f"{_DELTAS}, {_MARKS}")
         return (
-            rows.join(self.batches(), "batch_id", "left_semi")
+            rows.join(self._stored(), "batch_id", "left_semi")
             .groupBy(*KEYS)
             .agg(F.sum("n_docs").cast("bigint").alias("n_docs"), F.sum("n_tokens").cast("bigint").alias("n_tokens"))
             .where("n_docs != 0 OR n_tokens != 0")
         )
 
     def snapshot(self, folder: str) -> TokenCounts:
-        """The committed batches merged into one of a new store, with their marks."""
-        self.totals().write.mode("errorifexists").parquet(f"{folder}/deltas/batch_id=snapshot")
-        marks = self.batches().unionByName(self.spark.createDataFrame([("snapshot",)], _MARKS))
-        marks.write.mode("errorifexists").parquet(f"{folder}/commits/of=snapshot")
+        """The committed batches merged into one of a new store, which lists them."""
+        self.totals().write.mode("errorifexists").parquet(f"{folder}/deltas/batch_id={SNAPSHOT}")
+        merged = self.batches().where(F.col("batch_id") != SNAPSHOT)
+        merged.write.mode("errorifexists").parquet(f"{folder}/merged/of={SNAPSHOT}")
+        mark = self.spark.createDataFrame([(SNAPSHOT,)], _MARKS)
+        mark.write.mode("errorifexists").parquet(f"{folder}/commits/of={SNAPSHOT}")
         return TokenCounts(self.spark, folder)
