@@ -122,10 +122,29 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
 ) WHERE rank <= 10
 """
 
+LINES = f"""
+WITH lines AS (
+  SELECT doc_id, text, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+    unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS i
+  FROM documents
+), keyed AS (
+  SELECT *, translate(
+    trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{UPPER}', '{LOWER}') AS key
+  FROM lines
+), firsts AS (
+  SELECT key, min(doc_id) AS first FROM keyed
+  WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2
+)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (first < doc_id)::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (first IS NULL OR first >= doc_id), '')) AS kept_sha256
+FROM keyed LEFT JOIN firsts USING (key) GROUP BY doc_id
+"""
+
 ORACLE = {
     "op1_substring_dedup": SUBSTRING,
     "op3_license_scan": LICENCES,
     "op5_jaccard_join": JACCARD,
     "op7_token_counts": COUNTS,
     "op10_topk_search": SEARCH,
+    "op12_line_dedup": LINES,
 }

@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kinrate.llm import byte_bpe, fingerprints, language_id, licences, topk_search
 from kinrate.llm.jaccard_join import Jaccard, jaccard_classes
+from kinrate.llm.line_dedup import remove_lines
 from kinrate.llm.packing import pack_documents
+from kinrate.llm.periodic_runs import best_run, periodic_runs
+from kinrate.llm.resampling import Resampling, resample
 from kinrate.llm.substring_dedup import remove_repeats
 from kinrate.llm.token_counts import TokenCounts
 from kinrate.llm.token_files import token_offsets, write_token_files
@@ -120,6 +123,61 @@ def op10_topk_search(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    """A quarter of the longer documents, drawn towards the words of the benchmark."""
+    targets = spark.read.parquet(f"{folder}/benchmark.parquet")
+    rows = resample(documents(spark, folder), targets, Resampling(width=2, buckets=10_000, percent=25, min_words=20, seed=7))
+    return rows.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of ten characters or more that an earlier document has, removed."""
+    rows = remove_lines(documents(spark, folder).select("doc_id", "text"), least_chars=10)
+    return rows.select("doc_id", "n_lines", "n_dropped", "kept_sha256")
+
+
+def replanted(docs: DataFrame) -> DataFrame:
+    """doc_id and text, of which one in ten repeats a part of itself up to its end.
+
+    With h the CRC-32 of the id and g = h div 10, from word a = g mod n on the words are
+    those of the p words there, again and again, for p = 1 + (n - a) div (3 + g mod 8).
+    """
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def repeated(words: F.Column) -> F.Column:
+        n = F.size(words)
+        a = g % n
+        p = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))
+        from_place = lambda i: F.when(i < a, i).otherwise(a + (i - a) % p)
+        places = F.sequence(F.lit(0), n - 1)
+        return F.array_join(F.transform(places, lambda i: F.get(words, from_place(i).cast("int"))), " ")
+
+    words = F.regexp_extract_all("text", F.lit(f"({WORD})"))
+    # a lambda over one element, so that the words are found once and not for each place
+    edited = F.get(
+        F.transform(F.array(words), lambda w: F.when(F.size(w) > 0, repeated(w)).otherwise(F.col("text"))), F.lit(0)
+    )
+    return docs.select("doc_id", F.when(h % 10 == 0, edited).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of every text after the planted edit, and digests of all of them."""
+    rows = periodic_runs(replanted(documents(spark, folder)), least_words=6, times=4)
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    return rows.withColumn("best", best_run(F.col("runs"))).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length DIV best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed_text", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -133,5 +191,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_byte_bpe,
         op9_fingerprints,
         op10_topk_search,
+        op11_importance_resampling,
+        op12_line_dedup,
+        op13_periodic_runs,
     )
 }
