@@ -8,12 +8,13 @@ from kinrate.plans.prepared import (
     find_similar_users,
     load_prepared,
     load_targets,
+    nearest_of_all,
     pooled_similarities,
     prepare,
     recommend,
-    similarity_matrix,
 )
 from kinrate.plans.profiles import NewUsers
+from kinrate.plans.storage import scratch
 from kinrate.sources.files import read_items, read_ratings, read_table, write_table
 
 __all__ = [
@@ -25,6 +26,7 @@ __all__ = [
     "find_similar_users",
     "load_prepared",
     "load_targets",
+    "nearest_of_all",
     "pooled_similarities",
     "prepare",
     "read_items",
@@ -32,6 +34,6 @@ __all__ = [
     "read_table",
     "recommend",
     "run_batch",
-    "similarity_matrix",
+    "scratch",
     "write_table",
 ]

@@ -249,16 +249,8 @@ FROM (
   JOIN averages a ON a.userId = o.userId
   GROUP BY t.targetId, o.userId
 ) AS pooled WHERE n >= 3"""
-ALL_PAIRS = f"""SELECT userA, userB, {_round(PEARSON_OR_ZERO, 4)} AS similarity, n AS common_movies
-FROM (
-  SELECT u.userId AS userA, v.userId AS userB, count(*) AS n,
-         sum((u.rating - a.avg_rating) * (v.rating - b.avg_rating)) AS dot,
-         sum((u.rating - a.avg_rating) * (u.rating - a.avg_rating)) AS tsq,
-         sum((v.rating - b.avg_rating) * (v.rating - b.avg_rating)) AS osq
-  FROM ratings u JOIN ratings v ON u.movieId = v.movieId AND u.userId < v.userId
-  JOIN averages a ON a.userId = u.userId JOIN averages b ON b.userId = v.userId
-  GROUP BY u.userId, v.userId
-) AS pairs WHERE n >= 3"""
+EVERYBODY = """targets AS (
+  SELECT userId AS targetId, avg_rating AS target_mean FROM averages)"""
 COLD = f"""cold AS (
   SELECT t.targetId, t.num_ratings FROM (
     SELECT userId AS targetId, num_ratings FROM averages
@@ -380,7 +372,9 @@ GROUP BY userId""",
     ),
     "pearson_neighbors": _sql(WITH_SIMS, "SELECT * FROM sims"),
     "pearson_pooled": _sql(WITH_TARGETS, POOLED),
-    "all_pairs_similarity": _sql(WITH_MEANS, ALL_PAIRS),
+    "all_pairs_similarity": _sql(
+        (*WITH_MEANS, EVERYBODY, PROFILES, _sums(), SIMS, TOP_K), "SELECT * FROM nearest"
+    ),
     "similarity_stats": _sql(WITH_SIMS, _summary("similarity", "sims", "targetId")),
     "similarity_extremes": _sql(WITH_SIMS, EXTREMES),
     "similarity_band_distribution": _sql(
@@ -459,6 +453,28 @@ GROUP BY userId""",
         + WITH_ITEM.format(_top("SELECT * FROM unseen", "targetId", "place", 5))
         + ") AS named",
     ),
+    "recommendations_for_everybody": _sql(
+        (
+            *WITH_MEANS,
+            EVERYBODY,
+            PROFILES,
+            _sums(),
+            SIMS,
+            TOP_K,
+            _contributions(),
+            MEANS,
+            WEIGHTED,
+            PREDICTED,
+            ITEMS,
+            COLD,
+        ),
+        "SELECT targetId, movieId, predicted_rating, num_raters, avg_similarity, rank, title, genres"
+        f" FROM ({TOP_FIVE}) AS best UNION ALL "
+        "SELECT targetId, movieId, CAST(NULL AS DOUBLE), CAST(0 AS BIGINT), CAST(NULL AS DOUBLE),"
+        " rank, title, genres FROM ("
+        + WITH_ITEM.format(_top("SELECT * FROM unseen", "targetId", "place", 5))
+        + ") AS named",
+    ),
     "profile_summary": _sql(
         WITH_NEW_USER,
         f"""SELECT CAST(-1 AS BIGINT) AS profileId, {_round("avg(target_rating)", 6)} AS avg_rating,

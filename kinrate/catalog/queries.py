@@ -21,10 +21,11 @@ from kinrate.plans.prepared import (
     find_similar_users,
     load_prepared,
     load_targets,
+    nearest_of_all,
     pooled_similarities,
+    popular_for,
     prepare,
     recommend,
-    similarity_matrix,
     user_ids,
 )
 from kinrate.plans.profiles import NewUsers
@@ -103,7 +104,8 @@ def _predictions(spark: SparkSession, folder: str) -> DataFrame:
 
 def _recommendations(spark: SparkSession, folder: str, **options) -> DataFrame:
     base = prepared(spark, folder)
-    return recommend(base, _target_ids(spark, base), orders.items(spark, folder), **options)
+    items = orders.items(spark, folder)
+    return recommend(base, _target_ids(spark, base), items, fallback=False, **options)
 
 
 def _new_user(spark: SparkSession, folder: str) -> NewUsers:
@@ -258,22 +260,22 @@ def popular_items(spark: SparkSession, folder: str) -> DataFrame:
     return popular.withColumn("avg_rating", round_half_up(F.col("avg_rating"), 6))
 
 
+def _everybody(base: Prepared) -> DataFrame:
+    return base.averages.select(F.col("userId").alias("targetId"))
+
+
 def cold_start_fallback(spark: SparkSession, folder: str) -> DataFrame:
     """Popular items for every user who has no neighbour."""
     base = prepared(spark, folder)
-    targets = load_targets(base, base.averages.select(F.col("userId").alias("targetId")))
-    own = targets.profiles.groupBy("targetId").agg(F.count(F.lit(1)).alias("num_ratings"))
+    targets = load_targets(base, _everybody(base))
     near = targets.co_rated_counts().select("targetId").distinct()
-    cold = stage(own.join(near, "targetId", "left_anti"), "cold")
-    reach = cold.agg(F.max("num_ratings")).first()[0] or 0
-    n = DEFAULTS.recommendations
-    popular = recommendation.popular_items(
-        base.ratings, orders.items(spark, folder), n + reach
-    ).drop("avg_rating", "num_ratings")
-    # as many rows as the largest profile of a user without neighbours, and n more
-    return recommendation.cold_start_items(
-        cold, targets.seen, popular, n, broadcast_popular=n + reach <= BROADCAST_ROWS
-    )
+    return popular_for(base, _everybody(base), near, targets.seen, orders.items(spark, folder))
+
+
+def recommendations_for_everybody(spark: SparkSession, folder: str) -> DataFrame:
+    """Best unseen items of every user; popular ones for those without neighbours."""
+    base = prepared(spark, folder)
+    return recommend(base, _everybody(base), orders.items(spark, folder))
 
 
 def staged_recommendations(spark: SparkSession, folder: str) -> DataFrame:
@@ -422,7 +424,7 @@ QUERIES: dict[str, Query] = {
     ),
     "pearson_neighbors": _similarities,
     "pearson_pooled": pearson_pooled,
-    "all_pairs_similarity": lambda s, d: similarity_matrix(prepared(s, d)),
+    "all_pairs_similarity": lambda s, d: nearest_of_all(prepared(s, d)),
     "similarity_stats": similarity_stats,
     "similarity_extremes": lambda s, d: similarity.similarity_extremes(_similarities(s, d)),
     "similarity_band_distribution": similarity_band_distribution,
@@ -444,6 +446,7 @@ QUERIES: dict[str, Query] = {
     "user_favorites": user_favorites,
     "popular_items": popular_items,
     "cold_start_fallback": cold_start_fallback,
+    "recommendations_for_everybody": recommendations_for_everybody,
     "profile_summary": profile_summary,
     "profile_favorites": profile_favorites,
     "profile_neighbors": profile_neighbors,

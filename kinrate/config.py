@@ -41,12 +41,15 @@ SHARE_ROWS = 50_000
 SIDE_ROWS = 2_000
 SPLIT_KEYS = 10
 
-# An item with more raters than this is paired tile by tile, and it may be
-# left out of pair generation where an exact rule says it cannot decide a pair.
-TILE_RATERS = 5_000
+# An item with more raters than this is large: it may be left out of pair generation
+# where an exact rule says that it cannot decide whether there is a pair.
+LARGE_RATERS = 5_000
 
 # How many of the most-rated items may be left out of pair generation.
 DEFERRED_ITEMS = 64
 
 # Up to this many targets, popular items are not worth looking for beforehand.
 FEW_TARGETS = 16
+
+# Popularity ranks that are looked at together for a target without neighbours.
+RANK_BLOCK = 256

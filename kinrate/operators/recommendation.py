@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from kinrate.config import DEFAULTS
+from kinrate.config import DEFAULTS, RANK_BLOCK
 from kinrate.functions.labels import rating_type, title_or_default
 from kinrate.functions.scores import round_half_up
-from kinrate.operators.joins import top_per
+from kinrate.operators.joins import join_side, top_per
 from kinrate.operators.similarity import target_ratings
 from kinrate.operators.stats import item_popularity
 
@@ -104,30 +104,63 @@ def popular_items(
     return with_items(top_per(item_popularity(ratings), (), order, n), items, title_fallback)
 
 
+def free_ranks(
+    cold: DataFrame, seen_ranks: DataFrame, n: int, block_ranks: int = RANK_BLOCK
+) -> DataFrame:
+    """The ``n`` lowest ranks that each target's seen items leave free: ``targetId, place, rank``.
+
+    ``cold`` has ``targetId, num_ratings`` and ``seen_ranks`` the ranks ``place`` of seen
+    items, other targets' too. m seen items leave n of the first m + n ranks free. These are
+    looked at in blocks: a block's seen ranks are an array of at most ``block_ranks``,
+    and what it lacks is free. So a target has one row for each block, mostly one in all,
+    and neither a target with very many ratings nor a rank that everybody is
+    offered comes together in one group.
+    """
+    reach = F.floor((F.col("num_ratings") + (n - 1)) / block_ranks)
+    marks = cold.select(
+        "targetId",
+        F.explode(F.sequence(F.lit(0).cast("bigint"), reach)).alias("block"),
+        F.lit(None).cast("bigint").alias("place"),
+    )
+    held = seen_ranks.select(
+        "targetId", F.floor((F.col("place") - 1) / block_ranks).alias("block"), "place"
+    )
+    first = F.col("block") * block_ranks
+    free = F.array_except(F.sequence(first + 1, first + block_ranks), F.col("held"))
+    blocks = (
+        marks.unionByName(held)
+        .groupBy("targetId", "block")
+        .agg(F.collect_list("place").alias("held"), F.count_if(F.col("place").isNull()).alias("marks"))
+        .filter(F.col("marks") > 0)
+    )
+    places = blocks.select("targetId", F.explode(F.slice(free, 1, n)).alias("place"))
+    return top_per(places, ["targetId"], [F.col("place")], n)
+
+
 def cold_start_items(
     cold: DataFrame,
     seen: DataFrame,
     popular: DataFrame,
     n: int = DEFAULTS.recommendations,
     broadcast_popular: bool = False,
+    block_ranks: int = RANK_BLOCK,
 ) -> DataFrame:
     """Popular items that a target without neighbours has not rated.
 
     ``cold`` has ``targetId, num_ratings`` and ``popular`` the item columns with a
-    ``rank`` from 1. A target that rated m items finds its ``n`` among the first
-    n + m ranks, so only these are looked at; ``popular`` must reach that far. All
-    targets look at the same first ranks, so ``popular`` should be broadcast if it is small.
+    ``rank`` from 1. A target's seen items are looked up for their ranks, the ranks they
+    leave free are found without the popular items (:func:`free_ranks`), and only those n a target
+    are looked up again. ``popular`` must reach rank m + n for the m ratings of any target.
+    ``broadcast_popular`` states that its size was checked.
     """
-    looked_at = cold.select(
-        "targetId",
-        F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("num_ratings") + n)).alias("place"),
-    )
-    ranked = popular.withColumn("place", F.col("rank").cast("bigint")).drop("rank")
-    ranked = F.broadcast(ranked) if broadcast_popular else ranked
-    unseen = looked_at.join(ranked, "place").join(
-        seen.select("targetId", "movieId"), ["targetId", "movieId"], "left_anti"
-    )
-    return top_per(unseen, ["targetId"], [F.col("place")], n).drop("place")
+    places = popular.select("movieId", F.col("rank").cast("bigint").alias("place"))
+    seen_ranks = join_side(
+        seen.select("targetId", "movieId"), places, "movieId", "targetId", "movieId", broadcast_popular
+    ).select("targetId", "place")
+    offered = popular.withColumn("place", F.col("rank").cast("bigint")).drop("rank")
+    free = free_ranks(cold, seen_ranks, n, block_ranks)
+    found = join_side(free, offered, "place", "targetId", "movieId", broadcast_popular)
+    return found.select("targetId", *[c for c in popular.columns if c != "rank"], "rank")
 
 
 def one_rating_per_item(profiles: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from kinrate.config import DEFAULTS, DEFERRED_ITEMS, SHARE_ROWS, SIDE_ROWS, TILE_RATERS
+from kinrate.config import DEFAULTS, DEFERRED_ITEMS, LARGE_RATERS, SHARE_ROWS, SIDE_ROWS
 from kinrate.functions.scores import pearson, round_half_up
 from kinrate.operators.joins import join_side, top_per
 
@@ -36,7 +36,6 @@ def as_is(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-
 # A centred sum of squares this small against the raw one is rounding noise: a
 # mean kept to three digits leaves a share of at least 1e-8 unless it is zero.
 NO_VARIANCE = 1e-12
@@ -335,7 +334,7 @@ def pearson_neighbors(
 
     With many targets an item that everybody rated would make a row for every
     target and user. Given :func:`large_items`, such items are deferred as in
-    :func:`all_pairs_similarity`, which changes the work and not the result.
+    :func:`top_k_join`, which changes the work and not the result.
     ``keep`` may store what is read more than once.
     """
     sums = _target_sums(
@@ -416,129 +415,166 @@ def pearson_pooled(
     )
 
 
-def large_items(ratings: DataFrame, tile_raters: int = TILE_RATERS) -> DataFrame:
-    """``movieId, raters`` of the items with more raters than one tile holds."""
+def large_items(ratings: DataFrame, large_raters: int = LARGE_RATERS) -> DataFrame:
+    """``movieId, raters`` of the items that have more raters than ``large_raters``."""
     return (
         ratings.groupBy("movieId")
         .agg(F.count(F.lit(1)).alias("raters"))
-        .filter(F.col("raters") > tile_raters)
+        .filter(F.col("raters") > large_raters)
+    )
+
+
+def _deferred_norm(mean: Column) -> Column:
+    """Sum of the squared deviations of a user's deferred ratings."""
+    return F.aggregate(
+        F.filter("hot", lambda x: x["deferred"]),
+        F.lit(0.0),
+        lambda total, x: total + (x["rating"] - mean) * (x["rating"] - mean),
     )
 
 
-def _meet(rows: DataFrame, tiles: Column | None, extra: tuple[str, ...] = ()) -> DataFrame:
-    """All user pairs per item, ``u < v``, with the columns of both sides.
+def _similarity_bound() -> Column:
+    """The highest similarity that a pair may come to when deferred items are added.
+
+    What is added are items that one and the same of the two had deferred, say u: the
+    added part x of u's sum of squares is at most ``x_u``, that of the other user
+    may be anything. With a and b the sums of squares so far and d their product, d >= 0,
+
+        (d + sqrt(x y)) / sqrt((a + x) (b + y))  <=  sqrt((d*d/b + x) / (a + x))
 
-    With ``tiles`` the raters of an item are dealt to that many parts. A part
-    meets itself and every later part, each meeting under its own join key, so no
-    task holds more than two parts of any item.
+    by Cauchy-Schwarz, which grows with x. A product below 0 counts as 0, and the bound is
+    the higher one of both cases. Without deferred items it is the similarity itself, or 0.
     """
-    columns = ("userId", "rating", *extra)
-    if tiles is None:
-        first, second = rows, rows
-        on = ["movieId"]
-    else:
-        dealt = rows.withColumn("_tiles", tiles).withColumn(
-            "_part", F.pmod(F.xxhash64("userId"), F.col("_tiles")).cast("int")
-        )
-        part, last = F.col("_part"), F.col("_tiles") - 1
-        first = dealt.withColumn("_first", part).withColumn(
-            "_second", F.explode(F.sequence(part, last))
-        )
-        second = dealt.withColumn("_second", part).withColumn(
-            "_first", F.explode(F.sequence(F.lit(0), part))
-        )
-        on = ["movieId", "_first", "_second"]
-    met = first.select(*on, *[F.col(c).alias(f"{c}_1") for c in columns]).join(
-        second.select(*on, *[F.col(c).alias(f"{c}_2") for c in columns]), on
-    )
-    in_order = F.col("userId_1") < F.col("userId_2")
-    if tiles is None:
-        met = met.filter(in_order)
-        in_order = F.lit(True)
-    else:
-        met = met.filter((F.col("_first") < F.col("_second")) | in_order)
-    return met.select(
-        *[
-            F.when(in_order, F.col(f"{c}_{near}")).otherwise(F.col(f"{c}_{far}")).alias(name + c)
-            for name, near, far in (("u_", 1, 2), ("v_", 2, 1))
-            for c in columns
-        ]
+    n, p, s_u, s_v, q_u, q_v, m_u, m_v = (
+        F.col(c) for c in ("n", "p", "s_u", "s_v", "q_u", "q_v", "m_u", "m_v")
     )
+    a, b = _centred_square(n, s_u, q_u, m_u), _centred_square(n, s_v, q_v, m_v)
+    d = F.greatest(F.lit(0.0), p - m_v * s_u - m_u * s_v + n * m_u * m_v)
 
+    def side(own: Column, other: Column, late: Column) -> Column:
+        known = F.coalesce(F.try_divide(d * d, other), F.lit(0.0))
+        return F.sqrt(F.coalesce(F.try_divide(known + late, own + late), F.lit(0.0)))
 
-def _pairs_with_large_items(
-    rows: DataFrame,
-    large: DataFrame,
-    min_common: int,
-    tile_raters: int,
-    deferred_items: int,
-    keep: Keep,
-) -> DataFrame:
-    parts = F.ceil(F.coalesce(F.col("raters"), F.lit(1)) / float(tile_raters))
-    tiles = F.greatest(F.lit(1), parts).cast("int")
-    keys = F.col("u_userId").alias("u"), F.col("v_userId").alias("v")
-    sums = _pair_sums(F.col("u_rating"), F.col("v_rating"))
-    if min_common < 2:
-        return _meet(rows.join(large, "movieId", "left"), tiles).groupBy(*keys).agg(*sums)
-    vectors = keep(
-        _hot_vectors(rows, _hottest(large, deferred_items), min_common - 1), "hot_vectors"
+    return F.greatest(side(a, b, F.col("x_u")), side(b, a, F.col("x_v")))
+
+
+def _meet(rows: DataFrame, carry: tuple[str, ...], share_rows: int, side_rows: int) -> DataFrame:
+    """Sums over the shared items of all user pairs ``u < v``, with what each row carries."""
+    left = rows.select("userId", "movieId", "rating", *[F.col(c).alias(f"{c}_u") for c in carry])
+    right = rows.select(
+        F.col("userId").alias("v"),
+        "movieId",
+        F.col("rating").alias("rating_v"),
+        *[F.col(c).alias(f"{c}_v") for c in carry],
     )
-    remaining = keep(_undeferred(rows, vectors).join(large, "movieId", "left"), "undeferred")
-    met = (
-        _meet(remaining, tiles, ("deferred",))
-        .groupBy(*keys)
+    met = join_side(left, right, "movieId", "userId", "v", False, share_rows, side_rows)
+    return (
+        met.filter(F.col("userId") < F.col("v"))
+        .groupBy(F.col("userId").alias("u"), "v")
         .agg(
-            *sums, F.max("u_deferred").alias("_late_u"), F.max("v_deferred").alias("_late_v")
+            *_pair_sums(F.col("rating"), F.col("rating_v")),
+            *[F.max(f"{c}_{side}").alias(f"{c}_{side}") for c in carry for side in "uv"],
         )
-        .filter(_reachable(min_common, "_late_u", "_late_v"))
     )
-    return _add_deferred(met, "u", vectors, "v", vectors)
 
 
-def all_pairs_similarity(
+def _directed(pairs: DataFrame) -> DataFrame:
+    """Each pair as two rows, once with either user as the target."""
+    sides = [c.removesuffix("_u") for c in pairs.columns if c.endswith("_u")]
+    alike = [c for c in pairs.columns if c[-2:] not in ("_u", "_v") and c not in ("u", "v")]
+
+    def row(target: str, other: str) -> DataFrame:
+        return pairs.select(
+            F.col(target).alias("targetId"),
+            F.col(other).alias("userId"),
+            *alike,
+            *[F.col(f"{c}_{target}").alias(f"{c}_u") for c in sides],
+            *[F.col(f"{c}_{other}").alias(f"{c}_v") for c in sides],
+        )
+
+    return row("u", "v").unionByName(row("v", "u"))
+
+
+def top_k_join(
     ratings: DataFrame,
     averages: DataFrame,
-    large: DataFrame | None = None,
+    k: int = DEFAULTS.neighbors,
     min_common: int = DEFAULTS.min_common,
+    large: DataFrame | None = None,
+    min_similarity: float | None = None,
     on_zero_variance: str = "zero",
     round_similarity: int | None = DEFAULTS.similarity_digits,
-    tile_raters: int = TILE_RATERS,
+    share_rows: int = SHARE_ROWS,
+    side_rows: int = SIDE_ROWS,
     deferred_items: int = DEFERRED_ITEMS,
     keep: Keep = as_is,
 ) -> DataFrame:
-    """Similarity of all user pairs with enough shared items: ``userA < userB``.
+    """The ``k`` most similar users of every user: at most k rows a user, exactly those of
+    :func:`pearson_neighbors` and :func:`top_k_neighbors` with all users as targets.
+
+    ``large`` is :func:`large_items`, or None where it was found empty. A user defers
+    up to ``min_common - 1`` of the most-rated items. Two users with ``min_common`` items
+    in common still share an item that neither has deferred, namely the least-rated
+    common one, so pairs are generated from undeferred ratings only and none is lost. A
+    pair's sums so far and the norms of what its users deferred bound its similarity from above.
+    Each user's k candidates with the highest bounds get their deferred items added
+    first; the k-th best of these scores then rules out every candidate whose bound
+    is below it, and only the rest are completed as well.
+
+    ``keep`` may store the tables that are read more than once.
+    """
+    if k < 1:
+        raise ValueError("k must be positive")
+    if on_zero_variance not in ("zero", "drop"):
+        raise ValueError("on_zero_variance must be 'zero' or 'drop'")
+    means = averages.select("userId", F.col("avg_rating").alias("m"))
+    rows = ratings.select("userId", "movieId", "rating")
+    how = on_zero_variance, round_similarity
 
-    ``large`` is :func:`large_items`, or None where it was found empty. Popular
-    items are kept from producing a row for every pair of their raters:
+    def best(scored: DataFrame) -> DataFrame:
+        return top_k_neighbors(scored, k, min_similarity)
 
-    - A user defers up to ``min_common - 1`` of the most-rated items. Two users
-      with ``min_common`` items in common still share an item that neither has
-      deferred, namely the least-rated common one, so pairs are generated from
-      undeferred ratings only and none is lost. What a pair shares among its
-      deferred items is added from bounded per-user arrays afterwards.
-    - The raters of what large items remain are paired tile by tile.
+    if large is None or min_common < 2:
+        met = _meet(rows.join(means, "userId"), ("m",), share_rows, side_rows)
+        return best(_scored(_directed(met.filter(F.col("n") >= min_common)), PAIR, *how))
 
-    ``keep`` may store the two tables that are read more than once.
-    """
-    rows = ratings.select("userId", "movieId", "rating")
-    if large is None:
-        sums = (
-            _meet(rows, None)
-            .groupBy(F.col("u_userId").alias("u"), F.col("v_userId").alias("v"))
-            .agg(*_pair_sums(F.col("u_rating"), F.col("v_rating")))
-        )
-    else:
-        sums = _pairs_with_large_items(
-            rows, large, min_common, tile_raters, deferred_items, keep
-        )
-    means = averages.select("userId", "avg_rating")
-    complete = (
-        sums.filter(F.col("n") >= min_common)
-        .join(means.select(F.col("userId").alias("u"), F.col("avg_rating").alias("m_u")), "u")
-        .join(means.select(F.col("userId").alias("v"), F.col("avg_rating").alias("m_v")), "v")
+    vectors = keep(_hot_vectors(rows, _hottest(large, deferred_items), min_common - 1), "hot_vectors")
+    users = means.join(vectors, "userId", "left").select(
+        "userId", "m", F.coalesce(_deferred_norm(F.col("m")), F.lit(0.0)).alias("x")
+    )
+    met = _meet(
+        _undeferred(rows, vectors).join(users, "userId"), ("m", "x", "deferred"), share_rows, side_rows
+    ).filter(_reachable(min_common, "deferred_u", "deferred_v"))
+    # a little above, so that neither rounding nor the order of summation makes it too low
+    bound = round_half_up(_similarity_bound() + 1e-9, round_similarity)
+    pairs = met.withColumn("bound", bound)
+    if min_similarity is not None:
+        pairs = pairs.filter(F.col("bound") > min_similarity)
+    pairs = _directed(keep(pairs, "bounded_pairs"))
+
+    def complete(some: DataFrame) -> DataFrame:
+        added = _add_deferred(some, "targetId", vectors, "userId", vectors)
+        return _scored(added.filter(F.col("n") >= min_common), PAIR, *how)
+
+    order = [F.col("bound").desc(), F.col("userId")]
+    first = keep(top_per(pairs, ["targetId"], order, k, rank="place"), "first_candidates")
+    scored = keep(complete(first.drop("place")), "first_scores")
+    last = first.filter(F.col("place") == k).select(
+        "targetId", F.col("bound").alias("last_bound"), F.col("userId").alias("last_user")
+    )
+    kth = (
+        scored.groupBy("targetId")
+        .agg(F.count(F.lit(1)).alias("known"), F.min("similarity").alias("least"))
+        .filter(F.col("known") == k)
+        .select("targetId", "least")
+    )
+    cut = keep(last.join(kth, "targetId", "left"), "cuts")
+    later = (F.col("bound") < F.col("last_bound")) | (
+        (F.col("bound") == F.col("last_bound")) & (F.col("userId") > F.col("last_user"))
     )
-    named = complete.withColumnsRenamed({"u": "userA", "v": "userB"})
-    return _scored(named, ("userA", "userB"), on_zero_variance, round_similarity)
+    open_ = F.col("least").isNull() | (F.col("bound") >= F.col("least"))
+    rest = pairs.join(cut, "targetId").filter(later & open_).drop(*cut.columns[1:])
+    return best(scored.unionByName(complete(rest)))
 
 
 def top_k_neighbors(

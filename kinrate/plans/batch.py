@@ -7,9 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from kinrate.config import DEFAULTS
+from kinrate.operators.cleaning import clean_ratings
 from kinrate.operators.recommendation import top_n
 from kinrate.operators.similarity import top_k_neighbors
-from kinrate.plans.prepared import RATINGS_CLEAN, USER_AVERAGES, load_targets, prepare
+from kinrate.operators.stats import user_averages
+from kinrate.plans.prepared import RATINGS_CLEAN, USER_AVERAGES, Prepared, load_targets, prepare
+from kinrate.plans.storage import scratch
 from kinrate.sources.files import read_table, write_table
 
 # Names of the result tables.
@@ -35,7 +38,7 @@ def run_batch(
     """Write every result table under ``folder`` and return them as read back.
 
     Similarities, neighbours and predictions are each read back before the next
-    step, so no step repeats the work of another.
+    step, so no step repeats the work of another. Nothing else is left behind.
     """
     spark = raw.sparkSession
 
@@ -44,21 +47,23 @@ def run_batch(
         write_table(df, path, fmt)
         return read_table(spark, path, df.schema, fmt)
 
-    if fmt == "parquet":
-        base = prepare(raw, recency, folder=folder)
-        ratings, averages = base.ratings, base.averages
-    else:
-        base = prepare(raw, recency)
-        ratings = store(base.ratings, RATINGS_CLEAN)
-        averages = store(base.averages, USER_AVERAGES)
-    wanted = load_targets(base, targets)
-    scores = store(wanted.similarities(min_common=min_common), SIMILARITY_SCORES)
-    nearest = store(top_k_neighbors(scores, k, min_similarity), TOP_SIMILAR_USERS)
-    predicted = store(wanted.predictions(nearest), PREDICTED_RATINGS)
-    final = store(
-        top_n(predicted, items, n, min_prediction).orderBy("targetId", F.col("rank")),
-        FINAL_RECOMMENDATIONS,
-    )
+    with scratch():
+        if fmt == "parquet":
+            ratings = store(clean_ratings(raw, recency=recency), RATINGS_CLEAN)
+            averages = store(user_averages(ratings), USER_AVERAGES)
+            base = Prepared(ratings, averages)
+        else:
+            base = prepare(raw, recency)
+            ratings = store(base.ratings, RATINGS_CLEAN)
+            averages = store(base.averages, USER_AVERAGES)
+        wanted = load_targets(base, targets)
+        scores = store(wanted.similarities(min_common=min_common), SIMILARITY_SCORES)
+        nearest = store(top_k_neighbors(scores, k, min_similarity), TOP_SIMILAR_USERS)
+        predicted = store(wanted.predictions(nearest, stored=True), PREDICTED_RATINGS)
+        final = store(
+            top_n(predicted, items, n, min_prediction).orderBy("targetId", F.col("rank")),
+            FINAL_RECOMMENDATIONS,
+        )
     return {
         RATINGS_CLEAN: ratings,
         USER_AVERAGES: averages,

@@ -11,19 +11,33 @@ from kinrate.config import BROADCAST_ROWS, DEFAULTS, FEW_TARGETS
 from kinrate.operators.cleaning import VALID_RANGE, clean_ratings
 from kinrate.operators.comparison import common_items
 from kinrate.operators.prediction import predict_ratings, profile_predictions, unseen_items
-from kinrate.operators.recommendation import one_rating_per_item, top_n
+from kinrate.operators.recommendation import (
+    cold_start_items,
+    one_rating_per_item,
+    popular_items,
+    top_n,
+    with_items,
+)
 from kinrate.operators.similarity import (
-    all_pairs_similarity,
     co_rated_counts,
     large_items,
     pearson_neighbors,
     pearson_pooled,
     target_means,
     target_profiles,
+    top_k_join,
     top_k_neighbors,
 )
 from kinrate.operators.stats import user_averages
-from kinrate.plans.storage import few_rows, new_path, stage
+from kinrate.plans.storage import (
+    committed,
+    few_rows,
+    new_path,
+    read_stage,
+    rows_of,
+    stage,
+    staged,
+)
 from kinrate.sources.files import AVERAGES, read_table
 
 # Names of the stored tables.
@@ -55,9 +69,17 @@ def prepare(
 
 
 def load_prepared(spark: SparkSession, folder: str) -> Prepared | None:
-    """What :func:`prepare` has stored in ``folder``; None if it is not there."""
-    ratings = read_table(spark, f"{folder}/{RATINGS_CLEAN}")
-    averages = read_table(spark, f"{folder}/{USER_AVERAGES}", AVERAGES)
+    """What :func:`prepare` or a batch run has stored in ``folder``; None if it is not there.
+
+    Tables count only if they were published by a manifest, or committed by Spark.
+    """
+
+    def load(name: str, schema: str | None = None) -> DataFrame | None:
+        path = f"{folder}/{name}"
+        table = read_stage(spark, path)
+        return read_table(spark, path, schema) if table is None and committed(spark, path) else table
+
+    ratings, averages = load(RATINGS_CLEAN), load(USER_AVERAGES, AVERAGES)
     return None if ratings is None or averages is None else Prepared(ratings, averages)
 
 
@@ -118,7 +140,7 @@ class Targets:
         )
 
     def unseen_items(self, neighbors: DataFrame) -> DataFrame:
-        near = stage(neighbors, "neighbors")
+        near = staged(neighbors, "neighbors")
         return unseen_items(
             self.prepared.ratings,
             near,
@@ -127,8 +149,9 @@ class Targets:
             broadcast_seen=self.small,
         )
 
-    def predictions(self, neighbors: DataFrame, **options) -> DataFrame:
-        near = stage(neighbors, "neighbors")
+    def predictions(self, neighbors: DataFrame, stored: bool = False, **options) -> DataFrame:
+        """Predictions from neighbours, which are stored first unless they are ``stored`` already."""
+        near = neighbors if stored else staged(neighbors, "neighbors")
         return predict_ratings(
             self.prepared.ratings,
             self.prepared.averages,
@@ -141,7 +164,7 @@ class Targets:
         )
 
     def explained_predictions(self, neighbors: DataFrame, **options) -> DataFrame:
-        near = stage(neighbors, "neighbors")
+        near = staged(neighbors, "neighbors")
         return profile_predictions(
             self.prepared.ratings,
             self.prepared.averages,
@@ -156,7 +179,7 @@ class Targets:
 
 def _large_items(ratings: DataFrame) -> DataFrame | None:
     large = stage(large_items(ratings), "large_items")
-    return None if large.isEmpty() else large
+    return large if rows_of(large) else None
 
 
 def _checked(prepared: Prepared, profiles: DataFrame, means: DataFrame, count: int) -> Targets:
@@ -171,7 +194,7 @@ def load_targets(prepared: Prepared, targets: DataFrame) -> Targets:
     """
     wanted = targets.select("targetId").distinct()
     means = stage(target_means(prepared.averages, wanted), "target_means")
-    count = means.count()
+    count = rows_of(means)
     profiles = stage(
         target_profiles(prepared.ratings, means, broadcast_targets=count <= BROADCAST_ROWS),
         "target_profiles",
@@ -206,7 +229,7 @@ def load_profiles(
         ),
         "profiles",
     )
-    return _checked(prepared, rows, means, means.count())
+    return _checked(prepared, rows, means, rows_of(means))
 
 
 def user_ids(spark: SparkSession, users: Sequence[int]) -> DataFrame:
@@ -233,6 +256,44 @@ def find_similar_users(
     return top_k_neighbors(targets.similarities(min_common=min_common), k, min_similarity)
 
 
+def popular_for(
+    prepared: Prepared,
+    users: DataFrame,
+    warm: DataFrame,
+    seen: DataFrame,
+    items: DataFrame | None = None,
+    n: int = DEFAULTS.recommendations,
+) -> DataFrame:
+    """Popular unseen items, ranked, for ``users(targetId)`` who are not in ``warm(targetId)``.
+
+    A user without any rating is offered the most popular items.
+    ``seen`` holds the items of the users, those of others do no harm.
+    """
+    near = staged(warm.select("targetId").distinct(), "warm")
+    others = stage(
+        users.join(F.broadcast(near) if few_rows(near) else near, "targetId", "left_anti"), "others"
+    )
+    if not rows_of(others):
+        none = F.lit(None).cast("bigint").alias("movieId"), F.lit(None).cast("int").alias("rank")
+        return with_items(others.select("targetId", *none), items)
+    known = prepared.averages.select(F.col("userId").alias("targetId"), "num_ratings").join(
+        F.broadcast(others) if few_rows(others) else others, "targetId"
+    )
+    cold = stage(
+        others.join(known, "targetId", "left").withColumn(
+            "num_ratings", F.coalesce("num_ratings", F.lit(0).cast("bigint"))
+        ),
+        "cold",
+    )
+    if few_rows(cold):
+        seen = seen.join(F.broadcast(cold.select("targetId")), "targetId", "left_semi")
+    # as many rows as the largest profile of a user without neighbours, and n more
+    reach = n + cold.agg(F.max("num_ratings")).first()[0]
+    popular = stage(popular_items(prepared.ratings, None, reach).select("movieId", "rank"), "popular")
+    found = cold_start_items(cold, seen, popular, n, broadcast_popular=few_rows(popular))
+    return with_items(found, items)
+
+
 def recommend(
     prepared: Prepared,
     users: DataFrame | Sequence[int],
@@ -242,11 +303,31 @@ def recommend(
     min_common: int = DEFAULTS.min_common,
     min_similarity: float | None = None,
     min_prediction: float | None = None,
+    fallback: bool = True,
 ) -> DataFrame:
-    """The ``n`` best unseen items of each given user, in one plan."""
-    targets = load_targets(prepared, _as_targets(prepared, users))
-    nearest = top_k_neighbors(targets.similarities(min_common=min_common), k, min_similarity)
-    return top_n(targets.predictions(nearest), items, n, min_prediction)
+    """The ``n`` best unseen items of each given user.
+
+    With ``fallback`` a user without neighbours, also one without any ratings, gets the most-rated
+    items instead, as rows without a prediction and with 0 raters.
+    """
+    wanted = stage(
+        _as_targets(prepared, users).select("targetId").filter("targetId IS NOT NULL").distinct(),
+        "wanted",
+    )
+    targets = load_targets(prepared, wanted)
+    nearest = stage(
+        top_k_neighbors(targets.similarities(min_common=min_common), k, min_similarity), "neighbors"
+    )
+    best = top_n(targets.predictions(nearest), items, n, min_prediction)
+    if not fallback:
+        return best
+    popular = popular_for(prepared, wanted, nearest, targets.seen, items, n)
+    missing = {
+        "predicted_rating": F.lit(None).cast("double"),
+        "num_raters": F.lit(0).cast("bigint"),
+        "avg_similarity": F.lit(None).cast("double"),
+    }
+    return best.unionByName(popular.withColumns(missing))
 
 
 def pooled_similarities(
@@ -265,13 +346,16 @@ def pooled_similarities(
     )
 
 
-def similarity_matrix(prepared: Prepared, min_common: int = DEFAULTS.min_common, **options) -> DataFrame:
-    """Similarities of all pairs, with large items looked up first."""
-    return all_pairs_similarity(
+def nearest_of_all(
+    prepared: Prepared, k: int = DEFAULTS.neighbors, min_common: int = DEFAULTS.min_common, **options
+) -> DataFrame:
+    """The ``k`` most similar users of every user, with large items looked up first."""
+    return top_k_join(
         prepared.ratings,
         prepared.averages,
-        _large_items(prepared.ratings),
+        k,
         min_common,
+        _large_items(prepared.ratings),
         keep=stage,
         **options,
     )

@@ -1,32 +1,58 @@
-"""Stage tables in the shared folder of the cluster, and size checks."""
+"""Stage tables in the shared folder of the cluster: published by manifest, freed by scope.
+
+A stage is written to a folder of its own, an attempt, and exists from the moment its
+manifest does: one small file, renamed into place, that names the attempt, its files with
+their sizes, and the rows. A write that was cut off has no manifest, and readers see no table;
+a table that lost a file, or has one that the manifest does not name, is refused.
+"""
 
 from __future__ import annotations
 
+import json
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from kinrate.config import BROADCAST_ROWS
-from kinrate.sources.files import write_table
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+MANIFEST = "manifest.json"
 _removed_at_end: set[str] = set()
 
 
+class IncompleteStage(RuntimeError):
+    """A stored table whose files are not those of its manifest."""
+
+
+# --- where --------------------------------------------------------------------
+
+
+def _path(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder the session names for intermediate tables.
 
-    Without ``spark.checkpoint.dir`` it is a folder in the session's warehouse, which all
-    executors share as well; it goes when the application ends.
+    Where ``spark.checkpoint.dir`` is unset it is a folder in the session's warehouse that
+    goes when the application ends. That is refused if executors are on other machines
+    and the warehouse is a local folder, which they would not share.
     """
     named = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
     application = spark.sparkContext.applicationId
     path = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/kinrate-stages/{application}"
+    place, files = _path(spark, path)
+    master = spark.sparkContext.master
+    one_machine = master == "local" or master.startswith("local[")
+    if files.getUri().getScheme() == "file" and not one_machine:
+        raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
     if application not in _removed_at_end:
-        place = spark._jvm.org.apache.hadoop.fs.Path(path)
-        files = place.getFileSystem(spark._jsc.hadoopConfiguration())
         files.mkdirs(place)
         files.deleteOnExit(place)
         _removed_at_end.add(application)
@@ -34,7 +60,145 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/kinrate-{uuid.uuid4().hex}/{name}"
+    """A place for a new table or folder, which the scope around it, if any, frees."""
+    parent = f"{shared_dir(spark)}/kinrate-{uuid.uuid4().hex}"
+    scope = _scope.get()
+    if scope is not None:
+        scope.made.append((spark, parent))
+    return f"{parent}/{name}"
+
+
+# --- scopes -------------------------------------------------------------------
+
+
+class Scope:
+    """Tables that go together."""
+
+    def __init__(self, outer: Scope | None):
+        self.outer = outer
+        self.made: list[tuple[SparkSession, str]] = []
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """A stage that outlives this scope and belongs to the one around it."""
+        token = _scope.set(self.outer)
+        try:
+            return stage(df, name)
+        finally:
+            _scope.reset(token)
+
+    def free(self) -> None:
+        for spark, path in self.made:
+            place, files = _path(spark, path)
+            files.delete(place, True)
+        self.made.clear()
+
+
+_scope: ContextVar[Scope | None] = ContextVar("kinrate_scope", default=None)
+
+
+@contextmanager
+def scratch() -> Iterator[Scope]:
+    """Stage tables made inside are deleted at the end, also after an error.
+
+    What is lazy must not read them after that: store a result with ``keep``, or write it,
+    inside. Scopes nest; without any, tables stay until the caller deletes them.
+    """
+    scope = Scope(_scope.get())
+    token = _scope.set(scope)
+    try:
+        yield scope
+    finally:
+        _scope.reset(token)
+        scope.free()
+
+
+# --- stages -------------------------------------------------------------------
+
+
+def _listing(spark: SparkSession, folder: str) -> dict[str, int]:
+    """Names and sizes of the part files of a folder, by one listing on the driver."""
+    place, files = _path(spark, folder)
+    if not files.exists(place):
+        return {}
+    found = {s.getPath().getName(): s.getLen() for s in files.listStatus(place)}
+    return {name: size for name, size in sorted(found.items()) if name[0] not in "_."}
+
+
+def _publish(spark: SparkSession, path: str, manifest: dict) -> None:
+    """Put the manifest into place in one step."""
+    draft, files = _path(spark, f"{path}/_{uuid.uuid4().hex}")
+    out = files.create(draft, True)
+    try:
+        out.write(bytearray(json.dumps(manifest).encode()))
+    finally:
+        out.close()
+    final, _ = _path(spark, f"{path}/{MANIFEST}")
+    files.delete(final, False)
+    if not files.rename(draft, final):
+        raise IncompleteStage(f"could not publish {path}")
+
+
+def write_stage(df: DataFrame, path: str) -> dict:
+    """Write an attempt below ``path`` and publish it; the manifest.
+
+    Rows are counted while they are written. An attempt published before is replaced, and only then deleted.
+    """
+    spark = df.sparkSession
+    before = read_manifest(spark, path)
+    attempt = f"attempt-{uuid.uuid4().hex}"
+    counted = Observation(attempt)
+    rows = df.observe(counted, F.count(F.lit(1)).alias("rows"))
+    rows.write.mode("errorifexists").parquet(f"{path}/{attempt}")
+    manifest = {
+        "attempt": attempt,
+        "rows": counted.get["rows"],
+        "schema": df.schema.jsonValue(),
+        "files": _listing(spark, f"{path}/{attempt}"),
+    }
+    _publish(spark, path, manifest)
+    if before is not None:
+        old, files = _path(spark, f"{path}/{before['attempt']}")
+        files.delete(old, True)
+    return manifest
+
+
+def read_manifest(spark: SparkSession, path: str) -> dict | None:
+    """What was published at ``path``; None if nothing was."""
+    place, files = _path(spark, f"{path}/{MANIFEST}")
+    if not files.exists(place):
+        return None
+    opened = files.open(place)
+    try:
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(opened, "UTF-8")
+    finally:
+        opened.close()
+    return json.loads(text)
+
+
+def read_stage(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table published at ``path``; None where none was.
+
+    Raises IncompleteStage if its files are not those of the manifest, by name and size.
+    """
+    manifest = read_manifest(spark, path)
+    if manifest is None:
+        return None
+    attempt = f"{path}/{manifest['attempt']}"
+    if _listing(spark, attempt) != manifest["files"]:
+        raise IncompleteStage(f"{path} is not what its manifest says")
+    return _stored(spark, attempt, manifest)
+
+
+def committed(spark: SparkSession, path: str) -> bool:
+    """Whether Spark has finished writing a plain table there."""
+    place, files = _path(spark, f"{path}/_SUCCESS")
+    return files.exists(place)
+
+
+def _stored(spark: SparkSession, attempt: str, manifest: dict) -> DataFrame:
+    df = spark.read.schema(T.StructType.fromJson(manifest["schema"])).parquet(attempt)
+    df._kinrate_rows = manifest["rows"]
+    return df
 
 
 def stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
@@ -45,10 +209,21 @@ def stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_path(spark, name) if folder is None else f"{folder}/{name}"
-    write_table(df, path)
-    return spark.read.schema(df.schema).parquet(path)
+    manifest = write_stage(df, path)
+    return _stored(spark, f"{path}/{manifest['attempt']}", manifest)
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` itself if it is a stage as read back, else a stage of it."""
+    return df if hasattr(df, "_kinrate_rows") else stage(df, name)
+
+
+def rows_of(df: DataFrame) -> int:
+    """The number of rows: a stage's from its manifest, any other's by counting."""
+    known = getattr(df, "_kinrate_rows", None)
+    return df.count() if known is None else known
 
 
-def few_rows(staged: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """Whether a stage table is small enough to be broadcast, by counting it."""
-    return staged.count() <= limit
+def few_rows(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
+    """Whether a table is small enough to be broadcast, by its rows."""
+    return rows_of(df) <= limit

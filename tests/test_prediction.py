@@ -178,6 +178,69 @@ def test_popular_items_and_cold_start(spark, ratings_of):
     ]
 
 
+@pytest.mark.parametrize("block", [1, 3, 256])
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_free_ranks_of_any_profiles(spark, block, broadcast):
+    import random
+
+    pick = random.Random(block)
+    popular = spark.createDataFrame([(100 - r, r) for r in range(1, 41)], "movieId bigint, rank int")
+    seen = {u: sorted(pick.sample(range(60, 100), pick.choice([0, 1, 5, 20, 38, 40]))) for u in range(12)}
+    seen[12] = list(range(90, 100))  # the ten most popular ones
+    cold = [(u, len(items)) for u, items in seen.items() if u != 5]
+    got = recommendation.cold_start_items(
+        spark.createDataFrame(cold, "targetId bigint, num_ratings bigint"),
+        spark.createDataFrame([(u, i) for u, items in seen.items() for i in items], "targetId bigint, movieId bigint"),
+        popular,
+        4,
+        broadcast,
+        block,
+    )
+    expected = [
+        (u, item, rank)
+        for u, _ in cold
+        for rank, item in enumerate([i for i in range(99, 59, -1) if i not in seen[u]][:4], 1)
+    ]
+    assert sorted((r.targetId, r.movieId, r["rank"]) for r in got.collect()) == sorted(expected)
+
+
+def test_recommend_serves_users_without_neighbours(spark, ratings_of):
+    users = plain.random_users(9, users=20, items=15, share=0.5)
+    users[50] = {3: 4.0, 900: 2.0}  # shares one item only
+    users[51] = {901: 1.0}
+    ratings = ratings_of(users)
+    base = Prepared(ratings, user_averages(ratings))
+    items = spark.createDataFrame([(i, f"item {i}", "x") for i in range(15)], "movieId bigint, title string, genres string")
+    rows = recommend(base, [1, 50, 51, 77], items, n=3).collect()
+    raters = {}
+    for rated in users.values():
+        for i in rated:
+            raters[i] = raters.get(i, 0) + 1
+    popular = sorted(raters, key=lambda i: (-raters[i], i))
+    for user in (50, 51, 77):
+        mine = sorted((r["rank"], r.movieId) for r in rows if r.targetId == user)
+        unseen = [i for i in popular if i not in users.get(user, {})][:3]
+        assert mine == list(enumerate(unseen, 1))
+        assert all(
+            r.predicted_rating is None and r.num_raters == 0 and r.avg_similarity is None and r.title
+            for r in rows
+            if r.targetId == user
+        )
+    warm = [r for r in rows if r.targetId == 1]
+    alone = recommend(base, [1, 50, 77], items, n=3, fallback=False).collect()
+    assert sorted(map(tuple, warm)) == sorted(tuple(r[c] for c in warm[0].asDict()) for r in alone)
+    assert all(r.predicted_rating is not None for r in warm)
+
+
+def test_no_join_on_popular_places_per_seen_item(spark, ratings_of):
+    """Per cold user there are a few blocks and n rows, not one row for each seen item and more."""
+    cold = spark.createDataFrame([(u, 30) for u in range(50)], "targetId bigint, num_ratings bigint")
+    none = spark.createDataFrame([], "targetId bigint, place bigint")
+    blocks = recommendation.free_ranks(cold, none, 5)
+    assert blocks.count() == 250
+    assert "explode(sequence(0" in blocks._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_new_user_equals_the_same_known_user(spark, ratings_of, targets_of):
     users = plain.random_users(21, users=25, items=30, share=0.6)
     ratings = ratings_of(users)

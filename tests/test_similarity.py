@@ -126,56 +126,6 @@ def test_pooled_form_equals_the_self_join(ratings_of, targets_of, broadcast_item
         assert scores(found.filter(F.col("targetId") == target)) == plain.pooled(users, target)
 
 
-def all_pairs(df):
-    return {(r.userA, r.userB): (r.similarity, r.common_movies) for r in df.collect()}
-
-
-def expected_pairs(users, min_common):
-    return {
-        (a, b): score
-        for a in users
-        for b, score in plain.similarities(users, a, min_common).items()
-        if a < b
-    }
-
-
-@pytest.mark.parametrize("seed", range(2))
-@pytest.mark.parametrize("min_common", [1, 2, 3, 4])
-def test_all_pairs_with_and_without_large_items(ratings_of, seed, min_common):
-    users = plain.random_users(seed, users=24, items=18, share=0.25, everyone=(0, 5))
-    ratings = ratings_of(users)
-    averages = user_averages(ratings)
-    expected = expected_pairs(users, min_common)
-    simple = similarity.all_pairs_similarity(ratings, averages, min_common=min_common)
-    assert all_pairs(simple) == expected
-    for tile, deferred_items in ((4, 64), (3, 2)):
-        large = similarity.large_items(ratings, tile)
-        assert large.count() > 2
-        split = similarity.all_pairs_similarity(
-            ratings,
-            averages,
-            large,
-            min_common=min_common,
-            tile_raters=tile,
-            deferred_items=deferred_items,
-        )
-        assert all_pairs(split) == expected
-
-
-def test_an_item_of_everyone_makes_no_pairs_of_its_own(ratings_of):
-    # 40 users share item 0 and nothing else: no pair may be generated at all.
-    users = {u: {0: 3.0, u: 4.0} for u in range(1, 41)}
-    rows = ratings_of(users)
-    large = similarity.large_items(rows, 10)
-    vectors = similarity._hot_vectors(rows, large, 2)
-    set_aside = vectors.select("userId", F.explode("hot").alias("x")).filter("x.deferred")
-    assert set_aside.count() == 40
-    found = similarity.all_pairs_similarity(
-        rows, user_averages(rows), large, min_common=3, tile_raters=10
-    )
-    assert found.count() == 0
-
-
 def test_top_k_breaks_ties_by_user(spark):
     rows = [(1, u, s, 3) for u, s in ((5, 0.5), (4, 0.5), (3, 0.9), (2, -0.1), (6, 0.0))]
     scored = spark.createDataFrame(
