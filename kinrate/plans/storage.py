@@ -183,10 +183,9 @@ def read_stage(spark: SparkSession, path: str) -> DataFrame | None:
     manifest = read_manifest(spark, path)
     if manifest is None:
         return None
-    attempt = f"{path}/{manifest['attempt']}"
-    if _listing(spark, attempt) != manifest["files"]:
+    if _listing(spark, f"{path}/{manifest['attempt']}") != manifest["files"]:
         raise IncompleteStage(f"{path} is not what its manifest says")
-    return _stored(spark, attempt, manifest)
+    return _stored(spark, path, manifest)
 
 
 def committed(spark: SparkSession, path: str) -> bool:
@@ -195,12 +194,19 @@ def committed(spark: SparkSession, path: str) -> bool:
     return files.exists(place)
 
 
-def _stored(spark: SparkSession, attempt: str, manifest: dict) -> DataFrame:
-    df = spark.read.schema(T.StructType.fromJson(manifest["schema"])).parquet(attempt)
-    df._kinrate_rows = manifest["rows"]
+def _stored(spark: SparkSession, path: str, manifest: dict) -> DataFrame:
+    schema = T.StructType.fromJson(manifest["schema"])
+    df = spark.read.schema(schema).parquet(f"{path}/{manifest['attempt']}")
+    df._kinrate_rows, df._kinrate_path = manifest["rows"], path
     return df
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the stage behind ``df``, as :func:`stage` returned it, before its scope ends."""
+    place, files = _path(df.sparkSession, df._kinrate_path)
+    files.delete(place, True)
+
+
 def stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """Write a table to the shared folder and go on from there.
 
@@ -209,8 +215,7 @@ def stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_path(spark, name) if folder is None else f"{folder}/{name}"
-    manifest = write_stage(df, path)
-    return _stored(spark, f"{path}/{manifest['attempt']}", manifest)
+    return _stored(spark, path, write_stage(df, path))
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
