@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from kinrate.plans.storage import stage
+from kinrate.plans.storage import discard, scratch, stage
 
 
 def _stars(edges: DataFrame, small: bool) -> DataFrame:
@@ -13,7 +13,8 @@ def _stars(edges: DataFrame, small: bool) -> DataFrame:
     Large: of all neighbours, the larger ones. Small: the smaller ones and the node itself.
     """
     both = edges if small else edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least"))
+    # stored, so that the join reads both sides from exchanges, where Spark splits a hub's links
+    least = stage(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least")), "least")
     joined = both.join(least, "a")
     if small:
         ends = joined.select("b", "least").unionByName(least.select(F.col("a").alias("b"), "least"))
@@ -36,7 +37,10 @@ def connected(edges: DataFrame) -> DataFrame:
     now = stage(ordered.where("a > b").distinct(), "links")
     seen = _state(now)
     while seen[0]:
-        now = stage(_stars(stage(_stars(now, small=False), "large"), small=True), "small")
+        before = now
+        with scratch() as step:
+            now = step.keep(_stars(stage(_stars(now, small=False), "large"), small=True), "small")
+        discard(before)
         after = _state(now)
         if after == seen:
             break

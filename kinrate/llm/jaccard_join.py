@@ -41,7 +41,7 @@ from pyspark.sql.window import Window
 from kinrate.llm.components import connected
 from kinrate.llm.shipping import arrow_rows
 from kinrate.llm.words import Spans, hash_words, text_chunks
-from kinrate.plans.storage import stage
+from kinrate.plans.storage import scratch, stage
 
 # The most frequent shingles that are put last in the order: bounds what tasks are sent.
 FREQUENT = 100_000
@@ -339,7 +339,13 @@ def jaccard_classes(docs: DataFrame, rule: Jaccard = Jaccard(), with_links: bool
     """doc_id, row_key, n_shingles and component_id (the least linked doc_id) of every row.
 
     row_key is the hash of the text; ``stays`` marks one text of each class, its first.
+    The result is stored, and no other stage is left when this returns.
     """
+    with scratch() as step:
+        return step.keep(_classes(docs, rule, with_links), "classes")
+
+
+def _classes(docs: DataFrame, rule: Jaccard, with_links: bool) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("bigint"), F.hash("text").alias("row_key"), "text")
     schema = (
         "doc_id bigint, row_key int, n_shingles bigint, set_id bigint, "

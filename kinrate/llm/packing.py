@@ -11,17 +11,18 @@ pieces left. Rounds repeat until no piece is left.
 Lengths are whole numbers up to the capacity, and pieces of one length (or gaps of one
 size) differ by rank only. So a round needs no more than the counts by length, a table bounded by
 the capacity: the rounds run on those counts and note which ranks of a length go where.
-The pieces themselves are ranked once, within (length, part) so that a length that many
-pieces have is spread over tasks, and each finds its sequence by its rank.
+The pieces themselves are numbered within their length by the task that cuts them; the
+counts of all tasks, added up, make these numbers ranks, by which each piece finds its
+sequence. So ids are written once and are not shuffled, as long as the counts (a row for each
+task and length) are few enough to be broadcast; past that the pieces are joined with them.
 
 A null or empty text is a document of the end token alone. Repeated rows are packed one
-by one. A null doc_id is packed like any other. Other columns are ignored. An empty table
-gives an empty result.
+by one. A null doc_id is packed like any other. Other columns of documents are ignored, those
+of pieces kept, whatever their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,72 +31,75 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from kinrate.llm.encoding import SPACED, encoded_chunks, pieces_of, struct_ids
+from kinrate.llm.encoding import SPACED, encoded_chunks, pieces_of
 from kinrate.llm.shipping import arrow_rows
-from kinrate.plans.storage import stage
+from kinrate.plans.storage import few_rows, stage
 
 CAPACITY = 1024
-KEPT_PIECES = 200_000  # pieces of text that a worker keeps, while it has a task
-LEAST_PARTS = 64  # shares, ranked apart, of the pieces of one length
-PIECE = ["doc_id", "piece", "start", "length", "ids_crc32"]
-
-
-def _piece_rows(path: str, words: str, end_id: int, capacity: int, with_ids: bool):
-    end = struct_ids([end_id])
-
+KEPT_PIECES = 400_000  # pieces of text that a worker keeps
+PIECE = ["doc_id", "piece", "start", "length"]
+_CUT = "doc_id bigint, piece int, start bigint, length bigint, ids binary, task int, place bigint"
+
+
+def cut_pieces(totals: np.ndarray, capacity: int) -> tuple[np.ndarray, ...]:
+    """Document, number, start and length of the pieces of documents with so many ids."""
+    pieces = -(-totals // capacity)
+    row = np.repeat(np.arange(len(totals)), pieces)
+    number = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    first = totals - (pieces - 1) * capacity  # the length of a document's first piece
+    start = np.where(number > 0, first[row] + (number - 1) * capacity, 0)
+    return row, number, start, np.where(number > 0, capacity, first[row])
+
+
+def _numbered(lengths: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """How many pieces of its length a task has cut before each; adds them to the counts."""
+    order = np.argsort(lengths, kind="stable")
+    ordered = lengths[order]
+    begins = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]]) if len(ordered) else np.zeros(0, np.int64)
+    sizes = np.diff(np.r_[begins, len(ordered)])
+    place = np.empty(len(lengths), dtype=np.int64)
+    place[order] = np.arange(len(ordered)) - np.repeat(begins, sizes) + counts[ordered]
+    counts[ordered[begins]] += sizes
+    return place
+
+
+def _piece_rows(path: str, words: str, end_id: int, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = pieces_of(path, words, KEPT_PIECES)
+        counts = np.zeros(capacity + 1, dtype=np.int64)
         for batch in batches:
             for small, flat, first in encoded_chunks(batch, pieces):
-                row, number, start, length, crc, ids = [], [], [], [], [], []
-                for i, (begin, stop) in enumerate(zip(first[:-1].tolist(), first[1:].tolist())):
-                    data = flat[begin:stop].tobytes() + end
-                    total = len(data) // 4
-                    at, k = 0, 0
-                    while at < total:
-                        to = at + ((total - at) % capacity or capacity)
-                        part = data[4 * at : 4 * to]
-                        row.append(i)
-                        number.append(k)
-                        start.append(at)
-                        length.append(to - at)
-                        crc.append(zlib.crc32(part))
-                        if with_ids:
-                            ids.append(part)
-                        at, k = to, k + 1
-                columns = [
-                    small.column("doc_id").take(pa.array(row, pa.int64())),
-                    pa.array(number, pa.int32()),
-                    pa.array(start, pa.int64()),
-                    pa.array(length, pa.int64()),
-                    pa.array(crc, pa.int64()),
-                ]
-                names = list(PIECE)
-                if with_ids:
-                    columns.append(pa.array(ids, pa.binary()))
-                    names.append("ids")
-                yield pa.record_batch(columns, names=names)
-        pieces.kept.clear()  # the worker lives on for other stages
+                ended = np.insert(flat, first[1:], end_id).astype("<u4")
+                row, number, start, length = cut_pieces(np.diff(first) + 1, capacity)
+                # the pieces of a chunk lie one after the other in its ids
+                bounds = (np.r_[0, np.cumsum(length)] * 4).astype(np.int32)
+                buffers = [None, pa.py_buffer(bounds), pa.py_buffer(ended)]
+                yield pa.record_batch(
+                    [
+                        small.column("doc_id").take(pa.array(row)),
+                        pa.array(number.astype(np.int32)),
+                        pa.array(start),
+                        pa.array(length),
+                        pa.Array.from_buffers(pa.binary(), len(length), buffers),
+                        small.column("task").take(pa.array(row)),
+                        pa.array(_numbered(length, counts)),
+                    ],
+                    names=[*PIECE, "ids", "task", "place"],
+                )
 
     return run
 
 
 def cut_documents(
-    docs: DataFrame,
-    path: str,
-    words: str = SPACED,
-    end_id: int = 2,
-    capacity: int = CAPACITY,
-    with_ids: bool = True,
+    docs: DataFrame, path: str, words: str = SPACED, end_id: int = 2, capacity: int = CAPACITY
 ) -> DataFrame:
-    """The pieces of each document with length, checksum, and their ids (little-endian, 32 bits)."""
-    schema = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
-    source = docs.select(F.col("doc_id").cast("bigint"), "text")
-    return arrow_rows(
-        source,
-        _piece_rows(path, words, end_id, capacity, with_ids),
-        schema + (", ids binary" if with_ids else ""),
-    )
+    """The pieces of each document with their ids (little-endian, 32 bits), the task that cut
+    them, and each one's place among that task's pieces of the length.
+
+    To be stored: another run may deal the documents to other tasks.
+    """
+    source = docs.select(F.col("doc_id").cast("bigint"), "text", F.spark_partition_id().alias("task"))
+    return arrow_rows(source, _piece_rows(path, words, end_id, capacity), _CUT)
 
 
 @dataclass
@@ -185,24 +189,17 @@ def plan_rounds(counts: dict[int, int], capacity: int) -> list[Place]:
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """``pieces`` (columns PIECE, others kept) with sequence_id and offset.
+    """``pieces`` with sequence_id and offset.
 
+    Of the columns, ``length``, ``task`` and ``place`` are looked at; all but the last two are kept.
     ``pieces`` is read more than once and should be a stored table.
     """
     spark = pieces.sparkSession
-    parts = max(LEAST_PARTS, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    dealt = pieces.withColumn("part", F.pmod(F.xxhash64(*PIECE), F.lit(parts)).cast("int"))
-    counts = dealt.groupBy("length", "part").agg(F.count(F.lit(1)).alias("there"))
-    before = counts.withColumn(
-        "before",
-        F.coalesce(
-            F.sum("there").over(
-                Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-            ),
-            F.lit(0),
-        ),
+    counts = pieces.groupBy("length", "task").agg(F.count(F.lit(1)).alias("there"))
+    earlier = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    before = stage(
+        counts.withColumn("before", F.coalesce(F.sum("there").over(earlier), F.lit(0))), "ranks"
     )
-    before = stage(before, "ranks")  # at most capacity x parts rows
     totals = {r.length: r.there for r in before.groupBy("length").agg(F.sum("there").alias("there")).collect()}
     places = [
         (p.length, p.rank, p.count, p.each, p.sequence, p.offset) for p in plan_rounds(totals, capacity)
@@ -210,40 +207,30 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     plan = spark.createDataFrame(
         places, "length bigint, from_rank bigint, number bigint, each bigint, first bigint, gap_at bigint"
     )
-    in_part = Window.partitionBy("length", "part").orderBy(*[c for c in PIECE if c != "length"])
-    ranked = (
-        dealt.withColumn("rank", F.row_number().over(in_part) - 1)
-        .join(before.select("length", "part", "before"), ["length", "part"])
-        .withColumn("rank", F.col("rank") + F.col("before"))
-        .drop("part", "before")
-    )
-    slot = F.col("rank") - F.col("from_rank")
+    kept = [c for c in pieces.columns if c not in ("task", "place")]
+    rows = pieces.select("length", "task", "place", F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"))
+    ranks = before.select("length", "task", "before")
+    ranked = rows.join(F.broadcast(ranks) if few_rows(before) else ranks, ["length", "task"])
+    slot = F.col("place") + F.col("before") - F.col("from_rank")
     return (
         ranked.join(F.broadcast(plan), "length")  # bounded by the capacity, not by the data
         .where((slot >= 0) & (slot < F.col("number")))
-        .withColumn("sequence_id", F.col("first") + F.floor(slot / F.col("each")))
-        .withColumn("offset", F.col("gap_at") + slot % F.col("each") * F.col("length"))
-        .drop("rank", "from_rank", "number", "each", "first", "gap_at")
+        .select(
+            "row.*",
+            (F.col("first") + F.floor(slot / F.col("each"))).alias("sequence_id"),
+            (F.col("gap_at") + slot % F.col("each") * F.col("length")).alias("offset"),
+        )
     )
 
 
 def pack_documents(
-    docs: DataFrame,
-    path: str,
-    words: str = SPACED,
-    end_id: int = 2,
-    capacity: int = CAPACITY,
-    with_ids: bool = True,
+    docs: DataFrame, path: str, words: str = SPACED, end_id: int = 2, capacity: int = CAPACITY
 ) -> DataFrame:
-    """Each piece of each document with its sequence, its offset there, and its token ids.
-
-    The checksum is that of the ids as packed. Without ids it is the one from cutting.
-    """
-    pieces = stage(cut_documents(docs, path, words, end_id, capacity, with_ids), "pieces")
-    packed = pack(pieces, capacity)
-    if with_ids:
-        packed = packed.withColumn("ids_crc32", F.crc32("ids"))
-    return packed.select(*PIECE, "sequence_id", "offset", *(["ids"] if with_ids else []))
+    """Each piece of each document with its sequence, its offset there, and its token ids
+    with their checksum."""
+    pieces = stage(cut_documents(docs, path, words, end_id, capacity), "pieces")
+    packed = pack(pieces, capacity).withColumn("ids_crc32", F.crc32("ids"))
+    return packed.select(*PIECE, "ids_crc32", "sequence_id", "offset", "ids")
 
 
 def sequence_rows(packed: DataFrame) -> DataFrame:

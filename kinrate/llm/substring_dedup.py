@@ -29,7 +29,7 @@ from pyspark.sql.window import Window
 
 from kinrate.llm.shipping import arrow_rows
 from kinrate.llm.words import Spans, hash_words, mix, text_chunks
-from kinrate.plans.storage import stage
+from kinrate.plans.storage import scratch, stage
 
 WINDOW_WORDS = 50
 ANCHOR_WORDS = 8
@@ -196,19 +196,20 @@ def _result_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_pieces(docs: DataFrame, k: int, anchor_words: int) -> DataFrame:
     """Pieces whose anchor occurs in two documents at least; branching: in several contents."""
     source = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
-    pieces = stage(arrow_rows(source, _piece_rows(k, anchor_words), _PIECES), "pieces")
-    anchors = (
-        pieces.groupBy("anchor")
-        .agg(
-            F.min("doc_id").alias("low"),
-            F.max("doc_id").alias("high"),
-            (F.min("content") != F.max("content")).alias("branching"),
+    with scratch() as step:
+        pieces = stage(arrow_rows(source, _piece_rows(k, anchor_words), _PIECES), "pieces")
+        anchors = (
+            pieces.groupBy("anchor")
+            .agg(
+                F.min("doc_id").alias("low"),
+                F.max("doc_id").alias("high"),
+                (F.min("content") != F.max("content")).alias("branching"),
+            )
+            .where("low < high")
+            .select("anchor", "branching")
         )
-        .where("low < high")
-        .select("anchor", "branching")
-    )
-    # stored, so that the join reads both sides from exchanges, whose heavy keys Spark splits
-    return stage(pieces.join(stage(anchors, "anchors"), "anchor").drop("anchor"), "repeated")
+        # stored, so that the join reads both sides from exchanges, whose heavy keys Spark splits
+        return step.keep(pieces.join(stage(anchors, "anchors"), "anchor").drop("anchor"), "repeated")
 
 
 def _first_of(*names: str) -> F.Column:
@@ -339,7 +340,8 @@ def remove_repeats(docs: DataFrame, k: int = WINDOW_WORDS, anchor_words: int = A
     """doc_id, other, n_words, n_removed, kept_sha256 and kept_text of every document.
 
     kept_text is the text as it is if nothing was removed, else the kept words joined
-    by one space. ``other`` holds all further columns of the input.
+    by one space. ``other`` holds all further columns of the input. Of the stages
+    only the spans to remove are left when this returns.
     """
     others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
     whole = docs.select(
@@ -349,28 +351,31 @@ def remove_repeats(docs: DataFrame, k: int = WINDOW_WORDS, anchor_words: int = A
         F.struct(F.lit(0).alias("_"), *others).alias("other"),
     )
     docs = whole.drop("other")
-    spans = stage(repeated_spans(docs, k, anchor_words), "spans")
-    wanted = (
-        spans.select(
-            F.col("from_id").alias("doc_id"), F.col("from_key").alias("row_key"), "from_first", "words"
+    with scratch() as step:
+        with scratch() as search:
+            spans = search.keep(repeated_spans(docs, k, anchor_words), "spans")
+        wanted = (
+            spans.select(
+                F.col("from_id").alias("doc_id"), F.col("from_key").alias("row_key"), "from_first", "words"
+            )
+            .distinct()
+            .groupBy(KEY)
+            .agg(F.collect_list(F.struct("from_first", "words")).alias("wanted"))
+        )
+        digests = stage(
+            arrow_rows(
+                docs.join(wanted, KEY),
+                _digest_rows,
+                "from_id bigint, from_key int, from_first bigint, words bigint, digest binary",
+            ).distinct(),  # a repeated row gives its digests again
+            "digests",
+        )
+        claims = step.keep(
+            spans.join(digests, ["from_id", "from_key", "from_first", "words"])
+            .groupBy(KEY)
+            .agg(F.collect_list(F.struct("first", "words", "digest")).alias("spans")),
+            "claims",
         )
-        .distinct()
-        .groupBy(KEY)
-        .agg(F.collect_list(F.struct("from_first", "words")).alias("wanted"))
-    )
-    digests = stage(
-        arrow_rows(
-            docs.join(wanted, KEY),
-            _digest_rows,
-            "from_id bigint, from_key int, from_first bigint, words bigint, digest binary",
-        ).distinct(),  # a repeated row gives its digests again
-        "digests",
-    )
-    claims = (
-        spans.join(digests, ["from_id", "from_key", "from_first", "words"])
-        .groupBy(KEY)
-        .agg(F.collect_list(F.struct("first", "words", "digest")).alias("spans"))
-    )
     joined = whole.join(claims, KEY, "left").select("doc_id", "other", "text", "spans")
     other = joined.select("other").schema["other"].dataType.simpleString()
     return arrow_rows(
