@@ -114,13 +114,11 @@ def _new_user(spark: SparkSession, folder: str) -> NewUsers:
     profile = base.ratings.join(
         F.broadcast(active), base.ratings.userId == active.targetId
     ).select(F.lit(NEW_USER).cast("bigint").alias("profileId"), "movieId", "rating")
-    others = base.ratings.join(
-        F.broadcast(active), base.ratings.userId == active.targetId, "left_anti"
+    others, by_user, means = (
+        table.join(F.broadcast(active), table.userId == active.targetId, "left_anti")
+        for table in (base.ratings, base.of_users(None), base.averages)
     )
-    means = base.averages.join(
-        F.broadcast(active), base.averages.userId == active.targetId, "left_anti"
-    )
-    return NewUsers.load(Prepared(others, means), profile)
+    return NewUsers.load(Prepared(others, means, by_user), profile)
 
 
 def _profile_predictions(spark: SparkSession, folder: str) -> tuple[NewUsers, DataFrame]:

@@ -53,3 +53,8 @@ FEW_TARGETS = 16
 
 # Popularity ranks that are looked at together for a target without neighbours.
 RANK_BLOCK = 256
+
+# Stored ratings: bytes of a row group, the least that a look-up of some ids reads. Up to
+# so many ids are looked up by their values, so that scans skip all other row groups.
+ROW_GROUP_BYTES = 8 << 20
+LOOKUP_IDS = 500

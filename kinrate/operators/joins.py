@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -73,6 +74,27 @@ def join_side(
     return left.join(right, [on, "_share", "_side"]).drop("_share", "_side")
 
 
+def sorted_by(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows dealt to tasks by ranges of the columns and sorted in each.
+
+    Stored so, files and row groups cover narrow ranges, which scans skip by their
+    statistics, and rows of one value come in a row, which partial sums reduce to one. Give
+    more than one column, so that a value that a third of the rows have is spread.
+    """
+    return df.repartitionByRange(*columns).sortWithinPartitions(*columns)
+
+
+def one_of(column: str, values: Sequence[int], at_once: int = 10) -> Column:
+    """Whether the column has one of the values, in a form that reaches row group statistics.
+
+    Longer lists than ``at_once`` would reach the scan as their least and greatest
+    value only (``spark.sql.parquet.pushdown.inFilterThreshold``).
+    """
+    ordered = sorted(values)
+    parts = [ordered[i : i + at_once] for i in range(0, len(ordered), at_once)]
+    return reduce(Column.__or__, [F.col(column).isin(part) for part in parts], F.lit(False))
+
+
 def top_per(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, rank: str = "rank"
 ) -> DataFrame:

@@ -351,43 +351,39 @@ def pearson_neighbors(
     return _scored(sums, PAIR, on_zero_variance, round_similarity)
 
 
-def pearson_pooled(
+def item_totals(ratings: DataFrame) -> DataFrame:
+    """``movieId, n_i, s_i, q_i``: number, sum and sum of squares of each item's ratings."""
+    rating = F.col("rating").cast("double")
+    return ratings.groupBy("movieId").agg(
+        F.count(F.lit(1)).cast("double").alias("n_i"),
+        F.sum(rating).alias("s_i"),
+        F.sum(rating * rating).alias("q_i"),
+    )
+
+
+def pooled_sums(
     ratings: DataFrame,
     averages: DataFrame,
-    targets: DataFrame,
+    totals: DataFrame,
     min_common: int = DEFAULTS.min_common,
-    round_similarity: int | None = DEFAULTS.similarity_digits,
     broadcast_items: bool = False,
-    broadcast_targets: bool = False,
     share_rows: int = SHARE_ROWS,
     side_rows: int = SIDE_ROWS,
 ) -> DataFrame:
-    """Similarity of every user to the pooled ratings of all users.
-
-    Here each rating of a user is paired with every rating of the same item, by
-    whomever, and the target enters through its mean alone. ``common_movies`` is
-    the number of such pairs. Item totals stand in for the pairs, so the work is
-    one row per rating. Scores are worked out per mean: three digits on the
-    rating scale leave a few thousand of them, whatever the number of targets.
-    """
+    """Per user the six sums, and the mean, of which each pooled similarity is a function."""
     rating = F.col("rating").cast("double")
-    totals = ratings.groupBy("movieId").agg(
-        F.count(F.lit(1)).cast("double").alias("n_i"),
-        F.sum(rating).alias("s_i"),
-        F.sum(rating * rating).alias("q_i"),
+    met = join_side(
+        ratings.select("userId", "movieId", "rating"),
+        totals,
+        "movieId",
+        "userId",
+        "movieId",
+        broadcast_items,
+        share_rows,
+        side_rows,
     )
-    per_user = (
-        join_side(
-            ratings.select("userId", "movieId", "rating"),
-            totals,
-            "movieId",
-            "userId",
-            "movieId",
-            broadcast_items,
-            share_rows,
-            side_rows,
-        )
-        .groupBy("userId")
+    return (
+        met.groupBy("userId")
         .agg(
             F.sum("n_i").alias("n"),
             F.sum(rating * F.col("s_i")).alias("p"),
@@ -399,7 +395,35 @@ def pearson_pooled(
         .filter(F.col("n") >= min_common)
         .join(_other_means(averages), "userId")
     )
-    means = target_means(averages, targets).withColumnRenamed("target_mean", "m_u")
+
+
+def pearson_pooled(
+    ratings: DataFrame,
+    averages: DataFrame,
+    means: DataFrame,
+    min_common: int = DEFAULTS.min_common,
+    round_similarity: int | None = DEFAULTS.similarity_digits,
+    totals: DataFrame | None = None,
+    broadcast_items: bool = False,
+    broadcast_targets: bool = False,
+    share_rows: int = SHARE_ROWS,
+    side_rows: int = SIDE_ROWS,
+) -> DataFrame:
+    """Similarity of every user to the pooled ratings of all users.
+
+    Here each rating of a user is paired with every rating of the same item, by
+    whomever, and the target enters through its mean alone. ``common_movies`` is
+    the number of such pairs. :func:`item_totals` stand in for the pairs, so the work is
+    one row per rating. With a user's six sums fixed, the similarity is a closed form in the
+    target's mean m, a linear function of m over the root of a quadratic one, which is
+    evaluated at each of ``means`` (:func:`target_means`). Targets that share a mean
+    share its value; three digits on the rating scale leave a few thousand of them.
+    """
+    totals = item_totals(ratings) if totals is None else totals
+    per_user = pooled_sums(
+        ratings, averages, totals, min_common, broadcast_items, share_rows, side_rows
+    )
+    means = means.withColumnRenamed("target_mean", "m_u")
     distinct_means = means.agg(F.collect_set("m_u")).scalar()
     scored = _scored(
         per_user.withColumn("m_u", F.explode(distinct_means)),

@@ -7,9 +7,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kinrate.config import BROADCAST_ROWS, DEFAULTS, FEW_TARGETS
+from kinrate.config import BROADCAST_ROWS, DEFAULTS, FEW_TARGETS, LOOKUP_IDS, ROW_GROUP_BYTES
 from kinrate.operators.cleaning import VALID_RANGE, clean_ratings
 from kinrate.operators.comparison import common_items
+from kinrate.operators.joins import one_of, sorted_by
 from kinrate.operators.prediction import predict_ratings, profile_predictions, unseen_items
 from kinrate.operators.recommendation import (
     cold_start_items,
@@ -20,6 +21,7 @@ from kinrate.operators.recommendation import (
 )
 from kinrate.operators.similarity import (
     co_rated_counts,
+    item_totals,
     large_items,
     pearson_neighbors,
     pearson_pooled,
@@ -35,6 +37,7 @@ from kinrate.plans.storage import (
     new_path,
     read_stage,
     rows_of,
+    scratch,
     stage,
     staged,
 )
@@ -42,15 +45,37 @@ from kinrate.sources.files import AVERAGES, read_table
 
 # Names of the stored tables.
 RATINGS_CLEAN = "ratings_clean"
+RATINGS_BY_USER = "ratings_by_user"
 USER_AVERAGES = "user_averages"
 
 
 @dataclass(frozen=True)
 class Prepared:
-    """Cleaned ratings and user means, both stored."""
+    """Cleaned ratings and user means, both stored.
+
+    ``ratings`` stand in order of items. ``by_user`` has the same rows in order of users,
+    if they were stored that way, too.
+    """
 
     ratings: DataFrame
     averages: DataFrame
+    by_user: DataFrame | None = None
+
+    def of_items(self, ids: Sequence[int] | None) -> DataFrame:
+        """Ratings of the given items, of which scans read only their row groups; None: all."""
+        return self.ratings if ids is None else self.ratings.filter(one_of("movieId", ids))
+
+    def of_users(self, ids: Sequence[int] | None) -> DataFrame:
+        """Ratings of the given users, likewise; None: of all, in order of users."""
+        rows = self.ratings if self.by_user is None else self.by_user
+        return rows if ids is None else rows.filter(one_of("userId", ids))
+
+
+def _few_ids(table: DataFrame, column: str) -> list[int] | None:
+    """The distinct ids of a stored table of at most LOOKUP_IDS rows, else None."""
+    if rows_of(table) > LOOKUP_IDS:
+        return None
+    return [r[0] for r in table.select(column).distinct().collect()]
 
 
 def prepare(
@@ -61,11 +86,16 @@ def prepare(
 ) -> Prepared:
     """Clean once and store; everything else reads the stored tables.
 
-    Without a ``folder`` they go to a new one in the shared folder.
+    Ratings are stored twice, in order of items and of users. Without a ``folder`` the
+    tables go to a new one in the shared folder.
     """
     folder = folder or new_path(raw.sparkSession, "prepared")
-    ratings = stage(clean_ratings(raw, rating_range, recency), RATINGS_CLEAN, folder)
-    return Prepared(ratings, stage(user_averages(ratings), USER_AVERAGES, folder))
+    size = {"parquet.block.size": ROW_GROUP_BYTES}
+    with scratch():
+        clean = stage(clean_ratings(raw, rating_range, recency), "clean")
+        ratings = stage(sorted_by(clean, "movieId", "userId"), RATINGS_CLEAN, folder, **size)
+        by_user = stage(sorted_by(clean, "userId", "movieId"), RATINGS_BY_USER, folder, **size)
+    return Prepared(ratings, stage(user_averages(by_user), USER_AVERAGES, folder), by_user)
 
 
 def load_prepared(spark: SparkSession, folder: str) -> Prepared | None:
@@ -80,7 +110,9 @@ def load_prepared(spark: SparkSession, folder: str) -> Prepared | None:
         return read_table(spark, path, schema) if table is None and committed(spark, path) else table
 
     ratings, averages = load(RATINGS_CLEAN), load(USER_AVERAGES, AVERAGES)
-    return None if ratings is None or averages is None else Prepared(ratings, averages)
+    if ratings is None or averages is None:
+        return None
+    return Prepared(ratings, averages, load(RATINGS_BY_USER))
 
 
 @dataclass(frozen=True)
@@ -88,6 +120,7 @@ class Targets:
     """Targets with their ratings, stored, and whether these may be broadcast.
 
     ``large`` lists popular items, where there are many targets and such items.
+    ``items`` lists the rated ones, where they are few.
     """
 
     prepared: Prepared
@@ -96,6 +129,12 @@ class Targets:
     count: int
     small: bool
     large: DataFrame | None = None
+    items: list[int] | None = None
+
+    @property
+    def shared(self) -> DataFrame:
+        """All ratings that may be of an item that some target rated."""
+        return self.prepared.of_items(self.items)
 
     @property
     def seen(self) -> DataFrame:
@@ -112,7 +151,7 @@ class Targets:
 
     def common_items(self, users: DataFrame | Sequence[int] | None = None) -> DataFrame:
         """Items that the targets share with the chosen users, or with everybody."""
-        ratings = self.prepared.ratings
+        ratings = self.shared
         if users is not None:
             chosen = _as_targets(self.prepared, users).select(F.col("targetId").alias("userId"))
             ratings = ratings.join(chosen, "userId", "left_semi")
@@ -120,7 +159,7 @@ class Targets:
 
     def co_rated_counts(self, min_common: int = DEFAULTS.min_common) -> DataFrame:
         return co_rated_counts(
-            self.prepared.ratings,
+            self.shared,
             self.profiles,
             min_common,
             self.large,
@@ -130,7 +169,7 @@ class Targets:
 
     def similarities(self, **options) -> DataFrame:
         return pearson_neighbors(
-            self.prepared.ratings,
+            self.shared,
             self.prepared.averages,
             self.profiles,
             large=self.large,
@@ -142,7 +181,7 @@ class Targets:
     def unseen_items(self, neighbors: DataFrame) -> DataFrame:
         near = staged(neighbors, "neighbors")
         return unseen_items(
-            self.prepared.ratings,
+            self.prepared.of_users(_few_ids(near, "userId")),
             near,
             self.seen,
             broadcast_neighbors=few_rows(near),
@@ -153,7 +192,7 @@ class Targets:
         """Predictions from neighbours, which are stored first unless they are ``stored`` already."""
         near = neighbors if stored else staged(neighbors, "neighbors")
         return predict_ratings(
-            self.prepared.ratings,
+            self.prepared.of_users(_few_ids(near, "userId")),
             self.prepared.averages,
             near,
             self.means,
@@ -166,7 +205,7 @@ class Targets:
     def explained_predictions(self, neighbors: DataFrame, **options) -> DataFrame:
         near = staged(neighbors, "neighbors")
         return profile_predictions(
-            self.prepared.ratings,
+            self.prepared.of_users(_few_ids(near, "userId")),
             self.prepared.averages,
             near,
             self.means,
@@ -184,7 +223,8 @@ def _large_items(ratings: DataFrame) -> DataFrame | None:
 
 def _checked(prepared: Prepared, profiles: DataFrame, means: DataFrame, count: int) -> Targets:
     large = _large_items(prepared.ratings) if count > FEW_TARGETS else None
-    return Targets(prepared, profiles, means, count, few_rows(profiles), large)
+    items = _few_ids(profiles, "movieId")
+    return Targets(prepared, profiles, means, count, few_rows(profiles), large, items)
 
 
 def load_targets(prepared: Prepared, targets: DataFrame) -> Targets:
@@ -196,7 +236,11 @@ def load_targets(prepared: Prepared, targets: DataFrame) -> Targets:
     means = stage(target_means(prepared.averages, wanted), "target_means")
     count = rows_of(means)
     profiles = stage(
-        target_profiles(prepared.ratings, means, broadcast_targets=count <= BROADCAST_ROWS),
+        target_profiles(
+            prepared.of_users(_few_ids(means, "targetId")),
+            means,
+            broadcast_targets=count <= BROADCAST_ROWS,
+        ),
         "target_profiles",
     )
     return _checked(prepared, profiles, means, count)
@@ -333,16 +377,23 @@ def recommend(
 def pooled_similarities(
     prepared: Prepared, targets: DataFrame, min_common: int = DEFAULTS.min_common
 ) -> DataFrame:
-    """Pooled similarities, item totals and targets broadcast where they are few."""
-    items = prepared.ratings.select("movieId").distinct().count()
-    wanted = stage(targets.select("targetId").distinct(), "targets")
+    """Pooled similarities from stored item totals, broadcast where they are few.
+
+    The ratings are read twice, once for the totals of items and once for those of users, in
+    whose order they stand, so that what is shuffled is about one row per user.
+    """
+    totals = stage(item_totals(prepared.ratings), "item_totals")
+    means = stage(
+        target_means(prepared.averages, targets.select("targetId").distinct()), "target_means"
+    )
     return pearson_pooled(
-        prepared.ratings,
+        prepared.of_users(None),
         prepared.averages,
-        wanted,
+        means,
         min_common,
-        broadcast_items=items <= BROADCAST_ROWS,
-        broadcast_targets=few_rows(wanted),
+        totals=totals,
+        broadcast_items=few_rows(totals),
+        broadcast_targets=few_rows(means),
     )
 
 

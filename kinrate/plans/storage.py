@@ -138,8 +138,8 @@ def _publish(spark: SparkSession, path: str, manifest: dict) -> None:
         raise IncompleteStage(f"could not publish {path}")
 
 
-def write_stage(df: DataFrame, path: str) -> dict:
-    """Write an attempt below ``path`` and publish it; the manifest.
+def write_stage(df: DataFrame, path: str, **options) -> dict:
+    """Write an attempt below ``path`` and publish it; the manifest. ``options`` are Parquet's.
 
     Rows are counted while they are written. An attempt published before is replaced, and only then deleted.
     """
@@ -148,7 +148,7 @@ def write_stage(df: DataFrame, path: str) -> dict:
     attempt = f"attempt-{uuid.uuid4().hex}"
     counted = Observation(attempt)
     rows = df.observe(counted, F.count(F.lit(1)).alias("rows"))
-    rows.write.mode("errorifexists").parquet(f"{path}/{attempt}")
+    rows.write.options(**options).mode("errorifexists").parquet(f"{path}/{attempt}")
     manifest = {
         "attempt": attempt,
         "rows": counted.get["rows"],
@@ -207,7 +207,7 @@ def discard(df: DataFrame) -> None:
     files.delete(place, True)
 
 
-def stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+def stage(df: DataFrame, name: str, folder: str | None = None, **options) -> DataFrame:
     """Write a table to the shared folder and go on from there.
 
     What follows reads files instead of repeating the work, survives the loss of
@@ -215,7 +215,7 @@ def stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_path(spark, name) if folder is None else f"{folder}/{name}"
-    return _stored(spark, path, write_stage(df, path))
+    return _stored(spark, path, write_stage(df, path, **options))
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

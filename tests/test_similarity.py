@@ -113,10 +113,11 @@ def test_candidates_need_enough_ratings(ratings_of, targets_of):
 def test_pooled_form_equals_the_self_join(ratings_of, targets_of, broadcast_items):
     users = plain.random_users(11, users=12)
     ratings = ratings_of(users)
+    averages = user_averages(ratings)
     found = similarity.pearson_pooled(
         ratings,
-        user_averages(ratings),
-        targets_of(3, 4),
+        averages,
+        similarity.target_means(averages, targets_of(3, 4)),
         broadcast_items=broadcast_items,
         broadcast_targets=broadcast_items,
         share_rows=2,
