@@ -2,6 +2,8 @@
 
 from kinrate.config import DEFAULTS, Defaults
 from kinrate.plans.batch import run_batch
+from kinrate.plans.comparing import Comparison
+from kinrate.plans.maintained import MaintainedAverages, rating_changes
 from kinrate.plans.prepared import (
     Prepared,
     Targets,
@@ -18,8 +20,10 @@ from kinrate.plans.storage import scratch
 from kinrate.sources.files import read_items, read_ratings, read_table, write_table
 
 __all__ = [
+    "Comparison",
     "DEFAULTS",
     "Defaults",
+    "MaintainedAverages",
     "NewUsers",
     "Prepared",
     "Targets",
@@ -29,6 +33,7 @@ __all__ = [
     "nearest_of_all",
     "pooled_similarities",
     "prepare",
+    "rating_changes",
     "read_items",
     "read_ratings",
     "read_table",

@@ -143,6 +143,25 @@ COMMON = """common AS (
   SELECT p.targetId, o.userId, p.movieId, p.target_rating AS rating1, o.rating AS rating2
   FROM profiles p JOIN others o ON o.movieId = p.movieId)"""
 
+# Ratings to which every user adds one for each of four items.
+SKEWED = f"""clean AS (SELECT * FROM ratings),
+skewed AS (
+  SELECT * FROM clean UNION ALL
+  SELECT userId, item, ((((userId * 7 - item * 3) % 10) + 10) % 10 + 1) / 2.0e0
+  FROM (SELECT DISTINCT userId FROM clean) AS users,
+       (VALUES (-1::BIGINT), (-2), (-3), (-4)) AS added(item)),
+skewed_averages AS (
+  SELECT userId, {_round("avg(rating)", 3)} AS avg_rating, count(rating) AS num_ratings
+  FROM skewed GROUP BY userId)"""
+
+
+def _skewed_profiles(chosen: str) -> str:
+    return f"""profiles AS (
+  SELECT r.userId AS targetId, r.movieId, r.rating AS target_rating, a.avg_rating AS target_mean
+  FROM skewed r JOIN skewed_averages a ON a.userId = r.userId
+  WHERE r.userId IN ({chosen}))"""
+
+
 BASE = (RAW, CLEAN)
 WITH_MEANS = (*BASE, AVERAGES)
 WITH_TARGETS = (*WITH_MEANS, MOST_ACTIVE, TARGETS, PROFILES)
@@ -341,6 +360,10 @@ WHERE movieId BETWEEN 0 AND 9
 GROUP BY userId""",
     ),
     "user_averages": STORED_AVERAGES,
+    "maintained_averages": _sql(
+        (RAW, _newest("ratings", "AND rating BETWEEN 1.0 AND 5.0"), AVERAGES),
+        "SELECT userId, avg_rating, num_ratings FROM averages",
+    ),
     "user_average_stats": _sql(WITH_MEANS, _summary("avg_rating", "averages")),
     "top_bottom_users": _sql(WITH_MEANS, TOP_BOTTOM),
     "eligible_users": _sql(
@@ -375,6 +398,32 @@ GROUP BY userId""",
     "all_pairs_similarity": _sql(
         (*WITH_MEANS, EVERYBODY, PROFILES, _sums(), SIMS, TOP_K), "SELECT * FROM nearest"
     ),
+    "co_rated_counts_skewed": _sql(
+        (
+            *BASE,
+            SKEWED,
+            _skewed_profiles(
+                "SELECT userId FROM skewed_averages ORDER BY num_ratings DESC, userId LIMIT 20"
+            ),
+            _sums("skewed", "skewed_averages"),
+        ),
+        "SELECT targetId, userId, n AS common_movies FROM sums WHERE n >= 5",
+    ),
+    "all_pairs_skewed": _sql(
+        (
+            *BASE,
+            SKEWED,
+            _skewed_profiles("SELECT userId FROM skewed_averages"),
+            _sums("skewed", "skewed_averages"),
+        ),
+        _top(
+            f"SELECT targetId, userId, {_round(PEARSON_OR_ZERO, 4)} AS similarity,"
+            " n AS common_movies FROM sums WHERE n >= 5",
+            "targetId",
+            "similarity DESC, userId",
+            10,
+        ),
+    ),
     "similarity_stats": _sql(WITH_SIMS, _summary("similarity", "sims", "targetId")),
     "similarity_extremes": _sql(WITH_SIMS, EXTREMES),
     "similarity_band_distribution": _sql(
@@ -536,6 +585,19 @@ FROM (SELECT *, CASE WHEN n >= 3 THEN {PEARSON_OR_NULL} END AS pearson FROM sums
 JOIN (SELECT targetId, userId, count(*) FILTER (WHERE abs(rating1 - rating2) <= 1) AS agreements
       FROM common GROUP BY targetId, userId) AS g
   ON g.targetId = s.targetId AND g.userId = s.userId""",
+    ),
+    "compare_chosen_users": _sql(
+        (*WITH_TARGETS, _sums()),
+        f"""SELECT s.targetId, s.userId, {_round("s.pearson", 4)} AS similarity,
+       {SIMILARITY_BAND.format("s.pearson")} AS interpretation, s.n AS common_movies,
+       {_percent("g.agreements", "s.n")} AS agreement_pct
+FROM (SELECT *, {PEARSON_OR_NULL} AS pearson FROM sums) AS s
+JOIN (SELECT p.targetId, o.userId,
+             count(*) FILTER (WHERE abs(p.target_rating - o.rating) <= 1) AS agreements
+      FROM profiles p JOIN ratings o ON o.movieId = p.movieId GROUP BY p.targetId, o.userId) AS g
+  ON g.targetId = s.targetId AND g.userId = s.userId
+WHERE s.targetId = 10 AND s.userId IN (
+  SELECT userId FROM averages ORDER BY num_ratings DESC, userId LIMIT 20)""",
     ),
     "compare_agreement_lists": _sql(
         (*WITH_NEW_USER, COMMON, ITEMS),

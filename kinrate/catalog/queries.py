@@ -15,6 +15,8 @@ from kinrate.functions.labels import rating_type, similarity_band, stars
 from kinrate.functions.scores import round_half_up
 from kinrate.operators import cleaning, comparison, prediction, recommendation, similarity, stats
 from kinrate.plans.batch import FINAL_RECOMMENDATIONS, run_batch
+from kinrate.plans.comparing import Comparison
+from kinrate.plans.maintained import MaintainedAverages, rating_changes
 from kinrate.plans.prepared import (
     Prepared,
     Targets,
@@ -192,6 +194,33 @@ def user_average_stats(spark: SparkSession, folder: str) -> DataFrame:
     return stats.column_summary(_averages(spark, folder), "avg_rating", digits=6)
 
 
+def maintained_averages(spark: SparkSession, folder: str) -> DataFrame:
+    """User averages after three batches of changes, one of them sent twice.
+
+    The first inserts the ratings of the order lines up to 4, the second what all lines change,
+    and the third takes out the ratings of 0.5.
+    """
+    raw = stage(_raw(spark, folder), "raw")
+    steps = [
+        cleaning.clean_ratings(rows, recency=orders.RECENCY, rating_range=kept)
+        for rows, kept in (
+            (raw.filter("lineId <= 4"), cleaning.VALID_RANGE),
+            (raw, cleaning.VALID_RANGE),
+            (raw, (1.0, 5.0)),
+        )
+    ]
+    versions = [stage(step, "version") for step in steps]
+    store = MaintainedAverages(spark, new_path(spark, "averages"))
+    for name, old, new in (
+        ("insert", versions[0].limit(0), versions[0]),
+        ("revise", versions[0], versions[1]),
+        ("revise", versions[0], versions[1]),
+        ("remove", versions[1], versions[2]),
+    ):
+        store.commit(name, rating_changes(old, new))
+    return store.averages()
+
+
 def rating_type_distribution(spark: SparkSession, folder: str) -> DataFrame:
     return stats.value_counts(
         _averages(spark, folder), rating_type(F.col("avg_rating")), "rating_type"
@@ -220,6 +249,28 @@ def top_k_neighbors_above(spark: SparkSession, folder: str) -> DataFrame:
     return find_similar_users(base, _target_ids(spark, base), min_similarity=0.0)
 
 
+# Raters from which items of the skewed ratings are deferred: at every scale, those that all rate.
+SKEWED_RATERS = 100
+
+
+def _skewed(spark: SparkSession, folder: str) -> Prepared:
+    ratings = stage(orders.skewed_ratings(_clean(spark, folder)), "skewed")
+    return Prepared(ratings, stage(stats.user_averages(ratings), "skewed_averages"))
+
+
+def co_rated_counts_skewed(spark: SparkSession, folder: str) -> DataFrame:
+    """Shared items of the most active users with everybody, where some items are everybody's."""
+    base = _skewed(spark, folder)
+    order = [F.col("num_ratings").desc(), F.col("userId")]
+    most = base.averages.orderBy(*order).limit(20).select(F.col("userId").alias("targetId"))
+    return load_targets(base, most, SKEWED_RATERS).co_rated_counts(min_common=5)
+
+
+def all_pairs_skewed(spark: SparkSession, folder: str) -> DataFrame:
+    """The nearest users of every user, where some items are everybody's."""
+    return nearest_of_all(_skewed(spark, folder), 10, min_common=5, large_raters=SKEWED_RATERS)
+
+
 def similarity_stats(spark: SparkSession, folder: str) -> DataFrame:
     return stats.column_summary(
         _similarities(spark, folder), "similarity", by=["targetId"], digits=6
@@ -379,6 +430,15 @@ def loved_unseen(spark: SparkSession, folder: str) -> DataFrame:
     return _titled(loved, spark, folder)
 
 
+def compare_chosen_users(spark: SparkSession, folder: str) -> DataFrame:
+    """User 10 with the users of most ratings, by the public call for chosen pairs."""
+    base = prepared(spark, folder)
+    order = [F.col("num_ratings").desc(), F.col("userId")]
+    most = base.averages.orderBy(*order).limit(20).select("userId")
+    pairs = most.withColumn("targetId", F.lit(DEFAULTS.target_user).cast("bigint"))
+    return Comparison.of_users(base, pairs, orders.items(spark, folder)).summary(min_common=1)
+
+
 def _explore(sort_by: str) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
         found = comparison.explore_neighbors(
@@ -410,6 +470,7 @@ QUERIES: dict[str, Query] = {
     "matrix_info": lambda s, d: stats.matrix_info(_clean(s, d)),
     "matrix_sample": matrix_sample,
     "user_averages": lambda s, d: stats.user_averages(_clean(s, d)),
+    "maintained_averages": maintained_averages,
     "user_average_stats": user_average_stats,
     "top_bottom_users": lambda s, d: stats.top_bottom_users(_averages(s, d)),
     "eligible_users": lambda s, d: stats.eligible_users(_averages(s, d)),
@@ -423,6 +484,8 @@ QUERIES: dict[str, Query] = {
     "pearson_neighbors": _similarities,
     "pearson_pooled": pearson_pooled,
     "all_pairs_similarity": lambda s, d: nearest_of_all(prepared(s, d)),
+    "co_rated_counts_skewed": co_rated_counts_skewed,
+    "all_pairs_skewed": all_pairs_skewed,
     "similarity_stats": similarity_stats,
     "similarity_extremes": lambda s, d: similarity.similarity_extremes(_similarities(s, d)),
     "similarity_band_distribution": similarity_band_distribution,
@@ -456,6 +519,7 @@ QUERIES: dict[str, Query] = {
     "user_profile": user_profile,
     "compare_common_items": compare_common_items,
     "compare_users": compare_users,
+    "compare_chosen_users": compare_chosen_users,
     "compare_agreement_lists": compare_agreement_lists,
     "compare_disagreements": compare_disagreements,
     "rating_regression": rating_regression,

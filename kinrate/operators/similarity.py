@@ -274,8 +274,12 @@ def _target_sums(
         )
         met = (
             co_ratings(
-                _undeferred(ratings, others),
-                _undeferred(profiles, own, "targetId").withColumnRenamed("deferred", "_late_u"),
+                # stored, because heavy keys are counted on either side before the join
+                keep(_undeferred(ratings, others), "undeferred"),
+                keep(
+                    _undeferred(profiles, own, "targetId").withColumnRenamed("deferred", "_late_u"),
+                    "undeferred_targets",
+                ),
                 *how,
                 carry=("deferred",),
             )

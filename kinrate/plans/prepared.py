@@ -7,7 +7,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kinrate.config import BROADCAST_ROWS, DEFAULTS, FEW_TARGETS, LOOKUP_IDS, ROW_GROUP_BYTES
+from kinrate.config import (
+    BROADCAST_ROWS,
+    DEFAULTS,
+    FEW_TARGETS,
+    LARGE_RATERS,
+    LOOKUP_IDS,
+    ROW_GROUP_BYTES,
+)
 from kinrate.operators.cleaning import VALID_RANGE, clean_ratings
 from kinrate.operators.comparison import common_items
 from kinrate.operators.joins import one_of, sorted_by
@@ -71,7 +78,7 @@ class Prepared:
         return rows if ids is None else rows.filter(one_of("userId", ids))
 
 
-def _few_ids(table: DataFrame, column: str) -> list[int] | None:
+def few_ids(table: DataFrame, column: str) -> list[int] | None:
     """The distinct ids of a stored table of at most LOOKUP_IDS rows, else None."""
     if rows_of(table) > LOOKUP_IDS:
         return None
@@ -181,7 +188,7 @@ class Targets:
     def unseen_items(self, neighbors: DataFrame) -> DataFrame:
         near = staged(neighbors, "neighbors")
         return unseen_items(
-            self.prepared.of_users(_few_ids(near, "userId")),
+            self.prepared.of_users(few_ids(near, "userId")),
             near,
             self.seen,
             broadcast_neighbors=few_rows(near),
@@ -192,7 +199,7 @@ class Targets:
         """Predictions from neighbours, which are stored first unless they are ``stored`` already."""
         near = neighbors if stored else staged(neighbors, "neighbors")
         return predict_ratings(
-            self.prepared.of_users(_few_ids(near, "userId")),
+            self.prepared.of_users(few_ids(near, "userId")),
             self.prepared.averages,
             near,
             self.means,
@@ -205,7 +212,7 @@ class Targets:
     def explained_predictions(self, neighbors: DataFrame, **options) -> DataFrame:
         near = staged(neighbors, "neighbors")
         return profile_predictions(
-            self.prepared.of_users(_few_ids(near, "userId")),
+            self.prepared.of_users(few_ids(near, "userId")),
             self.prepared.averages,
             near,
             self.means,
@@ -216,34 +223,43 @@ class Targets:
         )
 
 
-def _large_items(ratings: DataFrame) -> DataFrame | None:
-    large = stage(large_items(ratings), "large_items")
+def _large_items(ratings: DataFrame, large_raters: int = LARGE_RATERS) -> DataFrame | None:
+    large = stage(large_items(ratings, large_raters), "large_items")
     return large if rows_of(large) else None
 
 
-def _checked(prepared: Prepared, profiles: DataFrame, means: DataFrame, count: int) -> Targets:
-    large = _large_items(prepared.ratings) if count > FEW_TARGETS else None
-    items = _few_ids(profiles, "movieId")
+def _checked(
+    prepared: Prepared,
+    profiles: DataFrame,
+    means: DataFrame,
+    count: int,
+    large_raters: int = LARGE_RATERS,
+) -> Targets:
+    large = _large_items(prepared.ratings, large_raters) if count > FEW_TARGETS else None
+    items = few_ids(profiles, "movieId")
     return Targets(prepared, profiles, means, count, few_rows(profiles), large, items)
 
 
-def load_targets(prepared: Prepared, targets: DataFrame) -> Targets:
+def load_targets(
+    prepared: Prepared, targets: DataFrame, large_raters: int = LARGE_RATERS
+) -> Targets:
     """Store the targets' means and ratings and check their sizes.
 
-    ``targets`` has one column ``targetId``; any number of rows.
+    ``targets`` has one column ``targetId``; any number of rows. With many, items that
+    more than ``large_raters`` users rated are deferred.
     """
     wanted = targets.select("targetId").distinct()
     means = stage(target_means(prepared.averages, wanted), "target_means")
     count = rows_of(means)
     profiles = stage(
         target_profiles(
-            prepared.of_users(_few_ids(means, "targetId")),
+            prepared.of_users(few_ids(means, "targetId")),
             means,
             broadcast_targets=count <= BROADCAST_ROWS,
         ),
         "target_profiles",
     )
-    return _checked(prepared, profiles, means, count)
+    return _checked(prepared, profiles, means, count, large_raters)
 
 
 def load_profiles(
@@ -398,7 +414,11 @@ def pooled_similarities(
 
 
 def nearest_of_all(
-    prepared: Prepared, k: int = DEFAULTS.neighbors, min_common: int = DEFAULTS.min_common, **options
+    prepared: Prepared,
+    k: int = DEFAULTS.neighbors,
+    min_common: int = DEFAULTS.min_common,
+    large_raters: int = LARGE_RATERS,
+    **options,
 ) -> DataFrame:
     """The ``k`` most similar users of every user, with large items looked up first."""
     return top_k_join(
@@ -406,7 +426,7 @@ def nearest_of_all(
         prepared.averages,
         k,
         min_common,
-        _large_items(prepared.ratings),
+        _large_items(prepared.ratings, large_raters),
         keep=stage,
         **options,
     )

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
 from kinrate.config import DEFAULTS
 from kinrate.functions.labels import rating_type
+from kinrate.operators.comparison import explore_neighbors
 from kinrate.operators.joins import top_per
 from kinrate.operators.recommendation import top_n, with_items
 from kinrate.operators.similarity import top_k_neighbors
+from kinrate.plans.comparing import Comparison
 from kinrate.plans.prepared import Prepared, Targets, load_profiles
+from kinrate.plans.storage import stage
 
 
 @dataclass(frozen=True)
@@ -75,6 +79,21 @@ class NewUsers:
             )
         )
 
+    def explore(
+        self, items: int = 5, k: int | None = DEFAULTS.profile_neighbors, **filters
+    ) -> DataFrame:
+        """Neighbours that pass filters by similarity, common ``items`` and rating type, in one
+        of three orders: the options of :func:`kinrate.operators.comparison.explore_neighbors`."""
+        return explore_neighbors(self.neighbors(k), min_common=items, **filters)
+
+    def compare(self, users: Sequence[int], items: DataFrame | None = None) -> Comparison:
+        """Each new user with each of the given known users."""
+        ids = F.lit([int(u) for u in users]).cast("array<bigint>")
+        pairs = self.targets.means.select(
+            "targetId", F.explode(F.array_distinct(ids)).alias("userId")
+        )
+        return Comparison(self.targets, stage(pairs, "pairs"), items)
+
     def predictions(self, neighbors: DataFrame, **options) -> DataFrame:
         return self.targets.explained_predictions(neighbors, **options)
 

@@ -138,8 +138,10 @@ def _publish(spark: SparkSession, path: str, manifest: dict) -> None:
         raise IncompleteStage(f"could not publish {path}")
 
 
-def write_stage(df: DataFrame, path: str, **options) -> dict:
-    """Write an attempt below ``path`` and publish it; the manifest. ``options`` are Parquet's.
+def write_stage(df: DataFrame, path: str, notes: dict | None = None, **options) -> dict:
+    """Write an attempt below ``path`` and publish it; the manifest.
+
+    ``notes`` are published with it; ``options`` are Parquet's.
 
     Rows are counted while they are written. An attempt published before is replaced, and only then deleted.
     """
@@ -154,6 +156,7 @@ def write_stage(df: DataFrame, path: str, **options) -> dict:
         "rows": counted.get["rows"],
         "schema": df.schema.jsonValue(),
         "files": _listing(spark, f"{path}/{attempt}"),
+        "notes": notes or {},
     }
     _publish(spark, path, manifest)
     if before is not None:
@@ -188,6 +191,22 @@ def read_stage(spark: SparkSession, path: str) -> DataFrame | None:
     return _stored(spark, path, manifest)
 
 
+def published(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the tables published directly below a folder."""
+    place, files = _path(spark, folder)
+    if not files.exists(place):
+        return []
+    names = [s.getPath().getName() for s in files.listStatus(place) if s.isDirectory()]
+    return sorted(name for name in names if read_manifest(spark, f"{folder}/{name}"))
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete what is stored at ``path``, its manifest first."""
+    for part in (f"{path}/{MANIFEST}", path):
+        place, files = _path(spark, part)
+        files.delete(place, True)
+
+
 def committed(spark: SparkSession, path: str) -> bool:
     """Whether Spark has finished writing a plain table there."""
     place, files = _path(spark, f"{path}/_SUCCESS")
