@@ -1,18 +1,16 @@
 """Token ids of whole texts with the tokenizers library, a piece encoded once per worker.
 
 Texts are cut before a space, and before and after a line feed, that stands between two
-other characters. The pattern of byte-level tokenizers always starts a match there, and word
-tokenizers drop white space altogether, so the ids of the pieces are the ids of the text. Equal pieces of many texts are
-found by 64-bit hashes in numpy, and each is encoded by the library the first time a
-worker meets it: a plain word, perhaps with a closing mark, by the library's merge
-model, anything else by its whole pipeline. The ids are always the library's.
+other characters, and before a mark after a letter. The patterns of byte-level and of word tokenizers
+always start a match there, so the ids of the pieces are the ids of the text. Equal pieces of many texts are
+found in numpy, by 64-bit hashes that are verified byte by byte, and those that a worker has
+not met of late are encoded: a plain word by the library's merge model, anything else by its
+whole pipeline, many in one call. The ids are always the library's.
 """
 
 from __future__ import annotations
 
 import os
-import sys
-from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -25,14 +23,20 @@ from kinrate.llm.words import Spans, text_chunks
 # Pieces kept by a worker before it starts afresh, and the longest one that it keeps.
 KEPT_PIECES = 800_000
 LONGEST_KEPT = 64
+AT_ONCE = 4096  # pieces given to the library in one call
 CHUNK_BYTES = 2 << 20
 
 # How a tokenizer sees a word after a space: with the space, or in lower case without it.
 SPACED, LOWERED = "spaced", "lowered"
-MARKS = ".,;:!?"
 # Below this, letters are in composed form and have one lower-case letter each.
 PLAIN_BELOW = "İ"
 
+# Marks before which a text is cut, if an ASCII letter stands before them.
+_MARK = np.zeros(256, dtype=bool)
+_MARK[list(b".,;:!?")] = True
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+
 # Bytes next to which a space is no cut: white space, or the beginning of a character that may be
 # white space (after the space); before it, the last byte of any but a Latin-1 character.
 _BLANK = np.zeros(256, dtype=bool)
@@ -50,17 +54,10 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in prints} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
-def struct_ids(ids: list[int]) -> bytes:
-    """Ids as little-endian unsigned 32-bit integers."""
-    packed = array("I", ids)
-    if sys.byteorder == "big":
-        packed.byteswap()
-    return packed.tobytes()
-
-
 def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Where pieces begin: at the texts' beginnings, at safe spaces and about safe line feeds."""
+    """Where pieces begin: at the texts' beginnings, at safe spaces, about safe line feeds and at marks."""
     begins = np.zeros(len(data) + 1, dtype=bool)
+    begins[1:-1] = _MARK[data[1:]] & _LETTER[data[:-1]]
     space = np.flatnonzero((data == 32) | (data == 10))
     space = space[(space > 0) & (space < len(data) - 1)]
     before, after = data[space - 1], data[space + 1]
@@ -76,8 +73,26 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(begins)
 
 
+def equal_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One of each of the distinct spans, and which of them every span equals."""
+    hashes = Spans(data.astype(np.uint64) + np.uint64(1)).hashes(start, end)
+    _, sample, which = np.unique(hashes, return_index=True, return_inverse=True)
+    length = end - start
+    same = length == length[sample][which]
+    # the bytes of all spans of the right length against those of their sample
+    inside = np.repeat(same, length)
+    shift = np.repeat(start[sample][which] - start, length)
+    place = np.flatnonzero(inside)
+    differ = place[data[place] != data[place + shift[place]]]
+    same[np.searchsorted(end, differ, "right")] = False
+    # spans that share a hash only stand for themselves
+    other = np.flatnonzero(~same)
+    which[other] = len(sample) + np.arange(len(other))
+    return np.r_[sample, other], which
+
+
 class Pieces:
-    """Ids of texts, with the pieces met so far."""
+    """Ids of texts, with the pieces met of late: half of them or more of the last ``most``."""
 
     def __init__(self, path: str, words: str, most: int = KEPT_PIECES):
         if words not in (SPACED, LOWERED):
@@ -91,39 +106,57 @@ class Pieces:
         self.lowered = words == LOWERED
         self.letters = byte_letters()
         self.space = "" if self.lowered else self.letters[32]
-        self.marks = {m: self._whole(m) for m in MARKS} | {"": b""}
+        size = self.tokenizer.get_vocab_size()
+        self.as_bytes = [i.to_bytes(4, "little") for i in range(size)]
         self.kept: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.most = most
 
-    def _whole(self, text: str) -> bytes:
-        return struct_ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
-
-    def _word(self, word: str, space: str) -> bytes:
+    def _word(self, literal: bytes) -> bytes | None:
+        """The ids of a plain word, perhaps with a space before it; None for anything else."""
+        space, bare = (self.space, literal[1:]) if literal[0] == 32 else ("", literal)
+        word = bare.decode()
+        plain = bare.isalpha()  # ASCII letters only
+        if not plain and (not word.isalpha() or max(word) >= PLAIN_BELOW):
+            return None
         if self.lowered:
             word = word.lower()
-        if not word.isascii():
+        if not plain:
             word = word.encode().decode("latin-1").translate(self.letters)
-        return struct_ids([token.id for token in self.model.tokenize(space + word)])
+        return b"".join([self.as_bytes[token.id] for token in self.model.tokenize(space + word)])
 
-    def _piece(self, literal: bytes) -> bytes:
-        text = literal.decode()
-        space, piece = (self.space, text[1:]) if text[:1] == " " else ("", text)
-        word, mark = (piece, "") if piece.isalpha() else (piece[:-1], piece[-1:])
-        if mark in self.marks and word.isalpha() and (word.isascii() or max(word) < PLAIN_BELOW):
-            return self._word(word, space) + self.marks[mark]
-        return self._whole(text)
+    def _encoded(self, literals: list[bytes]) -> list[bytes]:
+        """The ids of each literal, as if encoded alone."""
+        texts = [literal.decode() for literal in literals]
+        encoded = self.tokenizer.encode(texts, is_pretokenized=True, add_special_tokens=False)
+        ids = np.array(encoded.ids, dtype="<u4").tobytes()
+        owners = np.array(encoded.word_ids, dtype=np.int64)
+        ends = (4 * np.cumsum(np.bincount(owners, minlength=len(literals)))).tolist()
+        return [ids[a:b] for a, b in zip([0, *ends], ends)]
 
     def _ids(self, literals: list[bytes]) -> list[bytes]:
-        if len(self.kept) > self.most:
-            self.kept.clear()
+        if 2 * len(self.kept) > self.most:
+            self.older, self.kept = self.kept, {}
+        kept, older = self.kept, self.older
         found = []
-        for literal in literals:
-            ids = self.kept.get(literal)
+        unmet = []
+        for i, literal in enumerate(literals):
+            ids = kept.get(literal)
             if ids is None:
-                ids = self._piece(literal)
-                if len(literal) <= LONGEST_KEPT:
-                    self.kept[literal] = ids
+                ids = older.get(literal)
+                if ids is None:
+                    ids = self._word(literal)
+                if ids is None:
+                    unmet.append(i)
+                elif len(literal) <= LONGEST_KEPT:
+                    kept[literal] = ids
             found.append(ids)
+        for at in range(0, len(unmet), AT_ONCE):
+            some = unmet[at : at + AT_ONCE]
+            for i, ids in zip(some, self._encoded([literals[i] for i in some])):
+                found[i] = ids
+                if len(literals[i]) <= LONGEST_KEPT:
+                    kept[literals[i]] = ids
         return found
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -140,8 +173,7 @@ class Pieces:
             data = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
         start = cuts(data, offsets)
         end = np.r_[start[1:], len(data)]
-        hashes = Spans(data.astype(np.uint64) + np.uint64(1)).hashes(start, end)
-        _, sample, which = np.unique(hashes, return_index=True, return_inverse=True)
+        sample, which = equal_spans(data, start, end)
         raw = data.tobytes()
         ids = self._ids([raw[a:b] for a, b in zip(start[sample].tolist(), end[sample].tolist())])
         sizes = np.array([len(i) // 4 for i in ids], dtype=np.int64)

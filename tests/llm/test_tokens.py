@@ -139,3 +139,31 @@ def test_token_files(spark, docs_of, tmp_path):
     assert "PushedFilters: [In(doc_id" in read_token_files(spark, folder, [9, 10])._jdf.queryExecution().toString()
     write_token_files(docs_of([]), str(tmp_path / "none"), path)
     assert token_offsets(spark, str(tmp_path / "none")).count() == 0
+
+
+@pytest.mark.parametrize("name, words", [("byte_bpe_50k.json", SPACED), ("word_bpe_49k.json", LOWERED)])
+def test_a_small_cache_changes_nothing(name, words):
+    made = random.Random(5)
+    letters = "abcdeéÉßK'.,;!? \n1"
+    texts = ["".join(made.choice(letters) for _ in range(200)) for _ in range(60)] + ["the cat, the dog; the End.", "x" * 100 + "."]
+    expected = library(name)
+    for most in (4, 60, 100_000):
+        pieces = Pieces(public_tokenizers.path(name), words, most)
+        for _ in range(2):
+            flat, first = pieces.encode(pa.array(texts))
+            assert [flat[a:b].tolist() for a, b in zip(first[:-1], first[1:])] == [expected(t) for t in texts]
+        assert len(pieces.kept) + len(pieces.older) <= most + 2 * len({w for t in texts for w in t}) + 5000
+
+
+def test_spans_with_one_hash_are_told_apart(monkeypatch):
+    """Equal spans are found by hash and then compared by their bytes."""
+    from kinrate.llm import encoding
+
+    data = np.frombuffer(b"abcabdabcxyzabd", dtype=np.uint8)
+    start, end = np.array([0, 3, 6, 9, 12]), np.array([3, 6, 9, 12, 15])
+    sample, which = encoding.equal_spans(data, start, end)
+    assert len(sample) == 3 and which[0] == which[2] and which[1] == which[4]
+    monkeypatch.setattr(encoding.Spans, "hashes", lambda self, a, b: np.zeros(len(a), dtype=np.uint64))
+    sample, which = encoding.equal_spans(data, start, end)
+    spans = [data[a:b].tobytes() for a, b in zip(start, end)]
+    assert [spans[sample[w]] for w in which] == spans and which[0] == which[2]
