@@ -36,7 +36,7 @@ from kinrate.llm.shipping import arrow_rows
 from kinrate.plans.storage import few_rows, stage
 
 CAPACITY = 1024
-KEPT_PIECES = 500_000  # pieces of text that a worker keeps
+KEPT_PIECES = 200_000  # pieces of text that a worker keeps
 PIECE = ["doc_id", "piece", "start", "length"]
 _CUT = "doc_id bigint, piece int, start bigint, length bigint, ids binary, task int, place bigint"
 
