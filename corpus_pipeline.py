@@ -26,8 +26,11 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """
     labelled = docs.where(language_id.fold(F.col("doc_id")) != 2)
     model = language_id.train(labelled.select(F.col("doc_id").alias("key"), "text", "lang"))
-    rows = docs.select(F.struct("*").alias("row"), "text")
-    return language_id.predict(rows, model).where("NOT rejected").select("row.*")
+    # all but the text as one column, so that the text goes to Python once and no name clashes
+    others = [F.col(f"`{name}`") for name in docs.columns if name != "text"]
+    rows = docs.select(F.struct(*others).alias("row"), "text")
+    kept = language_id.predict(rows, model).where("NOT rejected")
+    return kept.select(*[F.col(name if name == "text" else f"row.`{name}`").alias(name) for name in docs.columns])
 
 
 def first_of_like(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
