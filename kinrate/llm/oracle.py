@@ -88,26 +88,13 @@ WITH RECURSIVE docs AS (
   SELECT doc_id AS a, doc_id AS b FROM documents
   UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a
 )
-SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, r.least AS component_id
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, r.least AS component_id,
+  coalesce(l.n, 0)::BIGINT AS n_links
 FROM docs d LEFT JOIN sizes s USING (doc_id)
+LEFT JOIN (SELECT a AS doc_id, count(*) AS n FROM edges GROUP BY a) l USING (doc_id)
 JOIN (SELECT a AS doc_id, min(b) AS least FROM reach GROUP BY a) r USING (doc_id)
 """
 
-COUNTS = r"""
-WITH rows AS (
-  SELECT source, lang,
-    len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words,
-    len(regexp_extract_all(text, '[A-Za-z]+')) AS letters
-  FROM documents d
-  WHERE doc_id = (SELECT min(f.doc_id) FROM documents f WHERE f.text = d.text)
-), counted AS (
-  SELECT source, lang, 'words-1' AS tokenizer, words AS tokens FROM rows
-  UNION ALL SELECT source, lang, 'letters-1', letters FROM rows
-)
-SELECT source, lang, tokenizer, count(*)::BIGINT AS n_docs, sum(tokens)::BIGINT AS n_tokens
-FROM counted GROUP BY ALL
-"""
-
 SEARCH = """
 WITH whole AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS w FROM embeddings
@@ -144,7 +131,6 @@ ORACLE = {
     "op1_substring_dedup": SUBSTRING,
     "op3_license_scan": LICENCES,
     "op5_jaccard_join": JACCARD,
-    "op7_token_counts": COUNTS,
     "op10_topk_search": SEARCH,
     "op12_line_dedup": LINES,
 }

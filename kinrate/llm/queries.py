@@ -8,13 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kinrate.llm import byte_bpe, fingerprints, language_id, licences, topk_search
-from kinrate.llm.jaccard_join import Jaccard, jaccard_classes
+from kinrate.llm.encoding import LOWERED, SPACED
+from kinrate.llm.jaccard_join import Jaccard, jaccard_links
 from kinrate.llm.line_dedup import remove_lines
 from kinrate.llm.packing import pack_documents
 from kinrate.llm.periodic_runs import best_run, periodic_runs
 from kinrate.llm.resampling import Resampling, resample
 from kinrate.llm.substring_dedup import remove_repeats
-from kinrate.llm.token_counts import TokenCounts
+from kinrate.llm.token_counts import TokenCounts, count_tokens
 from kinrate.llm.token_files import token_offsets, write_token_files
 from kinrate.plans.storage import new_path, stage
 
@@ -53,9 +54,9 @@ def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
-    """Classes of documents with like sets of 4-word shingles."""
-    classes = jaccard_classes(documents(spark, folder), Jaccard(width=4, percent=85))
-    return classes.select("doc_id", "n_shingles", "component_id")
+    """Classes of documents with like sets of 4-word shingles, and the links of each."""
+    classes = jaccard_links(documents(spark, folder), Jaccard(width=4, percent=85))
+    return classes.select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -66,34 +67,32 @@ def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """Totals after three batches: rough counts of all documents under two tokenizers,
-    exact counts in place of the rough ones, and the removal of repeated texts."""
-    docs = documents(spark, folder).select(
-        "doc_id",
-        "source",
-        "lang",
-        F.sha2("text", 256).alias("digest"),
-        (F.length("text") - F.length(F.replace("text", F.lit(" "))) + 1).cast("bigint").alias("rough"),
-        F.regexp_count("text", F.lit(WORD)).cast("bigint").alias("words"),
-        F.regexp_count("text", F.lit("[A-Za-z]+")).cast("bigint").alias("letters"),
-    )
-    counted = stage(docs, "counted")
+    """Totals of two tokenizers after three batches: rough counts of all documents, exact
+    counts in place of the rough ones, and the removal of repeated texts.
+
+    A rough count is a token for each four bytes. Null texts are empty ones.
+    """
+    tokenizers = {
+        "byte_bpe_50k": (public_tokenizers.path("byte_bpe_50k.json"), SPACED),
+        "word_bpe_49k": (public_tokenizers.path("word_bpe_49k.json"), LOWERED),
+    }
+    text = F.coalesce("text", F.lit(""))
+    rough = F.ceil(F.octet_length(text) / 4).cast("bigint").alias("rough")
+    docs = documents(spark, folder).select("doc_id", "source", "lang", "text", F.sha2(text, 256).alias("digest"), rough)
+    counted = stage(count_tokens(docs, tokenizers), "counted")
     none = F.lit(None).cast("bigint")
+    count = F.col("tokens")
 
-    def changes(rows: DataFrame, old: F.Column, new: F.Column, tokenizer: str) -> DataFrame:
-        return rows.select(
-            "source", "lang", F.lit(tokenizer).alias("tokenizer"), old.alias("old_tokens"), new.alias("new_tokens")
-        )
+    def changes(rows: DataFrame, old: F.Column, new: F.Column) -> DataFrame:
+        each = rows.select("source", "lang", "rough", F.explode("counts").alias("tokenizer", "tokens"))
+        return each.select("source", "lang", "tokenizer", old.alias("old_tokens"), new.alias("new_tokens"))
 
-    words, rough, letters = F.col("words"), F.col("rough"), F.col("letters")
     store = TokenCounts(spark, new_path(spark, "counts"))
-    store.commit("load", changes(counted, none, rough, "words-1").unionByName(changes(counted, none, letters, "letters-1")))
-    store.commit("revise", changes(counted, rough, words, "words-1"))
+    store.commit("load", changes(counted, none, F.col("rough")))
+    store.commit("revise", changes(counted, F.col("rough"), count))
     first = stage(counted.groupBy("digest").agg(F.min("doc_id").alias("first")), "first")
-    repeated = counted.join(first, "digest").where("doc_id > first")
-    gone = changes(repeated, words, none, "words-1").unionByName(changes(repeated, letters, none, "letters-1"))
-    store.commit("delete", gone)
-    store.commit("revise", changes(counted, rough, words, "words-1"))  # again, as after a lost answer
+    store.commit("delete", changes(counted.join(first, "digest").where("doc_id > first"), count, none))
+    store.commit("revise", changes(counted, F.col("rough"), count))  # again, as after a lost answer
     return store.totals()
 
 

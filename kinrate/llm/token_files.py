@@ -87,9 +87,9 @@ def token_offsets(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens and ids_crc32 from the files."""
     rows = read_token_files(spark, folder).select(F.col("_metadata.file_name").alias("file"), "doc_id", "ids")
     sums = arrow_rows(rows, _sum_rows, "file string, doc_id bigint, n_tokens bigint, ids_crc32 bigint")
-    # file names ascend with the ranges; one row a file is summed up
-    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    files = sums.groupBy("file").agg(F.sum("n_tokens").alias("tokens"))
+    # files are in the order of their least doc_id, those without any first; one row a file is summed up
+    earlier = Window.orderBy(F.col("least").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    files = sums.groupBy("file").agg(F.sum("n_tokens").alias("tokens"), F.min("doc_id").alias("least"))
     files = files.select("file", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("before"))
     inside = Window.partitionBy("file").orderBy("doc_id", "ids_crc32", "n_tokens").rowsBetween(
         Window.unboundedPreceding, -1

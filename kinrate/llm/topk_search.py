@@ -8,13 +8,13 @@ query are selected in each block, and a last top-k over blocks merges them.
 
 Scores are exact at every size of the components: pairs whose products could leave 64 bits are
 added up as Python's integers. They are ranked by their true scores; a score that does not fit
-in a signed 64-bit integer is shown as null. A component of type double beyond 2**1013, which has
-no scaled value, raises an error.
+in a signed 64-bit integer is shown as null.
 
 A vector that is null, or holds a null, a NaN or an infinite component, takes no part; nor does a
-row with a null id. A missing component of
-a shorter vector is 0. Rows that repeat an id count once, by the least vector. Ties go to
-the smaller id. Other columns are ignored. An empty table gives an empty result.
+row with a null id, nor a vector with a component that is infinite when scaled (of type double,
+beyond 2**1013). A missing component of
+a shorter vector is 0. Rows that repeat an id are vectors of their own and no candidates of each
+other; as queries they share one list of the k best. Ties go to the smaller id. Other columns are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from kinrate.llm.shipping import arrow_rows
-from kinrate.plans.storage import stage
+from kinrate.plans.storage import rows_of, stage
 
 SCALE = 1024
 K = 10
@@ -43,29 +43,23 @@ def whole_vectors(rows: DataFrame, scale: int = SCALE) -> DataFrame:
     """vec_id and weights: floor(scale * x) of each component x, a whole number as a double."""
 
     def usable(x: Column) -> Column:
-        value = x.cast("double")
+        value = x.cast("double") * scale
         return x.isNotNull() & ~F.isnan(value) & (F.abs(value) != float("inf"))
 
     def weight(x: Column) -> Column:
         scaled = x.cast("double") * scale
-        too_large = F.raise_error(F.lit("a component is too large to be scaled")).cast("double")
-        return (
-            F.when(F.abs(scaled) < WHOLE, F.floor(scaled).cast("double"))
-            .when(F.abs(scaled) == float("inf"), too_large)
-            .otherwise(scaled)
-        )
+        return F.when(F.abs(scaled) < WHOLE, F.floor(scaled).cast("double")).otherwise(scaled)
 
     return (
         rows.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull())
         .where(F.forall("embedding", usable))
         .select(F.col("vec_id").cast("bigint"), F.transform("embedding", weight).alias("weights"))
-        .groupBy("vec_id")
-        .agg(F.min("weights").alias("weights"))
     )
 
 
 def _blocks(vectors: DataFrame, count: int, name: str) -> DataFrame:
-    block = F.pmod(F.xxhash64("vec_id"), F.lit(count)).alias(f"{name}_block")
+    # by row and not by id, of which one may stand in a third of all rows
+    block = F.pmod(F.xxhash64("row"), F.lit(count)).alias(f"{name}_block")
     return vectors.groupBy(block).agg(F.collect_list(F.struct("vec_id", "weights")).alias(name))
 
 
@@ -174,9 +168,12 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = K) -> DataFrame:
 
     Both sides as from ``whole_vectors``.
     """
-    queries, candidates = stage(queries, "queries"), stage(candidates, "candidates")
-    query_blocks = -(-max(1, queries.count()) // QUERY_BLOCK)
-    candidate_blocks = -(-max(1, candidates.count()) // CANDIDATE_BLOCK)
+    queries, candidates = (
+        stage(side.select("vec_id", "weights", F.monotonically_increasing_id().alias("row")), name)
+        for side, name in ((queries, "queries"), (candidates, "candidates"))
+    )
+    query_blocks = -(-max(1, rows_of(queries)) // QUERY_BLOCK)
+    candidate_blocks = -(-max(1, rows_of(candidates)) // CANDIDATE_BLOCK)
     every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(candidate_blocks - 1).cast("bigint")))
     asked = _blocks(queries, query_blocks, "queries").withColumn("candidates_block", every)
     there = _blocks(candidates, candidate_blocks, "candidates").withColumn(

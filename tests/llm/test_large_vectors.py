@@ -40,7 +40,21 @@ def test_large_components_take_part(spark, kind):
     assert any(e[3] is None for e in expected)
 
 
-def test_a_component_that_cannot_be_scaled_raises(spark):
-    rows = spark.createDataFrame([(1, [1e308]), (2, [1.0])], "vec_id bigint, embedding array<double>")
-    with pytest.raises(Exception, match="too large to be scaled"):
-        whole_vectors(rows).collect()
+def test_a_component_that_cannot_be_scaled_takes_no_part(spark):
+    rows = spark.createDataFrame([(1, [1e308]), (2, [1.0]), (3, [2.0])], "vec_id bigint, embedding array<double>")
+    whole = whole_vectors(rows)
+    assert sorted(r.vec_id for r in whole.collect()) == [2, 3]
+    got = top_k(whole.where("vec_id = 2"), whole, k=10).collect()
+    assert [(r.query_id, r["rank"], r.vec_id, r.score) for r in got] == [(2, 1, 3, 2 << 20)]
+
+
+def test_rows_that_share_an_id_are_vectors_of_their_own(spark):
+    vectors = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [3.0, 1.0]), (2, [1.0, 3.0]), (3, [2.0, 2.0])]
+    vectors += [(4, [0.5, 0.5])] * 30
+    rows = spark.createDataFrame(vectors, "vec_id bigint, embedding array<float>")
+    whole = whole_vectors(rows)
+    got = top_k(whole.where("vec_id = 1"), whole, k=7).collect()
+    scores = sorted(
+        (-int(sum(a * b for a, b in zip(v, w)) * 1024 * 1024), c) for q, v in vectors for c, w in vectors if q == 1 and c != 1
+    )
+    assert sorted((r["rank"], -r.score, r.vec_id) for r in got) == [(n, s, c) for n, (s, c) in enumerate(scores[:7], 1)]
