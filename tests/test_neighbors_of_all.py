@@ -89,15 +89,14 @@ def test_an_item_of_everyone_makes_no_pairs_of_its_own(ratings_of):
     assert similarity.top_k_join(rows, user_averages(rows), 5, 3, large).count() == 0
 
 
-def test_the_plan_looks_for_large_items(ratings_of, monkeypatch):
+def test_the_plan_looks_for_large_items(ratings_of):
     users = plain.random_users(8)
     ratings = ratings_of(users)
     base = Prepared(ratings, user_averages(ratings))
-    plain_plan = nearest_of_all(base, 3)
-    monkeypatch.setattr(similarity.large_items, "__defaults__", (4,))
-    deferred = nearest_of_all(base, 3)
-    assert "last_bound" in deferred._jdf.queryExecution().executedPlan().toString()
-    assert found_best(deferred) == found_best(plain_plan) == expected_best(users, 3, 3)
+    plans = [nearest_of_all(base, 3), nearest_of_all(base, 3, large_raters=4)]
+    seen = ["last_bound" in p._jdf.queryExecution().executedPlan().toString() for p in plans]
+    assert seen == [False, True]
+    assert found_best(plans[0]) == found_best(plans[1]) == expected_best(users, 3, 3)
 
 
 def test_parameters_are_checked(ratings_of):
