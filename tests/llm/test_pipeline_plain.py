@@ -1,0 +1,137 @@
+"""The language model's predictions and the whole pipeline against plain Python."""
+
+import hashlib
+import math
+
+import numpy as np
+import public_tokenizers
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from kinrate.llm import language_id
+from kinrate.llm.jaccard_join import Jaccard
+
+from .test_jaccard_join import FOLD
+from .test_substring_dedup import brute_force as spans_by_force
+from .test_tokens import best_fit_decreasing
+
+DATA = "/root/testdata/sf0.001"
+
+
+def plain_prediction(text, model):
+    """(language, score, rejected) by one subword after the other."""
+    if text is None or not any(c.isalpha() for c in text):
+        return "und", 0.0, True
+    data = [c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in text.encode()]
+    totals, count = [0.0] * len(model.languages), 0
+    for n in (2, 3, 4):
+        for i in range(len(data) - n + 1):
+            if data[i] == 32 and data[i + n - 1] == 32:  # between blanks
+                continue
+            key = n
+            for byte in data[i : i + n]:
+                key = key << 8 | byte
+            row = (key * 0x9E3779B97F4A7C15 % (1 << 64)) >> (64 - 14)
+            totals = [t + float(x) for t, x in zip(totals, model.table[row])]
+            count += 1
+    logits = [(t / max(count, 1) + float(b)) / model.temperature for t, b in zip(totals, model.bias)]
+    powers = [math.exp(x - max(logits)) for x in logits]
+    score = max(powers) / sum(powers)
+    return model.languages[powers.index(max(powers))], score, score < model.least_score
+
+
+def kept_words(pairs, k):
+    """The texts without windows that an earlier document has, by the definition."""
+    rows = [(i, t.encode().split()) for i, t in pairs]
+    first = {}
+    for i, words in rows:
+        for s in range(len(words) - k + 1):
+            key = tuple(words[s : s + k])
+            first[key] = min(first.get(key, i), i)
+    kept = {}
+    for (i, words), (_, text) in zip(rows, pairs):
+        gone = set()
+        for s in range(len(words) - k + 1):
+            if first[tuple(words[s : s + k])] < i:
+                gone.update(range(s, s + k))
+        left = [w for n, w in enumerate(words) if n not in gone]
+        if not gone:
+            kept[i] = text
+        elif left:
+            kept[i] = b" ".join(left).decode()
+    return kept
+
+
+def firsts_of_classes(pairs, rule):
+    sets = {}
+    for i, text in pairs:
+        words = text.encode().translate(FOLD).split()
+        whole = [tuple(words)] if words else []
+        sets[i] = frozenset([tuple(words[n : n + rule.width]) for n in range(len(words) - rule.width + 1)] or whole)
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = sorted(sets)
+    for n, a in enumerate(ids):
+        for b in ids[:n]:
+            one, other = sets[a], sets[b]
+            if one and other and 100 * len(one & other) >= rule.percent * len(one | other):
+                low, high = sorted((find(a), find(b)))
+                root[high] = low
+    return {i for i in ids if find(i) == i}
+
+
+def trained(docs):
+    labelled = docs.where(language_id.fold(F.col("doc_id")) != 2)
+    return language_id.train(labelled.select(F.col("doc_id").alias("key"), "text", "lang"))
+
+
+def test_predictions_equal_a_plain_forward_pass(spark, docs_of):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").where("length(text) < 3000")
+    model = trained(docs)
+    odd = docs_of({9001: None, 9002: "", 9003: "12 3", 9004: "a", 9005: "語 語", 9006: "É", 9007: "the of and"})
+    rows = docs.select("doc_id", "text").unionByName(odd.select("doc_id", "text"))
+    for r in language_id.predict(rows, model).collect():
+        language, score, rejected = plain_prediction(r.text, model)
+        assert (r.lang_pred, r.rejected) == (language, rejected)
+        assert abs(r.score - score) < 1e-9
+
+
+def test_pipeline_equals_plain_python(spark, tmp_path):
+    given = spark.read.parquet(f"{DATA}/documents.parquet")
+    long = given.where("length(text) > 800").orderBy("doc_id").first()
+    words = long.text.split()
+    texts = [None, "12 34", " - ", long.text + " end", "before it " + " ".join(words[5:75]) + " after it", " ".join(words[:60])]
+    more = [(9001 + i, t, None, "more", len(t or "")) for i, t in enumerate(texts)]
+    given.unionByName(spark.createDataFrame(more, given.schema)).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r.doc_id: r.text for r in docs.collect()}
+    model = trained(docs)
+    told = [(i, t) for i, t in sorted(rows.items()) if not plain_prediction(t, model)[2]]
+    first = firsts_of_classes(told, Jaccard(width=5, percent=80))
+    single = [(i, t) for i, t in told if i in first]
+    kept = kept_words(single, 50)
+    assert len(rows) > len(told) > len(single) > len(kept) and any(kept.get(i, t) != t for i, t in single)
+    digests = [eval(r) for r in spans_by_force(single, 50)]  # the same by another hand
+    assert sorted((i, hashlib.sha256(b" ".join(kept.get(i, "").encode().split())).hexdigest()) for i, _ in single) == sorted(
+        (i, d if i in kept else hashlib.sha256(b"").hexdigest()) for i, _, _, d in digests
+    )
+    found = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    tokenizer.encode_special_tokens = True
+    ids, sequences, counts = {}, {}, {}
+    for r in sorted(found, key=lambda r: (r.doc_id, r.piece)):
+        assert r.start == len(ids.setdefault(r.doc_id, []))
+        ids[r.doc_id] += np.frombuffer(r.ids, "<u4").tolist()
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+        counts[r.length] = counts.get(r.length, 0) + 1
+    assert ids == {i: [*tokenizer.encode(t, add_special_tokens=False).ids, 2] for i, t in kept.items()}
+    for spots in sequences.values():
+        ends = np.cumsum([0] + [n for _, n in sorted(spots)])
+        assert [o for o, _ in sorted(spots)] == ends[:-1].tolist() and ends[-1] <= 1024
+    assert len(sequences) <= best_fit_decreasing(counts, 1024)
