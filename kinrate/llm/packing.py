@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from kinrate.llm.encoding import SPACED, encoded_chunks, pieces_of
+from kinrate.llm.encoding import SPACED, encoded_chunks, give_back, pieces_of
 from kinrate.llm.shipping import arrow_rows
 from kinrate.plans.storage import few_rows, stage
 
@@ -86,6 +86,7 @@ def _piece_rows(path: str, words: str, end_id: int, capacity: int):
                     ],
                     names=[*PIECE, "ids", "task", "place"],
                 )
+        give_back()  # other stages follow in this worker
 
     return run
 
