@@ -45,8 +45,9 @@ SPLIT_KEYS = 10
 # where an exact rule says that it cannot decide whether there is a pair.
 LARGE_RATERS = 5_000
 
-# How many of the most-rated items may be left out of pair generation.
-DEFERRED_ITEMS = 64
+# How many of the most-rated items may be left out of pair generation: the longest array
+# of ratings that a user carries for it.
+DEFERRED_ITEMS = 1_024
 
 # Up to this many targets, popular items are not worth looking for beforehand.
 FEW_TARGETS = 16

@@ -201,18 +201,28 @@ def _add_deferred(
         vectors_u.select(F.col("userId").alias(u), F.col("hot").alias("_hot_u")), u, "left"
     ).join(vectors_v.select(F.col("userId").alias(v), F.col("hot").alias("_hot_v")), v, "left")
     empty = F.array().cast("array<struct<x:double,y:double>>")
-    shared = F.flatten(
+
+    def deferred(hot: str) -> Column:
+        return F.coalesce(F.filter(hot, lambda x: x["deferred"]), F.array().cast(kind))
+
+    def rating(hot: str, item: Column) -> Column:
+        return F.get(F.filter(hot, lambda y: y["movieId"] == item), F.lit(0))["rating"]
+
+    kind = both.schema["_hot_u"].dataType
+    own, others = deferred("_hot_u"), deferred("_hot_v")
+    ids = F.transform(own, lambda x: x["movieId"])
+    # what u deferred, and what only v did: a few items, each looked up among the other's
+    shared = F.concat(
         F.transform(
-            "_hot_u",
-            lambda x: F.transform(
-                F.filter(
-                    "_hot_v",
-                    lambda y: (x["movieId"] == y["movieId"]) & (x["deferred"] | y["deferred"]),
-                ),
-                lambda y: F.struct(x["rating"].alias("x"), y["rating"].alias("y")),
-            ),
-        )
+            own,
+            lambda x: F.struct(x["rating"].alias("x"), rating("_hot_v", x["movieId"]).alias("y")),
+        ),
+        F.transform(
+            F.filter(others, lambda y: ~F.array_contains(ids, y["movieId"])),
+            lambda y: F.struct(rating("_hot_u", y["movieId"]).alias("x"), y["rating"].alias("y")),
+        ),
     )
+    shared = F.filter(shared, lambda s: s["x"].isNotNull() & s["y"].isNotNull())
 
     def plus(name: str, value) -> Column:
         return F.aggregate("_late", F.col(name), lambda acc, s: acc + value(s))
