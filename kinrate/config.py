@@ -41,6 +41,9 @@ SHARE_ROWS = 50_000
 SIDE_ROWS = 2_000
 SPLIT_KEYS = 10
 
+# Pairs of users, one a common item, that a task adds up: their groups fit into its memory.
+PAIR_ROWS = 2_000_000
+
 # An item with more raters than this is large: it may be left out of pair generation
 # where an exact rule says that it cannot decide whether there is a pair.
 LARGE_RATERS = 5_000

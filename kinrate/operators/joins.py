@@ -74,6 +74,35 @@ def join_side(
     return left.join(right, [on, "_share", "_side"]).drop("_share", "_side")
 
 
+def join_lists(
+    large: DataFrame,
+    side: DataFrame,
+    on: str,
+    share_by: str,
+    side_by: str,
+    name: str,
+    share_rows: int = SHARE_ROWS,
+    side_rows: int = SIDE_ROWS,
+) -> DataFrame:
+    """The rows of :func:`join_side`, those of the side that a row of ``large`` meets in a list.
+
+    The list ``name`` holds structs of the side's other columns, ``side_by`` first and in order
+    of it. A heavy key's parts make a list each, of about ``side_rows``, so what follows
+    the join is one row for a row and part instead of one for each pair.
+    """
+    counts = (
+        heavy_keys(large, on, share_rows, "_share_parts"),
+        heavy_keys(side, on, side_rows, "_side_parts"),
+    )
+    left = _cells(large, on, counts, share_by, "_share", "_side")
+    right = _cells(side, on, counts, side_by, "_side", "_share")
+    carried = [c for c in side.columns if c not in (on, side_by)]
+    lists = right.groupBy(on, "_share", "_side").agg(
+        F.sort_array(F.collect_list(F.struct(side_by, *carried))).alias(name)
+    )
+    return left.join(lists, [on, "_share", "_side"]).drop("_share", "_side")
+
+
 def sorted_by(df: DataFrame, *columns: str) -> DataFrame:
     """Rows dealt to tasks by ranges of the columns and sorted in each.
 

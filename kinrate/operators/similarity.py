@@ -25,10 +25,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from kinrate.config import DEFAULTS, DEFERRED_ITEMS, LARGE_RATERS, SHARE_ROWS, SIDE_ROWS
 from kinrate.functions.scores import pearson, round_half_up
-from kinrate.operators.joins import join_side, top_per
+from kinrate.operators.joins import heavy_keys, join_lists, join_side, top_per
 
 PAIR = ("targetId", "userId")
 Keep = Callable[[DataFrame, str], DataFrame]
+Tasks = Callable[[DataFrame, DataFrame], int | None]
 
 
 def as_is(df: DataFrame, name: str) -> DataFrame:
@@ -36,6 +37,10 @@ def as_is(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
+def as_planned(left: DataFrame, right: DataFrame) -> None:
+    """Leaves the number of tasks that pairs are dealt to to Spark."""
+
+
 # A centred sum of squares this small against the raw one is rounding noise: a
 # mean kept to three digits leaves a share of at least 1e-8 unless it is zero.
 NO_VARIANCE = 1e-12
@@ -94,6 +99,45 @@ def co_ratings(
     ).filter(F.col("userId") != F.col("targetId"))
 
 
+def _pairs(
+    left: DataFrame,
+    right: DataFrame,
+    u: str,
+    v: str,
+    above: bool,
+    tasks: Tasks,
+    share_rows: int,
+    side_rows: int,
+) -> DataFrame:
+    """A row per common item of two users ``u, v``: the columns of both sides, ``_block`` and no item.
+
+    ``above`` keeps the pairs ``u < v`` only. What is shuffled are not pairs but the rows of u,
+    each with a list of an item's other raters, one array a column. All pairs of a user and
+    ``_block`` then stand in one task, so that grouping them by ``u, _block, v`` needs no
+    further shuffle. A user with very many rows has several blocks, dealt by v.
+    """
+    met = join_lists(left, right, "movieId", u, v, "_met", share_rows, side_rows)
+    heavy = heavy_keys(left, u, share_rows, "_blocks")
+    blocks = F.coalesce("_blocks", F.lit(1))
+
+    def wanted(x: Column) -> Column:
+        other = x[v] > F.col(u) if above else x[v] != F.col(u)
+        dealt = F.pmod(F.xxhash64(x[v]), F.col("_blocks")) == F.col("_block")
+        return other & (F.col("_blocks").isNull() | dealt)
+
+    own = [c for c in left.columns if c != "movieId"]
+    others = [c for c in right.columns if c != "movieId"]
+    dealt = (
+        met.join(F.broadcast(heavy), u, "left")
+        .withColumn("_block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        .withColumn("_met", F.filter("_met", wanted))
+        .select(*own, "_block", *[F.col("_met")[c].alias(c) for c in others])
+    )
+    count = tasks(left, right)
+    by = ([count] if count else []) + [u, "_block"]
+    return dealt.repartition(*by).select(*own, "_block", F.inline(F.arrays_zip(*others)))
+
+
 def _centred_square(n: Column, s: Column, q: Column, m: Column) -> Column:
     centred = q - 2 * m * s + n * m * m
     return F.when(centred > q * NO_VARIANCE, centred).otherwise(0.0)
@@ -257,15 +301,23 @@ def _target_sums(
     side_rows: int,
     deferred_items: int,
     keep: Keep,
+    tasks: Tasks,
 ) -> DataFrame:
     """Sums over the shared items of each target and other user with enough of them."""
-    how = broadcast_profiles, share_rows, side_rows
+
+    def met_by_pair(ratings: DataFrame, profiles: DataFrame, carry: tuple[str, ...] = ()):
+        if broadcast_profiles:
+            return co_ratings(ratings, profiles, True, carry=carry).groupBy(*PAIR)
+        others = ratings.select("userId", "movieId", "rating", *carry)
+        pairs = _pairs(profiles, others, *PAIR, False, tasks, share_rows, side_rows)
+        return pairs.groupBy(*PAIR, "_block")
+
     sums = (
         *_pair_sums(F.col("target_rating"), F.col("rating")),
         F.max("target_mean").alias("m_u"),
     )
     if large is None or min_common < 2:
-        met = co_ratings(ratings, profiles, *how).groupBy(*PAIR).agg(*sums)
+        met = met_by_pair(ratings, profiles).agg(*sums)
     else:
         defer = min_common - 1
         hot = _hottest(large, deferred_items)
@@ -283,22 +335,20 @@ def _target_sums(
             "target_vectors",
         )
         met = (
-            co_ratings(
+            met_by_pair(
                 # stored, because heavy keys are counted on either side before the join
                 keep(_undeferred(ratings, others), "undeferred"),
                 keep(
                     _undeferred(profiles, own, "targetId").withColumnRenamed("deferred", "_late_u"),
                     "undeferred_targets",
                 ),
-                *how,
-                carry=("deferred",),
+                ("deferred",),
             )
-            .groupBy(*PAIR)
             .agg(*sums, F.max("_late_u").alias("_late_u"), F.max("deferred").alias("_late_v"))
             .filter(_reachable(min_common, "_late_u", "_late_v"))
         )
         met = _add_deferred(met, "targetId", own, "userId", others)
-    return met.filter(F.col("n") >= min_common)
+    return met.filter(F.col("n") >= min_common).drop("_block")
 
 
 def co_rated_counts(
@@ -311,6 +361,7 @@ def co_rated_counts(
     side_rows: int = SIDE_ROWS,
     deferred_items: int = DEFERRED_ITEMS,
     keep: Keep = as_is,
+    tasks: Tasks = as_planned,
 ) -> DataFrame:
     """How many items each other user shares with each target.
 
@@ -326,6 +377,7 @@ def co_rated_counts(
         side_rows,
         deferred_items,
         keep,
+        tasks,
     ).select(*PAIR, F.col("n").cast("bigint").alias("common_movies"))
 
 
@@ -343,6 +395,7 @@ def pearson_neighbors(
     side_rows: int = SIDE_ROWS,
     deferred_items: int = DEFERRED_ITEMS,
     keep: Keep = as_is,
+    tasks: Tasks = as_planned,
 ) -> DataFrame:
     """Similarity of every target to every other user with enough shared items.
 
@@ -361,6 +414,7 @@ def pearson_neighbors(
         side_rows,
         deferred_items,
         keep,
+        tasks,
     ).join(_other_means(averages, min_candidate_ratings), "userId")
     return _scored(sums, PAIR, on_zero_variance, round_similarity)
 
@@ -496,24 +550,68 @@ def _similarity_bound() -> Column:
     return F.greatest(side(a, b, F.col("x_u")), side(b, a, F.col("x_v")))
 
 
-def _meet(rows: DataFrame, carry: tuple[str, ...], share_rows: int, side_rows: int) -> DataFrame:
+def _meet(
+    rows: DataFrame, carry: tuple[str, ...], tasks: Tasks, share_rows: int, side_rows: int
+) -> DataFrame:
     """Sums over the shared items of all user pairs ``u < v``, with what each row carries."""
-    left = rows.select("userId", "movieId", "rating", *[F.col(c).alias(f"{c}_u") for c in carry])
-    right = rows.select(
-        F.col("userId").alias("v"),
-        "movieId",
-        F.col("rating").alias("rating_v"),
-        *[F.col(c).alias(f"{c}_v") for c in carry],
+    left, right = (
+        rows.select(
+            F.col("userId").alias(side),
+            "movieId",
+            F.col("rating").alias(f"rating_{side}"),
+            *[F.col(c).alias(f"{c}_{side}") for c in carry],
+        )
+        for side in "uv"
     )
-    met = join_side(left, right, "movieId", "userId", "v", False, share_rows, side_rows)
     return (
-        met.filter(F.col("userId") < F.col("v"))
-        .groupBy(F.col("userId").alias("u"), "v")
+        _pairs(left, right, "u", "v", True, tasks, share_rows, side_rows)
+        .groupBy("u", "v", "_block")
         .agg(
-            *_pair_sums(F.col("rating"), F.col("rating_v")),
+            *_pair_sums(F.col("rating_u"), F.col("rating_v")),
             *[F.max(f"{c}_{side}").alias(f"{c}_{side}") for c in carry for side in "uv"],
         )
+        .drop("_block")
+    )
+
+
+def similarity_matrix(
+    ratings: DataFrame,
+    averages: DataFrame,
+    large: DataFrame | None = None,
+    min_common: int = DEFAULTS.min_common,
+    on_zero_variance: str = "zero",
+    round_similarity: int | None = DEFAULTS.similarity_digits,
+    share_rows: int = SHARE_ROWS,
+    side_rows: int = SIDE_ROWS,
+    deferred_items: int = DEFERRED_ITEMS,
+    keep: Keep = as_is,
+    tasks: Tasks = as_planned,
+) -> DataFrame:
+    """Similarity of all user pairs with enough shared items: ``userA < userB``.
+
+    ``large`` is :func:`large_items`, or None where it was found empty; such items are deferred
+    as in :func:`top_k_join`. The result has a row for every such pair, none is left out.
+    """
+    rows = ratings.select("userId", "movieId", "rating")
+    if large is None or min_common < 2:
+        met = _meet(rows, (), tasks, share_rows, side_rows)
+    else:
+        vectors = keep(
+            _hot_vectors(rows, _hottest(large, deferred_items), min_common - 1), "hot_vectors"
+        )
+        undeferred = keep(_undeferred(rows, vectors), "undeferred")
+        met = _meet(undeferred, ("deferred",), tasks, share_rows, side_rows).filter(
+            _reachable(min_common, "deferred_u", "deferred_v")
+        )
+        met = _add_deferred(met, "u", vectors, "v", vectors)
+    means = averages.select("userId", F.col("avg_rating").alias("m"))
+    complete = (
+        met.filter(F.col("n") >= min_common)
+        .join(means.withColumnsRenamed({"userId": "u", "m": "m_u"}), "u")
+        .join(means.withColumnsRenamed({"userId": "v", "m": "m_v"}), "v")
+        .withColumnsRenamed({"u": "userA", "v": "userB"})
     )
+    return _scored(complete, ("userA", "userB"), on_zero_variance, round_similarity)
 
 
 def _directed(pairs: DataFrame) -> DataFrame:
@@ -546,6 +644,7 @@ def top_k_join(
     side_rows: int = SIDE_ROWS,
     deferred_items: int = DEFERRED_ITEMS,
     keep: Keep = as_is,
+    tasks: Tasks = as_planned,
 ) -> DataFrame:
     """The ``k`` most similar users of every user: at most k rows a user, exactly those of
     :func:`pearson_neighbors` and :func:`top_k_neighbors` with all users as targets.
@@ -573,16 +672,17 @@ def top_k_join(
         return top_k_neighbors(scored, k, min_similarity)
 
     if large is None or min_common < 2:
-        met = _meet(rows.join(means, "userId"), ("m",), share_rows, side_rows)
+        met = _meet(rows.join(means, "userId"), ("m",), tasks, share_rows, side_rows)
         return best(_scored(_directed(met.filter(F.col("n") >= min_common)), PAIR, *how))
 
     vectors = keep(_hot_vectors(rows, _hottest(large, deferred_items), min_common - 1), "hot_vectors")
     users = means.join(vectors, "userId", "left").select(
         "userId", "m", F.coalesce(_deferred_norm(F.col("m")), F.lit(0.0)).alias("x")
     )
-    met = _meet(
-        _undeferred(rows, vectors).join(users, "userId"), ("m", "x", "deferred"), share_rows, side_rows
-    ).filter(_reachable(min_common, "deferred_u", "deferred_v"))
+    undeferred = keep(_undeferred(rows, vectors).join(users, "userId"), "undeferred")
+    met = _meet(undeferred, ("m", "x", "deferred"), tasks, share_rows, side_rows).filter(
+        _reachable(min_common, "deferred_u", "deferred_v")
+    )
     # a little above, so that neither rounding nor the order of summation makes it too low
     bound = round_half_up(_similarity_bound() + 1e-9, round_similarity)
     pairs = met.withColumn("bound", bound)

@@ -13,6 +13,7 @@ from kinrate.config import (
     FEW_TARGETS,
     LARGE_RATERS,
     LOOKUP_IDS,
+    PAIR_ROWS,
     ROW_GROUP_BYTES,
 )
 from kinrate.operators.cleaning import VALID_RANGE, clean_ratings
@@ -32,6 +33,7 @@ from kinrate.operators.similarity import (
     large_items,
     pearson_neighbors,
     pearson_pooled,
+    similarity_matrix,
     target_means,
     target_profiles,
     top_k_join,
@@ -172,6 +174,7 @@ class Targets:
             self.large,
             broadcast_profiles=self.small,
             keep=stage,
+            tasks=pair_tasks,
         )
 
     def similarities(self, **options) -> DataFrame:
@@ -182,6 +185,7 @@ class Targets:
             large=self.large,
             broadcast_profiles=self.small,
             keep=stage,
+            tasks=pair_tasks,
             **options,
         )
 
@@ -413,6 +417,34 @@ def pooled_similarities(
     )
 
 
+def pair_tasks(left: DataFrame, right: DataFrame) -> int:
+    """Tasks for the pairs of two stored tables' rows with the same item, of ``PAIR_ROWS`` each."""
+    counts = (
+        rows.groupBy("movieId").agg(F.count(F.lit(1)).cast("double").alias(name))
+        for rows, name in ((left, "a"), (right, "b"))
+    )
+    pairs = next(counts).join(next(counts), "movieId").agg(F.sum(F.col("a") * F.col("b"))).first()[0]
+    return int((pairs or 0.0) // PAIR_ROWS) + 1
+
+
+def all_pairs(
+    prepared: Prepared,
+    min_common: int = DEFAULTS.min_common,
+    large_raters: int = LARGE_RATERS,
+    **options,
+) -> DataFrame:
+    """Similarity of all user pairs with enough shared items, with large items looked up first."""
+    return similarity_matrix(
+        prepared.ratings,
+        prepared.averages,
+        _large_items(prepared.ratings, large_raters),
+        min_common,
+        keep=stage,
+        tasks=pair_tasks,
+        **options,
+    )
+
+
 def nearest_of_all(
     prepared: Prepared,
     k: int = DEFAULTS.neighbors,
@@ -428,5 +460,6 @@ def nearest_of_all(
         min_common,
         _large_items(prepared.ratings, large_raters),
         keep=stage,
+        tasks=pair_tasks,
         **options,
     )
