@@ -20,6 +20,7 @@ from kinrate.plans.maintained import MaintainedAverages, rating_changes
 from kinrate.plans.prepared import (
     Prepared,
     Targets,
+    all_pairs,
     find_similar_users,
     load_prepared,
     load_targets,
@@ -483,7 +484,7 @@ QUERIES: dict[str, Query] = {
     ),
     "pearson_neighbors": _similarities,
     "pearson_pooled": pearson_pooled,
-    "all_pairs_similarity": lambda s, d: nearest_of_all(prepared(s, d)),
+    "all_pairs_similarity": lambda s, d: all_pairs(prepared(s, d)),
     "co_rated_counts_skewed": co_rated_counts_skewed,
     "all_pairs_skewed": all_pairs_skewed,
     "similarity_stats": similarity_stats,
