@@ -83,12 +83,14 @@ def join_lists(
     name: str,
     share_rows: int = SHARE_ROWS,
     side_rows: int = SIDE_ROWS,
+    tasks: int | None = None,
 ) -> DataFrame:
     """The rows of :func:`join_side`, those of the side that a row of ``large`` meets in a list.
 
     The list ``name`` holds structs of the side's other columns, ``side_by`` first and in order
     of it. A heavy key's parts make a list each, of about ``side_rows``, so what follows
-    the join is one row for a row and part instead of one for each pair.
+    the join is one row for a row and part instead of one for each pair. ``tasks`` fixes in how
+    many tasks it takes place, whose output may be many times their input.
     """
     counts = (
         heavy_keys(large, on, share_rows, "_share_parts"),
@@ -96,11 +98,14 @@ def join_lists(
     )
     left = _cells(large, on, counts, share_by, "_share", "_side")
     right = _cells(side, on, counts, side_by, "_side", "_share")
+    keys = [on, "_share", "_side"]
+    if tasks is not None:
+        left, right = left.repartition(tasks, *keys), right.repartition(tasks, *keys)
     carried = [c for c in side.columns if c not in (on, side_by)]
-    lists = right.groupBy(on, "_share", "_side").agg(
+    lists = right.groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.struct(side_by, *carried))).alias(name)
     )
-    return left.join(lists, [on, "_share", "_side"]).drop("_share", "_side")
+    return left.join(lists, keys).drop("_share", "_side")
 
 
 def sorted_by(df: DataFrame, *columns: str) -> DataFrame:

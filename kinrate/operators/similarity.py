@@ -116,7 +116,10 @@ def _pairs(
     ``_block`` then stand in one task, so that grouping them by ``u, _block, v`` needs no
     further shuffle. A user with very many rows has several blocks, dealt by v.
     """
-    met = join_lists(left, right, "movieId", u, v, "_met", share_rows, side_rows)
+    count = tasks(left, right)
+    # fewer tasks for the lists, so that the shuffle's blocks do not grow with the square
+    before = min(count, count // 4 + 8) if count else None
+    met = join_lists(left, right, "movieId", u, v, "_met", share_rows, side_rows, before)
     heavy = heavy_keys(left, u, share_rows, "_blocks")
     blocks = F.coalesce("_blocks", F.lit(1))
 
@@ -133,7 +136,6 @@ def _pairs(
         .withColumn("_met", F.filter("_met", wanted))
         .select(*own, "_block", *[F.col("_met")[c].alias(c) for c in others])
     )
-    count = tasks(left, right)
     by = ([count] if count else []) + [u, "_block"]
     return dealt.repartition(*by).select(*own, "_block", F.inline(F.arrays_zip(*others)))
 

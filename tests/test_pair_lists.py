@@ -68,3 +68,16 @@ def test_tasks_follow_the_number_of_pairs(ratings_of, monkeypatch):
     assert pair_tasks(rows, rows) == 1
     monkeypatch.setattr("kinrate.plans.prepared.PAIR_ROWS", 50)
     assert pair_tasks(rows, rows) == 200 // 50 + 1
+
+
+def test_the_tasks_of_the_lists_are_fixed(ratings_of):
+    # Left to Spark, a few tasks made all lists: their output spilled.
+    users = plain.random_users(2, users=20, items=16, share=0.3, everyone=(0,))
+    ratings = ratings_of(users)
+    found = similarity.similarity_matrix(
+        ratings, user_averages(ratings), tasks=lambda left, right: 40
+    )
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(", 18), REPARTITION_BY_NUM") == 2
+    assert ", 40), REPARTITION_BY_NUM" in plan
+    assert found_pairs(found) == expected_pairs(users, 3)
