@@ -52,6 +52,9 @@ LARGE_RATERS = 5_000
 # of ratings that a user carries for it.
 DEFERRED_ITEMS = 1_024
 
+# How many of them one user may leave out at most, which every pair of the user carries along.
+DEFERRED_EACH = 8
+
 # Up to this many targets, popular items are not worth looking for beforehand.
 FEW_TARGETS = 16
 

@@ -19,15 +19,19 @@ half-step ratings are exact whatever the order in which tasks deliver them.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from kinrate.config import DEFAULTS, DEFERRED_ITEMS, LARGE_RATERS, SHARE_ROWS, SIDE_ROWS
+from kinrate.config import DEFAULTS, DEFERRED_EACH, DEFERRED_ITEMS, LARGE_RATERS, SHARE_ROWS, SIDE_ROWS
 from kinrate.functions.scores import pearson, round_half_up
 from kinrate.operators.joins import heavy_keys, join_lists, join_side, top_per
 
 PAIR = ("targetId", "userId")
+SUMS = ("n", "p", "s_u", "s_v", "q_u", "q_v")
+# Fixed value: comes after the place of every item.
+NO_PLACE = 2**31 - 1
 Keep = Callable[[DataFrame, str], DataFrame]
 Tasks = Callable[[DataFrame, DataFrame], int | None]
 
@@ -112,9 +116,10 @@ def _pairs(
     """A row per common item of two users ``u, v``: the columns of both sides, ``_block`` and no item.
 
     ``above`` keeps the pairs ``u < v`` only. What is shuffled are not pairs but the rows of u,
-    each with a list of an item's other raters, one array a column. All pairs of a user and
+    each with a list of an item's raters, one array a column. All pairs of a user and
     ``_block`` then stand in one task, so that grouping them by ``u, _block, v`` needs no
-    further shuffle. A user with very many rows has several blocks, dealt by v.
+    further shuffle. A user with very many rows has several blocks, dealt by v. Users without
+    blocks take a list as it is: going through its elements costs more than dropping their own.
     """
     count = tasks(left, right)
     # fewer tasks for the lists, so that the shuffle's blocks do not grow with the square
@@ -123,21 +128,29 @@ def _pairs(
     heavy = heavy_keys(left, u, share_rows, "_blocks")
     blocks = F.coalesce("_blocks", F.lit(1))
 
-    def wanted(x: Column) -> Column:
-        other = x[v] > F.col(u) if above else x[v] != F.col(u)
-        dealt = F.pmod(F.xxhash64(x[v]), F.col("_blocks")) == F.col("_block")
-        return other & (F.col("_blocks").isNull() | dealt)
-
+    def in_block(x: Column) -> Column:
+        return F.pmod(F.xxhash64(x[v]), F.col("_blocks")) == F.col("_block")
+
+    wanted = F.when(F.col("_blocks").isNull(), F.col("_met")).otherwise(F.filter("_met", in_block))
+    others_only = F.col(u) < F.col(v) if above else F.col(u) != F.col(v)
+    if above:
+        # lists are in order of v, and mostly hold the row's own user: the others come after
+        place = F.array_position(F.col("_met")[v], F.col(u)).cast("int")
+        later = F.slice("_met", place + 1, F.size("_met"))
+        met = met.withColumn(
+            "_met", F.when(place > 0, later).otherwise(F.filter("_met", lambda x: x[v] > F.col(u)))
+        )
     own = [c for c in left.columns if c != "movieId"]
     others = [c for c in right.columns if c != "movieId"]
     dealt = (
         met.join(F.broadcast(heavy), u, "left")
         .withColumn("_block", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .withColumn("_met", F.filter("_met", wanted))
+        .withColumn("_met", wanted)
         .select(*own, "_block", *[F.col("_met")[c].alias(c) for c in others])
     )
     by = ([count] if count else []) + [u, "_block"]
-    return dealt.repartition(*by).select(*own, "_block", F.inline(F.arrays_zip(*others)))
+    met = dealt.repartition(*by).select(*own, "_block", F.inline(F.arrays_zip(*others)))
+    return met.filter(others_only)
 
 
 def _centred_square(n: Column, s: Column, q: Column, m: Column) -> Column:
@@ -145,24 +158,36 @@ def _centred_square(n: Column, s: Column, q: Column, m: Column) -> Column:
     return F.when(centred > q * NO_VARIANCE, centred).otherwise(0.0)
 
 
-def _similarity() -> Column:
-    """Pearson from the columns ``n, p, s_u, s_v, q_u, q_v, m_u, m_v``."""
-    n, p, s_u, s_v, q_u, q_v, m_u, m_v = (
-        F.col(c) for c in ("n", "p", "s_u", "s_v", "q_u", "q_v", "m_u", "m_v")
+def _centred(sums: DataFrame) -> DataFrame:
+    """Adds ``dot, sq_u, sq_v`` from the columns ``n, p, s_u, s_v, q_u, q_v, m_u, m_v``.
+
+    As columns of their own, so that what reads them several times does not repeat their terms.
+    """
+    n, p, s_u, s_v, q_u, q_v, m_u, m_v = (F.col(c) for c in (*SUMS, "m_u", "m_v"))
+    return sums.withColumns(
+        {
+            "dot": p - m_v * s_u - m_u * s_v + n * m_u * m_v,
+            "sq_u": _centred_square(n, s_u, q_u, m_u),
+            "sq_v": _centred_square(n, s_v, q_v, m_v),
+        }
     )
-    dot = p - m_v * s_u - m_u * s_v + n * m_u * m_v
-    return pearson(dot, _centred_square(n, s_u, q_u, m_u), _centred_square(n, s_v, q_v, m_v))
 
 
-def _scored(sums: DataFrame, keys, on_zero_variance: str, digits: int | None) -> DataFrame:
-    similarity = _similarity()
+def _similarity(on_zero_variance: str) -> Column:
+    """Pearson from the columns of :func:`_centred`, not yet rounded."""
+    similarity = pearson(F.col("dot"), F.col("sq_u"), F.col("sq_v"))
     if on_zero_variance == "zero":
-        similarity = F.coalesce(similarity, F.lit(0.0))
-    elif on_zero_variance not in ("drop", "null"):
+        return F.coalesce(similarity, F.lit(0.0))
+    if on_zero_variance not in ("drop", "null"):
         raise ValueError("on_zero_variance must be 'zero', 'drop' or 'null'")
-    scored = sums.select(
+    return similarity
+
+
+def _scored(sums: DataFrame, keys, on_zero_variance: str, digits: int | None) -> DataFrame:
+    exact = _centred(sums).withColumn("_exact", _similarity(on_zero_variance))
+    scored = exact.select(
         *keys,
-        round_half_up(similarity, digits).alias("similarity"),
+        round_half_up(F.col("_exact"), digits).alias("similarity"),
         F.col("n").cast("bigint").alias("common_movies"),
     )
     if on_zero_variance == "drop":
@@ -188,26 +213,31 @@ def _other_means(averages: DataFrame, min_candidate_ratings: int | None = None)
     return averages.select("userId", F.col("avg_rating").alias("m_v"))
 
 
+def _set_aside(min_common: int) -> int:
+    """How many items a user may set aside, at most ``DEFERRED_EACH``."""
+    return min(min_common - 1, DEFERRED_EACH)
+
+
 def _hot_vectors(ratings: DataFrame, hot: DataFrame, defer: int) -> DataFrame:
     """Per user the ratings of hot items, the ``defer`` most-rated ones marked.
 
-    ``hot`` has at most a fixed number of items, which bounds each array.
+    ``hot`` has at most a fixed number of items, which bounds each array. ``place`` numbers
+    them from the most-rated one on.
     """
-    place = F.struct(
-        (-F.col("raters")).alias("place"),
-        "movieId",
-        F.col("rating").cast("double").alias("rating"),
-    )
+    order = Window.orderBy(F.col("raters").desc(), "movieId")
+    places = hot.select("movieId", F.row_number().over(order).alias("place"))
+    rated = F.struct("place", "movieId", F.col("rating").cast("double").alias("rating"))
     ranked = (
-        ratings.join(F.broadcast(hot), "movieId")
+        ratings.join(F.broadcast(places), "movieId")
         .groupBy("userId")
-        .agg(F.sort_array(F.collect_list(place)).alias("ranked"))
+        .agg(F.sort_array(F.collect_list(rated)).alias("ranked"))
     )
     return ranked.select(
         "userId",
         F.transform(
             "ranked",
             lambda x, i: F.struct(
+                x["place"].alias("place"),
                 x["movieId"].alias("movieId"),
                 x["rating"].alias("rating"),
                 (i < defer).alias("deferred"),
@@ -216,79 +246,174 @@ def _hot_vectors(ratings: DataFrame, hot: DataFrame, defer: int) -> DataFrame:
     )
 
 
-def _undeferred(rows: DataFrame, vectors: DataFrame, user: str = "userId") -> DataFrame:
-    """Ratings that generate pairs, with the number of their user's other ones."""
-    ids = F.transform(F.filter("hot", lambda x: x["deferred"]), lambda x: x["movieId"])
-    marks = vectors.select(F.col("userId").alias(user), ids.alias("_ids"))
+def _late_columns(defer: int, ratings: bool = True) -> list[str]:
+    """What each row says of the items its user set aside: see :func:`_undeferred`."""
+    return [
+        "edge",
+        *[f"place{i}" for i in range(defer)],
+        *[f"late{i}" for i in range(defer) if ratings],
+    ]
+
+
+def _undeferred(rows: DataFrame, vectors: DataFrame, defer: int, user: str = "userId") -> DataFrame:
+    """Ratings that generate pairs, with what their user set aside.
+
+    That is ``place0, place1, ...`` and the ratings ``late0, late1, ...``. An item that this user
+    rated and did not set aside comes after the place ``edge``, so that there is none
+    unless the user has more hot items than were set aside.
+    """
+    item = [F.get("hot", F.lit(i)) for i in range(defer)]
+    edge = F.when(F.size("hot") > defer, item[-1]["place"]).otherwise(NO_PLACE)
+    marks = vectors.select(
+        F.col("userId").alias(user),
+        edge.alias("edge"),
+        *[F.when(x["rating"].isNotNull(), x["place"]).alias(f"place{i}") for i, x in enumerate(item)],
+        *[x["rating"].alias(f"late{i}") for i, x in enumerate(item)],
+        F.transform(F.slice("hot", 1, defer), lambda x: x["movieId"]).alias("_ids"),
+    )
     none = F.array().cast("array<bigint>")
     return (
         rows.join(marks, user, "left")
-        .withColumn("_ids", F.coalesce("_ids", none))
-        .filter(~F.array_contains("_ids", F.col("movieId")))
-        .withColumn("deferred", F.size("_ids"))
+        .filter(~F.array_contains(F.coalesce("_ids", none), F.col("movieId")))
+        .withColumn("edge", F.coalesce("edge", F.lit(NO_PLACE)))
         .drop("_ids")
     )
 
 
-def _reachable(min_common: int, late_u: str, late_v: str) -> Column:
-    """Whether a pair may still come to ``min_common`` shared items.
+def _late_sums(names: Sequence[str], defer: int, means: bool) -> dict[str, Column]:
+    """What a pair shares among the items that both users set aside, as additions to its sums.
 
-    What a pair shares among deferred items are the most-rated of its common
-    items, all deferred by the same one of the two: no more than that user has.
+    ``open`` is how many more items the pair may share that one of the two set aside. Such an
+    item comes after all that the other one set aside, so only one of the two can have any.
+    With ``means``, ``x_u`` and ``x_v`` are the squared deviations of these items.
     """
-    return F.col("n") + F.greatest(late_u, late_v) >= min_common
+    zero, added = F.lit(0.0), dict.fromkeys(names, F.lit(0.0))
+    for i in range(defer):
+        x, y, hit = F.col(f"late{i}_u"), F.col(f"_met{i}"), F.col(f"_met{i}").isNotNull()
+        values = {"n": F.lit(1.0), "p": x * y, "s_u": x, "s_v": y, "q_u": x * x, "q_v": y * y}
+        added = {c: added[c] + F.when(hit, values[c]).otherwise(zero) for c in names}
+
+    def after(side: str, other: str, value) -> Column:
+        parts = [
+            F.when(F.col(f"place{i}_{side}") > F.col(f"edge_{other}"), value(i)).otherwise(zero)
+            for i in range(defer)
+        ]
+        return reduce(Column.__add__, parts)
+
+    def deviation(side: str):
+        return lambda i: (F.col(f"late{i}_{side}") - F.col(f"m_{side}")) * (
+            F.col(f"late{i}_{side}") - F.col(f"m_{side}")
+        )
+
+    sides = (("u", "v"), ("v", "u"))
+    found = {f"_late_{c}": value for c, value in added.items()}
+    found["open"] = F.greatest(*[after(a, b, lambda i: F.lit(1.0)) for a, b in sides])
+    if means:
+        found |= {f"x_{a}": after(a, b, deviation(a)) for a, b in sides}
+    return found
+
+
+def _summed(
+    pairs: DataFrame,
+    keys: Sequence[str],
+    sums: Sequence[Column],
+    names: Sequence[str],
+    carried: Sequence[str] = (),
+    defer: int = 0,
+    means: bool = False,
+) -> DataFrame:
+    """The sums ``names`` of each pair, over shared items that not just one of the two set aside.
+
+    What both set aside is read off the columns of their rows, before these are grouped, so
+    that no pair is joined with its users again.
+    """
+    most = [F.max(c).alias(c) for c in carried]
+    if not defer:
+        return pairs.groupBy(*keys).agg(*sums, *most)
+    rating = (lambda j: F.col(f"late{j}_v")) if "p" in names else (lambda j: F.lit(1.0))
+    met = {
+        f"_met{i}": F.coalesce(
+            *[F.when(F.col(f"place{i}_u") == F.col(f"place{j}_v"), rating(j)) for j in range(defer)]
+        )
+        for i in range(defer)
+    }
+    late = _late_sums(names, defer, means)
+    grouped = (
+        pairs.withColumns(met)
+        .withColumns(late)
+        .groupBy(*keys)
+        .agg(*sums, *most, *[F.max(c).alias(c) for c in late])
+    )
+    return grouped.withColumns({c: F.col(c) + F.col(f"_late_{c}") for c in names}).drop(
+        *[f"_late_{c}" for c in names]
+    )
 
 
-def _add_deferred(
+def _add_open(
     sums: DataFrame, u: str, vectors_u: DataFrame, v: str, vectors_v: DataFrame
 ) -> DataFrame:
-    """Add to each pair the shared items that either user had deferred."""
+    """Add to each pair the shared items that just one of the two had set aside."""
     both = sums.join(
-        vectors_u.select(F.col("userId").alias(u), F.col("hot").alias("_hot_u")), u, "left"
-    ).join(vectors_v.select(F.col("userId").alias(v), F.col("hot").alias("_hot_v")), v, "left")
-    empty = F.array().cast("array<struct<x:double,y:double>>")
+        vectors_u.select(F.col("userId").alias(u), F.col("hot").alias("_hot_u")), u
+    ).join(vectors_v.select(F.col("userId").alias(v), F.col("hot").alias("_hot_v")), v)
 
     def deferred(hot: str) -> Column:
-        return F.coalesce(F.filter(hot, lambda x: x["deferred"]), F.array().cast(kind))
+        return F.filter(hot, lambda x: x["deferred"])
 
     def rating(hot: str, item: Column) -> Column:
-        return F.get(F.filter(hot, lambda y: y["movieId"] == item), F.lit(0))["rating"]
+        rated = F.filter(hot, lambda y: ~y["deferred"] & (y["movieId"] == item))
+        return F.get(rated, F.lit(0))["rating"]
 
-    kind = both.schema["_hot_u"].dataType
-    own, others = deferred("_hot_u"), deferred("_hot_v")
-    ids = F.transform(own, lambda x: x["movieId"])
-    # what u deferred, and what only v did: a few items, each looked up among the other's
     shared = F.concat(
         F.transform(
-            own,
+            deferred("_hot_u"),
             lambda x: F.struct(x["rating"].alias("x"), rating("_hot_v", x["movieId"]).alias("y")),
         ),
         F.transform(
-            F.filter(others, lambda y: ~F.array_contains(ids, y["movieId"])),
+            deferred("_hot_v"),
             lambda y: F.struct(rating("_hot_u", y["movieId"]).alias("x"), y["rating"].alias("y")),
         ),
     )
     shared = F.filter(shared, lambda s: s["x"].isNotNull() & s["y"].isNotNull())
-
-    def plus(name: str, value) -> Column:
-        return F.aggregate("_late", F.col(name), lambda acc, s: acc + value(s))
+    values = {
+        "n": lambda s: F.lit(1.0),
+        "p": lambda s: s["x"] * s["y"],
+        "s_u": lambda s: s["x"],
+        "s_v": lambda s: s["y"],
+        "q_u": lambda s: s["x"] * s["x"],
+        "q_v": lambda s: s["y"] * s["y"],
+    }
+
+    def plus(name: str) -> Column:
+        start = F.col(name).cast("double")
+        return F.aggregate("_late", start, lambda acc, s: acc + values[name](s))
 
     return (
-        both.withColumn("_late", F.coalesce(shared, empty))
-        .withColumns(
-            {
-                "n": F.col("n") + F.size("_late"),
-                "p": plus("p", lambda s: s["x"] * s["y"]),
-                "s_u": plus("s_u", lambda s: s["x"]),
-                "s_v": plus("s_v", lambda s: s["y"]),
-                "q_u": plus("q_u", lambda s: s["x"] * s["x"]),
-                "q_v": plus("q_v", lambda s: s["y"] * s["y"]),
-            }
-        )
+        both.withColumn("_late", shared)
+        .withColumns({c: plus(c) for c in values if c in sums.columns})
         .drop("_hot_u", "_hot_v", "_late")
     )
 
 
+def _complete(
+    met: DataFrame,
+    min_common: int,
+    u: str,
+    vectors_u: DataFrame,
+    v: str,
+    vectors_v: DataFrame,
+    keep: Keep,
+) -> DataFrame:
+    """Pairs with enough shared items; only those that one side leaves open meet the vectors.
+
+    Stored in between, as either part reads it.
+    """
+    met = keep(met.filter(F.col("n") + F.col("open") >= min_common), "met")
+    opened = _add_open(met.filter("open > 0"), u, vectors_u, v, vectors_v)
+    whole = met.filter("open = 0").unionByName(opened)
+    return whole.filter(F.col("n") >= min_common).drop("open")
+
+
 def _hottest(large: DataFrame, items: int) -> DataFrame:
     return large.orderBy(F.col("raters").desc(), "movieId").limit(items)
 
@@ -304,52 +429,50 @@ def _target_sums(
     deferred_items: int,
     keep: Keep,
     tasks: Tasks,
+    scored: bool = True,
 ) -> DataFrame:
-    """Sums over the shared items of each target and other user with enough of them."""
+    """Sums over the shared items of each target and other user with enough of them.
 
-    def met_by_pair(ratings: DataFrame, profiles: DataFrame, carry: tuple[str, ...] = ()):
+    Unless ``scored`` it is only their number, for which no rating goes along.
+    """
+
+    names = SUMS if scored else ("n",)
+    sums = _pair_sums(F.col("target_rating"), F.col("rating"))[: len(names)]
+    own = ("target_rating", "target_mean") if scored else ()
+    others = ("rating",) if scored else ()
+
+    def summed(ratings: DataFrame, profiles: DataFrame, defer: int = 0) -> DataFrame:
+        late = _late_columns(defer, scored) if defer else []
+        left = profiles.select("targetId", "movieId", *own, *[F.col(c).alias(f"{c}_u") for c in late])
+        right = ratings.select("userId", "movieId", *others, *[F.col(c).alias(f"{c}_v") for c in late])
         if broadcast_profiles:
-            return co_ratings(ratings, profiles, True, carry=carry).groupBy(*PAIR)
-        others = ratings.select("userId", "movieId", "rating", *carry)
-        pairs = _pairs(profiles, others, *PAIR, False, tasks, share_rows, side_rows)
-        return pairs.groupBy(*PAIR, "_block")
-
-    sums = (
-        *_pair_sums(F.col("target_rating"), F.col("rating")),
-        F.max("target_mean").alias("m_u"),
-    )
+            right = right.withColumn("_block", F.lit(0))
+            pairs = join_side(right, left, "movieId", "userId", "targetId", True).filter(
+                F.col("userId") != F.col("targetId")
+            )
+        else:
+            pairs = _pairs(left, right, *PAIR, False, tasks, share_rows, side_rows)
+        if scored:
+            pairs = pairs.withColumnRenamed("target_mean", "m_u")
+        return _summed(pairs, (*PAIR, "_block"), sums, names, ["m_u"] if scored else [], defer)
+
     if large is None or min_common < 2:
-        met = met_by_pair(ratings, profiles).agg(*sums)
+        met = summed(ratings, profiles)
     else:
-        defer = min_common - 1
+        defer = _set_aside(min_common)
         hot = _hottest(large, deferred_items)
-        others = keep(_hot_vectors(ratings, hot, defer), "hot_vectors")
-        own = keep(
-            _hot_vectors(
-                profiles.select(
-                    F.col("targetId").alias("userId"),
-                    "movieId",
-                    F.col("target_rating").alias("rating"),
-                ),
-                hot,
-                defer,
-            ),
-            "target_vectors",
+        vectors = keep(_hot_vectors(ratings, hot, defer), "hot_vectors")
+        rated = profiles.select(
+            F.col("targetId").alias("userId"), "movieId", F.col("target_rating").alias("rating")
         )
-        met = (
-            met_by_pair(
-                # stored, because heavy keys are counted on either side before the join
-                keep(_undeferred(ratings, others), "undeferred"),
-                keep(
-                    _undeferred(profiles, own, "targetId").withColumnRenamed("deferred", "_late_u"),
-                    "undeferred_targets",
-                ),
-                ("deferred",),
-            )
-            .agg(*sums, F.max("_late_u").alias("_late_u"), F.max("deferred").alias("_late_v"))
-            .filter(_reachable(min_common, "_late_u", "_late_v"))
+        target_vectors = keep(_hot_vectors(rated, hot, defer), "target_vectors")
+        met = summed(
+            # stored, because heavy keys are counted on either side before the join
+            keep(_undeferred(ratings, vectors, defer), "undeferred"),
+            keep(_undeferred(profiles, target_vectors, defer, "targetId"), "undeferred_targets"),
+            defer,
         )
-        met = _add_deferred(met, "targetId", own, "userId", others)
+        met = _complete(met, min_common, "targetId", target_vectors, "userId", vectors, keep)
     return met.filter(F.col("n") >= min_common).drop("_block")
 
 
@@ -380,6 +503,7 @@ def co_rated_counts(
         deferred_items,
         keep,
         tasks,
+        scored=False,
     ).select(*PAIR, F.col("n").cast("bigint").alias("common_movies"))
 
 
@@ -518,19 +642,10 @@ def large_items(ratings: DataFrame, large_raters: int = LARGE_RATERS) -> DataFra
     )
 
 
-def _deferred_norm(mean: Column) -> Column:
-    """Sum of the squared deviations of a user's deferred ratings."""
-    return F.aggregate(
-        F.filter("hot", lambda x: x["deferred"]),
-        F.lit(0.0),
-        lambda total, x: total + (x["rating"] - mean) * (x["rating"] - mean),
-    )
-
-
 def _similarity_bound() -> Column:
     """The highest similarity that a pair may come to when deferred items are added.
 
-    What is added are items that one and the same of the two had deferred, say u: the
+    What is added are items that one and the same of the two alone had deferred, say u: the
     added part x of u's sum of squares is at most ``x_u``, that of the other user
     may be anything. With a and b the sums of squares so far and d their product, d >= 0,
 
@@ -539,11 +654,7 @@ def _similarity_bound() -> Column:
     by Cauchy-Schwarz, which grows with x. A product below 0 counts as 0, and the bound is
     the higher one of both cases. Without deferred items it is the similarity itself, or 0.
     """
-    n, p, s_u, s_v, q_u, q_v, m_u, m_v = (
-        F.col(c) for c in ("n", "p", "s_u", "s_v", "q_u", "q_v", "m_u", "m_v")
-    )
-    a, b = _centred_square(n, s_u, q_u, m_u), _centred_square(n, s_v, q_v, m_v)
-    d = F.greatest(F.lit(0.0), p - m_v * s_u - m_u * s_v + n * m_u * m_v)
+    a, b, d = F.col("sq_u"), F.col("sq_v"), F.greatest(F.lit(0.0), F.col("dot"))
 
     def side(own: Column, other: Column, late: Column) -> Column:
         known = F.coalesce(F.try_divide(d * d, other), F.lit(0.0))
@@ -553,27 +664,29 @@ def _similarity_bound() -> Column:
 
 
 def _meet(
-    rows: DataFrame, carry: tuple[str, ...], tasks: Tasks, share_rows: int, side_rows: int
+    rows: DataFrame,
+    carry: tuple[str, ...],
+    defer: int,
+    above: bool,
+    tasks: Tasks,
+    share_rows: int,
+    side_rows: int,
 ) -> DataFrame:
-    """Sums over the shared items of all user pairs ``u < v``, with what each row carries."""
+    """Sums of all user pairs, of ``u < v`` only with ``above``, and what each row carries."""
+    late = _late_columns(defer) if defer else []
     left, right = (
         rows.select(
             F.col("userId").alias(side),
             "movieId",
             F.col("rating").alias(f"rating_{side}"),
-            *[F.col(c).alias(f"{c}_{side}") for c in carry],
+            *[F.col(c).alias(f"{c}_{side}") for c in (*carry, *late)],
         )
         for side in "uv"
     )
-    return (
-        _pairs(left, right, "u", "v", True, tasks, share_rows, side_rows)
-        .groupBy("u", "v", "_block")
-        .agg(
-            *_pair_sums(F.col("rating_u"), F.col("rating_v")),
-            *[F.max(f"{c}_{side}").alias(f"{c}_{side}") for c in carry for side in "uv"],
-        )
-        .drop("_block")
-    )
+    pairs = _pairs(left, right, "u", "v", above, tasks, share_rows, side_rows)
+    sums = _pair_sums(F.col("rating_u"), F.col("rating_v"))
+    carried = [f"{c}_{side}" for c in carry for side in "uv"]
+    return _summed(pairs, ("u", "v", "_block"), sums, SUMS, carried, defer, "m" in carry).drop("_block")
 
 
 def similarity_matrix(
@@ -596,16 +709,13 @@ def similarity_matrix(
     """
     rows = ratings.select("userId", "movieId", "rating")
     if large is None or min_common < 2:
-        met = _meet(rows, (), tasks, share_rows, side_rows)
+        met = _meet(rows, (), 0, True, tasks, share_rows, side_rows)
     else:
-        vectors = keep(
-            _hot_vectors(rows, _hottest(large, deferred_items), min_common - 1), "hot_vectors"
-        )
-        undeferred = keep(_undeferred(rows, vectors), "undeferred")
-        met = _meet(undeferred, ("deferred",), tasks, share_rows, side_rows).filter(
-            _reachable(min_common, "deferred_u", "deferred_v")
-        )
-        met = _add_deferred(met, "u", vectors, "v", vectors)
+        defer = _set_aside(min_common)
+        vectors = keep(_hot_vectors(rows, _hottest(large, deferred_items), defer), "hot_vectors")
+        undeferred = keep(_undeferred(rows, vectors, defer), "undeferred")
+        met = _meet(undeferred, (), defer, True, tasks, share_rows, side_rows)
+        met = _complete(met, min_common, "u", vectors, "v", vectors, keep)
     means = averages.select("userId", F.col("avg_rating").alias("m"))
     complete = (
         met.filter(F.col("n") >= min_common)
@@ -616,23 +726,6 @@ def similarity_matrix(
     return _scored(complete, ("userA", "userB"), on_zero_variance, round_similarity)
 
 
-def _directed(pairs: DataFrame) -> DataFrame:
-    """Each pair as two rows, once with either user as the target."""
-    sides = [c.removesuffix("_u") for c in pairs.columns if c.endswith("_u")]
-    alike = [c for c in pairs.columns if c[-2:] not in ("_u", "_v") and c not in ("u", "v")]
-
-    def row(target: str, other: str) -> DataFrame:
-        return pairs.select(
-            F.col(target).alias("targetId"),
-            F.col(other).alias("userId"),
-            *alike,
-            *[F.col(f"{c}_{target}").alias(f"{c}_u") for c in sides],
-            *[F.col(f"{c}_{other}").alias(f"{c}_v") for c in sides],
-        )
-
-    return row("u", "v").unionByName(row("v", "u"))
-
-
 def top_k_join(
     ratings: DataFrame,
     averages: DataFrame,
@@ -654,10 +747,13 @@ def top_k_join(
     ``large`` is :func:`large_items`, or None where it was found empty. A user defers
     up to ``min_common - 1`` of the most-rated items. Two users with ``min_common`` items
     in common still share an item that neither has deferred, namely the least-rated
-    common one, so pairs are generated from undeferred ratings only and none is lost. A
-    pair's sums so far and the norms of what its users deferred bound its similarity from above.
-    Each user's k candidates with the highest bounds get their deferred items added
-    first; the k-th best of these scores then rules out every candidate whose bound
+    common one, so pairs are generated from undeferred ratings only and none is lost. What both
+    deferred goes along with their ratings and is added where pairs are added up. So the
+    similarity of most pairs is known there, and only each user's k best of them are kept.
+    The others are open: one user deferred items that the other may have rated and not deferred.
+    Their sums so far and the norms of these items bound their similarity from above.
+    Each user's k open candidates with the highest bounds are completed
+    first; the k-th best score then rules out every candidate whose bound
     is below it, and only the rest are completed as well.
 
     ``keep`` may store the tables that are read more than once.
@@ -669,52 +765,69 @@ def top_k_join(
     means = averages.select("userId", F.col("avg_rating").alias("m"))
     rows = ratings.select("userId", "movieId", "rating")
     how = on_zero_variance, round_similarity
+    users = {"u": "targetId", "v": "userId"}
 
     def best(scored: DataFrame) -> DataFrame:
         return top_k_neighbors(scored, k, min_similarity)
 
+    def meet(rows: DataFrame, defer: int = 0) -> DataFrame:
+        # from either side, so that all pairs of a user are ranked where they are added up
+        return _meet(rows, ("m",), defer, False, tasks, share_rows, side_rows)
+
     if large is None or min_common < 2:
-        met = _meet(rows.join(means, "userId"), ("m",), tasks, share_rows, side_rows)
-        return best(_scored(_directed(met.filter(F.col("n") >= min_common)), PAIR, *how))
+        met = meet(rows.join(means, "userId")).filter(F.col("n") >= min_common)
+        return best(_scored(met.withColumnsRenamed(users), PAIR, *how))
 
-    vectors = keep(_hot_vectors(rows, _hottest(large, deferred_items), min_common - 1), "hot_vectors")
-    users = means.join(vectors, "userId", "left").select(
-        "userId", "m", F.coalesce(_deferred_norm(F.col("m")), F.lit(0.0)).alias("x")
-    )
-    undeferred = keep(_undeferred(rows, vectors).join(users, "userId"), "undeferred")
-    met = _meet(undeferred, ("m", "x", "deferred"), tasks, share_rows, side_rows).filter(
-        _reachable(min_common, "deferred_u", "deferred_v")
-    )
+    defer = _set_aside(min_common)
+    vectors = keep(_hot_vectors(rows, _hottest(large, deferred_items), defer), "hot_vectors")
+    undeferred = keep(_undeferred(rows, vectors, defer).join(means, "userId"), "undeferred")
     # a little above, so that neither rounding nor the order of summation makes it too low
-    bound = round_half_up(_similarity_bound() + 1e-9, round_similarity)
-    pairs = met.withColumn("bound", bound)
+    known = F.col("open") == 0
+    highest = F.when(known, _similarity(on_zero_variance)).otherwise(_similarity_bound() + 1e-9)
+    rest = F.struct(*SUMS[1:], "m_u", "m_v")
+    met = _centred(meet(undeferred, defer).filter(F.col("n") + F.col("open") >= min_common))
+    met = met.withColumn("_highest", highest).select(
+        "u",
+        "v",
+        "n",
+        round_half_up(F.col("_highest"), round_similarity).alias("bound"),
+        F.when(~known, rest).alias("rest"),
+        F.when(~known, F.col("v")).alias("open_user"),
+    )
+    if on_zero_variance == "drop":
+        met = met.filter(F.col("bound").isNotNull())
     if min_similarity is not None:
-        pairs = pairs.filter(F.col("bound") > min_similarity)
-    pairs = _directed(keep(pairs, "bounded_pairs"))
+        met = met.filter(F.col("bound") > min_similarity)
+    # each user's k best known pairs and the first that they rule out, and every open one
+    some = top_per(met, ["u", "open_user"], [F.col("bound").desc(), F.col("v")], k + 1)
+    met = keep(some.drop("rank"), "bounded_pairs").withColumnsRenamed(users)
+    order = [F.col("bound").desc(), F.col("userId")]
+    exact = met.filter("open_user IS NULL").select(
+        *PAIR,
+        F.col("bound").alias("similarity"),
+        F.col("n").cast("bigint").alias("common_movies"),
+    )
+    pairs = met.filter("open_user IS NOT NULL").select(*PAIR, "n", "bound", "rest.*")
 
     def complete(some: DataFrame) -> DataFrame:
-        added = _add_deferred(some, "targetId", vectors, "userId", vectors)
+        added = _add_open(some, "targetId", vectors, "userId", vectors)
         return _scored(added.filter(F.col("n") >= min_common), PAIR, *how)
 
-    order = [F.col("bound").desc(), F.col("userId")]
     first = keep(top_per(pairs, ["targetId"], order, k, rank="place"), "first_candidates")
-    scored = keep(complete(first.drop("place")), "first_scores")
+    scored = keep(exact.unionByName(complete(first.drop("place"))), "first_scores")
     last = first.filter(F.col("place") == k).select(
         "targetId", F.col("bound").alias("last_bound"), F.col("userId").alias("last_user")
     )
-    kth = (
-        scored.groupBy("targetId")
-        .agg(F.count(F.lit(1)).alias("known"), F.min("similarity").alias("least"))
-        .filter(F.col("known") == k)
-        .select("targetId", "least")
-    )
-    cut = keep(last.join(kth, "targetId", "left"), "cuts")
+    by_score = [F.col("similarity").desc(), F.col("userId")]
+    kth = top_per(scored, ["targetId"], by_score, k).filter(F.col("rank") == k)
+    kth = kth.select("targetId", F.col("similarity").alias("least"))
+    cut = keep(last.join(kth, "targetId", "full"), "cuts")
     later = (F.col("bound") < F.col("last_bound")) | (
         (F.col("bound") == F.col("last_bound")) & (F.col("userId") > F.col("last_user"))
     )
     open_ = F.col("least").isNull() | (F.col("bound") >= F.col("least"))
-    rest = pairs.join(cut, "targetId").filter(later & open_).drop(*cut.columns[1:])
-    return best(scored.unionByName(complete(rest)))
+    others = pairs.join(cut, "targetId").filter(later & open_).drop(*cut.columns[1:])
+    return best(scored.unionByName(complete(others)))
 
 
 def top_k_neighbors(
