@@ -507,6 +507,41 @@ def co_rated_counts(
     ).select(*PAIR, F.col("n").cast("bigint").alias("common_movies"))
 
 
+def co_rated_counts_of_all(
+    ratings: DataFrame,
+    min_common: int = DEFAULTS.min_common,
+    large: DataFrame | None = None,
+    share_rows: int = SHARE_ROWS,
+    side_rows: int = SIDE_ROWS,
+    deferred_items: int = DEFERRED_ITEMS,
+    keep: Keep = as_is,
+    tasks: Tasks = as_planned,
+) -> DataFrame:
+    """:func:`co_rated_counts` with all users as targets: each pair is counted once, given twice."""
+    rows = ratings.select("userId", "movieId")
+    sums = (F.count(F.lit(1)).alias("n"),)
+
+    def summed(rows: DataFrame, defer: int = 0) -> DataFrame:
+        late = _late_columns(defer, False) if defer else []
+        left, right = (
+            rows.select(F.col("userId").alias(x), "movieId", *[F.col(c).alias(f"{c}_{x}") for c in late])
+            for x in "uv"
+        )
+        pairs = _pairs(left, right, "u", "v", True, tasks, share_rows, side_rows)
+        return _summed(pairs, ("u", "v", "_block"), sums, ("n",), defer=defer)
+
+    if large is None or min_common < 2:
+        met = summed(rows)
+    else:
+        defer = _set_aside(min_common)
+        vectors = keep(_hot_vectors(ratings, _hottest(large, deferred_items), defer), "hot_vectors")
+        met = summed(keep(_undeferred(rows, vectors, defer), "undeferred"), defer)
+        met = _complete(met, min_common, "u", vectors, "v", vectors, keep)
+    sides = [F.struct(F.col(a).alias("targetId"), F.col(b).alias("userId")) for a, b in ("uv", "vu")]
+    common = F.col("n").cast("bigint").alias("common_movies")
+    return met.filter(F.col("n") >= min_common).select(F.inline(F.array(*sides)), common)
+
+
 def pearson_neighbors(
     ratings: DataFrame,
     averages: DataFrame,

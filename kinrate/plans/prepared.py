@@ -29,6 +29,7 @@ from kinrate.operators.recommendation import (
 )
 from kinrate.operators.similarity import (
     co_rated_counts,
+    co_rated_counts_of_all,
     item_totals,
     large_items,
     pearson_neighbors,
@@ -129,7 +130,8 @@ class Targets:
     """Targets with their ratings, stored, and whether these may be broadcast.
 
     ``large`` lists popular items, where there are many targets and such items.
-    ``items`` lists the rated ones, where they are few.
+    ``items`` lists the rated ones, where they are few. ``everybody`` says that the
+    targets' ratings are all ratings, so that pairs of targets and users come both ways round.
     """
 
     prepared: Prepared
@@ -139,6 +141,7 @@ class Targets:
     small: bool
     large: DataFrame | None = None
     items: list[int] | None = None
+    everybody: bool = False
 
     @property
     def shared(self) -> DataFrame:
@@ -167,6 +170,10 @@ class Targets:
         return common_items(ratings, self.profiles, broadcast_left=self.small)
 
     def co_rated_counts(self, min_common: int = DEFAULTS.min_common) -> DataFrame:
+        if self.everybody:
+            return co_rated_counts_of_all(
+                self.prepared.ratings, min_common, self.large, keep=stage, tasks=pair_tasks
+            )
         return co_rated_counts(
             self.shared,
             self.profiles,
@@ -238,10 +245,11 @@ def _checked(
     means: DataFrame,
     count: int,
     large_raters: int = LARGE_RATERS,
+    everybody: bool = False,
 ) -> Targets:
     large = _large_items(prepared.ratings, large_raters) if count > FEW_TARGETS else None
     items = few_ids(profiles, "movieId")
-    return Targets(prepared, profiles, means, count, few_rows(profiles), large, items)
+    return Targets(prepared, profiles, means, count, few_rows(profiles), large, items, everybody)
 
 
 def load_targets(
@@ -263,7 +271,9 @@ def load_targets(
         ),
         "target_profiles",
     )
-    return _checked(prepared, profiles, means, count, large_raters)
+    # each rating is at most once among those of the targets
+    everybody = count > FEW_TARGETS and rows_of(profiles) == rows_of(prepared.ratings)
+    return _checked(prepared, profiles, means, count, large_raters, everybody)
 
 
 def load_profiles(

@@ -4,6 +4,7 @@ import pytest
 
 from kinrate.operators import similarity
 from kinrate.operators.stats import user_averages
+from kinrate.plans.prepared import Prepared, load_targets
 from kinrate.plans.storage import rows_of, stage
 from tests import reference_math as plain
 
@@ -67,3 +68,20 @@ def test_more_hot_items_than_set_aside(ratings_of, targets_of, monkeypatch, defe
     profiles = similarity.target_profiles(ratings, similarity.target_means(averages, targets_of(*some)))
     counted = similarity.co_rated_counts(ratings, profiles, 4, large, keep=stage)
     assert found_counts(counted) == [r for r in expected_counts(users, 4) if r[0] in some]
+
+
+def test_everybody_is_counted_once(ratings_of, targets_of):
+    users = plain.random_users(5, users=24, items=18, share=0.3, everyone=(0, 5))
+    ratings = stage(ratings_of(users), "ratings")
+    base = Prepared(ratings, stage(user_averages(ratings), "averages"))
+    targets = load_targets(base, targets_of(*users), large_raters=10)
+    assert targets.everybody and targets.large is not None
+    assert found_counts(targets.co_rated_counts()) == expected_counts(users, 3)
+    counts = load_targets(base, targets_of(*users)).co_rated_counts()
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "rating#" not in plan and "_u#" not in plan  # no ratings go along
+    assert "(u#" in plan and found_counts(counts) == expected_counts(users, 3)
+    assert not load_targets(base, targets_of(*list(users)[:-1])).everybody
+    for large in (None, similarity.large_items(ratings, 10)):
+        small = similarity.co_rated_counts_of_all(ratings, 3, large, share_rows=3, side_rows=2)
+        assert found_counts(small) == expected_counts(users, 3)
