@@ -15,6 +15,7 @@ from kinrate.functions.scores import percent, round_half_up
 from kinrate.operators.joins import join_side, top_per
 from kinrate.operators.similarity import (
     PAIR,
+    _centred,
     _other_means,
     _pair_sums,
     _similarity,
@@ -67,8 +68,8 @@ def compare_users(
         )
         .join(_other_means(averages), "userId")
     )
-    enough = F.when(F.col("n") >= min_common, _similarity())
-    return sums.select(
+    enough = F.when(F.col("n") >= min_common, _similarity("null"))
+    return _centred(sums).select(
         *PAIR,
         round_half_up(enough, digits).alias("similarity"),
         similarity_band(enough).alias("interpretation"),
