@@ -14,8 +14,8 @@ The result needs, for each document, its class of documents that links connect.
   parities of hashed shingles (a lower bound of the symmetric difference) differ too
   often, or if the distances of both members to their leader exclude it (Jaccard distance
   is a metric). What is left is compared, with no cap.
-* Links. ``jaccard_links`` counts the links of every row. It skips no list; pairs whose distances
-  to a leader add up to less than the threshold are links without a comparison.
+* Links. Linked sets are in one class, so ``jaccard_links`` counts the links of every row within the
+  classes, by how sets depart from the centre of theirs; see ``link_counts``.
 
 Frequent shingles are found by counting within tasks over all documents. They change
 only the order, hence the work, never the links. Comparisons count common shingles of
@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from kinrate.llm.components import connected
+from kinrate.llm.link_counts import links_in_classes
 from kinrate.llm.shipping import arrow_rows
 from kinrate.llm.words import Spans, hash_words, text_chunks
 from kinrate.plans.storage import scratch, stage
@@ -186,6 +187,28 @@ def _common_rows(width: int):
     return run
 
 
+def _shingle_rows(width: int):
+    """The set id of each text, as found, and its shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text")
+            for at, to in text_chunks(texts):
+                sets = shingle_sets(texts[at:to], width)
+                lengths = np.cumsum([0, *map(len, sets)], dtype=np.int32)
+                values = pa.array(np.concatenate(sets).view(np.int64))
+                yield pa.record_batch(
+                    [
+                        *(batch.column(c).slice(at, to - at) for c in ("root", "set_id", "rows")),
+                        pa.array([_set_id(shingles) for shingles in sets], pa.int64()),
+                        pa.ListArray.from_arrays(pa.array(lengths), values),
+                    ],
+                    names=["root", "set_id", "rows", "found", "shingles"],
+                )
+
+    return run
+
+
 def frequent_shingles(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """At most FREQUENT shingles that most sets share, sorted, and their ranks by count."""
     rows = (
@@ -243,12 +266,9 @@ def _linked(compared: DataFrame, rule: Jaccard) -> DataFrame:
 
 
 def _open_pairs(
-    lists: DataFrame, compared: DataFrame, roots: DataFrame, reps: DataFrame, rule: Jaccard, every: bool = False
+    lists: DataFrame, compared: DataFrame, roots: DataFrame, reps: DataFrame, rule: Jaccard
 ) -> DataFrame:
-    """Pairs that lists with unconnected members still have to compare, or those of all lists.
-
-    ``sure`` marks pairs that their distances to a leader already link.
-    """
+    """Pairs that lists with unconnected members still have to compare."""
     # What stands before a shingle: at the first one that two sets share, all of it differs.
     along = Window.partitionBy("set_id").orderBy("position")
     lists = lists.repartition("set_id").dropDuplicates(["set_id", "shingle"])
@@ -259,7 +279,7 @@ def _open_pairs(
     split = (
         placed.groupBy("shingle")
         .agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        .where(F.lit(every) | (F.col("low") < F.col("high")))
+        .where("low < high")
         .select("shingle")
     )
     union = F.col("a_size") + F.col("b_size") - F.col("common")
@@ -290,7 +310,7 @@ def _open_pairs(
     different = sum(F.bit_count(F.col(f"a_{p}").bitwiseXOR(F.col(f"b_{p}"))) for p in PARITIES)
     return (
         a.join(b, ["shingle", "met"])
-        .where(F.lit(every) | (F.col("a_root") != F.col("b_root")))
+        .where("a_root != b_root")
         .where("a_block < b_block OR a_set_id < b_set_id")
         .where(100 * F.least("a_size", "b_size") >= rule.percent * F.greatest("a_size", "b_size"))
         .where(~F.coalesce(F.arrays_overlap("a_earlier", "b_earlier"), F.lit(False)))
@@ -306,22 +326,32 @@ def _open_pairs(
                 F.abs(F.col("a_far") - F.col("b_far")) <= 1 - rule.percent / 100 + 1e-9, F.lit(True)
             )
         )
-        .groupBy(F.col("a_set_id").alias("a"), F.col("b_set_id").alias("b"))
-        .agg(F.max(F.coalesce(F.col("a_far") + F.col("b_far") <= 1 - rule.percent / 100 - 1e-9, F.lit(False))).alias("sure"))
+        .select(F.col("a_set_id").alias("a"), F.col("b_set_id").alias("b"))
+        .distinct()
     )
 
 
-def _link_counts(links: DataFrame, sets: DataFrame) -> DataFrame:
+def _link_counts(roots: DataFrame, sets: DataFrame, reps: DataFrame, docs: DataFrame, rule: Jaccard) -> DataFrame:
     """For each set, the rows that its rows are linked with: copies, and rows of linked sets."""
     copies = sets.where("set_id IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_id").agg(F.count("*").alias("rows"))
-    # a link may have been found from both sides
-    pairs = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    others = (
-        both.join(copies.withColumnRenamed("set_id", "b"), "b")
-        .groupBy(F.col("a").alias("set_id"))
-        .agg(F.sum("rows").alias("others"))
+    copies = stage(copies, "copies")
+    placed = stage(roots.withColumnRenamed("node", "set_id").join(copies, "set_id"), "placed")
+    sizes = stage(placed.groupBy("root").agg(F.count("*").alias("n_sets"), F.sum("rows").alias("all_rows")), "sizes")
+    placed = placed.join(sizes, "root")
+    # two sets of a class are linked with each other
+    two = placed.where("n_sets = 2").select("set_id", (F.col("all_rows") - F.col("rows")).alias("others"))
+    more = placed.where("n_sets > 2").join(reps.select("set_id", "doc_id", "row_key"), "set_id")
+    texts = docs.join(more, ["doc_id", "row_key"]).select("root", "set_id", "rows", "text")
+    schema = "root bigint, set_id bigint, rows bigint, found bigint, shingles array<bigint>"
+    members = stage(
+        arrow_rows(texts, _shingle_rows(rule.width), schema)
+        .where("found = set_id")
+        # rows that share doc_id and text
+        .groupBy("set_id")
+        .agg(*[F.first(c).alias(c) for c in ("root", "rows", "shingles")]),
+        "shingles",
     )
+    others = two.unionByName(links_in_classes(members, rule.percent))
     return copies.join(others, "set_id", "left").select(
         "set_id", (F.col("rows") - 1 + F.coalesce("others", F.lit(0))).cast("bigint").alias("n_links")
     )
@@ -330,7 +360,7 @@ def _link_counts(links: DataFrame, sets: DataFrame) -> DataFrame:
 def jaccard_links(docs: DataFrame, rule: Jaccard = Jaccard()) -> DataFrame:
     """As ``jaccard_classes``, with n_links: the number of other rows that each row is linked with.
 
-    Rows with an equal set are linked. No list is skipped, so the work grows with the number of links.
+    Rows with an equal set are linked.
     """
     return jaccard_classes(docs, rule, with_links=True)
 
@@ -385,12 +415,8 @@ def _classes(docs: DataFrame, rule: Jaccard, with_links: bool) -> DataFrame:
     compared = compare(stars, reps, docs, rule)
     links = _linked(compared, rule)
     roots = stage(connected(links), "roots")
-    more = _open_pairs(lists, compared, roots, reps, rule, every=with_links)
-    if with_links:
-        more = stage(more, "open")
-        links = links.unionByName(more.where("sure").select("a", "b"))
-        more = more.where("NOT sure")
-    links = links.unionByName(_linked(compare(more.drop("sure"), reps, docs, rule), rule))
+    more = _open_pairs(lists, compared, roots, reps, rule)
+    links = links.unionByName(_linked(compare(more, reps, docs, rule), rule))
     roots = stage(connected(links), "roots")
     classes = roots.withColumnRenamed("node", "set_id").join(
         reps.select("set_id", F.struct("doc_id", "row_key").alias("rep")), "set_id"
@@ -404,7 +430,7 @@ def _classes(docs: DataFrame, rule: Jaccard, with_links: bool) -> DataFrame:
     first = (F.col("doc_id") == F.col("least.doc_id")) & (F.col("row_key") == F.col("least.row_key"))
     columns = []
     if with_links:
-        sets = sets.join(_link_counts(links, sets), "set_id", "left")
+        sets = sets.join(_link_counts(roots, sets, reps, docs, rule), "set_id", "left")
         counted = F.when(alone, F.lit(0)).otherwise(F.col("n_links"))
         columns = [counted.cast("bigint").alias("n_links")]
     return sets.join(named, "set_id", "left").select(
