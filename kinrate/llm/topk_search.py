@@ -2,7 +2,8 @@
 
 Vectors are turned into whole numbers. Query rows and candidates are packed into blocks;
 every query block meets every candidate block, a bounded piece of work that holds one
-dense array of scores. Per component (term), the queries that have it scatter its weight
+dense array of scores. Candidate blocks stand in groups, each in one task, to which a copy of all
+query blocks is shuffled; neither side goes through the driver. Per component (term), the queries that have it scatter its weight
 times the candidates' postings of that component into the array. The best k of each
 query are selected in each block, and a last top-k over blocks merges them.
 
@@ -33,6 +34,9 @@ SCALE = 1024
 K = 10
 QUERY_BLOCK = 512
 CANDIDATE_BLOCK = 4096
+GROUPS = 64  # of candidate blocks, as long as groups stay within the next two
+GROUP_BLOCKS = 16
+GROUP_BYTES = 64 << 20
 SAFE = float(1 << 62)  # sums of magnitudes up to here are exact in 64 bits
 WHOLE = float(1 << 52)  # doubles from here on are whole numbers
 
@@ -57,10 +61,22 @@ def whole_vectors(rows: DataFrame, scale: int = SCALE) -> DataFrame:
     )
 
 
-def _blocks(vectors: DataFrame, count: int, name: str) -> DataFrame:
+def _block(count: int) -> Column:
     # by row and not by id, of which one may stand in a third of all rows
-    block = F.pmod(F.xxhash64("row"), F.lit(count)).alias(f"{name}_block")
-    return vectors.groupBy(block).agg(F.collect_list(F.struct("vec_id", "weights")).alias(name))
+    return F.pmod(F.xxhash64("row"), F.lit(count))
+
+
+def _blocks(vectors: DataFrame, name: str, *keys: str) -> DataFrame:
+    return vectors.groupBy(*keys).agg(F.collect_list(F.struct("vec_id", "weights")).alias(name))
+
+
+def _group_blocks(candidates: DataFrame, blocks: int) -> int:
+    """How many candidate blocks stand in a group: all of them wait in memory for the query blocks."""
+    most = min(blocks // GROUPS, GROUP_BLOCKS)
+    if most < 2:
+        return 1
+    components = candidates.agg(F.sum(F.size("weights").cast("bigint"))).first()[0]
+    return max(1, min(most, GROUP_BYTES * blocks // max(1, 8 * components)))
 
 
 def _matrix(vectors: pa.StructArray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -174,13 +190,23 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = K) -> DataFrame:
     )
     query_blocks = -(-max(1, rows_of(queries)) // QUERY_BLOCK)
     candidate_blocks = -(-max(1, rows_of(candidates)) // CANDIDATE_BLOCK)
-    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(candidate_blocks - 1).cast("bigint")))
-    asked = _blocks(queries, query_blocks, "queries").withColumn("candidates_block", every)
-    there = _blocks(candidates, candidate_blocks, "candidates").withColumn(
-        "candidates_block", F.col("candidates_block").cast("bigint")
+    at_once = _group_blocks(candidates, candidate_blocks)
+    groups = -(-candidate_blocks // at_once)
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(groups - 1).cast("bigint")))
+    asked = _blocks(queries.withColumn("block", _block(query_blocks)), "queries", "block")
+    there = (
+        candidates.withColumn("block", _block(candidate_blocks))
+        .withColumn("group", F.floor(F.col("block") / at_once))
+        .repartition("group")
+    )
+    # (query block, candidate block) pairs, dealt out evenly. Merged: Spark takes the query blocks for
+    # small, as it does not see that each is copied to every group, and would broadcast the copies
+    met = (
+        asked.select("queries", every.alias("group"))
+        .hint("merge")
+        .join(_blocks(there, "candidates", "group", "block"), "group")
+        .select("queries", "candidates")
     )
-    # (query block, candidate block) pairs, dealt out evenly
-    met = asked.join(there, "candidates_block").select("queries", "candidates")
     best = arrow_rows(met, _best_rows(k), _RESULT)
     # scores beyond 64 bits, by their bytes, above or below all others
     order = Window.partitionBy("query_id").orderBy(
