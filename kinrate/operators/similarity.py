@@ -34,6 +34,8 @@ SUMS = ("n", "p", "s_u", "s_v", "q_u", "q_v")
 NO_PLACE = 2**31 - 1
 Keep = Callable[[DataFrame, str], DataFrame]
 Tasks = Callable[[DataFrame, DataFrame], int | None]
+Found = Callable[[DataFrame, int | None], DataFrame]
+Rounds = Callable[[Found, DataFrame, DataFrame, str, bool, int | None, str], DataFrame]
 
 
 def as_is(df: DataFrame, name: str) -> DataFrame:
@@ -45,6 +47,18 @@ def as_planned(left: DataFrame, right: DataFrame) -> None:
     """Leaves the number of tasks that pairs are dealt to to Spark."""
 
 
+def at_once(
+    found: Found, left: DataFrame, right: DataFrame, user: str, above: bool, tasks: int | None, name: str
+) -> DataFrame:
+    """``found`` in all rows of ``left``: what it makes of their pairs with those of ``right``.
+
+    As all pairs of a ``user`` are found together, others may find them one part of the users after
+    the other and store what they found, so that only the lists of one part take up room at a time.
+    ``above`` says that each pair is met from one side only.
+    """
+    return found(left, tasks)
+
+
 # A centred sum of squares this small against the raw one is rounding noise: a
 # mean kept to three digits leaves a share of at least 1e-8 unless it is zero.
 NO_VARIANCE = 1e-12
@@ -109,7 +123,7 @@ def _pairs(
     u: str,
     v: str,
     above: bool,
-    tasks: Tasks,
+    count: int | None,
     share_rows: int,
     side_rows: int,
 ) -> DataFrame:
@@ -120,8 +134,8 @@ def _pairs(
     ``_block`` then stand in one task, so that grouping them by ``u, _block, v`` needs no
     further shuffle. A user with very many rows has several blocks, dealt by v. Users without
     blocks take a list as it is: going through its elements costs more than dropping their own.
+    ``count`` is the number of tasks, if it is given.
     """
-    count = tasks(left, right)
     # fewer tasks for the lists, so that the shuffle's blocks do not grow with the square
     before = min(count, count // 4 + 8) if count else None
     met = join_lists(left, right, "movieId", u, v, "_met", share_rows, side_rows, before)
@@ -404,16 +418,22 @@ def _complete(
     vectors_v: DataFrame,
     keep: Keep,
 ) -> DataFrame:
-    """Pairs with enough shared items; only those that one side leaves open meet the vectors.
+    """Pairs with enough shared items, of those that may have them; only open ones meet the vectors.
 
     Stored in between, as either part reads it.
     """
-    met = keep(met.filter(F.col("n") + F.col("open") >= min_common), "met")
+    met = keep(met, "met")
     opened = _add_open(met.filter("open > 0"), u, vectors_u, v, vectors_v)
     whole = met.filter("open = 0").unionByName(opened)
     return whole.filter(F.col("n") >= min_common).drop("open")
 
 
+def _enough(met: DataFrame, min_common: int) -> DataFrame:
+    """Pairs that have enough shared items, or may have them with those left open."""
+    most = F.col("n") + F.col("open") if "open" in met.columns else F.col("n")
+    return met.filter(most >= min_common)
+
+
 def _hottest(large: DataFrame, items: int) -> DataFrame:
     return large.orderBy(F.col("raters").desc(), "movieId").limit(items)
 
@@ -429,6 +449,7 @@ def _target_sums(
     deferred_items: int,
     keep: Keep,
     tasks: Tasks,
+    rounds: Rounds,
     scored: bool = True,
 ) -> DataFrame:
     """Sums over the shared items of each target and other user with enough of them.
@@ -445,16 +466,22 @@ def _target_sums(
         late = _late_columns(defer, scored) if defer else []
         left = profiles.select("targetId", "movieId", *own, *[F.col(c).alias(f"{c}_u") for c in late])
         right = ratings.select("userId", "movieId", *others, *[F.col(c).alias(f"{c}_v") for c in late])
+
+        def enough(pairs: DataFrame) -> DataFrame:
+            if scored:
+                pairs = pairs.withColumnRenamed("target_mean", "m_u")
+            met = _summed(pairs, (*PAIR, "_block"), sums, names, ["m_u"] if scored else [], defer)
+            return _enough(met, min_common)
+
         if broadcast_profiles:
             right = right.withColumn("_block", F.lit(0))
-            pairs = join_side(right, left, "movieId", "userId", "targetId", True).filter(
-                F.col("userId") != F.col("targetId")
-            )
-        else:
-            pairs = _pairs(left, right, *PAIR, False, tasks, share_rows, side_rows)
-        if scored:
-            pairs = pairs.withColumnRenamed("target_mean", "m_u")
-        return _summed(pairs, (*PAIR, "_block"), sums, names, ["m_u"] if scored else [], defer)
+            pairs = join_side(right, left, "movieId", "userId", "targetId", True)
+            return enough(pairs.filter(F.col("userId") != F.col("targetId")))
+
+        def found(some: DataFrame, count: int | None) -> DataFrame:
+            return enough(_pairs(some, right, *PAIR, False, count, share_rows, side_rows))
+
+        return rounds(found, left, right, "targetId", False, tasks(left, right), "met")
 
     if large is None or min_common < 2:
         met = summed(ratings, profiles)
@@ -473,7 +500,7 @@ def _target_sums(
             defer,
         )
         met = _complete(met, min_common, "targetId", target_vectors, "userId", vectors, keep)
-    return met.filter(F.col("n") >= min_common).drop("_block")
+    return met.drop("_block")
 
 
 def co_rated_counts(
@@ -487,6 +514,7 @@ def co_rated_counts(
     deferred_items: int = DEFERRED_ITEMS,
     keep: Keep = as_is,
     tasks: Tasks = as_planned,
+    rounds: Rounds = at_once,
 ) -> DataFrame:
     """How many items each other user shares with each target.
 
@@ -503,6 +531,7 @@ def co_rated_counts(
         deferred_items,
         keep,
         tasks,
+        rounds,
         scored=False,
     ).select(*PAIR, F.col("n").cast("bigint").alias("common_movies"))
 
@@ -516,6 +545,7 @@ def co_rated_counts_of_all(
     deferred_items: int = DEFERRED_ITEMS,
     keep: Keep = as_is,
     tasks: Tasks = as_planned,
+    rounds: Rounds = at_once,
 ) -> DataFrame:
     """:func:`co_rated_counts` with all users as targets: each pair is counted once, given twice."""
     rows = ratings.select("userId", "movieId")
@@ -527,8 +557,12 @@ def co_rated_counts_of_all(
             rows.select(F.col("userId").alias(x), "movieId", *[F.col(c).alias(f"{c}_{x}") for c in late])
             for x in "uv"
         )
-        pairs = _pairs(left, right, "u", "v", True, tasks, share_rows, side_rows)
-        return _summed(pairs, ("u", "v", "_block"), sums, ("n",), defer=defer)
+
+        def found(some: DataFrame, count: int | None) -> DataFrame:
+            pairs = _pairs(some, right, "u", "v", True, count, share_rows, side_rows)
+            return _enough(_summed(pairs, ("u", "v", "_block"), sums, ("n",), defer=defer), min_common)
+
+        return rounds(found, left, right, "u", True, tasks(left, right), "met")
 
     if large is None or min_common < 2:
         met = summed(rows)
@@ -539,7 +573,7 @@ def co_rated_counts_of_all(
         met = _complete(met, min_common, "u", vectors, "v", vectors, keep)
     sides = [F.struct(F.col(a).alias("targetId"), F.col(b).alias("userId")) for a, b in ("uv", "vu")]
     common = F.col("n").cast("bigint").alias("common_movies")
-    return met.filter(F.col("n") >= min_common).select(F.inline(F.array(*sides)), common)
+    return met.select(F.inline(F.array(*sides)), common)
 
 
 def pearson_neighbors(
@@ -557,6 +591,7 @@ def pearson_neighbors(
     deferred_items: int = DEFERRED_ITEMS,
     keep: Keep = as_is,
     tasks: Tasks = as_planned,
+    rounds: Rounds = at_once,
 ) -> DataFrame:
     """Similarity of every target to every other user with enough shared items.
 
@@ -576,6 +611,7 @@ def pearson_neighbors(
         deferred_items,
         keep,
         tasks,
+        rounds,
     ).join(_other_means(averages, min_candidate_ratings), "userId")
     return _scored(sums, PAIR, on_zero_variance, round_similarity)
 
@@ -703,11 +739,19 @@ def _meet(
     carry: tuple[str, ...],
     defer: int,
     above: bool,
+    min_common: int,
+    reduced: Callable[[DataFrame], DataFrame],
+    name: str,
     tasks: Tasks,
+    rounds: Rounds,
     share_rows: int,
     side_rows: int,
 ) -> DataFrame:
-    """Sums of all user pairs, of ``u < v`` only with ``above``, and what each row carries."""
+    """Sums of all user pairs, of ``u < v`` only with ``above``, and what each row carries.
+
+    Pairs without enough shared items are left out. Of the others it returns what ``reduced``
+    makes of them, all pairs of a u at a time.
+    """
     late = _late_columns(defer) if defer else []
     left, right = (
         rows.select(
@@ -718,10 +762,41 @@ def _meet(
         )
         for side in "uv"
     )
-    pairs = _pairs(left, right, "u", "v", above, tasks, share_rows, side_rows)
     sums = _pair_sums(F.col("rating_u"), F.col("rating_v"))
     carried = [f"{c}_{side}" for c in carry for side in "uv"]
-    return _summed(pairs, ("u", "v", "_block"), sums, SUMS, carried, defer, "m" in carry).drop("_block")
+
+    def found(some: DataFrame, count: int | None) -> DataFrame:
+        pairs = _pairs(some, right, "u", "v", above, count, share_rows, side_rows)
+        met = _summed(pairs, ("u", "v", "_block"), sums, SUMS, carried, defer, "m" in carry)
+        return reduced(_enough(met.drop("_block"), min_common))
+
+    return rounds(found, left, right, "u", above, tasks(left, right), name)
+
+
+def _sums_of_all(
+    ratings: DataFrame,
+    large: DataFrame | None,
+    min_common: int,
+    share_rows: int,
+    side_rows: int,
+    deferred_items: int,
+    keep: Keep,
+    tasks: Tasks,
+    rounds: Rounds,
+) -> DataFrame:
+    """Sums over the shared items of all user pairs ``u < v`` with enough of them."""
+    rows = ratings.select("userId", "movieId", "rating")
+
+    def meet(rows: DataFrame, defer: int = 0) -> DataFrame:
+        how = min_common, lambda met: met, "met", tasks, rounds, share_rows, side_rows
+        return _meet(rows, (), defer, True, *how)
+
+    if large is None or min_common < 2:
+        return meet(rows)
+    defer = _set_aside(min_common)
+    vectors = keep(_hot_vectors(rows, _hottest(large, deferred_items), defer), "hot_vectors")
+    met = meet(keep(_undeferred(rows, vectors, defer), "undeferred"), defer)
+    return _complete(met, min_common, "u", vectors, "v", vectors, keep)
 
 
 def similarity_matrix(
@@ -736,25 +811,19 @@ def similarity_matrix(
     deferred_items: int = DEFERRED_ITEMS,
     keep: Keep = as_is,
     tasks: Tasks = as_planned,
+    rounds: Rounds = at_once,
 ) -> DataFrame:
     """Similarity of all user pairs with enough shared items: ``userA < userB``.
 
     ``large`` is :func:`large_items`, or None where it was found empty; such items are deferred
     as in :func:`top_k_join`. The result has a row for every such pair, none is left out.
     """
-    rows = ratings.select("userId", "movieId", "rating")
-    if large is None or min_common < 2:
-        met = _meet(rows, (), 0, True, tasks, share_rows, side_rows)
-    else:
-        defer = _set_aside(min_common)
-        vectors = keep(_hot_vectors(rows, _hottest(large, deferred_items), defer), "hot_vectors")
-        undeferred = keep(_undeferred(rows, vectors, defer), "undeferred")
-        met = _meet(undeferred, (), defer, True, tasks, share_rows, side_rows)
-        met = _complete(met, min_common, "u", vectors, "v", vectors, keep)
+    met = _sums_of_all(
+        ratings, large, min_common, share_rows, side_rows, deferred_items, keep, tasks, rounds
+    )
     means = averages.select("userId", F.col("avg_rating").alias("m"))
     complete = (
-        met.filter(F.col("n") >= min_common)
-        .join(means.withColumnsRenamed({"userId": "u", "m": "m_u"}), "u")
+        met.join(means.withColumnsRenamed({"userId": "u", "m": "m_u"}), "u")
         .join(means.withColumnsRenamed({"userId": "v", "m": "m_v"}), "v")
         .withColumnsRenamed({"u": "userA", "v": "userB"})
     )
@@ -775,6 +844,7 @@ def top_k_join(
     deferred_items: int = DEFERRED_ITEMS,
     keep: Keep = as_is,
     tasks: Tasks = as_planned,
+    rounds: Rounds = at_once,
 ) -> DataFrame:
     """The ``k`` most similar users of every user: at most k rows a user, exactly those of
     :func:`pearson_neighbors` and :func:`top_k_neighbors` with all users as targets.
@@ -805,13 +875,14 @@ def top_k_join(
     def best(scored: DataFrame) -> DataFrame:
         return top_k_neighbors(scored, k, min_similarity)
 
-    def meet(rows: DataFrame, defer: int = 0) -> DataFrame:
+    def meet(rows: DataFrame, reduced, name: str, defer: int = 0) -> DataFrame:
         # from either side, so that all pairs of a user are ranked where they are added up
-        return _meet(rows, ("m",), defer, False, tasks, share_rows, side_rows)
+        how = min_common, reduced, name, tasks, rounds, share_rows, side_rows
+        return _meet(rows, ("m",), defer, False, *how)
 
     if large is None or min_common < 2:
-        met = meet(rows.join(means, "userId")).filter(F.col("n") >= min_common)
-        return best(_scored(met.withColumnsRenamed(users), PAIR, *how))
+        ranked = lambda met: best(_scored(met.withColumnsRenamed(users), PAIR, *how))
+        return meet(keep(rows.join(means, "userId"), "with_means"), ranked, "nearest")
 
     defer = _set_aside(min_common)
     vectors = keep(_hot_vectors(rows, _hottest(large, deferred_items), defer), "hot_vectors")
@@ -820,22 +891,25 @@ def top_k_join(
     known = F.col("open") == 0
     highest = F.when(known, _similarity(on_zero_variance)).otherwise(_similarity_bound() + 1e-9)
     rest = F.struct(*SUMS[1:], "m_u", "m_v")
-    met = _centred(meet(undeferred, defer).filter(F.col("n") + F.col("open") >= min_common))
-    met = met.withColumn("_highest", highest).select(
-        "u",
-        "v",
-        "n",
-        round_half_up(F.col("_highest"), round_similarity).alias("bound"),
-        F.when(~known, rest).alias("rest"),
-        F.when(~known, F.col("v")).alias("open_user"),
-    )
-    if on_zero_variance == "drop":
-        met = met.filter(F.col("bound").isNotNull())
-    if min_similarity is not None:
-        met = met.filter(F.col("bound") > min_similarity)
-    # each user's k best known pairs and the first that they rule out, and every open one
-    some = top_per(met, ["u", "open_user"], [F.col("bound").desc(), F.col("v")], k + 1)
-    met = keep(some.drop("rank"), "bounded_pairs").withColumnsRenamed(users)
+
+    def bounded(met: DataFrame) -> DataFrame:
+        met = _centred(met).withColumn("_highest", highest).select(
+            "u",
+            "v",
+            "n",
+            round_half_up(F.col("_highest"), round_similarity).alias("bound"),
+            F.when(~known, rest).alias("rest"),
+            F.when(~known, F.col("v")).alias("open_user"),
+        )
+        if on_zero_variance == "drop":
+            met = met.filter(F.col("bound").isNotNull())
+        if min_similarity is not None:
+            met = met.filter(F.col("bound") > min_similarity)
+        # each user's k best known pairs and the first that they rule out, and every open one
+        return top_per(met, ["u", "open_user"], [F.col("bound").desc(), F.col("v")], k + 1).drop("rank")
+
+    met = keep(meet(undeferred, bounded, "bounded_pairs", defer), "bounded_pairs")
+    met = met.withColumnsRenamed(users)
     order = [F.col("bound").desc(), F.col("userId")]
     exact = met.filter("open_user IS NULL").select(
         *PAIR,

@@ -14,6 +14,8 @@ from kinrate.config import (
     LARGE_RATERS,
     LOOKUP_IDS,
     PAIR_ROWS,
+    ROUND_VALUES,
+    ROUND_VALUES_EACH,
     ROW_GROUP_BYTES,
 )
 from kinrate.operators.cleaning import VALID_RANGE, clean_ratings
@@ -28,6 +30,7 @@ from kinrate.operators.recommendation import (
     with_items,
 )
 from kinrate.operators.similarity import (
+    Found,
     co_rated_counts,
     co_rated_counts_of_all,
     item_totals,
@@ -49,6 +52,7 @@ from kinrate.plans.storage import (
     rows_of,
     scratch,
     stage,
+    stage_parts,
     staged,
 )
 from kinrate.sources.files import AVERAGES, read_table
@@ -172,7 +176,7 @@ class Targets:
     def co_rated_counts(self, min_common: int = DEFAULTS.min_common) -> DataFrame:
         if self.everybody:
             return co_rated_counts_of_all(
-                self.prepared.ratings, min_common, self.large, keep=stage, tasks=pair_tasks
+                self.prepared.ratings, min_common, self.large, **BY_ROUNDS
             )
         return co_rated_counts(
             self.shared,
@@ -180,8 +184,7 @@ class Targets:
             min_common,
             self.large,
             broadcast_profiles=self.small,
-            keep=stage,
-            tasks=pair_tasks,
+            **BY_ROUNDS,
         )
 
     def similarities(self, **options) -> DataFrame:
@@ -191,8 +194,7 @@ class Targets:
             self.profiles,
             large=self.large,
             broadcast_profiles=self.small,
-            keep=stage,
-            tasks=pair_tasks,
+            **BY_ROUNDS,
             **options,
         )
 
@@ -437,6 +439,28 @@ def pair_tasks(left: DataFrame, right: DataFrame) -> int:
     return int((pairs or 0.0) // PAIR_ROWS) + 1
 
 
+def pair_rounds(
+    found: Found, left: DataFrame, right: DataFrame, user: str, above: bool, tasks: int, name: str
+) -> DataFrame:
+    """``found`` in the pairs of ``left`` and ``right``, in as many rounds as their number asks for.
+
+    Each round takes the rows of a part of the users, all pairs of a user are found in one. What it found
+    is stored, and what it shuffled is freed, before the next one begins.
+    """
+    values = tasks * PAIR_ROWS * (len(right.columns) - 1) // (2 if above else 1)
+    rounds = -(-values // max(ROUND_VALUES, ROUND_VALUES_EACH * rows_of(right)))
+    if rounds < 2:
+        return found(left, tasks)
+    # salted: within a round, users are still to be dealt to tasks and parts by their hashes
+    part = F.pmod(F.xxhash64(F.lit("round"), F.col(user)), F.lit(rounds))
+    each = -(-tasks // rounds)
+    return stage_parts((found(left.filter(part == i), each) for i in range(rounds)), name)
+
+
+# How the pairs of stored tables are found; what a round has stored is not stored again.
+BY_ROUNDS = {"keep": staged, "tasks": pair_tasks, "rounds": pair_rounds}
+
+
 def all_pairs(
     prepared: Prepared,
     min_common: int = DEFAULTS.min_common,
@@ -449,8 +473,7 @@ def all_pairs(
         prepared.averages,
         _large_items(prepared.ratings, large_raters),
         min_common,
-        keep=stage,
-        tasks=pair_tasks,
+        **BY_ROUNDS,
         **options,
     )
 
@@ -469,7 +492,6 @@ def nearest_of_all(
         k,
         min_common,
         _large_items(prepared.ratings, large_raters),
-        keep=stage,
-        tasks=pair_tasks,
+        **BY_ROUNDS,
         **options,
     )

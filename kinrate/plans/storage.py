@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 from kinrate.config import BROADCAST_ROWS
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+# Whether Spark deletes the shuffle files of a query at its end, and not when the driver collects its garbage.
+FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 MANIFEST = "manifest.json"
 _removed_at_end: set[str] = set()
 
@@ -138,6 +140,17 @@ def _publish(spark: SparkSession, path: str, manifest: dict) -> None:
         raise IncompleteStage(f"could not publish {path}")
 
 
+@contextmanager
+def _shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is written inside go at its end: nothing reads them after that."""
+    before = spark.conf.get(FILE_CLEANUP)
+    spark.conf.set(FILE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(FILE_CLEANUP, before)
+
+
 def write_stage(df: DataFrame, path: str, notes: dict | None = None, **options) -> dict:
     """Write an attempt below ``path`` and publish it; the manifest.
 
@@ -150,7 +163,8 @@ def write_stage(df: DataFrame, path: str, notes: dict | None = None, **options)
     attempt = f"attempt-{uuid.uuid4().hex}"
     counted = Observation(attempt)
     rows = df.observe(counted, F.count(F.lit(1)).alias("rows"))
-    rows.write.options(**options).mode("errorifexists").parquet(f"{path}/{attempt}")
+    with _shuffles_freed(spark):
+        rows.write.options(**options).mode("errorifexists").parquet(f"{path}/{attempt}")
     manifest = {
         "attempt": attempt,
         "rows": counted.get["rows"],
@@ -237,6 +251,20 @@ def stage(df: DataFrame, name: str, folder: str | None = None, **options) -> Dat
     return _stored(spark, path, write_stage(df, path, **options))
 
 
+def stage_parts(parts: Iterable[DataFrame], name: str) -> DataFrame:
+    """One stage of tables of the same columns, each worked out when the one before is written."""
+    path, manifests = None, []
+    for part in parts:
+        spark = part.sparkSession
+        path = path or new_path(spark, name)
+        manifests.append(write_stage(part, f"{path}/{len(manifests)}"))
+    schema = T.StructType.fromJson(manifests[0]["schema"])
+    files = [f"{path}/{i}/{m['attempt']}" for i, m in enumerate(manifests)]
+    df = spark.read.schema(schema).parquet(*files)
+    df._kinrate_rows, df._kinrate_path = sum(m["rows"] for m in manifests), path
+    return df
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` itself if it is a stage as read back, else a stage of it."""
     return df if hasattr(df, "_kinrate_rows") else stage(df, name)
