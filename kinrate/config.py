@@ -49,6 +49,9 @@ PAIR_ROWS = 2_000_000
 ROUND_VALUES = 1_000_000_000
 ROUND_VALUES_EACH = 27
 
+# Values that stand for a neighbour's rating on its way to the predictions, by what it was found to take.
+PREDICTION_VALUES = 27
+
 # An item with more raters than this is large: it may be left out of pair generation
 # where an exact rule says that it cannot decide whether there is a pair.
 LARGE_RATERS = 5_000

@@ -799,6 +799,42 @@ def _sums_of_all(
     return _complete(met, min_common, "u", vectors, "v", vectors, keep)
 
 
+def pearson_of_all(
+    ratings: DataFrame,
+    averages: DataFrame,
+    min_common: int = DEFAULTS.min_common,
+    on_zero_variance: str = "zero",
+    round_similarity: int | None = DEFAULTS.similarity_digits,
+    min_candidate_ratings: int | None = None,
+    large: DataFrame | None = None,
+    share_rows: int = SHARE_ROWS,
+    side_rows: int = SIDE_ROWS,
+    deferred_items: int = DEFERRED_ITEMS,
+    keep: Keep = as_is,
+    tasks: Tasks = as_planned,
+    rounds: Rounds = at_once,
+) -> DataFrame:
+    """:func:`pearson_neighbors` with all users as targets: each pair is added up once, given twice."""
+    met = _sums_of_all(
+        ratings, large, min_common, share_rows, side_rows, deferred_items, keep, tasks, rounds
+    )
+    sides = [
+        F.struct(
+            F.col(a).alias("targetId"),
+            F.col(b).alias("userId"),
+            *[F.col(f"{c}_{x}").alias(f"{c}_{y}") for c in "sq" for x, y in ((a, "u"), (b, "v"))],
+        )
+        for a, b in ("uv", "vu")
+    ]
+    means = averages.select(F.col("userId").alias("targetId"), F.col("avg_rating").alias("m_u"))
+    both = (
+        met.select("n", "p", F.inline(F.array(*sides)))
+        .join(means, "targetId")
+        .join(_other_means(averages, min_candidate_ratings), "userId")
+    )
+    return _scored(both, PAIR, on_zero_variance, round_similarity)
+
+
 def similarity_matrix(
     ratings: DataFrame,
     averages: DataFrame,

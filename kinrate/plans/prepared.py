@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from kinrate.config import (
     BROADCAST_ROWS,
@@ -14,6 +14,7 @@ from kinrate.config import (
     LARGE_RATERS,
     LOOKUP_IDS,
     PAIR_ROWS,
+    PREDICTION_VALUES,
     ROUND_VALUES,
     ROUND_VALUES_EACH,
     ROW_GROUP_BYTES,
@@ -36,6 +37,7 @@ from kinrate.operators.similarity import (
     item_totals,
     large_items,
     pearson_neighbors,
+    pearson_of_all,
     pearson_pooled,
     similarity_matrix,
     target_means,
@@ -188,6 +190,14 @@ class Targets:
         )
 
     def similarities(self, **options) -> DataFrame:
+        if self.everybody and not self.small:
+            return pearson_of_all(
+                self.prepared.ratings,
+                self.prepared.averages,
+                large=self.large,
+                **BY_ROUNDS,
+                **options,
+            )
         return pearson_neighbors(
             self.shared,
             self.prepared.averages,
@@ -370,6 +380,26 @@ def popular_for(
     return with_items(found, items)
 
 
+def _best_predictions(
+    targets: Targets, nearest: DataFrame, n: int, min_prediction: float | None
+) -> DataFrame:
+    """Each target's ``n`` best predictions from stored neighbours; many are made a part of the targets at a time."""
+    rated = nearest.join(targets.prepared.averages, "userId").agg(F.sum("num_ratings")).first()[0] or 0
+    rounds = _rounds(rated * PREDICTION_VALUES, rows_of(targets.prepared.ratings))
+
+    def best(targets: Targets, near: DataFrame) -> DataFrame:
+        return top_n(targets.predictions(near), None, n, min_prediction)
+
+    if rounds < 2:
+        return best(targets, nearest)
+    chosen = (_part("targetId", i, rounds) for i in range(rounds))
+    parts = (
+        best(replace(targets, profiles=targets.profiles.filter(part)), nearest.filter(part))
+        for part in chosen
+    )
+    return stage_parts(parts, "best_predictions")
+
+
 def recommend(
     prepared: Prepared,
     users: DataFrame | Sequence[int],
@@ -394,7 +424,7 @@ def recommend(
     nearest = stage(
         top_k_neighbors(targets.similarities(min_common=min_common), k, min_similarity), "neighbors"
     )
-    best = top_n(targets.predictions(nearest), items, n, min_prediction)
+    best = with_items(_best_predictions(targets, nearest, n, min_prediction), items)
     if not fallback:
         return best
     popular = popular_for(prepared, wanted, nearest, targets.seen, items, n)
@@ -439,6 +469,17 @@ def pair_tasks(left: DataFrame, right: DataFrame) -> int:
     return int((pairs or 0.0) // PAIR_ROWS) + 1
 
 
+def _rounds(values: int, ratings: int) -> int:
+    """In how many rounds to shuffle so many values."""
+    return -(-values // max(ROUND_VALUES, ROUND_VALUES_EACH * ratings))
+
+
+def _part(user: str, number: int, rounds: int) -> Column:
+    """Whether a user belongs to a round."""
+    # salted: within a round, users are still to be dealt to tasks and parts by their hashes
+    return F.pmod(F.xxhash64(F.lit("round"), F.col(user)), F.lit(rounds)) == number
+
+
 def pair_rounds(
     found: Found, left: DataFrame, right: DataFrame, user: str, above: bool, tasks: int, name: str
 ) -> DataFrame:
@@ -448,13 +489,12 @@ def pair_rounds(
     is stored, and what it shuffled is freed, before the next one begins.
     """
     values = tasks * PAIR_ROWS * (len(right.columns) - 1) // (2 if above else 1)
-    rounds = -(-values // max(ROUND_VALUES, ROUND_VALUES_EACH * rows_of(right)))
+    rounds = _rounds(values, rows_of(right))
     if rounds < 2:
         return found(left, tasks)
-    # salted: within a round, users are still to be dealt to tasks and parts by their hashes
-    part = F.pmod(F.xxhash64(F.lit("round"), F.col(user)), F.lit(rounds))
     each = -(-tasks // rounds)
-    return stage_parts((found(left.filter(part == i), each) for i in range(rounds)), name)
+    parts = (found(left.filter(_part(user, i, rounds)), each) for i in range(rounds))
+    return stage_parts(parts, name)
 
 
 # How the pairs of stored tables are found; what a round has stored is not stored again.
